@@ -72,7 +72,7 @@ def moving_average_period_signals(
         F.max_by(column, "date").alias(output),
         F.max_by(number, "date").alias("period_number"),
     )
-    order = ("year", "period_number") if week_number_order else ("year", "last_date")
+    order = ("year", "period_number", "last_date") if week_number_order else ("year", "last_date")
     signalled = cross_signal(ends, "close", output, over=W.partitionBy("ticker").orderBy(*order))
     return signalled.select(
         "ticker",

@@ -10,6 +10,7 @@ from tickloom import constants as K
 from tickloom.functions.columns import liquidity_score, market_cap_category, market_cap_order
 from tickloom.operators.bars import unpack_bars
 from tickloom.operators.ranking import global_rank
+from tickloom.session import freeze
 
 ENRICHED_COLUMNS = (
     "ticker", "name", "active", "sic_code", "sic_description", "office", "industry", "market_cap",
@@ -81,8 +82,11 @@ def reliable(scored: DataFrame) -> DataFrame:
 def rank_tickers(scored: DataFrame) -> DataFrame:
     """Rank in category and overall rank over all tickers, before any filter.
 
-    An unknown cap makes the overall score unknown, which ranks first.
+    An unknown cap makes the overall score unknown, which ranks first.  The
+    scores, one row per ticker, are stored once and not derived from the bars
+    again for either rank.
     """
+    scored = freeze(scored)
     ranked = global_rank(scored, F.col("avg_daily_traded_value"), "liquidity_rank_in_category", ["market_cap_category"])
     return global_rank(ranked, overall_score(), "overall_rank")
 

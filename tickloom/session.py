@@ -65,6 +65,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def freeze(df: DataFrame) -> DataFrame:
-    """Fix a result on reliable storage, so that every reader sees the same rows."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Store a result in the shared folder and read it from there.
+
+    Cuts the lineage, computes the rows once however often they are used, and
+    shows every reader the same rows; what is stored outlives lost executors.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "frozen")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1056,7 +1056,7 @@ for _kind in ("ema", "sma", "wma"):
 oracle(
     "w8_ema_signals_week_numbers",
     f"SELECT ticker, date, year, {rs('close', 'ema')}, signal, {rs('buy_signal', 'sell_signal')} "
-    f"FROM ({crossing('ema_weekly', 'close', 'ema', 'year, number')})",
+    f"FROM ({crossing('ema_weekly', 'close', 'ema', 'year, number, last_date')})",
     "ema_weekly",
 )
 oracle(
