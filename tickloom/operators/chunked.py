@@ -17,25 +17,22 @@ def previous_row(
     A LAG over the key alone sends a key to one task, which fails for raw
     ticks, where one symbol may hold a third of everything.  Here a key is cut
     into chunks (``chunk`` must not decrease along ``order``) and LAG runs in
-    a chunk; the first row of a chunk takes the last row of the key's chunk
-    before it, from a table with one row per key and chunk.
+    a chunk.  The first row of a chunk also learns the chunk's last values and
+    is set aside: among these rows, one per key and chunk, a second LAG hands
+    the last values on to the next chunk.
     """
-    chunked = df.withColumn("_chunk", chunk)
     inside = W.partitionBy(key, "_chunk").orderBy(*order)
-    rows = chunked.withColumns(
-        {f"{prefix}{v}": F.lag(v).over(inside) for v in values} | {"_first": F.row_number().over(inside) == 1}
+    whole = inside.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    rows = df.withColumn("_chunk", chunk).withColumns(
+        {f"{prefix}{v}": F.lag(v).over(inside) for v in values}
+        | {f"_last_{v}": F.last(v).over(whole) for v in values}
+        | {"_number": F.row_number().over(inside)}
     )
-    tails = chunked.groupBy(key, "_chunk").agg(F.max(F.struct(*order, *[F.col(v).alias(f"_v_{v}") for v in values])).alias("_tail"))
-    before = tails.select(
-        key, "_chunk", F.lag("_tail").over(W.partitionBy(key).orderBy("_chunk")).alias("_before")
-    )
-    return (
-        rows.join(before, [key, "_chunk"], "left")
-        .withColumns(
-            {
-                f"{prefix}{v}": F.when(F.col("_first"), F.col(f"_before._v_{v}")).otherwise(F.col(f"{prefix}{v}"))
-                for v in values
-            }
-        )
-        .drop("_chunk", "_first", "_before")
+    output = [*df.columns, *[f"{prefix}{v}" for v in values]]
+    later = rows.where(F.col("_number") > 1).select(*output)
+    first = (
+        rows.where(F.col("_number") == 1)
+        .withColumns({f"{prefix}{v}": F.lag(f"_last_{v}").over(W.partitionBy(key).orderBy("_chunk")) for v in values})
+        .select(*output)
     )
+    return later.unionByName(first)

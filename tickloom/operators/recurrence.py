@@ -6,6 +6,12 @@ Running sums are ordinary windows, so the whole chain stays in the JVM and
 shares the one shuffle by key.  ``d^-i`` would overflow on long series, so the
 sum restarts every ``block`` rows; a block's last value is carried into the
 following ones with the weight it still has there.
+
+The sums run over differences from the seed value, to which the recurrence is
+indifferent: a constant series then averages to exactly itself, and the seed
+row to exactly the seed, as they do when the recurrence is stepped through.
+What lies within rounding noise of its input is taken to equal it, so that no
+comparison of the two turns on noise.
 """
 
 from __future__ import annotations
@@ -21,6 +27,10 @@ from pyspark.sql import functions as F
 _MAX_EXPONENT = 600.0
 # Weights below this no longer reach the last digit of a double.
 _NEGLIGIBLE = 1e-30
+# Blocks looked back on; spans that need more get a longer block of their own.
+_MAX_CARRIES = 3
+# Relative rounding noise of a sum over one block.
+_NOISE = 1e-13
 
 
 @dataclass(frozen=True)
@@ -47,23 +57,42 @@ def exponential_averages(
     """Add one column per smoothing; rows before a seed row get NULL.
 
     ``row_number`` names a column that counts the rows of a key from 1.
+    Smoothings of similar span share one pass over the sorted rows.
     """
     if any(s.span < 2 for s in smoothings):
         raise ValueError("a span must be at least 2")
-    if block is None:
-        block = min(int(_MAX_EXPONENT / -math.log(s.decay)) for s in smoothings)
-
+    waiting = sorted(smoothings, key=lambda s: s.span)
+    out = df
+    while waiting:
+        size = block or int(_MAX_EXPONENT / -math.log(waiting[0].decay))
+        together = [s for s in waiting if block or _carry_depth(s.decay, size) <= _MAX_CARRIES]
+        waiting = [s for s in waiting if s not in together]
+        out = _averages_in_blocks(out, key, order, together, row_number, size)
+    return out.select(*df.columns, *[s.output for s in smoothings])
+
+
+def _averages_in_blocks(
+    df: DataFrame, key: str, order: str, smoothings: list[Smoothing], row_number: str, block: int
+) -> DataFrame:
     rn = F.col(row_number)
     in_block = F.pmod(rn - 1, F.lit(block))
     by_key = W.partitionBy(key).orderBy(order)
     before = by_key.rowsBetween(W.unboundedPreceding, -1)
     in_run = W.partitionBy(key, "_block").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
 
-    out = df.withColumns({"_block": F.floor((rn - 1) / block), "_pos": in_block})
+    so_far = by_key.rowsBetween(W.unboundedPreceding, W.currentRow)
+    out = df.withColumns(
+        {"_block": F.floor((rn - 1) / block), "_pos": in_block}
+        | {
+            f"_base{i}": F.last(F.when(rn == s.seed_row, F.col(s.value)), ignorenulls=True).over(so_far)
+            for i, s in enumerate(smoothings)
+        }
+    )
     weighted = {}
     for i, s in enumerate(smoothings):
-        x = F.col(s.value)
-        share = F.when(rn < s.seed_row, F.lit(0.0)).when(rn == s.seed_row, x).otherwise(x * s.alpha)
+        # The seed row itself differs from the seed by nothing.
+        moved = F.col(s.value) - F.col(f"_base{i}")
+        share = F.when(rn <= s.seed_row, F.lit(0.0)).otherwise(moved * s.alpha)
         scaled = share * F.pow(F.lit(1.0 / s.decay), F.col("_pos"))
         weighted[f"_y{i}"] = F.sum(scaled).over(in_run) * F.pow(F.lit(s.decay), F.col("_pos"))
     out = out.withColumns(weighted)
@@ -88,7 +117,8 @@ def exponential_averages(
         for level in range(1, depth + 1):
             weight = F.pow(F.lit(s.decay), F.col("_pos") + 1 + block * (level - 1))
             total = total + weight * F.coalesce(f"_c{i}_{level}", F.lit(0.0))
-        results[s.output] = F.when(rn >= s.seed_row, total)
+        x, y = F.col(s.value), F.col(f"_base{i}") + total
+        results[s.output] = F.when(rn >= s.seed_row, F.when(F.abs(y - x) <= F.abs(x) * _NOISE, x).otherwise(y))
     return out.select(*df.columns, *[column.alias(name) for name, column in results.items()])
 
 

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from tickloom import constants as K
 from tickloom.functions.columns import liquidity_score, market_cap_category, market_cap_order
-from tickloom.operators.bars import unpack_bars
 from tickloom.operators.ranking import global_rank
 from tickloom.session import freeze
 
@@ -34,13 +33,13 @@ def enrich_tickers(tickers: DataFrame, details: DataFrame, sic_codes: DataFrame)
     )
 
 
-def liquidity(cumulated: DataFrame, latest_date: Column, months: int = K.LIQUIDITY_MONTHS) -> DataFrame:
+def liquidity(bars: DataFrame, latest_date: Column, months: int = K.LIQUIDITY_MONTHS) -> DataFrame:
     """Volume and traded value of every ticker over the last months.
 
-    Whole months that end too early are dropped before they are unpacked.
+    Takes plain bars: the condition on the date then reaches the scan, and
+    older bars are not read.
     """
-    since = F.add_months(latest_date, -months)
-    recent = unpack_bars(cumulated.where(F.col("last_date") >= since)).where(F.col("date") >= since)
+    recent = bars.where(F.col("date") >= F.add_months(latest_date, -months))
     traded = F.col("volume") * F.col("close")
     return recent.groupBy("ticker").agg(
         F.avg("volume").alias("avg_daily_volume"),

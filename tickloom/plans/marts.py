@@ -98,7 +98,7 @@ class Marts:
 
     @cached_property
     def scored(self) -> DataFrame:
-        return T.score_tickers(T.liquidity(self.cumulated, B.latest(self.daily)), self.enriched)
+        return T.score_tickers(T.liquidity(self.daily, B.latest(self.daily)), self.enriched)
 
     @cached_property
     def classified(self) -> DataFrame:

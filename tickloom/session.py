@@ -13,6 +13,9 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Monthly arrays are small: keep more of them in the map tasks' hash
+    # tables before falling back on sorting.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8192",
 }
 
 

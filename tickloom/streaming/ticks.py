@@ -6,7 +6,9 @@ Column ``ts`` is the event time; ``ingest_id`` grows as events come in.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import constants as K
@@ -50,10 +52,22 @@ def series(ticks: DataFrame) -> DataFrame:
     return long.where(F.col("value").isNotNull())
 
 
+def arrival_order(ts: str = "ts", ingest_id: str = "ingest_id") -> Column:
+    """Event time, then arrival, as one number.
+
+    Minima and maxima by a number are kept in a hash table; by a struct Spark
+    would have to sort all rows first.
+    """
+    return (
+        F.unix_micros(ts).cast("decimal(18,0)") * F.lit(Decimal(10**19)) + F.col(ingest_id).cast("decimal(19,0)")
+    ).cast("decimal(38,0)")
+
+
 def latest_values(ticks: DataFrame) -> DataFrame:
     """Newest price of every symbol; of two at the same time the later arrival."""
-    newest = F.max(F.struct("ts", "ingest_id", F.col("close").alias("price"))).alias("last")
-    return ticks.groupBy("symbol").agg(newest).select("symbol", "last.price", "last.ts")
+    return ticks.groupBy("symbol").agg(
+        F.max_by("close", arrival_order()).alias("price"), F.max("ts").alias("ts")
+    )
 
 
 def symbols(ticks: DataFrame) -> DataFrame:
@@ -109,8 +123,8 @@ def keep_last(ticks: DataFrame) -> DataFrame:
     is dropped once a time can no longer change.
     """
     rest = [c for c in ticks.columns if c not in ("symbol", "ts", "ingest_id")]
-    last = F.max(F.struct("ingest_id", *rest)).alias("t")
-    return ticks.groupBy("symbol", "ts").agg(last).select("symbol", "ts", "t.*").select(*ticks.columns)
+    last = [F.max_by(c, "ingest_id").alias(c) for c in rest]
+    return ticks.groupBy("symbol", "ts").agg(F.max("ingest_id").alias("ingest_id"), *last).select(*ticks.columns)
 
 
 def drop_exact_repeats(ticks: DataFrame) -> DataFrame:
@@ -121,7 +135,7 @@ def drop_exact_repeats(ticks: DataFrame) -> DataFrame:
 
 def tick_candles(ticks: DataFrame, width: str) -> DataFrame:
     """Open, high, low, close and volume per symbol and tumbling window."""
-    at = F.struct("ts", "ingest_id")
+    at = arrival_order()
     return ticks.groupBy(F.window("ts", width).alias("w"), "symbol").agg(
         F.min_by("open", at).alias("open"),
         F.max("high").alias("high"),

@@ -419,7 +419,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("a3_liquidity", digits=2)
 def _(t: Tables) -> DataFrame:
-    return TK.liquidity(t.marts.cumulated, B.latest(t.marts.daily))
+    return TK.liquidity(B.unpack_bars(t.marts.cumulated), B.latest(t.marts.daily))
 
 
 @query("a4_buckets")
