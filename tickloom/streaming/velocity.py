@@ -8,6 +8,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tickloom import constants as K
+
+RETENTION_MS = int(pd.Timedelta(K.VELOCITY_RETENTION).total_seconds() * 1000)
 OUTPUT = "symbol string, ts timestamp, price double, velocity double"
 _STATE = "last_ms bigint, last_price double, ms array<bigint>, ids array<bigint>, prices array<double>"
 
@@ -20,15 +23,23 @@ def _percent_per_second(points: pd.DataFrame) -> pd.Series:
 
 
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Hold ticks until the watermark has passed them, then emit them in order."""
+    """Hold ticks until the watermark has passed them, then emit them in order.
+
+    A symbol that stays silent for the retention time is forgotten; its next
+    tick then has no predecessor.
+    """
+    watermark = state.getCurrentWatermarkMs()
     last_ms, last_price, ms, ids, prices = state.get if state.exists else (None, None, [], [], [])
-    waiting = [pd.DataFrame({"ms": list(ms), "id": list(ids), "price": list(prices)}, dtype=object)]
+    parts = [pd.DataFrame({"ms": ms, "id": ids, "price": prices})] if len(ms) else []
     for batch in batches:
-        waiting.append(pd.DataFrame({"ms": batch["ms"], "id": batch["ingest_id"], "price": batch["price"]}))
-    points = pd.concat(waiting).astype({"ms": "int64", "id": "int64", "price": "float64"})
-    points = points.sort_values(["ms", "id"], ignore_index=True)
+        parts.append(batch[["ms", "ingest_id", "price"]].rename(columns={"ingest_id": "id"}))
+    if not parts:
+        if last_ms is None or last_ms + RETENTION_MS <= watermark:
+            state.remove()
+        return
+    points = pd.concat(parts).sort_values(["ms", "id"], ignore_index=True)
 
-    settled = points["ms"] <= state.getCurrentWatermarkMs()
+    settled = points["ms"] <= watermark
     ready, rest = points[settled], points[~settled]
     if len(ready):
         # The last settled tick leads the next pair.
@@ -48,8 +59,8 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
         if len(result):
             yield result
     state.update((last_ms, last_price, rest["ms"].tolist(), rest["id"].tolist(), rest["price"].tolist()))
-    if len(rest):
-        state.setTimeoutTimestamp(int(rest["ms"].iloc[0]) + 1)
+    wake = int(rest["ms"].iloc[0]) + 1 if len(rest) else last_ms + RETENTION_MS
+    state.setTimeoutTimestamp(max(wake, watermark + 1))
 
 
 def stream_velocities(ticks: DataFrame) -> DataFrame:
