@@ -152,18 +152,22 @@ def tick_moving_average(ticks: DataFrame, lookback: str, refresh: str) -> DataFr
     ).select(F.col("w.end").alias("window_end"), "symbol", "average", "ticks")
 
 
-def velocities(ticks: DataFrame, chunk_seconds: int = 3600) -> DataFrame:
+def velocities(
+    ticks: DataFrame, chunk_seconds: int = 3600, retention: str = K.VELOCITY_RETENTION
+) -> DataFrame:
     """Percent per second between consecutive ticks of a symbol, on static data.
 
     A symbol is cut into chunks of time, so one with a third of all ticks is
-    spread over many tasks.  Two ticks at the same time have no velocity.
+    spread over many tasks.  Two ticks at the same time have no velocity, and
+    a tick after a silence longer than the retention has no predecessor.
     """
     chunk = F.floor(F.unix_millis("ts") / (chunk_seconds * 1000))
     points = ticks.select("symbol", "ts", "ingest_id", F.col("close").alias("price"))
     linked = previous_row(points, "symbol", ["ts", "ingest_id"], ["ts", "price"], chunk)
     seconds = (F.unix_millis("ts") - F.unix_millis("prev_ts")) / 1000
     change = (F.col("price") - F.col("prev_price")) / nonzero(F.col("prev_price")) * 100
-    return linked.where(F.col("prev_ts").isNotNull()).select(
+    kept = F.col("ts") - F.col("prev_ts") <= F.expr(f"INTERVAL {retention}")
+    return linked.where(kept).select(
         "symbol", "ts", "price", (change / nonzero(seconds)).alias("velocity")
     )
 

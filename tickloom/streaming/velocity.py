@@ -25,8 +25,7 @@ def _percent_per_second(points: pd.DataFrame) -> pd.Series:
 def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     """Hold ticks until the watermark has passed them, then emit them in order.
 
-    A symbol that stays silent for the retention time is forgotten; its next
-    tick then has no predecessor.
+    A symbol that stays silent for longer than ticks are kept is forgotten.
     """
     watermark = state.getCurrentWatermarkMs()
     last_ms, last_price, ms, ids, prices = state.get if state.exists else (None, None, [], [], [])
@@ -34,7 +33,7 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
     for batch in batches:
         parts.append(batch[["ms", "ingest_id", "price"]].rename(columns={"ingest_id": "id"}))
     if not parts:
-        if last_ms is None or last_ms + RETENTION_MS <= watermark:
+        if last_ms is None or last_ms + RETENTION_MS < watermark:
             state.remove()
         return
     points = pd.concat(parts).sort_values(["ms", "id"], ignore_index=True)
@@ -54,7 +53,10 @@ def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) ->
                 "price": ready["price"],
                 "velocity": _percent_per_second(ready),
             }
-        ).iloc[1:]
+        )
+        # The very first tick has no predecessor, and neither has one after a
+        # silence longer than ticks are kept.
+        result = result[ready["ms"].diff() <= RETENTION_MS]
         last_ms, last_price = int(ready["ms"].iloc[-1]), float(ready["price"].iloc[-1])
         if len(result):
             yield result

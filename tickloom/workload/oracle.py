@@ -1262,7 +1262,7 @@ def velocity_sql(source: str) -> str:
         SELECT symbol, ts, price, (price - p) / nullif(p, 0) * 100 / nullif((epoch_ms(ts) - epoch_ms(t)) / 1000.0::DOUBLE, 0) AS velocity
         FROM (SELECT symbol, ts, close AS price, lag(close) OVER w AS p, lag(ts) OVER w AS t
               FROM {source} WINDOW w AS (PARTITION BY symbol ORDER BY ts, ingest_id))
-        WHERE t IS NOT NULL
+        WHERE ts - t <= INTERVAL {K.VELOCITY_RETENTION}
         """
 
 
