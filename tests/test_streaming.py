@@ -74,6 +74,11 @@ def test_latest_value_over_batches(spark, feed):
     assert rows(got.select("symbol", "price", "ts"), "symbol") == [("A", 4.0, at(5)), ("B", 7.0, at(1))]
 
 
+def test_a_stream_without_events_is_empty(spark, feed):
+    assert sinks.run_to_end(S.latest_values(feed.ticks()), "nothing", ["symbol"]).count() == 0
+    assert sinks.run_to_end(S.symbols(feed.ticks()), "nothing").count() == 0
+
+
 def test_symbols_once(spark, feed):
     feed.add(event("A", 0, 1.0, 1)).add(event("A", 1, 1.0, 2), event("B", 1, 1.0, 3))
     assert column(sinks.run_to_end(S.symbols(feed.ticks()), "symbols"), "symbol", "symbol") == ["A", "B"]

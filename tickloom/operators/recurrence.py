@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# exp(600) stays clear of the largest double with room for the values.
-_MAX_EXPONENT = 600.0
+# exp(650) stays clear of the largest double with room for the values.
+_MAX_EXPONENT = 650.0
 # Weights below this no longer reach the last digit of a double.
-_NEGLIGIBLE = 1e-30
+_NEGLIGIBLE = 1e-25
 # Blocks looked back on; spans that need more get a longer block of their own.
 _MAX_CARRIES = 3
 # Relative rounding noise of a sum over one block.
@@ -75,50 +75,51 @@ def _averages_in_blocks(
     df: DataFrame, key: str, order: str, smoothings: list[Smoothing], row_number: str, block: int
 ) -> DataFrame:
     rn = F.col(row_number)
-    in_block = F.pmod(rn - 1, F.lit(block))
     by_key = W.partitionBy(key).orderBy(order)
-    before = by_key.rowsBetween(W.unboundedPreceding, -1)
-    in_run = W.partitionBy(key, "_block").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-
     so_far = by_key.rowsBetween(W.unboundedPreceding, W.currentRow)
     out = df.withColumns(
-        {"_block": F.floor((rn - 1) / block), "_pos": in_block}
+        {"_block": F.floor((rn - 1) / block), "_pos": F.pmod(rn - 1, F.lit(block))}
         | {
             f"_base{i}": F.last(F.when(rn == s.seed_row, F.col(s.value)), ignorenulls=True).over(so_far)
             for i, s in enumerate(smoothings)
         }
     )
+
+    # Both windows below are ordered by key, block and order column: one sort.
+    in_block = W.partitionBy(key, "_block").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = W.partitionBy(key).orderBy("_block", order).rowsBetween(W.unboundedPreceding, -1)
     weighted = {}
     for i, s in enumerate(smoothings):
         # The seed row itself differs from the seed by nothing.
         moved = F.col(s.value) - F.col(f"_base{i}")
         share = F.when(rn <= s.seed_row, F.lit(0.0)).otherwise(moved * s.alpha)
         scaled = share * F.pow(F.lit(1.0 / s.decay), F.col("_pos"))
-        weighted[f"_y{i}"] = F.sum(scaled).over(in_run) * F.pow(F.lit(s.decay), F.col("_pos"))
+        weighted[f"_carry{i}_0"] = F.sum(scaled).over(in_block) * F.pow(F.lit(s.decay), F.col("_pos"))
     out = out.withColumns(weighted)
 
     # A carried term is the last value of an earlier block: of the previous
     # one, of the one before that, and so on while its weight can matter.
-    depth = max(_carry_depth(s.decay, block) for s in smoothings)
-    carried = {f"_c{i}_0": F.col(f"_y{i}") for i in range(len(smoothings))}
-    out = out.withColumns(carried)
+    depths = [_carry_depth(s.decay, block) for s in smoothings]
     at_end = F.col("_pos") == block - 1
-    for level in range(1, depth + 1):
+    for level in range(1, max(depths) + 1):
         out = out.withColumns(
             {
-                f"_c{i}_{level}": F.last(F.when(at_end, F.col(f"_c{i}_{level - 1}")), ignorenulls=True).over(before)
-                for i in range(len(smoothings))
+                f"_carry{i}_{level}": F.last(F.when(at_end, F.col(f"_carry{i}_{level - 1}")), ignorenulls=True).over(before)
+                for i, depth in enumerate(depths)
+                if level <= depth
             }
         )
 
     results = {}
-    for i, s in enumerate(smoothings):
-        total = F.col(f"_y{i}")
+    for i, (s, depth) in enumerate(zip(smoothings, depths)):
+        total = F.col(f"_base{i}") + F.col(f"_carry{i}_0")
         for level in range(1, depth + 1):
+            carried = F.col(f"_carry{i}_{level}")
             weight = F.pow(F.lit(s.decay), F.col("_pos") + 1 + block * (level - 1))
-            total = total + weight * F.coalesce(f"_c{i}_{level}", F.lit(0.0))
-        x, y = F.col(s.value), F.col(f"_base{i}") + total
-        results[s.output] = F.when(rn >= s.seed_row, F.when(F.abs(y - x) <= F.abs(x) * _NOISE, x).otherwise(y))
+            total = total + F.when(carried.isNotNull(), weight * carried).otherwise(F.lit(0.0))
+        x = F.col(s.value)
+        near = F.abs(total - x) <= F.abs(x) * _NOISE
+        results[s.output] = F.when(rn >= s.seed_row, F.when(near, x).otherwise(total))
     return out.select(*df.columns, *[column.alias(name) for name, column in results.items()])
 
 

@@ -11,9 +11,18 @@ from tickloom.constants import EPOCH_OF_HISTORY
 from tickloom.session import scratch_path
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _status(spark: SparkSession, path: str, question: str) -> bool:
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return getattr(files, question)(location)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return _status(spark, path, "exists")
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    return _status(spark, path, "isDirectory")
 
 
 def write_clustered(

@@ -9,6 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tickloom import constants as K
 from tickloom.session import scratch_path
+from tickloom.sources.writers import path_exists
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -50,6 +51,9 @@ def upsert_batches(
 def newest_versions(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
     """The last stored version of every key."""
     versioned = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
+    if not path_exists(spark, path):
+        # The stream had nothing to read yet.
+        return spark.createDataFrame([], schema)
     stored = spark.read.schema(versioned).parquet(path)
     rest = [c for c in stored.columns if c not in keys and c != "batch_id"]
     if not rest:

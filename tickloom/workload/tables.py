@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tickloom.operators import indicators
 from tickloom.plans.marts import Marts
 from tickloom.session import use_utc
+from tickloom.sources.writers import is_folder
 
 
 def _ticker(key: Column) -> Column:
@@ -296,11 +297,13 @@ class Tables:
         return tick_events(self.read("events"))
 
     def tick_stream(self, replays: bool = True) -> DataFrame:
-        """The same events as a stream over the stored file."""
-        stored = self.read("events")
-        stream = (
-            self.spark.readStream.schema(stored.schema).option("pathGlobFilter", "events*.parquet").parquet(self.folder)
-        )
+        """The same events as a stream over the stored file, or folder of files."""
+        path = f"{self.folder}/events.parquet"
+        reader = self.spark.readStream.schema(self.read("events").schema)
+        if is_folder(self.spark, path):
+            stream = reader.parquet(path)
+        else:
+            stream = reader.option("pathGlobFilter", "events.parquet").parquet(self.folder)
         return tick_events(stream, replays)
 
 
