@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.helpers import column, rows
 from tickloom.streaming import sinks
 from tickloom.streaming import ticks as S
-from tickloom.streaming.velocity import stream_velocities
+from tickloom.streaming.velocity import read_velocities, start_velocities, velocities_to_end
 
 START = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 
@@ -136,13 +136,14 @@ def test_velocity_of_static_ticks(spark):
     assert column(S.late_ticks(spark.createDataFrame(data, schema), "1 second"), "ingest_id", "ingest_id") == [1, 5, 6]
 
 
-def test_velocity_stream_orders_and_links_batches(spark, feed):
+@pytest.mark.parametrize("chunk", ["1 second", "5 seconds"])
+def test_velocity_stream_orders_and_links_batches(spark, feed, chunk):
     feed.add(event("A", 0, 100.0, 1), event("A", 2, 102.0, 3), event("B", 0, 1.0, 2))
     feed.add(event("A", 1, 101.0, 4))  # out of order, within the delay
     feed.add(event("A", 20, 100.0, 5), event("B", 20, 2.0, 6)).add(event("C", 21, 1.0, 10))
     feed.add(event("A", 1.5, 7.0, 7))  # late: dropped
     feed.add(event("A", 40, 100.0, 8), event("D", 41, 1.0, 9))
-    got = sinks.run_to_end(stream_velocities(feed.ticks("10 seconds")), "velocity")
+    got = velocities_to_end(feed.ticks("10 seconds"), chunk)
     found = rows(got.select("symbol", "ts", "price", F.round("velocity", 6)), "symbol", "ts")
     assert found == [
         ("A", at(1), 101.0, 1.0),
@@ -152,12 +153,38 @@ def test_velocity_stream_orders_and_links_batches(spark, feed):
     ]
 
 
+def test_velocity_goes_on_where_it_stopped(spark, feed, tmp_path):
+    root = str(tmp_path / "velocity")
+    feed.add(event("A", 0, 100.0, 1)).add(event("B", 100, 1.0, 2))
+    for query in start_velocities(feed.ticks("10 seconds"), root):
+        query.awaitTermination()
+    assert read_velocities(spark, root).count() == 0
+    feed.add(event("A", 120, 103.0, 3)).add(event("B", 300, 1.0, 4))
+    for query in start_velocities(feed.ticks("10 seconds"), root):
+        query.awaitTermination()
+    got = rows(read_velocities(spark, root).select("symbol", "ts", "velocity"))
+    assert got == [("A", at(120), 3.0 / 120)]
+
+
+def test_velocity_runs_continuously(spark, feed, tmp_path):
+    root = str(tmp_path / "velocity")
+    feed.add(event("A", 0, 100.0, 1), event("A", 1, 101.0, 2)).add(event("A", 120, 202.0, 3)).add(event("B", 300, 1.0, 4))
+    queries = start_velocities(feed.ticks("10 seconds"), root, continuous=True)
+    for query in queries:
+        query.processAllAvailable()
+    queries[-1].processAllAvailable()
+    for query in queries:
+        query.stop()
+    got = rows(read_velocities(spark, root).select("ts", F.round("velocity", 6)), "ts")
+    assert got == [(at(1), 1.0), (at(120), round(100 / 119, 6))]
+
+
 def test_a_silent_symbol_is_forgotten(spark, feed):
     day = 86_400
     feed.add(event("A", 0, 1.0, 1), event("B", 0, 1.0, 2))
     feed.add(event("B", day + 60, 1.0, 3)).add(event("B", day + 120, 1.0, 4))
     feed.add(event("A", day + 121, 9.0, 5)).add(event("B", 2 * day, 1.0, 6))
-    got = sinks.run_to_end(stream_velocities(feed.ticks("10 seconds")), "silent")
+    got = velocities_to_end(feed.ticks("10 seconds"))
     assert "A" not in column(got, "symbol", "ts")
 
 

@@ -25,6 +25,10 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return _status(spark, path, "isDirectory")
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    _status(spark, path, "mkdirs")
+
+
 def write_clustered(
     df: DataFrame,
     path: str,

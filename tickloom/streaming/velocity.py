@@ -1,77 +1,146 @@
-"""Velocity on a stream: consecutive ticks of a symbol, in event-time order."""
+"""Velocity on a stream: consecutive ticks of a symbol, in event-time order.
+
+Ticks are gathered per symbol and short chunk of time, so a symbol with a
+third of all ticks is many small groups.  Inside a chunk neighbours are paired
+by array functions.  The first and the last tick of each chunk, one row
+however many ticks it had, are written to a table of their own; a second
+stream reads it and links every chunk with the one before it, in a state that
+holds one tick per symbol.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tickloom import constants as K
+from tickloom.functions.columns import nonzero
+from tickloom.session import scratch_path
+from tickloom.sources.writers import make_folder
+from tickloom.streaming.sinks import append_to
 
-RETENTION_MS = int(pd.Timedelta(K.VELOCITY_RETENTION).total_seconds() * 1000)
+# Length of a chunk: a symbol has at most one aggregate per second.
+CHUNK = "1 minute"
 OUTPUT = "symbol string, ts timestamp, price double, velocity double"
-_STATE = "last_ms bigint, last_price double, ms array<bigint>, ids array<bigint>, prices array<double>"
+_PAIR = "symbol string, ms bigint, price double, prev_ms bigint, prev_price double"
+_STATE = "ms bigint, price double"
+
+
+def _link(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Pair the first tick of every chunk with the last one before it.
+
+    The watermark closes chunks in order, so all that arrives lies behind what
+    the state knows.
+    """
+    ends = pd.concat(list(batches)).sort_values("first_ms", ignore_index=True)
+    before = ends[["last_ms", "last_price"]].shift()
+    if state.exists:
+        before.iloc[0] = state.get
+    pairs = pd.DataFrame(
+        {
+            "symbol": key[0],
+            "ms": ends["first_ms"],
+            "price": ends["first_price"],
+            "prev_ms": before["last_ms"],
+            "prev_price": before["last_price"],
+        }
+    ).dropna(subset=["prev_ms"])
+    state.update((int(ends["last_ms"].iloc[-1]), float(ends["last_price"].iloc[-1])))
+    if len(pairs):
+        yield pairs.astype({"prev_ms": "int64"})
 
 
-def _percent_per_second(points: pd.DataFrame) -> pd.Series:
-    seconds = points["ms"].diff() / 1000.0
-    before = points["price"].shift()
-    change = (points["price"] - before) / before.where(before != 0) * 100
-    return change / seconds.where(seconds != 0)
+def _tick() -> Column:
+    return F.struct(F.unix_millis("ts").alias("ms"), "ingest_id", F.col("close").alias("price"))
 
 
-def _advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Hold ticks until the watermark has passed them, then emit them in order.
+def pairs_in_chunks(ticks: DataFrame, chunk: str = CHUNK) -> DataFrame:
+    """Neighbouring ticks of a symbol within a chunk, once the watermark has passed its end.
 
-    A symbol that stays silent for longer than ticks are kept is forgotten.
+    Needs symbol, ts, close and ingest_id.
     """
-    watermark = state.getCurrentWatermarkMs()
-    last_ms, last_price, ms, ids, prices = state.get if state.exists else (None, None, [], [], [])
-    parts = [pd.DataFrame({"ms": ms, "id": ids, "price": prices})] if len(ms) else []
-    for batch in batches:
-        parts.append(batch[["ms", "ingest_id", "price"]].rename(columns={"ingest_id": "id"}))
-    if not parts:
-        if last_ms is None or last_ms + RETENTION_MS < watermark:
-            state.remove()
-        return
-    points = pd.concat(parts).sort_values(["ms", "id"], ignore_index=True)
-
-    settled = points["ms"] <= watermark
-    ready, rest = points[settled], points[~settled]
-    if len(ready):
-        # The last settled tick leads the next pair.
-        known = last_ms is not None
-        if known:
-            lead = pd.DataFrame({"ms": [last_ms], "id": [-1], "price": [last_price]})
-            ready = pd.concat([lead, ready], ignore_index=True)
-        result = pd.DataFrame(
-            {
-                "symbol": key[0],
-                "ts": pd.to_datetime(ready["ms"], unit="ms"),
-                "price": ready["price"],
-                "velocity": _percent_per_second(ready),
-            }
+    def pair(now: Column, before: Column) -> Column:
+        return F.struct(
+            now["ms"].alias("ms"), now["price"].alias("price"),
+            before["ms"].alias("prev_ms"), before["price"].alias("prev_price"),
         )
-        # The very first tick has no predecessor, and neither has one after a
-        # silence longer than ticks are kept.
-        result = result[ready["ms"].diff() <= RETENTION_MS]
-        last_ms, last_price = int(ready["ms"].iloc[-1]), float(ready["price"].iloc[-1])
-        if len(result):
-            yield result
-    state.update((last_ms, last_price, rest["ms"].tolist(), rest["id"].tolist(), rest["price"].tolist()))
-    wake = int(rest["ms"].iloc[0]) + 1 if len(rest) else last_ms + RETENTION_MS
-    state.setTimeoutTimestamp(max(wake, watermark + 1))
-
-
-def stream_velocities(ticks: DataFrame) -> DataFrame:
-    """Velocities of a watermarked stream; ``ticks`` needs symbol, ts, close, ingest_id.
-
-    Apply it behind ``keep_last``: then a symbol has at most one tick per
-    event time, and the state holds what lies within the watermark delay.
+
+    gathered = ticks.groupBy(F.window("ts", chunk), "symbol").agg(F.array_sort(F.collect_list(_tick())).alias("ticks"))
+    size = F.size("ticks")
+    neighbours = F.zip_with(F.slice("ticks", 2, size), F.slice("ticks", 1, size - 1), pair)
+    return gathered.select("symbol", F.inline(neighbours))
+
+
+def chunk_ends(ticks: DataFrame, chunk: str = CHUNK) -> DataFrame:
+    """First and last tick of every symbol and chunk."""
+    ends = ticks.groupBy(F.window("ts", chunk), "symbol").agg(F.min(_tick()).alias("first"), F.max(_tick()).alias("last"))
+    return ends.select(
+        "symbol",
+        F.col("first.ms").alias("first_ms"),
+        F.col("first.price").alias("first_price"),
+        F.col("last.ms").alias("last_ms"),
+        F.col("last.price").alias("last_price"),
+    )
+
+
+def link_chunks(ends: DataFrame) -> DataFrame:
+    """Pairs over the borders of chunks, from a stream over stored chunk ends."""
+    return ends.groupBy("symbol").applyInPandasWithState(_link, _PAIR, _STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def pair_velocities(pairs: DataFrame, retention: str = K.VELOCITY_RETENTION) -> DataFrame:
+    """Percent per second of every pair.
+
+    Two ticks at the same time have no velocity; a tick after a silence longer
+    than the retention has no predecessor.
     """
-    points = ticks.selectExpr("symbol", "ts", "ingest_id", "unix_millis(ts) AS ms", "close AS price")
-    return points.groupBy("symbol").applyInPandasWithState(
-        _advance, OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    kept = F.timestamp_millis("ms") - F.timestamp_millis("prev_ms") <= F.expr(f"INTERVAL {retention}")
+    change = (F.col("price") - F.col("prev_price")) / nonzero(F.col("prev_price")) * 100
+    seconds = (F.col("ms") - F.col("prev_ms")) / 1000
+    return pairs.where(kept).select(
+        "symbol", F.timestamp_millis("ms").alias("ts"), "price", (change / nonzero(seconds)).alias("velocity")
     )
+
+
+def start_velocities(
+    ticks: DataFrame, root: str, chunk: str = CHUNK, continuous: bool = False
+) -> list[StreamingQuery]:
+    """Write the velocities of a watermarked stream below ``root``.
+
+    ``root`` also keeps the chunk ends and the progress of the three streams,
+    so all of them go on where they stopped.  ``read_velocities`` reads the
+    result.  Unless ``continuous``, what is available is processed, the chunk
+    ends before their links.
+    """
+    spark = ticks.sparkSession
+    make_folder(spark, f"{root}/ends")
+    ends = chunk_ends(ticks, chunk)
+    inside = pair_velocities(pairs_in_chunks(ticks, chunk))
+    first = [
+        append_to(inside, f"{root}/inside", f"{root}/progress/inside", continuous),
+        append_to(ends, f"{root}/ends", f"{root}/progress/ends", continuous),
+    ]
+    if not continuous:
+        for query in first:
+            query.awaitTermination()
+    stored = spark.readStream.schema(ends.schema).parquet(f"{root}/ends")
+    links = append_to(pair_velocities(link_chunks(stored)), f"{root}/links", f"{root}/progress/links", continuous)
+    return [*first, links]
+
+
+def read_velocities(spark: SparkSession, root: str) -> DataFrame:
+    parts = [spark.read.schema(OUTPUT).parquet(f"{root}/{name}") for name in ("inside", "links")]
+    return parts[0].unionByName(parts[1])
+
+
+def velocities_to_end(ticks: DataFrame, chunk: str = CHUNK) -> DataFrame:
+    """Velocities of everything available, kept in the shared folder."""
+    root = scratch_path(ticks.sparkSession, "velocity")
+    for query in start_velocities(ticks, root, chunk):
+        query.awaitTermination()
+    return read_velocities(ticks.sparkSession, root)

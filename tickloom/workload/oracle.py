@@ -1272,7 +1272,7 @@ oracle(
     "r8_velocity_stream",
     f"""
     SELECT symbol, ts, {rs('price', 'velocity')} FROM ({velocity_sql('single_ticks')})
-    WHERE ts <= (SELECT max(ts) - INTERVAL 1 HOUR FROM single_ticks)
+    WHERE {tumbling(1)} + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM single_ticks)
     """,
     "single_ticks",
 )

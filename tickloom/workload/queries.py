@@ -21,7 +21,7 @@ from tickloom.operators import tickers as TK
 from tickloom.session import scratch_path
 from tickloom.sources import normalize, readers, writers
 from tickloom.streaming import sinks, ticks
-from tickloom.streaming.velocity import stream_velocities
+from tickloom.streaming.velocity import velocities_to_end
 from tickloom.workload.tables import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -840,9 +840,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("r8_velocity_stream")
 def _(t: Tables) -> DataFrame:
-    # A tick per symbol and time: replays are settled by the operator's order.
-    stream = stream_velocities(_parsed(t, replays=False))
-    return _plain_time(sinks.run_to_end(stream, "velocity"))
+    return _plain_time(velocities_to_end(_parsed(t, replays=False), "1 hour"))
 
 
 @query("r9_velocity_alerts")
