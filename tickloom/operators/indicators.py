@@ -129,7 +129,10 @@ def macd(bars: DataFrame) -> DataFrame:
 
 
 def bollinger(
-    averages: DataFrame, window: int = K.BOLLINGER_WINDOW, width: float = K.BOLLINGER_WIDTH
+    averages: DataFrame,
+    window: int = K.BOLLINGER_WINDOW,
+    width: float = K.BOLLINGER_WIDTH,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Bands around a simple moving average.
 
@@ -146,4 +149,5 @@ def bollinger(
         middle.alias("middle_band"),
         (middle + F.col("_spread")).alias("upper_band"),
         (middle - F.col("_spread")).alias("lower_band"),
+        *carry,
     )

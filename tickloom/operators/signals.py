@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -48,14 +50,22 @@ def band_signal(df: DataFrame) -> DataFrame:
     return _with_signal(prepared, buy, sell, money(F.col("close"))).drop("_pc", "_pl", "_pu")
 
 
-def moving_average_signals(averages: DataFrame, column: str, output: str) -> DataFrame:
-    """Daily crossings of the close and one moving average."""
-    daily = averages.select("ticker", "date", "close", F.col(column).alias(output))
+def moving_average_signals(averages: DataFrame, column: str, output: str, carry: Sequence[str] = ()) -> DataFrame:
+    """Daily crossings of the close and one moving average.
+
+    ``carry`` names facts of the ticker to keep, here and below.
+    """
+    daily = averages.select("ticker", "date", "close", F.col(column).alias(output), *carry)
     return cross_signal(daily, "close", output)
 
 
 def moving_average_period_signals(
-    averages: DataFrame, column: str, output: str, period: str, week_number_order: bool = False
+    averages: DataFrame,
+    column: str,
+    output: str,
+    period: str,
+    week_number_order: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Weekly or monthly crossings of the last close and the last average.
 
@@ -65,7 +75,7 @@ def moving_average_period_signals(
     """
     number = F.weekofyear("date") if period == "week" else F.month("date")
     ends = averages.groupBy(
-        "ticker", period_start(F.col("date"), period).alias("period"), F.year("date").alias("year")
+        "ticker", *carry, period_start(F.col("date"), period).alias("period"), F.year("date").alias("year")
     ).agg(
         F.max("date").alias("last_date"),
         F.max_by("close", "date").alias("close"),
@@ -83,29 +93,30 @@ def moving_average_period_signals(
         "signal",
         "buy_signal",
         "sell_signal",
+        *carry,
     )
 
 
-def last_of_period(df: DataFrame, columns: list[str], period: str) -> DataFrame:
+def last_of_period(df: DataFrame, columns: list[str], period: str, carry: Sequence[str] = ()) -> DataFrame:
     """The values of the last row of every ticker and period, dated by the period."""
-    return df.groupBy("ticker", period_start(F.col("date"), period).alias("period")).agg(
+    return df.groupBy("ticker", *carry, period_start(F.col("date"), period).alias("period")).agg(
         *[F.max_by(c, "date").alias(c) for c in columns]
     ).withColumnRenamed("period", "date")
 
 
-def bollinger_signals(bands: DataFrame, period: str = "day") -> DataFrame:
+def bollinger_signals(bands: DataFrame, period: str = "day", carry: Sequence[str] = ()) -> DataFrame:
     """Band break-outs per day, week or month; amounts in cents precision.
 
     Bands are computed on daily rows and then reduced to the last row of a
     period, so the deviation always spans days.
     """
     if period != "day":
-        bands = last_of_period(bands, ["close", "middle_band", "upper_band", "lower_band"], period)
+        bands = last_of_period(bands, ["close", "middle_band", "upper_band", "lower_band"], period, carry)
     amounts = {c: money(F.col(c)) for c in ("close", "middle_band", "upper_band", "lower_band")}
     return band_signal(bands).withColumns(amounts)
 
 
-def macd_signals(macd: DataFrame, period: str = "day") -> DataFrame:
+def macd_signals(macd: DataFrame, period: str = "day", carry: Sequence[str] = ()) -> DataFrame:
     """Crossings of MACD and signal line, histogram split by sign.
 
     The sign is read from the histogram in cents, the value is passed on in
@@ -113,7 +124,7 @@ def macd_signals(macd: DataFrame, period: str = "day") -> DataFrame:
     periods compare with the previous period in range.
     """
     if period != "day":
-        macd = last_of_period(macd, ["close", "macd_line", "signal_line", "macd_histogram"], period)
+        macd = last_of_period(macd, ["close", "macd_line", "signal_line", "macd_histogram"], period, carry)
         macd = macd.withColumns(
             {
                 "prev_macd_line": F.lag("macd_line").over(by_date()),
@@ -135,4 +146,5 @@ def macd_signals(macd: DataFrame, period: str = "day") -> DataFrame:
         "signal",
         "buy_signal",
         "sell_signal",
+        *carry,
     )

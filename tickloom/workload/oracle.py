@@ -1452,3 +1452,75 @@ oracle(
     """,
     "clean_bars",
 )
+
+# Dashboard questions.
+
+fragment("numbered_mart", "SELECT ticker, date, close, rn FROM numbered_daily", "numbered_daily")
+ema_fragments("daily_ema", "numbered_mart", (50,), "numbered_mart")
+fragment(
+    "large_cap_weeks",
+    f"""
+    SELECT ticker, CAST(date_trunc('week', date) AS DATE) AS date, CAST(year(date) AS INTEGER) AS year,
+           max(date) AS last_date, arg_max(close, date) AS close, arg_max(ema_50, date) AS ema
+    FROM daily_ema WHERE date {FROM_TO} GROUP BY 1, 2, 3
+    """,
+    "daily_ema",
+)
+oracle(
+    "d1_moving_average_weekly",
+    f"""
+    SELECT s.ticker, date, year, {rs('close', 'ema')}, signal, {rs('buy_signal', 'sell_signal')}, market_cap_category
+    FROM ({crossing('large_cap_weeks', 'close', 'ema', 'year, last_date')}) s JOIN reliable r ON r.ticker = s.ticker
+    WHERE market_cap_category = 'Large Cap'
+    """,
+    "large_cap_weeks",
+    "reliable",
+)
+fragment(
+    "daily_bands",
+    f"""
+    SELECT ticker, date, close, sma_20 AS middle_band, sma_20 + spread AS upper_band, sma_20 - spread AS lower_band
+    FROM (SELECT *, stddev_samp(close) OVER ({BY_DATE} ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) * 2.0::DOUBLE AS spread
+          FROM daily_sma WHERE date {FROM_TO})
+    """,
+    "daily_sma",
+)
+oracle(
+    "d2_bollinger_daily",
+    f"""
+    SELECT b.*, market_cap_category FROM (SELECT {BAND_OUTPUT} FROM daily_bands WINDOW w AS ({BY_DATE})) b
+    JOIN reliable USING (ticker)
+    """,
+    "daily_bands",
+    "reliable",
+)
+_lines = period_last(
+    f"(SELECT * FROM daily_macd WHERE date {FROM_TO})", ("close", "macd_line", "signal_line", "macd_histogram"), "month"
+)
+oracle(
+    "d3_macd_monthly",
+    f"""
+    SELECT m.*, market_cap_category FROM (
+        SELECT {MACD_OUTPUT} FROM (SELECT *, lag(macd_line) OVER ({BY_DATE}) AS prev_macd_line,
+                                          lag(signal_line) OVER ({BY_DATE}) AS prev_signal_line FROM ({_lines}))) m
+    JOIN reliable USING (ticker) WHERE market_cap_category = 'Mega Cap'
+    """,
+    "daily_macd",
+    "reliable",
+)
+oracle(
+    "d4_dashboard",
+    f"""
+    SELECT (SELECT CASE WHEN sum(sign(close - prev_close)) > 0 THEN 'Bullish' ELSE 'Bearish' END FROM leader_changes) AS market_sentiment,
+           l.ticker AS leader_ticker, {r('l.pct_change', 'leader_change')},
+           (SELECT sector FROM sectors ORDER BY avg_change_pct DESC, sector LIMIT 1) AS hottest_sector,
+           (SELECT sector FROM sectors ORDER BY avg_change_pct, sector LIMIT 1) AS worst_sector,
+           (SELECT ticker FROM movers ORDER BY pct_change DESC, ticker LIMIT 1) AS top_stock,
+           (SELECT ticker FROM movers ORDER BY pct_change, ticker LIMIT 1) AS worst_stock,
+           (SELECT CAST(count(*) AS INTEGER) FROM movers WHERE ticker BETWEEN 'T000000' AND 'T000011') AS watched
+    FROM (SELECT * FROM leader_changes WHERE pct_change IS NOT NULL ORDER BY pct_change DESC, ticker LIMIT 1) l
+    """,
+    "leader_changes",
+    "sectors",
+    "movers",
+)

@@ -18,6 +18,7 @@ from tickloom.functions import columns as C
 from tickloom.operators import bars as B
 from tickloom.operators import fundamentals, indicators, market, quality, signals, staging, validation
 from tickloom.operators import tickers as TK
+from tickloom.plans import serving
 from tickloom.session import scratch_path
 from tickloom.sources import normalize, readers, writers
 from tickloom.streaming import sinks, ticks
@@ -988,3 +989,36 @@ def _(t: Tables) -> DataFrame:
 @query("q16_price_jumps")
 def _(t: Tables) -> DataFrame:
     return quality.price_jumps(t.clean_bars, 50.0)
+
+
+# Dashboard questions, end to end.
+
+
+@query("d1_moving_average_weekly")
+def _(t: Tables) -> DataFrame:
+    return serving.moving_average(t.marts, "ema", *RANGE, window=50, aggregation="weekly", category="Large Cap")
+
+
+@query("d2_bollinger_daily")
+def _(t: Tables) -> DataFrame:
+    return serving.bollinger(t.marts, *RANGE)
+
+
+@query("d3_macd_monthly")
+def _(t: Tables) -> DataFrame:
+    return serving.macd(t.marts, *RANGE, aggregation="monthly")
+
+
+@query("d4_dashboard")
+def _(t: Tables) -> DataFrame:
+    row = serving.market_dashboard(t.marts, B.latest(t.marts.daily), WATCHED)
+    return row.select(
+        "market_sentiment",
+        F.col("leader.ticker").alias("leader_ticker"),
+        F.col("leader.change_pct").alias("leader_change"),
+        F.col("hottest_sector.name").alias("hottest_sector"),
+        F.col("worst_sector.name").alias("worst_sector"),
+        F.col("top_stock.ticker").alias("top_stock"),
+        F.col("worst_stock.ticker").alias("worst_stock"),
+        F.size("market_summary").alias("watched"),
+    )
