@@ -62,7 +62,7 @@ def test_liquidity_looks_at_five_months(spark):
 
 
 def test_global_rank_equals_rank(spark):
-    data = [(i, "a" if i % 3 else "b", None if i % 5 == 0 else float((i * 7) % 40)) for i in range(500)]
+    data = [(i, "a" if i % 3 else None if i % 4 else "b", None if i % 5 == 0 else float((i * 7) % 40)) for i in range(500)]
     df = spark.createDataFrame(data, "id int, grp string, score double").repartition(7)
     df.createOrReplaceTempView("scores")
     expected = spark.sql(

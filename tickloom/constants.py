@@ -102,3 +102,6 @@ EPOCH_OF_HISTORY = "1900-01-01"
 # Added before a result is rounded for comparison: far below the last digit
 # kept, far above the noise of double arithmetic, and no multiple of it.
 HAIR = 3.7137e-10
+
+# Digits of the number in a derived ticker; enough for any key of the test tables.
+TICKER_DIGITS = 12

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -33,12 +35,14 @@ def global_rank(df: DataFrame, score: Column, output: str, within: list[str] | N
     totals = ranges.groupBy("_range", *within).agg(F.sum("_n").alias("_total"))
     across = W.partitionBy(*(within or [F.lit(0)])).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.withColumn("_offset", F.coalesce(F.sum("_total").over(across), F.lit(0))).drop("_total")
-    ranks = inside.join(offsets, ["_range", *within]).select(
-        *within, "_score", (F.col("_above") + F.col("_offset") + 1).alias(output)
+    def same(left: str, right: str, columns: list[str]) -> Column:
+        """Equality that holds between missing values too."""
+        return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns])
+
+    ranks = inside.alias("i").join(offsets.alias("o"), same("i", "o", ["_range", *within])).select(
+        *[F.col(f"i.{c}").alias(c) for c in within],
+        F.col("i._score").alias("_score"),
+        (F.col("i._above") + F.col("o._offset") + 1).alias(output),
     )
-
-    left, right = scored.alias("rows"), ranks.alias("ranks")
-    match = F.col("rows._score").eqNullSafe(F.col("ranks._score"))
-    for c in within:
-        match = match & (F.col(f"rows.{c}") == F.col(f"ranks.{c}"))
-    return left.join(right, match).select("rows.*", f"ranks.{output}").drop("_score")
+    matched = scored.alias("rows").join(ranks.alias("ranks"), same("rows", "ranks", [*within, "_score"]))
+    return matched.select("rows.*", f"ranks.{output}").drop("_score")

@@ -55,7 +55,7 @@ def pick(key: str, *values: str) -> str:
 
 
 def ticker(key: str) -> str:
-    return f"'T' || lpad(CAST({key} AS VARCHAR), 6, '0')"
+    return f"'T' || lpad(CAST({key} AS VARCHAR), {K.TICKER_DIGITS}, '0')"
 
 
 def category(cap: str) -> str:
@@ -560,7 +560,7 @@ def vendor(kind: str, source: str, source_has_rn: bool) -> None:
         f"vendor_{kind}",
         f"""
         SELECT ticker, date AS timestamp, {columns}
-        FROM (SELECT *, CAST(ticker[2:7] AS BIGINT) AS key{numbering} FROM {source})
+        FROM (SELECT *, CAST(ticker[2:] AS BIGINT) AS key{numbering} FROM {source})
         """,
         source,
     )
@@ -900,7 +900,7 @@ oracle(
     SELECT c.ticker, e.name, e.branding_icon_url, e.branding_logo_url, {r('close', 'price')}, {r('pct_change', 'change_pct')},
            CASE WHEN close > prev_close THEN 'up' WHEN close < prev_close THEN 'down' ELSE 'unchanged' END AS direction
     FROM newest_changes c LEFT JOIN enriched e ON e.ticker = c.ticker
-    WHERE pct_change IS NOT NULL AND c.ticker BETWEEN 'T000000' AND 'T000011'
+    WHERE pct_change IS NOT NULL AND CAST(c.ticker[2:] AS BIGINT) <= 11
     """,
     "newest_changes",
     "enriched",
@@ -1517,7 +1517,7 @@ oracle(
            (SELECT sector FROM sectors ORDER BY avg_change_pct, sector LIMIT 1) AS worst_sector,
            (SELECT ticker FROM movers ORDER BY pct_change DESC, ticker LIMIT 1) AS top_stock,
            (SELECT ticker FROM movers ORDER BY pct_change, ticker LIMIT 1) AS worst_stock,
-           (SELECT CAST(count(*) AS INTEGER) FROM movers WHERE ticker BETWEEN 'T000000' AND 'T000011') AS watched
+           (SELECT CAST(count(*) AS INTEGER) FROM movers WHERE CAST(ticker[2:] AS BIGINT) <= 11) AS watched
     FROM (SELECT * FROM leader_changes WHERE pct_change IS NOT NULL ORDER BY pct_change DESC, ticker LIMIT 1) l
     """,
     "leader_changes",

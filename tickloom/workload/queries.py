@@ -34,7 +34,7 @@ PERIODS = (
     "last_5_days", "mtd", "last_3_months", "last_6_months", "last_1_year", "last_4_years", "ytd", "everything",
 )
 # The watchlist in terms of the derived tickers.
-WATCHED = tuple(f"T{n:06d}" for n in range(12))
+WATCHED = tuple(f"T{n:0{K.TICKER_DIGITS}d}" for n in range(12))
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -96,7 +96,7 @@ def _(t: Tables) -> DataFrame:
         F.col("high").alias("h"), F.col("low").alias("l"), millis.alias("t"), F.col("transactions").alias("n"),
     )
     # A response page holds one day of at most a hundred tickers.
-    page = F.floor(F.substring("ticker", 2, 6).cast("bigint") / 100)
+    page = F.floor(F.substring("ticker", 2, K.TICKER_DIGITS).cast("bigint") / 100)
     pages = t.bars.groupBy("date", page.alias("page")).agg(F.collect_list(item).alias("results"))
     return normalize.normalize_daily_json(as_json(pages, "results"))
 

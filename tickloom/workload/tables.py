@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickloom import constants as K
 from tickloom.operators import indicators
 from tickloom.plans.marts import Marts
 from tickloom.session import use_utc
@@ -20,7 +21,7 @@ from tickloom.sources.writers import is_folder
 
 
 def _ticker(key: Column) -> Column:
-    return F.concat(F.lit("T"), F.lpad(key.cast("string"), 6, "0"))
+    return F.concat(F.lit("T"), F.lpad(key.cast("string"), K.TICKER_DIGITS, "0"))
 
 
 def _pick(key: Column, *values: float | None) -> Column:
@@ -279,7 +280,7 @@ class Tables:
             values = indicators.wma(self.clean_bars, warm_only=False)
         else:
             values = calculated(self.clean_bars)
-        key = F.substring("ticker", 2, 6).cast("bigint")
+        key = F.substring("ticker", 2, K.TICKER_DIGITS).cast("bigint")
         row = F.row_number().over(W.partitionBy("ticker").orderBy("date"))
         factor = 1.0 + ((key * 31 + row * 17) % 21 - 10) / 1003.0
         return values.select(
