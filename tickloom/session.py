@@ -77,3 +77,43 @@ def freeze(df: DataFrame) -> DataFrame:
     path = scratch_path(spark, "frozen")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Tables of one job in the shared folder, removed together once nothing reads them any more.
+
+    Rows of lazy results may still come from these tables: close only after the
+    results are stored elsewhere.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def path(self, label: str) -> str:
+        self.paths.append(scratch_path(self.spark, label))
+        return self.paths[-1]
+
+    def keep(self, df: DataFrame, label: str = "frozen", **options: str) -> DataFrame:
+        """As ``freeze``, under this job."""
+        path = self.path(label)
+        df.write.options(**options).parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self, *paths: str) -> None:
+        """Remove the given folders of this job, or all."""
+        for path in paths or tuple(self.paths):
+            remove(self.spark, path)
+            self.paths.remove(path)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, on whichever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
