@@ -23,6 +23,7 @@ from tickloom.session import Scratch
 
 #: Bytes of text in a batch, and distinct fingerprints a range should hold.
 BATCH_BYTES = 4 << 20
+BATCH_ROWS = 1 << 16
 RANGE_ROWS = 3_000_000
 MOST_BITS = 18
 
@@ -40,6 +41,10 @@ class Batch:
         self.data = np.frombuffer(raw, np.uint8)
         self.begins = np.concatenate(([0], np.cumsum(self.lengths + 1)))[:-1]
 
+    def rows(self) -> np.ndarray:
+        """Lasting numbers of the rows."""
+        return np.int64(self.number) * BATCH_ROWS + np.arange(len(self.lengths))
+
     def text(self, i: int) -> bytes:
         return self.bytes[self.begins[i] : self.begins[i] + self.lengths[i]]
 
@@ -62,7 +67,7 @@ def store(scratch: Scratch, df: DataFrame, text: str) -> DataFrame:
     )
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 24
         waiting: list[pa.RecordBatch] = []
         held = 0
 
@@ -85,7 +90,7 @@ def store(scratch: Scratch, df: DataFrame, text: str) -> DataFrame:
             at = 0
             while at < part.num_rows:
                 room = np.searchsorted(np.cumsum(sizes[at:]), BATCH_BYTES - held, "right")
-                take = min(part.num_rows - at, max(int(room), 0 if waiting else 1), 1 << 16)
+                take = min(part.num_rows - at, max(int(room), 0 if waiting else 1), BATCH_ROWS - sum(w.num_rows for w in waiting))
                 if take:
                     waiting.append(part.slice(at, take))
                     held += int(sizes[at : at + take].sum())
@@ -196,3 +201,20 @@ def with_answers(batches: DataFrame, rounds: list[DataFrame], use: Callable[[Bat
         return use(batch, rest.flatten(), [np.frombuffer(b"".join(a for _, a in sorted(x)), np.uint8) for x in told])
 
     return batches.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(run, schema)
+
+
+def pick(batches: DataFrame, chosen: DataFrame, text: str) -> DataFrame:
+    """The rows of the corpus, with their texts, whose numbers are in ``chosen.row``."""
+    rest = batches.schema["rest"].dataType.elementType
+    schema = T.StructType([*rest.fields, T.StructField(text, T.StringType())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        (batch,) = batches_of(left)
+        at = np.sort(right.column("row").to_numpy() - batch.number * BATCH_ROWS)
+        others = left.column("rest").combine_chunks()
+        others = (others.chunk(0) if isinstance(others, pa.ChunkedArray) else others).flatten().take(pa.array(at))
+        texts = pa.array([None if batch.null[i] else batch.text(i) for i in at], pa.binary()).cast(pa.string())
+        return pa.Table.from_arrays([*(others.field(f.name) for f in rest), texts], names=schema.names)
+
+    wanted = chosen.select(F.floor(F.col("row") / BATCH_ROWS).alias("batch"), "row")
+    return batches.groupBy("batch").cogroup(wanted.groupBy("batch")).applyInArrow(run, schema)
