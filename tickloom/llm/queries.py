@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import jaccard, substring
+from tickloom.llm import jaccard, mixing, sql, substring
 from tickloom.session import Scratch
 
 
@@ -17,11 +17,15 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring.remove_repeats(Scratch(spark), documents, with_text=False)
 
 
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(Scratch(spark), _read(spark, folder, "documents").select("doc_id", "text", "source"))
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     documents = _read(spark, folder, "documents").select("doc_id", "text")
     _, groups = jaccard.similar_groups(Scratch(spark), documents, size=3, percent=90)
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op10_jaccard_join)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op6_mixing, op10_jaccard_join)}
+ORACLE: dict[str, str] = {"op6_mixing": sql.OP6}
