@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import jaccard, mixing, sql, substring
+from tickloom.llm import jaccard, mixing, sql, substring, warc
 from tickloom.session import Scratch
 
 
@@ -17,6 +18,21 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring.remove_repeats(Scratch(spark), documents, with_text=False)
 
 
+def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark)
+    archives = scratch.path("archives")
+    warc.write_archives(scratch, _read(spark, folder, "pages").select("page_id", "url", "html"), archives)
+    records = warc.read_archives(scratch, archives)
+    response = F.col("record_type") == "response"
+    return records.select(
+        "page_id",
+        F.when(response, F.col("body_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(response, F.col("body_digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(Scratch(spark), _read(spark, folder, "documents").select("doc_id", "text", "source"))
 
@@ -27,5 +43,5 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op6_mixing, op10_jaccard_join)}
-ORACLE: dict[str, str] = {"op6_mixing": sql.OP6}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_warc, op6_mixing, op10_jaccard_join)}
+ORACLE: dict[str, str] = {"op4_warc": sql.OP4, "op6_mixing": sql.OP6}

@@ -38,3 +38,15 @@ SELECT s.doc_id, s.source, s.size, p.source_size, p.target,
 FROM sized s JOIN parts p ON s.source IS NOT DISTINCT FROM p.source
 LEFT JOIN thresholds t ON s.source IS NOT DISTINCT FROM t.source
 """
+
+OP4 = """
+WITH payloads AS (
+  SELECT page_id, sha1(encode(coalesce(html, ''))) AS payload_digest, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages
+), typed AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) END AS newest FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id < newest THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < newest THEN newest END AS refers_to
+FROM typed
+"""
