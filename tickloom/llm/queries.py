@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import jaccard, mixing, sql, substring, warc
+from tickloom.llm import jaccard, mixing, sql, substring, toxicity, warc
 from tickloom.session import Scratch
 
 
@@ -37,11 +37,18 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(Scratch(spark), _read(spark, folder, "documents").select("doc_id", "text", "source"))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _read(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(Scratch(spark), documents, _read(spark, folder, "labels").select("doc_id", "toxic"))
+    scored = toxicity.score(documents, model).withColumn("held_out", toxicity.held_out("doc_id"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     documents = _read(spark, folder, "documents").select("doc_id", "text")
     _, groups = jaccard.similar_groups(Scratch(spark), documents, size=3, percent=90)
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_warc, op6_mixing, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_warc, op6_mixing, op8_toxicity, op10_jaccard_join)}
 ORACLE: dict[str, str] = {"op4_warc": sql.OP4, "op6_mixing": sql.OP6}

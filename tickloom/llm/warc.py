@@ -65,7 +65,8 @@ def _header(pages: DataFrame) -> DataFrame:
             F.lit(MAGIC.decode()),
             line("WARC-Type", F.col("record_type")),
             line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.lit(">"))),
-            line("WARC-Target-URI", safe_url),
+            # In angle brackets, as the format has it, an address cannot end a line as the magic does.
+            line("WARC-Target-URI", F.concat(F.lit("<"), safe_url, F.lit(">"))),
             F.coalesce(line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))), F.lit("")),
             line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
             line("X-Payload-Length", F.col("bytes").cast("string")),
@@ -237,7 +238,7 @@ def reachable(scratch: Scratch, pieces: DataFrame) -> DataFrame:
     def keep(split: pd.DataFrame) -> pd.DataFrame:
         split = split.sort_values("offset", ignore_index=True)
         successor = _successors(split)
-        on = split["entry"].fillna(False).to_numpy(bool)
+        on = split["entry"].notna().to_numpy()
         for _ in range(_JUMPS):
             more = on.copy()
             more[successor[on]] = True
@@ -271,9 +272,11 @@ def read_archives(scratch: Scratch, path: str) -> DataFrame:
     owned = marked.select("file", "split", "piece", F.col("offset").alias("at"), F.last("start", True).over(along).alias("offset"))
     wanted = owned.join(broken.select("file", "offset", "head", "body_bytes"), ["file", "offset"])
 
+    shape = pa.schema([("file", pa.string()), ("split", pa.int64()), ("piece", pa.int32()), ("value", pa.binary())])
+
     def number(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for file, split, piece, _, value in _numbered(parts):
-            yield pa.RecordBatch.from_pylist([{"file": file, "split": split, "piece": piece, "value": value}])
+            yield pa.RecordBatch.from_pylist([{"file": file, "split": split, "piece": piece, "value": value}], shape)
 
     values = _pieces(spark, path).mapInArrow(number, "file string, split long, piece int, value binary")
     parts = values.join(wanted, ["file", "split", "piece"])
