@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import jaccard, mixing, sql, substring, toxicity, warc
+from tickloom.llm import jaccard, license, mixing, sql, substring, toxicity, warc
 from tickloom.session import Scratch
 
 
@@ -44,11 +44,15 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op9_license(spark: SparkSession, folder: str) -> DataFrame:
+    return license.scan_licenses(_read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     documents = _read(spark, folder, "documents").select("doc_id", "text")
     _, groups = jaccard.similar_groups(Scratch(spark), documents, size=3, percent=90)
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_warc, op6_mixing, op8_toxicity, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_warc, op6_mixing, op8_toxicity, op9_license, op10_jaccard_join)}
 ORACLE: dict[str, str] = {"op4_warc": sql.OP4, "op6_mixing": sql.OP6}
