@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import jaccard, license, mixing, sql, substring, toxicity, warc
+from tickloom.llm import jaccard, license, mixing, packing, sql, substring, toxicity, warc
 from tickloom.session import Scratch
 
 
@@ -37,6 +37,10 @@ def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(Scratch(spark), _read(spark, folder, "documents").select("doc_id", "text", "source"))
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(Scratch(spark), _read(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = _read(spark, folder, "documents").select("doc_id", "text")
     model = toxicity.fit(Scratch(spark), documents, _read(spark, folder, "labels").select("doc_id", "toxic"))
@@ -54,5 +58,5 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_warc, op6_mixing, op8_toxicity, op9_license, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_warc, op6_mixing, op7_packing, op8_toxicity, op9_license, op10_jaccard_join)}
 ORACLE: dict[str, str] = {"op4_warc": sql.OP4, "op6_mixing": sql.OP6}
