@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import jaccard, license, mixing, packing, sql, substring, toxicity, warc
+from tickloom.llm import graph_ann, jaccard, license, maxscore, mixing, packing, sql, substring, toxicity, warc
 from tickloom.session import Scratch
 
 
@@ -13,11 +13,19 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_maxscore(spark: SparkSession, folder: str) -> DataFrame:
+    return maxscore.top_k(Scratch(spark), _read(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     documents = _read(spark, folder, "documents").select("doc_id", "text")
     return substring.remove_repeats(Scratch(spark), documents, with_text=False)
 
 
+def op3_graph_ann(spark: SparkSession, folder: str) -> DataFrame:
+    return graph_ann.nearest(Scratch(spark), _read(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark)
     archives = scratch.path("archives")
@@ -58,5 +66,5 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op4_warc, op6_mixing, op7_packing, op8_toxicity, op9_license, op10_jaccard_join)}
-ORACLE: dict[str, str] = {"op4_warc": sql.OP4, "op6_mixing": sql.OP6}
+QUERIES = {f.__name__: f for f in (op1_maxscore, op2_substring_dedup, op3_graph_ann, op4_warc, op6_mixing, op7_packing, op8_toxicity, op9_license, op10_jaccard_join)}
+ORACLE: dict[str, str] = {"op1_maxscore": sql.OP1, "op4_warc": sql.OP4, "op6_mixing": sql.OP6}

@@ -50,3 +50,18 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id < newest THEN newest END AS refers_to
 FROM typed
 """
+
+OP1 = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, x -> NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
