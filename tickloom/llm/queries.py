@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import graph_ann, jaccard, license, maxscore, mixing, packing, sql, substring, toxicity, warc
+from tickloom.llm import graph_ann, html, jaccard, license, maxscore, mixing, packing, sql, substring, toxicity, warc
 from tickloom.session import Scratch
 
 
@@ -41,6 +41,11 @@ def op4_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_html(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _read(spark, folder, "pages").select("page_id", "url", "html")
+    return html.main_text(Scratch(spark), pages).select("page_id", "url", "text", "n_chars")
+
+
 def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(Scratch(spark), _read(spark, folder, "documents").select("doc_id", "text", "source"))
 
@@ -66,5 +71,5 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_maxscore, op2_substring_dedup, op3_graph_ann, op4_warc, op6_mixing, op7_packing, op8_toxicity, op9_license, op10_jaccard_join)}
+QUERIES = {f.__name__: f for f in (op1_maxscore, op2_substring_dedup, op3_graph_ann, op4_warc, op5_html, op6_mixing, op7_packing, op8_toxicity, op9_license, op10_jaccard_join)}
 ORACLE: dict[str, str] = {"op1_maxscore": sql.OP1, "op4_warc": sql.OP4, "op6_mixing": sql.OP6}
