@@ -31,6 +31,8 @@ TRAINING_ROWS = 12_000
 FEATURES = 8192
 SMOOTHING = 1.0
 PENALTY = 1e-3
+#: Half the likelihood-ratio statistic that a feature needs, so that chance makes few.
+LEAST_GAIN = 8.0
 _PRIME = np.uint32(2654435761)
 
 
@@ -109,7 +111,7 @@ def _telling(texts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
         gain += term(counts[label], total * texts[label] / both) + term(texts[label] - counts[label], (both - total) * texts[label] / both)
     smooth = counts + SMOOTHING
     ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
-    usable = np.flatnonzero(gain > 0)
+    usable = np.flatnonzero(gain >= LEAST_GAIN)
     chosen = np.sort(usable[np.argsort(-gain[usable], kind="stable")[:FEATURES]])
     return chosen, ratio[chosen]
 
@@ -136,12 +138,14 @@ def training_rows(
 
 
 def train(scratch: Scratch, training: DataFrame, shares: tuple[float, float] | None = None) -> Model:
-    """Fit on ``label`` and ``text``; shares: rows thinned to one of class 0 and of class 1.  With rows of one class or none, all texts score that class's share."""
+    """Fit on ``label`` and ``text``; shares: rows thinned to one of class 0 and of class 1.  Without rows of both classes, or a telling feature, all texts score the toxic share."""
     texts, counts = _count(training)
     if not texts.all():
         odds = (texts[1] + SMOOTHING) / (texts[0] + SMOOTHING)
         return Model(np.zeros(1 << HASH_BITS), float(np.log(odds)))
     chosen, ratio = _telling(texts, counts)
+    if not len(chosen):
+        return Model(np.zeros(1 << HASH_BITS), float(np.log(texts[1] / texts[0])))
 
     def vectors(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
