@@ -12,8 +12,8 @@ Two sets of n and m shingles link if ``100 * common >= percent * union``.
   whichever links at all, so a meeting of any number of sets yields a star.
 * Heavy sets scan inverted lists: their rarest elements are posted with the set's size and the elements' places,
   but for those that only one text holds.  Lists also hold the sets below the boundary that are within reach of larger ones.
-  Rounds pair each set with a neighbour in the list from another component and verify the pairs on whole sets; the last
-  round pairs all that are still apart and could link by size and place.  So copies in
+  First each set is paired with its neighbour by size, and the pairs are verified on whole sets.  Lists that then hold
+  several components are scanned in whole, in tiles of bounded size that compare all their sets at once.  So copies in
   great numbers cost a few pairs each, and no link between components is lost.
 
 The boundary is where the subsets of the sets below would outnumber the list entries they spare.
@@ -26,6 +26,7 @@ from itertools import combinations
 from math import comb
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,10 +39,9 @@ from tickloom.session import Scratch
 
 #: Larger sets are never enumerated, as their subsets are too many.
 LIGHT_MOST = 40
-#: Rounds that pair list neighbours before all remaining pairs are looked at.
-NEIGHBOUR_ROUNDS = 3
+#: Sets in a tile; two meet in a task.
+TILE = 500
 _KEY_BITS = 48
-_LOW = np.uint64((1 << 32) - 1)
 
 
 def _misses(n: int, percent: int) -> int:
@@ -198,11 +198,72 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(keyed[1], "b").join(keyed[0], "a").select("a", "b", "keys_a", "keys_b").mapInArrow(run, "a long, b long")
 
 
-def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Postings with their set's component so far."""
-    if labels is None:
-        return postings.withColumn("part", F.col("node"))
-    return postings.join(labels, "node", "left").withColumn("part", F.coalesce("label", "node")).drop("label")
+def _roots(linked: np.ndarray) -> np.ndarray:
+    """The least number in the component of each row of a symmetric link matrix."""
+    roots = np.arange(len(linked))
+    while True:
+        least = np.minimum(roots, np.where(linked, roots[None, :], len(roots)).min(1, initial=len(roots)))
+        least = least[least]
+        if np.array_equal(least, roots):
+            return roots
+        roots = least
+
+
+def overlaps(sets: list[np.ndarray], width: int = 4096) -> np.ndarray:
+    """Sizes of all intersections, as products of parts of the incidence matrix."""
+    all_, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    distinct, which, counts = np.unique(all_, return_inverse=True, return_counts=True)
+    # Elements of one set add nothing between sets.
+    column = np.cumsum(counts > 1) - 1
+    shared = counts[which] > 1
+    of, at = of[shared], column[which[shared]]
+    order = np.argsort(at, kind="stable")
+    of, at = of[order], at[order]
+    total = np.zeros((len(sets), len(sets)), np.float32)
+    for start in range(0, int((counts > 1).sum()), width):
+        low, high = np.searchsorted(at, [start, start + width])
+        part = np.zeros((len(sets), width), np.float32)
+        part[of[low:high], at[low:high] - start] = 1
+        total += part @ part.T
+    np.fill_diagonal(total, [len(x) for x in sets])
+    return total
+
+
+def _tile_links(group: pd.DataFrame, percent: int) -> pd.DataFrame:
+    """Links that join components among the sets of two tiles, as stars."""
+    group = group.drop_duplicates("node").sort_values("node", ignore_index=True)
+    common = overlaps([_unpack(k) for k in group["keys"]]).astype(np.int64)
+    n, part = group["n"].to_numpy(), group["part"].to_numpy()
+    linked = 100 * common >= percent * (n[:, None] + n[None, :] - common)
+    linked &= part[:, None] != part[None, :]
+    roots, node = _roots(linked), group["node"].to_numpy()
+    joined = roots != np.arange(len(node))
+    return pd.DataFrame({"a": node[roots[joined]], "b": node[joined]})
+
+
+def _remaining_links(scratch: Scratch, postings: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between sets of lists that still hold several components.
+
+    Sets that such lists connect form a block.  A block is cut by set size into tiles of bounded
+    number; two tiles meet in a task if some list has sets of both and their sizes are within reach, and the task compares
+    all their sets at once.  So the work on a group of copies is a matter of matrix products, and no pair is a row.
+    """
+    stars = postings.groupBy("element").agg(F.min("node").alias("a")).join(postings.select("element", F.col("node").alias("b")), "element")
+    blocks = components(scratch, stars.where("a <> b"))
+    members = postings.groupBy("node").agg(F.first("n").alias("n"), F.first("part").alias("part")).join(blocks, "node")
+    by = Window.partitionBy("label").orderBy("n", "node")
+    members = scratch.keep(members.withColumn("tile", F.floor((F.row_number().over(by) - 1) / TILE)), "members")
+    tiles = members.groupBy("label", "tile").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    held = postings.select("element", "node").join(members.select("node", "label", "tile"), "node").select("element", "label", "tile").distinct()
+    held = held.join(tiles, ["label", "tile"])
+    x, y = (held.select("element", "label", F.struct("tile", "low", "high").alias(c)) for c in ("x", "y"))
+    several = held.groupBy("element").agg(F.count("*").alias("tiles")).where("tiles > 1").select("element")
+    across = x.join(several, "element").join(y, ["element", "label"]).where(f"x.tile < y.tile AND 100 * x.high >= {percent} * y.low")
+    meetings = across.select("label", F.col("x.tile").alias("x"), F.col("y.tile").alias("y")).distinct()
+    meetings = meetings.unionByName(tiles.select("label", F.col("tile").alias("x"), F.col("tile").alias("y")))
+    sides = meetings.select("label", "x", "y", F.explode(F.array_distinct(F.array("x", "y"))).alias("tile"))
+    together = members.join(sides, ["label", "tile"]).join(sets.select("node", "keys"), "node")
+    return together.groupBy("label", "x", "y").applyInPandas(lambda group: _tile_links(group, percent), "a long, b long")
 
 
 def _heavy_links(scratch: Scratch, nodes: DataFrame, light: DataFrame, boundary: int, percent: int) -> DataFrame:
@@ -210,33 +271,20 @@ def _heavy_links(scratch: Scratch, nodes: DataFrame, light: DataFrame, boundary:
     entries = sets.select("node", "n", F.explode(F.arrays_zip("elements", "places")).alias("entry"))
     postings = entries.select(F.col("entry.elements").alias("element"), F.col("entry.places").alias("place"), "node", "n")
     postings = scratch.keep(postings, "postings")
-    links, checked, labels = scratch.keep(light, "links"), None, None
-    for k in range(NEIGHBOUR_ROUNDS + 1):
-        if not links.isEmpty():
-            labels = components(scratch, links)
-        now = _labelled(postings, labels)
-        # Lists whose sets are all in one component are done with.
-        apart = now.groupBy("element").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("element")
-        now = scratch.keep(now.join(apart, "element"), "apart")
-        if now.isEmpty():
-            break
-        if k < NEIGHBOUR_ROUNDS:
-            # Sorted by size, then by a salt that differs from round to round.
-            by = Window.partitionBy("element").orderBy("n" if not k else F.floor(F.log(F.col("n").cast("double")) * 20), F.xxhash64("node", F.lit(k)), "node")
-            met = now.select(
-                F.struct("node", "n", "place", "part").alias("x"), F.lag(F.struct("node", "n", "place", "part")).over(by).alias("y")
-            ).where("y IS NOT NULL")
-        else:
-            x, y = (now.select("element", F.struct("node", "n", "place", "part").alias(c)) for c in ("x", "y"))
-            met = x.join(y, "element").where("x.node < y.node")
-        met = met.where("x.part <> y.part").where(_possible(percent))
-        pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        if checked is not None:
-            pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        pairs = scratch.keep(pairs, "pairs")
-        links = links.unionByName(scratch.keep(_verified(pairs, sets, percent), "links"))
-        checked = pairs if checked is None else checked.unionByName(pairs)
-    return links
+    # Neighbours in a list by size: most sets of a group of copies link so, for a pair or two each.
+    by = Window.partitionBy("element").orderBy("n", "node")
+    met = postings.select(F.struct("node", "n", "place").alias("x"), F.lag(F.struct("node", "n", "place")).over(by).alias("y"))
+    met = met.where("y IS NOT NULL").where(_possible(percent))
+    pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    links = scratch.keep(light.unionByName(_verified(pairs, sets, percent)), "links")
+    labels = components(scratch, links)
+    now = postings.join(labels, "node", "left").withColumn("part", F.coalesce("label", "node")).drop("label")
+    # Lists whose sets are all in one component are done with.
+    apart = now.groupBy("element").agg(F.min("part").alias("least"), F.max("part").alias("most")).where("least < most").select("element")
+    apart = scratch.keep(now.join(apart, "element"), "apart")
+    if apart.isEmpty():
+        return links
+    return links.unionByName(scratch.keep(_remaining_links(scratch, apart, sets, percent), "links"))
 
 
 def similar_groups(scratch: Scratch, df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, percent: int = 90) -> tuple[DataFrame, DataFrame]:
