@@ -76,17 +76,17 @@ def wma(
 
     The weighted sum over n rows is ``(n - r) * sum(x) + sum(r * x)`` with r
     the row number, so two running quantities serve all windows.  A value is
-    NULL until n rows exist; ``warm_only`` keeps rows where every window has
-    one, as the stored table does.
+    NULL until n rows exist and where a close among them is missing;
+    ``warm_only`` keeps rows where every window has one, as the stored table does.
     """
     numbered = _keep(bars, carry).withColumn("_rn", F.row_number().over(by_date()))
-    sums = trailing_sums(
-        numbered, {"_s": F.col("close"), "_w": F.col("close") * F.col("_rn")}, windows, by_date()
-    )
+    close = F.coalesce("close", F.lit(0.0))
+    known = F.col("close").isNotNull().cast("double")
+    sums = trailing_sums(numbered, {"_s": close, "_w": close * F.col("_rn"), "_n": known}, windows, by_date())
     averages = []
     for n in windows:
         weighted = (n - F.col("_rn")) * F.col(f"_s_{n}") + F.col(f"_w_{n}")
-        averages.append(F.when(F.col("_rn") >= n, weighted / (n * (n + 1) / 2)).alias(f"wma_{n}"))
+        averages.append(F.when(F.col(f"_n_{n}") == n, weighted / (n * (n + 1) / 2)).alias(f"wma_{n}"))
     result = sums.select("ticker", "date", "close", *averages, *carry)
     return result.dropna(subset=[f"wma_{n}" for n in windows]) if warm_only else result
 

@@ -10,8 +10,7 @@ following ones with the weight it still has there.
 The sums run over differences from the seed value, to which the recurrence is
 indifferent: a constant series then averages to exactly itself, and the seed
 row to exactly the seed, as they do when the recurrence is stepped through.
-What lies within rounding noise of its input is taken to equal it, so that no
-comparison of the two turns on noise.
+A missing input leaves no value from its row on, as in the recurrence.
 """
 
 from __future__ import annotations
@@ -25,12 +24,11 @@ from pyspark.sql import functions as F
 
 # exp(650) stays clear of the largest double with room for the values.
 _MAX_EXPONENT = 650.0
-# Weights below this no longer reach the last digit of a double.
-_NEGLIGIBLE = 1e-25
+# An earlier block with less weight than this no longer reaches the last digit
+# of a double, whatever series: inputs would have to differ by 40 digits.
+_NEGLIGIBLE = 1e-60
 # Blocks looked back on; spans that need more get a longer block of their own.
 _MAX_CARRIES = 3
-# Relative rounding noise of a sum over one block.
-_NOISE = 1e-13
 
 
 @dataclass(frozen=True)
@@ -54,7 +52,8 @@ class Smoothing:
 def exponential_averages(
     df: DataFrame, key: str, order: str, smoothings: list[Smoothing], row_number: str, block: int | None = None
 ) -> DataFrame:
-    """Add one column per smoothing; rows before a seed row get NULL.
+    """Add one column per smoothing; rows before a seed row get NULL, and so do
+    all rows from the first missing input after it on.
 
     ``row_number`` names a column that counts the rows of a key from 1.
     Smoothings of similar span share one pass over the sorted rows.
@@ -83,6 +82,10 @@ def _averages_in_blocks(
             f"_base{i}": F.last(F.when(rn == s.seed_row, F.col(s.value)), ignorenulls=True).over(so_far)
             for i, s in enumerate(smoothings)
         }
+        | {
+            f"_gaps{i}": F.count(F.when((rn >= s.seed_row) & F.col(s.value).isNull(), 1)).over(so_far)
+            for i, s in enumerate(smoothings)
+        }
     )
 
     # Both windows below are ordered by key, block and order column: one sort.
@@ -117,9 +120,7 @@ def _averages_in_blocks(
             carried = F.col(f"_carry{i}_{level}")
             weight = F.pow(F.lit(s.decay), F.col("_pos") + 1 + block * (level - 1))
             total = total + F.when(carried.isNotNull(), weight * carried).otherwise(F.lit(0.0))
-        x = F.col(s.value)
-        near = F.abs(total - x) <= F.abs(x) * _NOISE
-        results[s.output] = F.when(rn >= s.seed_row, F.when(near, x).otherwise(total))
+        results[s.output] = F.when((rn >= s.seed_row) & (F.col(f"_gaps{i}") == 0), total)
     return out.select(*df.columns, *[column.alias(name) for name, column in results.items()])
 
 

@@ -22,17 +22,29 @@ def _with_signal(df: DataFrame, buy: Column, sell: Column, price: Column) -> Dat
 
 
 def cross_signal(
-    df: DataFrame, fast: str, slow: str, price: Column | None = None, over: WindowSpec | None = None
+    df: DataFrame,
+    fast: str,
+    slow: str,
+    price: Column | None = None,
+    over: WindowSpec | None = None,
+    tolerance: float = 0.0,
 ) -> DataFrame:
     """BUY where ``fast`` rises above ``slow``, SELL where it falls below.
 
     The previous row is looked up in what is passed in, so the first row of a
-    filtered range never signals.
+    filtered range never signals.  ``tolerance`` is the relative difference up
+    to which the two count as equal.
     """
     over = over or by_date()
+
+    def gap(x: Column, y: Column) -> Column:
+        return x - y if not tolerance else F.when(F.abs(x - y) <= F.abs(y) * tolerance, 0.0).otherwise(x - y)
+
+    now = gap(F.col(fast), F.col(slow))
     prepared = df.withColumns({"_pf": F.lag(fast).over(over), "_ps": F.lag(slow).over(over)})
-    buy = (F.col(fast) > F.col(slow)) & (F.col("_pf") <= F.col("_ps"))
-    sell = (F.col(fast) < F.col(slow)) & (F.col("_pf") >= F.col("_ps"))
+    before = gap(F.col("_pf"), F.col("_ps"))
+    buy = (now > 0) & (before <= 0)
+    sell = (now < 0) & (before >= 0)
     return _with_signal(prepared, buy, sell, F.col("close") if price is None else price).drop("_pf", "_ps")
 
 

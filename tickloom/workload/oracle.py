@@ -474,19 +474,22 @@ def sma_sql(source: str, windows=WINDOWS, extra: str = "") -> str:
 
 fragment("sma", sma_sql("clean_bars"), "clean_bars")
 fragment("numbered", "SELECT ticker, date, close, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn FROM clean_bars", "clean_bars")
-fragment(
-    "wma_all",
-    "SELECT ticker, date, close, rn, "
-    + ", ".join(
-        f"""CASE WHEN rn >= {n} THEN
-              (({n} - rn) * sum(close) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)
-               + sum(close * rn) OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW))
-              / {n * (n + 1) // 2} END AS wma_{n}"""
-        for n in WINDOWS
+
+
+def wma_sql(source: str, windows=WINDOWS) -> str:
+    """Weighted averages over named windows; every close of a window has to be known."""
+    averages = ", ".join(
+        f"""CASE WHEN rn >= {n} AND count(close) OVER w{n} = {n} THEN
+              (({n} - rn) * sum(close) OVER w{n} + sum(close * rn) OVER w{n}) / {n * (n + 1) // 2} END AS wma_{n}"""
+        for n in windows
     )
-    + " FROM numbered",
-    "numbered",
-)
+    named = ", ".join(
+        f"w{n} AS (PARTITION BY ticker ORDER BY date ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in windows
+    )
+    return f"SELECT ticker, date, close, rn, {averages} FROM {source} WINDOW {named}"
+
+
+fragment("wma_all", wma_sql("numbered"), "numbered")
 fragment("wma", f"SELECT * FROM wma_all WHERE rn >= {max(WINDOWS)}", "wma_all")
 
 
@@ -540,6 +543,18 @@ def macd_fragments(prefix: str, source: str, *needs: str) -> None:
 
 
 macd_fragments("", "numbered", "numbered")
+fragment(
+    "gapped",
+    """
+    SELECT ticker, date, rn,
+           CASE WHEN CAST(ticker[2:] AS BIGINT) % 3 = 0 AND rn % 41 = CAST(ticker[2:] AS BIGINT) % 41 THEN NULL ELSE close END AS close
+    FROM numbered
+    """,
+    "numbered",
+)
+fragment("gapped_wma", wma_sql("gapped", (5, 20)), "gapped")
+ema_fragments("gapped_ema", "gapped", WINDOWS, "gapped")
+macd_fragments("gapped_", "gapped", "gapped")
 fragment(
     "numbered_daily",
     "SELECT ticker, date, close, row_number() OVER (PARTITION BY ticker ORDER BY date) AS rn FROM daily",
@@ -1002,6 +1017,9 @@ oracle(
 oracle("w2_wma", f"SELECT ticker, date, {r('close')}, {rs(*[f'wma_{n}' for n in WINDOWS])} FROM wma", "wma")
 oracle("w3_ema", f"SELECT ticker, date, {r('close')}, {rs(*[f'ema_{n}' for n in WINDOWS])} FROM ema", "ema")
 MACD = ("close", "macd_line", "signal_line", "macd_histogram", "prev_macd_line", "prev_signal_line")
+oracle("w2_wma_missing_closes", f"SELECT ticker, date, {r('close')}, {rs('wma_5', 'wma_20')} FROM gapped_wma", "gapped_wma")
+oracle("w3_ema_missing_closes", f"SELECT ticker, date, {r('close')}, {rs(*[f'ema_{n}' for n in WINDOWS])} FROM gapped_ema", "gapped_ema")
+oracle("w4_macd_missing_closes", f"SELECT ticker, date, {rs(*MACD)} FROM gapped_macd", "gapped_macd")
 oracle("w4_macd", f"SELECT ticker, date, {rs(*MACD)} FROM macd", "macd")
 fragment(
     "bands",

@@ -615,6 +615,29 @@ def _(t: Tables) -> DataFrame:
     return indicators.macd(t.clean_bars)
 
 
+def _gapped(t: Tables) -> DataFrame:
+    """Bars in which some tickers miss a close, at the start, on a seed row or later."""
+    numbered = t.clean_bars.withColumn("rn", F.row_number().over(indicators.by_date()))
+    key = F.substring("ticker", 2, 20).cast("long")
+    missing = (key % 3 == 0) & (F.col("rn") % 41 == key % 41)
+    return numbered.withColumn("close", F.when(~missing, F.col("close"))).drop("rn")
+
+
+@query("w2_wma_missing_closes")
+def _(t: Tables) -> DataFrame:
+    return indicators.wma(_gapped(t), windows=(5, 20), warm_only=False)
+
+
+@query("w3_ema_missing_closes")
+def _(t: Tables) -> DataFrame:
+    return indicators.ema(_gapped(t))
+
+
+@query("w4_macd_missing_closes")
+def _(t: Tables) -> DataFrame:
+    return indicators.macd(_gapped(t))
+
+
 @query("w5_bollinger")
 def _(t: Tables) -> DataFrame:
     return indicators.bollinger(in_range(indicators.sma(t.clean_bars)))
