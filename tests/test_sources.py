@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import tickloom
-from tests.helpers import bars, column, day, executed_plan, rows
+from tests.helpers import bars, column, day, executed_plan, planned, rows
 from tickloom import schemas
+from tickloom.session import shared_dir
 from tickloom.sources import normalize as N
 from tickloom.sources import readers as R
 from tickloom.sources import writers as WR
@@ -148,6 +149,32 @@ def test_upsert(spark, tmp_path):
         WR.upsert(df, path, ("ticker",), "date")
 
 
+def test_upsert_takes_the_last_record_of_a_key_and_leaves_no_scratch(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "ticker string, date date, close double, record int"
+    days = spark.createDataFrame([("A", day(0), 1.0, 0), ("B", None, 2.0, 0), ("A", day(1), 3.0, 0)], schema)
+    WR.upsert(days, path, ("ticker", "date"), "date", "record")
+    updates = spark.createDataFrame([("A", day(1), 5.0, 2), ("A", day(1), 4.0, 1), ("C", day(1), 7.0, 1), ("C", day(1), 6.0, 0)], schema)
+    before = set(Path(shared_dir(spark).removeprefix("file:")).glob("updates-*"))
+    WR.upsert(updates, path, ("ticker", "date"), "date", "record")
+    assert set(Path(shared_dir(spark).removeprefix("file:")).glob("updates-*")) == before
+    stored = spark.read.schema(schema).parquet(path).select("ticker", "date", "close")
+    assert sorted(rows(stored), key=str) == sorted([("A", day(0), 1.0), ("B", None, 2.0), ("A", day(1), 5.0), ("C", day(1), 7.0)], key=str)
+    with pytest.raises(ValueError, match="repeat"):
+        WR.upsert(updates, path, ("ticker", "date"), "date")
+
+
+def test_upsert_reads_only_the_partitions_it_changes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = bars(spark, {"A": [1.0, 2.0, 3.0]}).select("ticker", "date", "close")
+    WR.upsert(df, path, ("ticker", "date"), "date")
+    stored = spark.read.schema(df.schema).parquet(path)
+    plan = planned(WR.touched_partitions(stored, "date", [day(1)]))
+    assert "PartitionFilters: [isnotnull(date" in plan and str(day(1)) in plan
+    assert len(WR.touched_partitions(stored, "date", [day(1)]).inputFiles()) == 3
+    assert WR.touched_partitions(stored, "date", [day(1)]).count() == 1
+
+
 def test_incremental_append(spark, tmp_path):
     path = str(tmp_path / "t")
     df = bars(spark, {"A": [1.0, 2.0, 3.0]}).select("ticker", "date", "close")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.constants import EPOCH_OF_HISTORY
-from tickloom.session import scratch_path
+from tickloom.session import Scratch
 
 
 def _status(spark: SparkSession, path: str, question: str) -> bool:
@@ -74,12 +74,11 @@ def replace_partitions(df: DataFrame, path: str, column: str = "date") -> None:
 
 def replace_if_nonempty(df: DataFrame, path: str) -> bool:
     """Replace a table, but keep the old one when there is nothing to load."""
-    staged = scratch_path(df.sparkSession, "staged")
-    df.write.parquet(staged)
-    rows = df.sparkSession.read.schema(df.schema).parquet(staged)
-    if rows.isEmpty():
-        return False
-    rows.write.mode("overwrite").parquet(path)
+    with Scratch(df.sparkSession) as scratch:
+        rows = scratch.keep(df, "staged")
+        if rows.isEmpty():
+            return False
+        rows.write.mode("overwrite").parquet(path)
     return True
 
 
@@ -88,26 +87,42 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> Da
     return target.join(updates.select(*keys), list(keys), "left_anti").unionByName(updates)
 
 
-def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: str) -> None:
+def last_records(updates: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    """One row per key, the one with the largest order value; of equal ones the largest row."""
+    rest = [c for c in updates.columns if c not in keys]
+    newest = F.max(F.struct(F.col(order).alias("order of arrival"), *rest)).alias("newest")
+    return updates.groupBy(*keys).agg(newest).select(*[c if c in keys else F.col(f"newest.`{c}`").alias(c) for c in updates.columns])
+
+
+def upsert(updates: DataFrame, path: str, keys: Sequence[str], partition_by: str, order: str | None = None) -> None:
     """Insert or replace rows by key in a table partitioned by one of the keys.
 
-    Only the partitions the updates fall into are read and written.  The new
-    content is staged first, so nothing is read from where it is written.
+    Of several updates of a key the one with the largest ``order`` wins, as if
+    they had come one by one; without an order a repeated key is an error.  Only
+    the partitions that the updates fall into are read and written: their values are those of
+    one load's days, so they stand in the plan as literals.  The new content is
+    staged first, so nothing is read from where it is written.
     """
     if partition_by not in keys:
         raise ValueError("the partition column must be one of the keys")
     spark = updates.sparkSession
-    if path_exists(spark, path):
+    with Scratch(spark) as scratch:
         # The updates are evaluated once, in the staged copy.
-        incoming = scratch_path(spark, "updates")
-        updates.write.parquet(incoming)
-        updates = spark.read.schema(updates.schema).parquet(incoming)
-        stored = spark.read.schema(updates.schema).parquet(path)
-        touched = stored.join(updates.select(partition_by).distinct(), partition_by, "left_semi")
-        staged = scratch_path(spark, "merged")
-        merge_rows(touched, updates, keys).write.parquet(staged)
-        updates = spark.read.schema(updates.schema).parquet(staged)
-    replace_partitions(updates, path, partition_by)
+        incoming = scratch.keep(last_records(updates, keys, order) if order else updates, "updates")
+        if not order and not incoming.groupBy(*keys).count().where("count > 1").isEmpty():
+            raise ValueError("keys repeat in the updates; name the column that orders them")
+        if path_exists(spark, path):
+            days = [r[0] for r in incoming.select(partition_by).distinct().collect()]
+            touched = touched_partitions(spark.read.schema(incoming.schema).parquet(path), partition_by, days)
+            incoming = scratch.keep(merge_rows(touched, incoming, keys), "merged")
+        replace_partitions(incoming, path, partition_by)
+
+
+def touched_partitions(stored: DataFrame, partition_by: str, values: Sequence[object]) -> DataFrame:
+    """The rows of the given partitions; others are not listed for the scan."""
+    known = [v for v in values if v is not None]
+    found = F.col(partition_by).isin(known) if known else F.lit(False)
+    return stored.where(found | F.col(partition_by).isNull() if len(known) < len(values) else found)
 
 
 def newer_than(source: DataFrame, target: DataFrame | None, column: str = "date") -> DataFrame:
