@@ -23,6 +23,7 @@ from tickloom.functions.columns import nonzero
 from tickloom.session import scratch_path
 from tickloom.sources.writers import make_folder
 from tickloom.streaming.sinks import append_to
+from tickloom.streaming.ticks import keep_last, velocity_alerts
 
 # Length of a chunk: a symbol has at most one aggregate per second.
 CHUNK = "1 minute"
@@ -108,9 +109,9 @@ def pair_velocities(pairs: DataFrame, retention: str = K.VELOCITY_RETENTION) ->
 
 
 def start_velocities(
-    ticks: DataFrame, root: str, chunk: str = CHUNK, continuous: bool = False
+    ticks: DataFrame, root: str, chunk: str = CHUNK, continuous: bool = False, alerts_only: bool = False
 ) -> list[StreamingQuery]:
-    """Write the velocities of a watermarked stream below ``root``.
+    """Write the velocities of a watermarked stream below ``root``, or only those that call for an alert.
 
     ``root`` also keeps the chunk ends and the progress of the three streams,
     so all of them go on where they stopped.  ``read_velocities`` reads the
@@ -119,8 +120,11 @@ def start_velocities(
     """
     spark = ticks.sparkSession
     make_folder(spark, f"{root}/ends")
+    # Of ticks delivered again the last one counts.
+    ticks = keep_last(ticks)
     ends = chunk_ends(ticks, chunk)
-    inside = pair_velocities(pairs_in_chunks(ticks, chunk))
+    chosen = velocity_alerts if alerts_only else lambda velocities: velocities
+    inside = chosen(pair_velocities(pairs_in_chunks(ticks, chunk)))
     first = [
         append_to(inside, f"{root}/inside", f"{root}/progress/inside", continuous),
         append_to(ends, f"{root}/ends", f"{root}/progress/ends", continuous),
@@ -129,7 +133,8 @@ def start_velocities(
         for query in first:
             query.awaitTermination()
     stored = spark.readStream.schema(ends.schema).parquet(f"{root}/ends")
-    links = append_to(pair_velocities(link_chunks(stored)), f"{root}/links", f"{root}/progress/links", continuous)
+    linked = chosen(pair_velocities(link_chunks(stored)))
+    links = append_to(linked, f"{root}/links", f"{root}/progress/links", continuous)
     return [*first, links]
 
 
@@ -138,9 +143,9 @@ def read_velocities(spark: SparkSession, root: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def velocities_to_end(ticks: DataFrame, chunk: str = CHUNK) -> DataFrame:
+def velocities_to_end(ticks: DataFrame, chunk: str = CHUNK, alerts_only: bool = False) -> DataFrame:
     """Velocities of everything available, kept in the shared folder."""
     root = scratch_path(ticks.sparkSession, "velocity")
-    for query in start_velocities(ticks, root, chunk):
+    for query in start_velocities(ticks, root, chunk, alerts_only=alerts_only):
         query.awaitTermination()
     return read_velocities(ticks.sparkSession, root)

@@ -242,8 +242,12 @@ fragment(
     WHERE event_type <> 'error'
     """,
 )
-fragment("single_ticks", "SELECT * FROM ticks WHERE copy = 1", "ticks")
 fragment("watermark", "SELECT max(ts) - INTERVAL 1 HOUR AS w FROM ticks", "ticks")
+fragment(
+    "kept_ticks",
+    "SELECT * FROM ticks QUALIFY row_number() OVER (PARTITION BY symbol, ts ORDER BY ingest_id DESC) = 1",
+    "ticks",
+)
 fragment(
     "last_ticks",
     """
@@ -783,7 +787,7 @@ oracle(
     "j8_not_yet_graded",
     """
     SELECT ticker, overall_rank FROM reliable
-    WHERE ticker NOT IN (SELECT ticker FROM raw_grades WHERE "newGrade" = 'Hold' AND right(ticker, 1) < '5')
+    WHERE ticker NOT IN (SELECT ticker FROM raw_grades WHERE CAST(ticker[2:] AS BIGINT) % 13 <> 5)
     """,
     "reliable",
     "raw_grades",
@@ -943,6 +947,14 @@ oracle(
     ),
     "sma_errors_strict",
 )
+oracle(
+    "a17_critical_counts_by_day",
+    " UNION ALL ".join(
+        f"SELECT ticker, timestamp, {n} AS \"window\", count(*) AS critical FROM sma_errors_strict WHERE sma_{n}_is_critical GROUP BY 1, 2"
+        for n in WINDOWS
+    ),
+    "sma_errors_strict",
+)
 oracle(
     "a18_negative_totals",
     f"SELECT c_nationkey AS id, {r('sum(c_acctbal - 4500)', 'total', 2)} FROM customer GROUP BY 1 HAVING NOT (sum(c_acctbal - 4500) >= 0)",
@@ -1219,10 +1231,11 @@ oracle("r1_parse_ticks", f"SELECT symbol, ts, {PRICES}, {r('vwap')}, ingest_id F
 oracle(
     "r2_series",
     " UNION ALL ".join(
-        f"SELECT symbol, ts, '{m}' AS metric, {r(m, 'value')} FROM single_ticks WHERE {m} IS NOT NULL"
+        f"SELECT symbol, ts, '{m}' AS metric, {r(m, 'value')} FROM kept_ticks WHERE {m} IS NOT NULL AND ts <= (SELECT w FROM watermark)"
         for m in ("open", "high", "low", "close", "volume", "vwap")
     ),
-    "single_ticks",
+    "kept_ticks",
+    "watermark",
 )
 oracle(
     "r3_latest_values",
@@ -1235,9 +1248,9 @@ oracle(
     f"""
     SELECT 'updates:' || symbol AS channel, symbol, {r('close', 'price')}, epoch_ms(ts) AS timestamp, {r('volume')},
            {r('coalesce(vwap, 0)', 'vwap')}
-    FROM single_ticks
+    FROM ticks
     """,
-    "single_ticks",
+    "ticks",
 )
 
 
@@ -1264,6 +1277,15 @@ oracle(
     "ticks",
     "watermark",
 )
+oracle(
+    "r6_active_symbols_approximate",
+    f"""
+    SELECT * FROM (SELECT DISTINCT {tumbling(6)} AS window_start, {tumbling(6)} + INTERVAL 6 HOUR AS window_end, true AS within_bound FROM ticks)
+    WHERE window_end <= (SELECT w FROM watermark)
+    """,
+    "ticks",
+    "watermark",
+)
 oracle(
     "r7_message_rate",
     f"""
@@ -1289,10 +1311,20 @@ oracle("r8_velocity", f"SELECT symbol, ts, {rs('price', 'velocity')} FROM veloci
 oracle(
     "r8_velocity_stream",
     f"""
-    SELECT symbol, ts, {rs('price', 'velocity')} FROM ({velocity_sql('single_ticks')})
-    WHERE {tumbling(1)} + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM single_ticks)
+    SELECT symbol, ts, {rs('price', 'velocity')} FROM velocity
+    WHERE {tumbling(1)} + INTERVAL 1 HOUR <= (SELECT w FROM watermark)
+    """,
+    "velocity",
+    "watermark",
+)
+oracle(
+    "r9_velocity_alerts_stream",
+    f"""
+    SELECT symbol, ts, {rs('price', 'velocity')} FROM velocity
+    WHERE {tumbling(1)} + INTERVAL 1 HOUR <= (SELECT w FROM watermark) AND abs(velocity) > {K.VELOCITY_ALERT_PERCENT}
     """,
-    "single_ticks",
+    "velocity",
+    "watermark",
 )
 oracle(
     "r9_velocity_alerts",
@@ -1315,18 +1347,18 @@ oracle(
     f"""
     SELECT {tumbling(6)} AS window_start, symbol, {r('arg_min(open, row(ts, ingest_id))', 'open')}, {r('max(high)', 'high')},
            {r('min(low)', 'low')}, {r('arg_max(close, row(ts, ingest_id))', 'close')}, {r('sum(volume)', 'volume')}
-    FROM ticks WHERE {tumbling(6)} + INTERVAL 6 HOUR <= (SELECT w FROM watermark) GROUP BY 1, 2
+    FROM kept_ticks WHERE {tumbling(6)} + INTERVAL 6 HOUR <= (SELECT w FROM watermark) GROUP BY 1, 2
     """,
-    "ticks",
+    "kept_ticks",
     "watermark",
 )
 oracle(
     "r13_tick_moving_average",
     f"""
-    SELECT window_end, symbol, {r('avg(close)', 'average')}, count(*) AS ticks FROM {sliding(6, 2, 'ticks')}
+    SELECT window_end, symbol, {r('avg(close)', 'average')}, count(*) AS ticks FROM {sliding(6, 2, 'kept_ticks')}
     WHERE window_end <= (SELECT w FROM watermark) GROUP BY 1, 2
     """,
-    "ticks",
+    "kept_ticks",
     "watermark",
 )
 oracle(

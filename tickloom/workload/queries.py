@@ -389,8 +389,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("j8_not_yet_graded")
 def _(t: Tables) -> DataFrame:
-    graded = t.grades.where(F.col("newGrade") == "Hold").where(F.substring("ticker", -1, 1) < "5")
-    return TK.not_yet_graded(t.marts.classified, graded)
+    return TK.not_yet_graded(t.marts.classified, t.sparse_grades)
 
 
 @query("j10_latest_year_rows")
@@ -529,6 +528,14 @@ def _(t: Tables) -> DataFrame:
     return validation.critical_counts(errors, "sma")
 
 
+@query("a17_critical_counts_by_day")
+def _(t: Tables) -> DataFrame:
+    errors = validation.indicator_errors(
+        t.vendor_values("sma"), indicators.sma(t.clean_bars), "sma", threshold=K.STRICT_ERROR_THRESHOLD
+    )
+    return validation.critical_counts(errors, "sma", by_day=True)
+
+
 @query("a18_negative_totals", digits=2)
 def _(t: Tables) -> DataFrame:
     payments = t.read("customer").select(F.col("c_nationkey").alias("id"), (F.col("c_acctbal") - 4500).alias("amount"))
@@ -802,8 +809,8 @@ def _(t: Tables) -> DataFrame:
 # Streams.
 
 
-def _parsed(t: Tables, delay: str | None = "1 hour", replays: bool = True) -> DataFrame:
-    parsed = ticks.parse_ticks(t.tick_stream(replays))
+def _parsed(t: Tables, delay: str | None = "1 hour") -> DataFrame:
+    parsed = ticks.parse_ticks(t.tick_stream())
     return parsed.withWatermark("ts", delay) if delay else parsed
 
 
@@ -824,7 +831,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("r2_series")
 def _(t: Tables) -> DataFrame:
-    return _plain_time(sinks.run_to_end(ticks.series(_parsed(t, None, replays=False)), "series"))
+    return _plain_time(sinks.run_to_end(ticks.series(ticks.keep_last(_parsed(t))), "series"))
 
 
 @query("r3_latest_values")
@@ -839,7 +846,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("r5_update_messages")
 def _(t: Tables) -> DataFrame:
-    messages = sinks.run_to_end(ticks.update_messages(_parsed(t, None, replays=False)), "updates")
+    messages = sinks.run_to_end(ticks.update_messages(_parsed(t, None)), "updates")
     fields = "symbol string, price double, timestamp bigint, volume double, vwap double"
     return messages.select("channel", F.from_json("message", fields).alias("m")).select("channel", "m.*")
 
@@ -851,7 +858,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("r6_active_symbols_approximate")
 def _(t: Tables) -> DataFrame:
-    return _plain_time(sinks.run_to_end(ticks.active_symbols(_parsed(t), "6 hours"), "active-approximate"))
+    estimated = sinks.run_to_end(ticks.active_symbols(_parsed(t), "6 hours", relative_error=0.01), "active-approximate")
+    exact = sinks.run_to_end(ticks.active_symbols_exact(_parsed(t), "6 hours"), "active")
+    both = estimated.join(exact.withColumnRenamed("active_symbols", "exact"), ["window_start", "window_end"], "full")
+    # Five standard deviations of the estimate.
+    near = F.abs(F.col("active_symbols") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.05 * F.col("exact"))
+    return _plain_time(both.select("window_start", "window_end", F.coalesce(near, F.lit(False)).alias("within_bound")))
 
 
 @query("r7_message_rate")
@@ -866,7 +878,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("r8_velocity_stream")
 def _(t: Tables) -> DataFrame:
-    return _plain_time(velocities_to_end(_parsed(t, replays=False), "1 hour"))
+    return _plain_time(velocities_to_end(_parsed(t), "1 hour"))
+
+
+@query("r9_velocity_alerts_stream")
+def _(t: Tables) -> DataFrame:
+    return _plain_time(velocities_to_end(_parsed(t), "1 hour", alerts_only=True))
 
 
 @query("r9_velocity_alerts")
@@ -891,12 +908,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("r12_tick_candles")
 def _(t: Tables) -> DataFrame:
-    return _plain_time(sinks.run_to_end(ticks.tick_candles(_parsed(t), "6 hours"), "candles"))
+    return _plain_time(sinks.run_to_end(ticks.tick_candles(ticks.keep_last(_parsed(t)), "6 hours"), "candles"))
 
 
 @query("r13_tick_moving_average")
 def _(t: Tables) -> DataFrame:
-    return _plain_time(sinks.run_to_end(ticks.tick_moving_average(_parsed(t), "6 hours", "2 hours"), "averages"))
+    return _plain_time(sinks.run_to_end(ticks.tick_moving_average(ticks.keep_last(_parsed(t)), "6 hours", "2 hours"), "averages"))
 
 
 @query("r15_late_ticks")
