@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -90,43 +92,37 @@ def last_quarters(surprises: DataFrame, count: int = 4) -> DataFrame:
     )
 
 
-def prices_after(events: DataFrame, bars: DataFrame, offsets: Column) -> DataFrame:
-    """Close of the n-th bar after each event, for an array of offsets n.
+def prices_after(events: DataFrame, bars: DataFrame, offsets: Sequence[int]) -> DataFrame:
+    """Date and close of the n-th bar after each event, for every offset n.
 
-    Day 0 is the first bar on or after the event.  Events and bars of a ticker
-    are merged in date order once to find the number of that bar; from there
-    on every wanted bar is an equality join on its number.
+    Day 0 is the first bar on or after the event.  A bar looks ahead for the
+    wanted ones before events and bars of a ticker are merged in date order;
+    an event then takes what the first bar after it has seen.  So the bars are read and
+    shuffled once.
     """
-    numbered = bars.select(
-        "ticker", "date", "close", F.row_number().over(W.partitionBy("ticker").orderBy("date")).alias("bar_no")
-    )
+    by_date = W.partitionBy("ticker").orderBy("date")
+    seen = [
+        F.struct(F.lit(n).alias("offset"), F.lead("date", n).over(by_date).alias("price_date"), F.lead("close", n).over(by_date).alias("close"))
+        for n in offsets
+    ]
     keys = events.columns
     marks = events.select(
-        "ticker", F.col("date").alias("_at"), F.lit(None).cast("int").alias("_no"), F.lit(1).alias("_is_event"),
-        F.struct(*keys).alias("_event"),
+        "ticker", F.col("date").alias("_at"), F.lit(1).alias("_is_event"), F.struct(*keys).alias("_event")
     ).unionByName(
-        numbered.select(
-            "ticker", F.col("date").alias("_at"), F.col("bar_no").alias("_no"), F.lit(0).alias("_is_event")
-        ),
+        bars.select("ticker", F.col("date").alias("_at"), F.lit(0).alias("_is_event"), F.array(*seen).alias("_ahead")),
         allowMissingColumns=True,
     )
     backwards = W.partitionBy("ticker").orderBy(F.col("_at").desc(), "_is_event").rowsBetween(
         W.unboundedPreceding, W.currentRow
     )
-    located = (
-        marks.withColumn("_first", F.last("_no", ignorenulls=True).over(backwards))
-        .where((F.col("_is_event") == 1) & F.col("_first").isNotNull())
-        .select("_event.*", "_first")
-    )
-    wanted = located.withColumn("offset", F.explode(offsets)).withColumn("bar_no", F.col("_first") + F.col("offset"))
-    found = numbered.select("ticker", "bar_no", F.col("date").alias("price_date"), F.col("close"))
-    return wanted.join(found, ["ticker", "bar_no"]).select(*keys, "offset", "price_date", "close")
+    located = marks.withColumn("_seen", F.last("_ahead", ignorenulls=True).over(backwards)).where(F.col("_is_event") == 1)
+    found = located.select("_event.*", F.inline("_seen"))
+    return found.where(F.col("price_date").isNotNull()).select(*keys, "offset", "price_date", "close")
 
 
 def normalised_performance(events: DataFrame, bars: DataFrame, days: int = 10) -> DataFrame:
     """Return since day 0 of each event on the following trading days."""
-    offsets = F.sequence(F.lit(0), F.lit(days))
-    prices = prices_after(events.select("ticker", "date"), bars, offsets)
+    prices = prices_after(events.select("ticker", "date"), bars, range(days + 1))
     by_event = W.partitionBy("ticker", "date")
     base = F.max(F.when(F.col("offset") == 0, F.col("close"))).over(by_event)
     return prices.withColumn("performance", F.col("close") / F.nullif(base, F.lit(0.0)) - 1)
@@ -135,9 +131,8 @@ def normalised_performance(events: DataFrame, bars: DataFrame, days: int = 10) -
 def surprise_return_correlation(surprises: DataFrame, bars: DataFrame, return_days: int) -> DataFrame:
     """Correlation of EPS surprise and the return after it, per year and quarter."""
     events = surprises.select("ticker", "date", "quarter", "epsSurprisePercent")
-    offsets = F.array(F.lit(0), F.lit(return_days))
     returns = (
-        prices_after(events, bars, offsets)
+        prices_after(events, bars, (0, return_days))
         .groupBy("ticker", "date", "quarter", "epsSurprisePercent")
         .agg(
             F.max(F.when(F.col("offset") == 0, F.col("close"))).alias("_from"),

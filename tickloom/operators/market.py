@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom import constants as K
@@ -45,18 +46,21 @@ def market_leader(
     return best.join(facts, "ticker", "left")
 
 
-def sector_performance(month_changes: DataFrame, enriched: DataFrame, as_of: Column) -> DataFrame:
-    """Average change per industry over all month rows of the year."""
-    changes = month_changes.where(F.col("year") == F.year(as_of)).select(
-        "ticker", percent_change(F.col("close"), F.col("prev_close")).alias("change")
-    )
+def sector_performance(month_changes: DataFrame, enriched: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Average change per industry over all month rows of the year of a date, or of the last year on file.
+
+    The last year comes from the sums themselves, a row per industry and year,
+    so the months are derived once.
+    """
+    change = percent_change(F.col("close"), F.col("prev_close"))
     industry = enriched.where(F.col("industry").isNotNull()).select("ticker", F.col("industry").alias("sector"))
-    return (
-        changes.where(F.col("change").isNotNull())
-        .join(industry, "ticker")
-        .groupBy("sector")
-        .agg(F.avg("change").alias("avg_change_pct"))
-    )
+    months = month_changes.select("ticker", "year", change.alias("change"))
+    if as_of is not None:
+        months = months.where(F.col("year") == F.year(as_of))
+    years = months.join(industry, "ticker", "left").groupBy("sector", "year").agg(F.avg("change").alias("avg_change_pct"))
+    if as_of is None:
+        years = years.withColumn("newest", F.max("year").over(W.partitionBy())).where("year = newest")
+    return years.where("sector IS NOT NULL AND avg_change_pct IS NOT NULL").select("sector", "avg_change_pct")
 
 
 def best_and_worst_sector(sectors: DataFrame) -> DataFrame:

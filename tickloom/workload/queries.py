@@ -485,14 +485,14 @@ def _(t: Tables) -> DataFrame:
 @query("a12_sector_performance")
 def _(t: Tables) -> DataFrame:
     m = t.marts
-    return market.sector_performance(B.month_end_changes(m.cumulated), m.enriched, B.latest(m.daily))
+    return market.sector_performance(B.month_end_changes(m.cumulated), m.enriched)
 
 
 @query("a12_best_and_worst_sector")
 def _(t: Tables) -> DataFrame:
     m = t.marts
     return market.best_and_worst_sector(
-        market.sector_performance(B.month_end_changes(m.cumulated), m.enriched, B.latest(m.daily))
+        market.sector_performance(B.month_end_changes(m.cumulated), m.enriched)
     )
 
 
