@@ -5,12 +5,12 @@ third of all ticks is many small groups.  Inside a chunk neighbours are paired
 by array functions.  The first and the last tick of each chunk, one row
 however many ticks it had, are written to a table of their own; a second
 stream reads it and links every chunk with the one before it, in a state that
-holds one tick per symbol.
+holds one tick per symbol and forgets symbols that fell silent.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,33 +27,44 @@ from tickloom.streaming.ticks import keep_last, velocity_alerts
 
 # Length of a chunk: a symbol has at most one aggregate per second.
 CHUNK = "1 minute"
+#: Files of chunk ends in one batch of the second stream.
+ENDS_PER_TRIGGER = 1000
 OUTPUT = "symbol string, ts timestamp, price double, velocity double"
 _PAIR = "symbol string, ms bigint, price double, prev_ms bigint, prev_price double"
 _STATE = "ms bigint, price double"
 
 
-def _link(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Pair the first tick of every chunk with the last one before it.
-
-    The watermark closes chunks in order, so all that arrives lies behind what
-    the state knows.
-    """
-    ends = pd.concat(list(batches)).sort_values("first_ms", ignore_index=True)
-    before = ends[["last_ms", "last_price"]].shift()
-    if state.exists:
-        before.iloc[0] = state.get
-    pairs = pd.DataFrame(
-        {
-            "symbol": key[0],
-            "ms": ends["first_ms"],
-            "price": ends["first_price"],
-            "prev_ms": before["last_ms"],
-            "prev_price": before["last_price"],
-        }
-    ).dropna(subset=["prev_ms"])
-    state.update((int(ends["last_ms"].iloc[-1]), float(ends["last_price"].iloc[-1])))
-    if len(pairs):
-        yield pairs.astype({"prev_ms": "int64"})
+def _link(retention_ms: int) -> Callable[[tuple, Iterator[pd.DataFrame], GroupState], Iterator[pd.DataFrame]]:
+    def link(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Pair the first tick of every chunk with the last one before it.
+
+        The watermark closes chunks in order, so all that arrives lies behind
+        what the state knows.  A symbol silent for longer than the retention is
+        forgotten: its next tick has no predecessor anyway.
+        """
+        if state.hasTimedOut:
+            state.remove()
+            return
+        ends = pd.concat(list(batches)).sort_values("first_ms", ignore_index=True)
+        before = ends[["last_ms", "last_price"]].shift()
+        if state.exists:
+            before.iloc[0] = state.get
+        pairs = pd.DataFrame(
+            {
+                "symbol": key[0],
+                "ms": ends["first_ms"],
+                "price": ends["first_price"],
+                "prev_ms": before["last_ms"],
+                "prev_price": before["last_price"],
+            }
+        ).dropna(subset=["prev_ms"])
+        newest = int(ends["last_ms"].iloc[-1])
+        state.update((newest, float(ends["last_price"].iloc[-1])))
+        state.setTimeoutTimestamp(max(newest + retention_ms, state.getCurrentWatermarkMs()) + 1)
+        if len(pairs):
+            yield pairs.astype({"prev_ms": "int64"})
+
+    return link
 
 
 def _tick() -> Column:
@@ -89,9 +100,17 @@ def chunk_ends(ticks: DataFrame, chunk: str = CHUNK) -> DataFrame:
     )
 
 
-def link_chunks(ends: DataFrame) -> DataFrame:
-    """Pairs over the borders of chunks, from a stream over stored chunk ends."""
-    return ends.groupBy("symbol").applyInPandasWithState(_link, _PAIR, _STATE, "append", GroupStateTimeout.NoTimeout)
+def link_chunks(ends: DataFrame, chunk: str = CHUNK, retention: str = K.VELOCITY_RETENTION) -> DataFrame:
+    """Pairs over the borders of chunks, from a stream over stored chunk ends.
+
+    Chunks are stored once their end has passed, so ends of later batches lie
+    at most a chunk behind earlier ones.
+    """
+    timed = ends.withColumn("last_time", F.timestamp_millis("last_ms")).withWatermark("last_time", chunk)
+    forget = int(pd.Timedelta(retention).total_seconds() * 1000)
+    return timed.groupBy("symbol").applyInPandasWithState(
+        _link(forget), _PAIR, _STATE, "append", GroupStateTimeout.EventTimeTimeout
+    )
 
 
 def pair_velocities(pairs: DataFrame, retention: str = K.VELOCITY_RETENTION) -> DataFrame:
@@ -132,8 +151,9 @@ def start_velocities(
     if not continuous:
         for query in first:
             query.awaitTermination()
-    stored = spark.readStream.schema(ends.schema).parquet(f"{root}/ends")
-    linked = chosen(pair_velocities(link_chunks(stored)))
+    # A backlog of chunk ends is taken in parts.
+    stored = spark.readStream.schema(ends.schema).option("maxFilesPerTrigger", ENDS_PER_TRIGGER).parquet(f"{root}/ends")
+    linked = chosen(pair_velocities(link_chunks(stored, chunk)))
     links = append_to(linked, f"{root}/links", f"{root}/progress/links", continuous)
     return [*first, links]
 
