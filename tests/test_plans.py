@@ -57,3 +57,13 @@ def test_stored_tables_equal_lazy_ones(spark, tables, tmp_path):
         assert rows(getattr(lazy, name).select(columns).orderBy(columns)) == rows(getattr(stored, name).select(columns).orderBy(columns))
     assert stored.sma.count() == lazy.daily.count()
     assert "FileScan parquet" in planned(stored.sma)
+
+
+def test_a_stored_table_is_not_written_over_itself(spark, tmp_path):
+    schema = "ticker string, name string, primary_exchange string"
+    marts = Marts({})
+    marts.__dict__["classified"] = spark.createDataFrame([("A", "a", "X")], schema)
+    marts.save("classified", str(tmp_path))
+    with pytest.raises(ValueError, match="is read from"):
+        marts.save("classified", str(tmp_path))
+    assert marts.classified.count() == 1

@@ -1,8 +1,10 @@
 """The tables of the platform, each a lazy DataFrame over the ones below it.
 
-Asking for a table composes one plan down to the sources; nothing runs before
-an action.  ``save`` stores a table and lets everything built afterwards read
-the stored copy, which is how a daily run works through the layers.
+Asking for a table composes one plan down to the sources and runs nothing,
+but for ``classified``: its ranks need the scores and the borders of their
+ranges fixed, so these are stored when it is asked for.  ``save`` stores a table and lets everything built
+afterwards read the stored copy, which is how a daily run works through the
+layers.
 """
 
 from __future__ import annotations
@@ -50,6 +52,7 @@ class Marts:
     def __init__(self, sources: Mapping[str, DataFrame], apply_split_adjustment: bool = False) -> None:
         self.sources = sources
         self.apply_split_adjustment = apply_split_adjustment
+        self._stored_at: set[str] = set()
 
     @cached_property
     def tickers(self) -> DataFrame:
@@ -142,10 +145,16 @@ class Marts:
         return indicators.macd(self.daily)
 
     def save(self, name: str, root: str, mode: str = "overwrite") -> DataFrame:
-        """Store one table under ``root`` and read it from there from now on."""
-        table: DataFrame = getattr(self, name)
+        """Store one table under ``root`` and read it from there from now on.
+
+        A table that is read from there already cannot be stored there again.
+        """
         path = f"{root.rstrip('/')}/{name}"
+        if path in self._stored_at:
+            raise ValueError(f"{name} is read from {path}; build it anew with other Marts, or store it elsewhere")
+        table: DataFrame = getattr(self, name)
         write_clustered(table, path, mode, STORED[name])
+        self._stored_at.add(path)
         stored = table.sparkSession.read.schema(table.schema).parquet(path)
         self.__dict__[name] = stored
         return stored
