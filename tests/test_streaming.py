@@ -203,3 +203,18 @@ def test_continuous_trigger(spark, feed, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_late_ticks_are_kept_apart(spark, feed, tmp_path):
+    from tickloom.streaming import late
+
+    feed.add(event("A", 0, 1.0, 1), event("A", 100, 2.0, 2))
+    feed.add(event("A", 80, 3.0, 3), event("A", 95, 4.0, 4), event("B", 200, 5.0, 5))
+    feed.add(event("A", 150, 6.0, 6))
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    parsed = feed.ticks()
+    for _ in range(2):
+        late.keep_late_apart(parsed, out, progress, "10 seconds", "60 seconds").awaitTermination()
+    assert column(late.read_routed(spark, out, "late", parsed.schema), "ingest_id", "ingest_id") == [3, 6]
+    assert column(late.read_routed(spark, out, "timely", parsed.schema), "ingest_id", "ingest_id") == [2, 5]
+    assert late.read_routed(spark, str(tmp_path / "none"), "late", parsed.schema).count() == 0

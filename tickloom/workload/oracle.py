@@ -1361,6 +1361,21 @@ oracle(
     "kept_ticks",
     "watermark",
 )
+fragment(
+    "batched_ticks",
+    """
+    SELECT t.*, (SELECT max(ts) - INTERVAL 20 DAY FROM ticks e WHERE ((e.ingest_id - 1) // 2) % 5 < n) AS bound,
+           (SELECT max(ts) - INTERVAL 25 DAY FROM ticks e WHERE ((e.ingest_id - 1) // 2) % 5 = n) AS oldest
+    FROM (SELECT *, ((ingest_id - 1) // 2) % 5 AS n FROM ticks) t
+    """,
+    "ticks",
+)
+oracle(
+    "r10_retention_stream",
+    f"SELECT symbol, ts, {r('close')}, ingest_id FROM batched_ticks WHERE coalesce(ts >= bound, true) AND ts >= oldest",
+    "batched_ticks",
+)
+oracle("r15_late_ticks_stream", "SELECT symbol, count(*) AS late FROM batched_ticks WHERE ts < bound GROUP BY 1", "batched_ticks")
 oracle(
     "r15_late_ticks",
     "SELECT symbol, count(*) AS late FROM ticks WHERE ts < (SELECT max(ts) - INTERVAL 20 DAY FROM ticks) GROUP BY 1",

@@ -21,7 +21,7 @@ from tickloom.operators import tickers as TK
 from tickloom.plans import serving
 from tickloom.session import scratch_path
 from tickloom.sources import normalize, readers, writers
-from tickloom.streaming import sinks, ticks
+from tickloom.streaming import late, sinks, ticks
 from tickloom.streaming.velocity import velocities_to_end
 from tickloom.workload.tables import Tables
 
@@ -916,6 +916,28 @@ def _(t: Tables) -> DataFrame:
     return _plain_time(sinks.run_to_end(ticks.tick_moving_average(ticks.keep_last(_parsed(t)), "6 hours", "2 hours"), "averages"))
 
 
+def _routed(t: Tables, kind: str, retention: str | None = None) -> DataFrame:
+    """The events as a stream of five batches, late ticks apart."""
+    feed, out, progress = (scratch_path(t.spark, name) for name in ("feed", "routed", "routed-progress"))
+    number = F.floor((F.col("ingest_id") - 1) / 2)
+    for batch in range(5):
+        t.tick_events.where(number % 5 == batch).coalesce(1).write.mode("append").parquet(feed)
+    stream = t.spark.readStream.schema(t.tick_events.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    parsed = ticks.parse_ticks(stream)
+    late.keep_late_apart(parsed, out, progress, "20 days", retention).awaitTermination()
+    return late.read_routed(t.spark, out, kind, parsed.schema)
+
+
+@query("r10_retention_stream")
+def _(t: Tables) -> DataFrame:
+    return _plain_time(_routed(t, "timely", "25 days").select("symbol", "ts", "close", "ingest_id"))
+
+
+@query("r15_late_ticks_stream")
+def _(t: Tables) -> DataFrame:
+    return _routed(t, "late").groupBy("symbol").agg(F.count("*").alias("late"))
+
+
 @query("r15_late_ticks")
 def _(t: Tables) -> DataFrame:
     late = ticks.late_ticks(ticks.parse_ticks(t.tick_events), "20 days")
