@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickloom import constants as K
 from tickloom.operators import bars as B
-from tickloom.operators import indicators, market, signals
+from tickloom.operators import fundamentals, indicators, market, signals
 from tickloom.operators import tickers as T
 from tickloom.plans.marts import Marts
 
@@ -108,6 +108,58 @@ def macd(
     return signals.macd_signals(table, _period(aggregation), carry=_CATEGORY).orderBy("ticker", "date")
 
 
+def _events(
+    marts: Marts, category: str | None, ticker: str | None, quarter: int | None = None, year: int | None = None
+) -> DataFrame:
+    """Earnings of reliable tickers, of a class, ticker, quarter or year if named, with the class."""
+    events = marts.earnings
+    for column, value in (("ticker", ticker), ("quarter", quarter)):
+        if value is not None:
+            events = events.where(F.col(column) == value)
+    if year is not None:
+        events = events.where(F.year("date") == year)
+    return T.in_category(events, marts.scored, category)
+
+
+def eps_surprises(
+    marts: Marts, category: str | None = None, ticker: str | None = None, quarters: int = 4
+) -> DataFrame:
+    """EPS surprise in percent over each ticker's latest quarters."""
+    latest = fundamentals.last_quarters(_events(marts, category, ticker), quarters)
+    return latest.orderBy("ticker", "quarters_back")
+
+
+def eps_performance(
+    marts: Marts,
+    category: str | None = None,
+    ticker: str | None = None,
+    quarter: int | None = None,
+    year: int | None = None,
+    days: int = 10,
+) -> DataFrame:
+    """Return since each announcement on the trading days after it."""
+    events = _events(marts, category, ticker, quarter, year)
+    found = fundamentals.normalised_performance(events, _bars_of(marts, ticker), days)
+    return found.orderBy("ticker", "date", "offset")
+
+
+def eps_correlation(
+    marts: Marts,
+    category: str | None = None,
+    ticker: str | None = None,
+    quarter: int | None = None,
+    year: int | None = None,
+    return_days: int = 5,
+) -> DataFrame:
+    """Correlation of EPS surprise and the return over some days after it."""
+    events = _events(marts, category, ticker, quarter, year)
+    return fundamentals.surprise_return_correlation(events, _bars_of(marts, ticker), return_days).orderBy("year", "quarter")
+
+
+def _bars_of(marts: Marts, ticker: str | None) -> DataFrame:
+    return marts.daily if ticker is None else marts.daily.where(F.col("ticker") == ticker)
+
+
 def market_sentiment(marts: Marts, as_of: Column) -> DataFrame:
     changes = B.month_end_changes(marts.cumulated)
     return market.market_sentiment(changes, T.leading_tickers(marts.scored), as_of)

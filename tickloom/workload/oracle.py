@@ -1589,3 +1589,58 @@ oracle(
     "sectors",
     "movers",
 )
+oracle(
+    "d5_eps_surprises",
+    f"""
+    SELECT ticker, date, quarter, {rs('"epsSurprisePercent"')}, quarters_back
+    FROM (SELECT e.*, CAST(row_number() OVER (PARTITION BY e.ticker ORDER BY date DESC, quarter DESC) AS INTEGER) AS quarters_back
+          FROM earnings e JOIN reliable r ON r.ticker = e.ticker WHERE market_cap_category = 'Mega Cap')
+    WHERE quarters_back <= 4
+    """,
+    "earnings",
+    "reliable",
+)
+oracle(
+    "d6_eps_performance",
+    f"""
+    SELECT b.ticker, b.date, CAST(b."offset" AS INTEGER) AS "offset", b.price_date, {r('b.close', 'close')},
+           {r('b.close / nullif(a.close, 0) - 1', 'performance')}
+    FROM event_bars b JOIN event_bars a ON a.ticker = b.ticker AND a.date = b.date AND a.quarter = b.quarter AND a."offset" = 0
+    WHERE b.quarter = 2 AND year(b.date) = 1997 AND b.ticker IN (SELECT ticker FROM reliable)
+    """,
+    "event_bars",
+    "reliable",
+)
+oracle(
+    "d7_eps_correlation",
+    f"""
+    SELECT CAST(year(a.date) AS INTEGER) AS year, a.quarter,
+           {r('corr(a."epsSurprisePercent", (b.close / nullif(a.close, 0) - 1) * 100)', 'correlation')}, count(*) AS events
+    FROM event_bars a JOIN event_bars b ON b.ticker = a.ticker AND b.date = a.date AND b.quarter = a.quarter AND b."offset" = 3
+    WHERE a."offset" = 0 AND a.ticker IN (SELECT ticker FROM reliable) GROUP BY 1, 2
+    """,
+    "event_bars",
+    "reliable",
+)
+fragment(
+    "last_year",
+    "SELECT d.* FROM daily d, horizon WHERE d.date >= CAST(last_day - INTERVAL 12 MONTH AS DATE)",
+    "daily",
+    "horizon",
+)
+oracle(
+    "d8_candlestick_weekly",
+    f"SELECT c.*, market_cap_category FROM ({candles_sql('last_year', 'week')}) c JOIN reliable USING (ticker)",
+    "last_year",
+    "reliable",
+)
+oracle(
+    "d9_sma_daily",
+    f"""
+    SELECT ticker, date, {rs('close', 'sma')}, signal, {rs('buy_signal', 'sell_signal')}, market_cap_category
+    FROM ({crossing(f"(SELECT ticker, date, close, sma_20 AS sma FROM daily_sma WHERE date {FROM_TO})", 'close', 'sma', 'date')})
+    JOIN reliable USING (ticker)
+    """,
+    "daily_sma",
+    "reliable",
+)

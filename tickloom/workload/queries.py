@@ -19,6 +19,7 @@ from tickloom.operators import bars as B
 from tickloom.operators import fundamentals, indicators, market, quality, signals, staging, validation
 from tickloom.operators import tickers as TK
 from tickloom.plans import serving
+from tickloom.plans.marts import Marts
 from tickloom.session import scratch_path
 from tickloom.sources import normalize, readers, writers
 from tickloom.streaming import late, sinks, ticks
@@ -1086,3 +1087,35 @@ def _(t: Tables) -> DataFrame:
         F.col("worst_stock.ticker").alias("worst_stock"),
         F.size("market_summary").alias("watched"),
     )
+
+
+def _calendar_marts(t: Tables) -> Marts:
+    """Adjusted bars, and earnings of the calendar alone."""
+    marts = Marts(t, apply_split_adjustment=True)
+    marts.__dict__["earnings"] = t.plain_marts.earnings
+    return marts
+
+
+@query("d5_eps_surprises")
+def _(t: Tables) -> DataFrame:
+    return serving.eps_surprises(_calendar_marts(t), category="Mega Cap")
+
+
+@query("d6_eps_performance")
+def _(t: Tables) -> DataFrame:
+    return serving.eps_performance(_calendar_marts(t), quarter=2, year=1997)
+
+
+@query("d7_eps_correlation")
+def _(t: Tables) -> DataFrame:
+    return serving.eps_correlation(_calendar_marts(t), return_days=3)
+
+
+@query("d8_candlestick_weekly")
+def _(t: Tables) -> DataFrame:
+    return serving.candlestick(t.marts, "last_1_year", "weekly")
+
+
+@query("d9_sma_daily")
+def _(t: Tables) -> DataFrame:
+    return serving.moving_average(t.marts, "sma", *RANGE, window=20)
