@@ -72,4 +72,10 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_maxscore, op2_substring_dedup, op3_graph_ann, op4_warc, op5_html, op6_mixing, op7_packing, op8_toxicity, op9_license, op10_jaccard_join)}
-ORACLE: dict[str, str] = {"op1_maxscore": sql.OP1, "op4_warc": sql.OP4, "op6_mixing": sql.OP6}
+ORACLE: dict[str, str] = {
+    "op1_maxscore": sql.OP1,
+    "op2_substring_dedup": sql.OP2,
+    "op4_warc": sql.OP4,
+    "op6_mixing": sql.OP6,
+    "op10_jaccard_join": sql.OP10,
+}

@@ -53,9 +53,9 @@ FROM typed
 
 OP1 = """
 WITH usable AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
   FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, x -> NOT isfinite(x))) = 0
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND list_count(embedding) = len(embedding) AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
   FROM usable q JOIN usable c ON q.vec_id <> c.vec_id
@@ -65,3 +65,45 @@ WITH usable AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
+
+OP2 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents
+), places AS (
+  SELECT r, unnest(range(1, len(words) - 33)) AS i FROM texts
+), windows AS (
+  SELECT p.r, p.i, sha256(array_to_string(t.words[p.i:p.i + 34], ' ')) AS h FROM places p JOIN texts t USING (r)
+), repeated AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM windows) WHERE n > 1
+), gone AS (
+  SELECT r, list(DISTINCT k) AS ks FROM (SELECT r, unnest(range(i, i + 35)) AS k FROM repeated) GROUP BY r
+)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(ks), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN ks IS NULL THEN words ELSE list_filter(words, lambda x, k: NOT list_contains(ks, k)) END, ' ')) AS kept_sha256
+FROM texts LEFT JOIN gone USING (r)
+"""
+
+OP10 = r"""
+WITH RECURSIVE texts AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS words
+  FROM documents
+), places AS (
+  SELECT r, unnest(range(1, greatest(len(words) - 1, 2))) AS i FROM texts WHERE len(words) > 0
+), shingles AS (
+  SELECT DISTINCT p.r, array_to_string(t.words[p.i:p.i + 2], ' ') AS s FROM places p JOIN texts t USING (r)
+), sizes AS (
+  SELECT r, count(*) AS n FROM shingles GROUP BY r
+), common AS (
+  SELECT a.r AS x, b.r AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common JOIN sizes a ON a.r = x JOIN sizes b ON b.r = y WHERE 100 * c >= 90 * (a.n + b.n - c)
+), reach AS (
+  SELECT r AS x, r AS y FROM texts
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT t.doc_id, coalesce(max(n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM texts t JOIN reach ON reach.x = t.r JOIN texts o ON o.r = reach.y LEFT JOIN sizes ON sizes.r = t.r
+GROUP BY t.r, t.doc_id
+"""
