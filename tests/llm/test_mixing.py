@@ -42,12 +42,12 @@ def reference_targets(sizes: dict) -> dict:
 def test_equal_to_sql_and_near_targets(spark):
     rows, sources = rows_and_sources()
     df = documents(spark, rows, sources)
-    found = mixing.mix_sources(Scratch(spark), df).toPandas()
+    ours = mixing.mix_sources(Scratch(spark), df)
     duck = duckdb.connect()
     duck.register("documents", df.select("doc_id", "text", "source").toArrow())
-    theirs = duck.sql(sql.OP6).df()[list(found.columns)]
-    key = lambda f: sorted(map(str, f.astype(object).where(f.notna(), None).itertuples(index=False, name=None)))
-    assert [x.replace("nan", "None") for x in key(found)] == [x.replace("nan", "None") for x in key(theirs)]
+    theirs = duck.sql(f"SELECT {', '.join(ours.columns)} FROM ({sql.OP6})").fetchall()
+    assert sorted(map(tuple, ours.collect()), key=str) == sorted(theirs, key=str)
+    found = ours.toPandas()
     sizes = {}
     for (_, text), s in zip(rows, sources, strict=True):
         sizes[s] = sizes.get(s, 0) + len(re.findall(r"[^\x20\x09-\x0d]+", text or ""))
