@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import SparseVector, VectorUDT
@@ -27,8 +26,8 @@ from tickloom.session import Scratch
 SIZES = (3, 4, 5, 6)
 HASH_BITS = 18
 #: Texts of each class that the classifier is trained on at most, and features that it keeps.
-TRAINING_ROWS = 12_000
-FEATURES = 8192
+TRAINING_ROWS = 8_000
+FEATURES = 6_000
 SMOOTHING = 1.0
 PENALTY = 1e-3
 #: Half the likelihood-ratio statistic that a feature needs, so that chance makes few.
@@ -147,20 +146,21 @@ def train(scratch: Scratch, training: DataFrame, shares: tuple[float, float] | N
     if not len(chosen):
         return Model(np.zeros(1 << HASH_BITS), float(np.log(texts[1] / texts[0])))
 
-    def vectors(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def positions(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            rows = []
-            for distinct in _presence(list(part["text"])):
-                at = np.minimum(np.searchsorted(chosen, distinct), len(chosen) - 1)
-                hit = np.unique(at[chosen[at] == distinct])
-                rows.append((hit.tolist(), ratio[hit].tolist()))
-            yield pd.DataFrame({"label": part["label"].astype(float), "at": [r[0] for r in rows], "value": [r[1] for r in rows]})
-
+            for at in range(0, part.num_rows, 64):
+                some, rows = part.slice(at, 64), []
+                for distinct in _presence(some.column("text").to_pylist()):
+                    place = np.minimum(np.searchsorted(chosen, distinct), len(chosen) - 1)
+                    rows.append(place[chosen[place] == distinct].astype(np.int32))
+                yield pa.RecordBatch.from_arrays([some.column("label").cast(pa.float64()), pa.array(rows, pa.list_(pa.int32()))], ["label", "at"])
+
+    # Stored in between, so that each job has one Python worker a task.
+    sparse = scratch.keep(training.coalesce(8).mapInArrow(positions, "label double, at array<int>"), "positions")
     size = len(chosen)
-    sparse = training.coalesce(8).mapInPandas(vectors, "label double, at array<int>, value array<double>")
-    vector = F.udf(lambda at, value: SparseVector(size, at, value), VectorUDT())
-    rows = scratch.keep(sparse.select("label", vector("at", "value").alias("features")), "features")
-    fitted = LogisticRegression(regParam=PENALTY, maxIter=60, standardization=False).fit(rows)
+    vector = F.udf(lambda at: SparseVector(size, at, ratio[at]), VectorUDT())
+    rows = sparse.select("label", vector("at").alias("features"))
+    fitted = LogisticRegression(regParam=PENALTY, maxIter=40, standardization=False).fit(rows)
     weights = np.zeros(1 << HASH_BITS)
     weights[chosen] = fitted.coefficients.toArray() * ratio
     # Classes thinned apart come back to their shares among all labelled rows.
