@@ -183,12 +183,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            known: dict[int, np.ndarray] = {}
             linked = []
-            for a, x, y in zip(*(part.column(c).to_pylist() for c in ("a", "keys_a", "keys_b")), strict=True):
-                if a not in known:
-                    known = {a: _unpack(x)}
-                one, other = known[a], _unpack(y)
+            for x, y in zip(part.column("keys_a"), part.column("keys_b"), strict=True):
+                one, other = _unpack(x.as_py()), _unpack(y.as_py())
                 at = np.minimum(np.searchsorted(one, other), len(one) - 1)
                 common = int((one[at] == other).sum())
                 linked.append(100 * common >= percent * (len(one) + len(other) - common))

@@ -31,7 +31,7 @@ END = 1
 SHARD_ITEMS = 4096
 ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 8
 #: Words kept with their ids by each worker, and the longest such.
-CACHE_WORDS, CACHE_BYTES = 500_000, 64
+CACHE_WORDS, CACHE_BYTES = 400_000, 64
 
 _tokenizers: dict[str, tuple] = {}
 
