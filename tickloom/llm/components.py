@@ -24,9 +24,10 @@ def components(scratch: Scratch, edges: DataFrame, source: str = "a", target: st
         # A smaller label found by a node is also offered to the label it had, so whole trees hook on.
         old = labels.select("node", F.col("label").alias("old"))
         offers = seen.join(old, "node").where("label < old").select(F.col("old").alias("node"), "label")
-        best = seen.unionByName(offers).unionByName(labels).groupBy("node").agg(F.min("label").alias("label"))
-        jumped = best.alias("x").join(best.select(F.col("node").alias("label"), F.col("label").alias("further")), "label", "left")
-        new = scratch.keep(jumped.select("node", F.coalesce("further", "label").alias("label")), "labels")
-        if new.join(old, "node").where("label <> old").isEmpty():
-            return new
-        labels = new
+        found = seen.unionByName(offers).withColumn("old", F.lit(None).cast("long")).unionByName(labels.select("node", "label", F.col("label").alias("old")))
+        best = found.groupBy("node").agg(F.min("label").alias("label"), F.max("old").alias("old"))
+        jumped = best.join(best.select(F.col("node").alias("label"), F.col("label").alias("further")), "label", "left")
+        new = scratch.keep(jumped.select("node", F.coalesce("further", "label").alias("label"), "old"), "labels")
+        labels = new.select("node", "label")
+        if new.where("label <> old").isEmpty():
+            return labels
