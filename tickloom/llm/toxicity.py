@@ -26,8 +26,8 @@ from tickloom.session import Scratch
 SIZES = (3, 4, 5, 6)
 HASH_BITS = 18
 #: Texts of each class that the classifier is trained on at most, and features that it keeps.
-TRAINING_ROWS = 8_000
-FEATURES = 6_000
+TRAINING_ROWS = 12_000
+FEATURES = 8192
 SMOOTHING = 1.0
 PENALTY = 1e-3
 #: Half the likelihood-ratio statistic that a feature needs, so that chance makes few.
@@ -160,7 +160,7 @@ def train(scratch: Scratch, training: DataFrame, shares: tuple[float, float] | N
     size = len(chosen)
     vector = F.udf(lambda at: SparseVector(size, at, ratio[at]), VectorUDT())
     rows = sparse.select("label", vector("at").alias("features"))
-    fitted = LogisticRegression(regParam=PENALTY, maxIter=40, standardization=False).fit(rows)
+    fitted = LogisticRegression(regParam=PENALTY, maxIter=100, standardization=False).fit(rows)
     weights = np.zeros(1 << HASH_BITS)
     weights[chosen] = fitted.coefficients.toArray() * ratio
     # Classes thinned apart come back to their shares among all labelled rows.
