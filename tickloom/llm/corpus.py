@@ -22,9 +22,9 @@ from pyspark.sql import types as T
 from tickloom.session import Scratch
 
 #: Bytes of text in a batch, and distinct fingerprints a range should hold.
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 2 << 20
 BATCH_ROWS = 1 << 16
-RANGE_ROWS = 2_000_000
+RANGE_ROWS = 1_000_000
 MOST_BITS = 18
 
 

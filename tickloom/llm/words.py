@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 
 _BASE, _WINDOW_BASE, _SECOND_BASE = 0x9E3779B97F4A7C15 | 5, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F
-_SEGMENT = 1 << 20  # bytes or words fingerprinted at a time, which bounds the memory
+_SEGMENT = 1 << 18  # bytes or words fingerprinted at a time, which bounds the memory
 
 
 def _members(ranges: list[tuple[int, int]]) -> np.ndarray:
