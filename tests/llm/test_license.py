@@ -46,6 +46,34 @@ def test_base_equal_to_brute_force_and_labels_of_the_method(spark):
     assert all(0 <= x["score"] <= 1 and set(filter(None, x["base_labels"].split(","))) <= set(x["labels"].split(",")) for x in by.values())
 
 
+def test_short_notices_are_labelled(spark):
+    expected = {
+        "Words. Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "Licensed under CC BY 4.0, more": "cc-by",
+        "cc-by-sa": "cc-by-sa",
+        "under a CC BY-NC-ND license": "cc-by-nc-nd",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.": "cc-by-nc",
+        "This work is licensed under a Creative Commons Attribution License": "cc-by",
+        "https://creativecommons.org/licenses/by-nc-sa/4.0/": "cc-by-nc-sa",
+        "# SPDX-License-Identifier: MIT": "mit",
+        "SPDX-License-Identifier: MIT-0": "mit-0",
+        "SPDX-License-Identifier: Apache-2.0 OR MIT": "apache,mit",
+        "BSD 3-Clause": "bsd",
+        "Mozilla Public License 2.0": "mpl",
+        "sent to the clerk, cc by mail": "",
+        "it is 2 or 3 clauses by 4.0": "",
+    }
+    out = L.scan_licenses(documents(spark, list(enumerate(expected)))).collect()
+    assert {list(expected)[r["doc_id"]]: r["labels"] for r in out} == expected
+    assert all((r["score"] > 0) == (r["labels"] != "") for r in out)
+
+
+def test_templates_are_a_parameter(spark):
+    df = documents(spark, [(1, "all wrongs reserved by us"), (2, "Licensed under CC BY-NC 4.0.")])
+    out = L.scan_licenses(df, templates=(("own", "all wrongs reserved", ("wrongs reserved",)),)).collect()
+    assert {r["doc_id"]: r["labels"] for r in out} == {1: "own", 2: ""}
+
+
 def test_frequencies_cover_all_texts(spark):
     df = documents(spark, [(1, "license license"), (2, "mit"), (3, "License"), (4, None)])
     idf = L.word_frequencies(df, "text")

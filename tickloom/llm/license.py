@@ -5,14 +5,16 @@ how rare they are in the corpus, counted over all texts.  A text's licence words
 highest weight are looked up in the templates' postings (word to template and position);
 postings that agree on the template's position relative to the text vote together, and the best
 placement of a template gives its score, the weighted share of its words found in place.  A
-label also needs its mandatory key phrases within the placement.  Base labels
-come from their phrases' words standing in a row, anywhere in the text.
+label also needs its mandatory key phrases within the placement, and none of them may go on as a longer
+phrase of another label ("CC BY-NC" is no CC BY).  Short notices and identifiers are templates
+that are key phrases as a whole.  Base labels come from their phrases' words standing in a row, anywhere in the text.
 """
 
 from __future__ import annotations
 
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from tickloom.llm.words import LETTERS, fingerprints, spans
 #: Phrases of the base labels.
 BASE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 #: Label, text and mandatory key phrases of each template.
-TEMPLATES = (
+LONG_TEMPLATES = (
     ("mit", "released under the mit license", ("mit license",)),
     ("mit", "licensed under the mit license", ("mit license",)),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software", ("permission is hereby granted", "free of charge")),
@@ -42,6 +44,66 @@ TEMPLATES = (
     ("cc0", "to the extent possible under law has waived all copyright and related rights to this work", ("waived all copyright and related rights",)),
     ("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software released into the public domain",)),
 )
+#: Identifiers of the SPDX list by label; those in the first table are clear without a context.
+SPDX_CLEAR = {
+    "apache": ("apache 1 1", "apache 2 0"),
+    "gpl": ("gpl 1 0", "gpl 2 0", "gpl 3 0"),
+    "lgpl": ("lgpl 2 0", "lgpl 2 1", "lgpl 3 0"),
+    "agpl": ("agpl 1 0", "agpl 3 0"),
+    "bsd": ("bsd 1 clause", "bsd 2 clause", "bsd 3 clause", "bsd 4 clause"),
+    "mpl": ("mpl 1 0", "mpl 1 1", "mpl 2 0"),
+    "epl": ("epl 1 0", "epl 2 0"),
+    "eupl": ("eupl 1 1", "eupl 1 2"),
+    "cddl": ("cddl 1 0", "cddl 1 1"),
+    "odbl": ("odbl 1 0",),
+    "cc0": ("cc0 1 0",),
+}
+SPDX_OTHER = {"mit": ("mit",), "mit-0": ("mit 0",), "isc": ("isc",), "0bsd": ("0bsd",), "unlicense": ("unlicense",), "zlib": ("zlib",), "bsl": ("bsl 1 0",), "artistic": ("artistic 1 0", "artistic 2 0"), "ofl": ("ofl 1 1",), "wtfpl": ("wtfpl",)}
+#: Names of licences as short notices have them.
+NAMES = {
+    "mit": ("mit licence", "mit licensed", "licensed under mit", "licensed under the mit", "mit or apache 2 0", "apache 2 0 or mit"),
+    "apache": ("apache licence", "licensed under apache", "apache v2"),
+    "gpl": ("general public licence", "gnu gpl", "gplv2", "gplv3", "gpl v2", "gpl v3"),
+    "lgpl": ("lesser general public license", "lesser general public licence", "gnu lgpl", "lgplv2", "lgplv3", "lgpl v2", "lgpl v3"),
+    "agpl": ("affero general public license", "affero general public licence", "gnu agpl", "agplv3", "agpl v3"),
+    "bsd": ("bsd license", "bsd licence", "1 clause bsd", "2 clause bsd", "3 clause bsd", "4 clause bsd"),
+    "isc": ("isc license", "isc licence"),
+    "0bsd": ("bsd zero clause", "zero clause bsd"),
+    "mpl": ("mozilla public license", "mozilla public licence"),
+    "epl": ("eclipse public license", "eclipse public licence"),
+    "eupl": ("european union public license", "european union public licence"),
+    "cddl": ("common development and distribution license",),
+    "odbl": ("open database license", "open database licence"),
+    "bsl": ("boost software license", "boost software licence"),
+    "zlib": ("zlib license", "zlib licence"),
+    "artistic": ("artistic license 1 0", "artistic license 2 0"),
+    "ofl": ("sil open font license", "sil open font licence"),
+    "cc0": ("under cc0", "cc0 license", "cc0 licence", "cc0 public domain dedication", "creativecommons org publicdomain zero"),
+}
+#: How each Creative Commons element is written, and the licences that they form.
+CC_ELEMENTS = {"nc": ("noncommercial", "non commercial"), "sa": ("sharealike", "share alike"), "nd": ("noderivatives", "no derivatives", "noderivs", "no derivs")}
+CC_KINDS = ((), ("sa",), ("nd",), ("nc",), ("nc", "sa"), ("nc", "nd"))
+CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
+
+
+def _short_notices() -> list[tuple[str, str]]:
+    """Labels and phrases of short notices."""
+    notices = [(label, p) for table in (SPDX_CLEAR, NAMES) for label, phrases in table.items() for p in phrases]
+    notices += [(label, f"spdx license identifier {p}") for table in (SPDX_CLEAR, SPDX_OTHER) for label, phrases in table.items() for p in phrases]
+    for kind in CC_KINDS:
+        label, short = "-".join(("cc-by", *kind)), " ".join(("cc by", *kind))
+        names = [" ".join(("creative commons attribution", *n)) for n in product(*(CC_ELEMENTS[e] for e in kind))]
+        notices.append((label, " ".join(("creativecommons org licenses by", *kind))))
+        # "cc by" alone can be anything, so it needs a version or a context; the longer kinds have both too, for their key phrases to go on from those.
+        notices += [(label, f"{before} {x}") for x in (short, *names) for before in ("under", "under a", "under the", "license", "licence")]
+        notices += [(label, f"{x} {after}") for x in (short, *names) for after in (*CC_VERSIONS, "license", "licence", "international")]
+        if kind:
+            notices += [(label, x) for x in (short, *names)]
+    return list(dict.fromkeys(notices))
+
+
+#: Label, text and mandatory key phrases of every template.
+TEMPLATES = (*LONG_TEMPLATES, *((label, p, (p,)) for label, p in _short_notices()))
 #: A placement counts from this weighted share of its template's words.
 LEAST_SCORE = 0.8
 #: Words of a template, by weight, whose postings are looked up.
@@ -57,8 +119,8 @@ def _prints(words: list[str]) -> np.ndarray:
 class Index:
     """Templates by word: postings, weights, phrases."""
 
-    def __init__(self, idf: dict[str, float]):
-        self.words = sorted({w for _, text, _ in TEMPLATES for w in text.split()} | {w for p, _ in BASE_PHRASES for w in p.split()})
+    def __init__(self, idf: dict[str, float], templates: Sequence[tuple[str, str, Sequence[str]]] = TEMPLATES):
+        self.words = sorted({w for _, text, phrases in templates for x in (text, *phrases) for w in x.split()} | {w for p, _ in BASE_PHRASES for w in p.split()})
         self.number = {w: i for i, w in enumerate(self.words)}
         prints = _prints(self.words)
         self.order = np.argsort(prints)
@@ -67,13 +129,26 @@ class Index:
         self.screen = np.zeros(1 << 16, bool)
         self.screen[(self.prints >> np.uint64(48)).astype(np.int64)] = True
         self.weight = np.array([idf.get(w, 1.0) for w in self.words])
-        self.templates = [np.array([self.number[w] for w in text.split()]) for _, text, _ in TEMPLATES]
+        self.labels = [label for label, _, _ in templates]
+        self.templates = [np.array([self.number[w] for w in text.split()]) for _, text, _ in templates]
         self.totals = [float(self.weight[t].sum()) for t in self.templates]
-        self.phrases = [[[self.number[w] for w in p.split()] for p in phrases] for _, _, phrases in TEMPLATES]
+        self.phrases = [[[self.number[w] for w in p.split()] for p in phrases] for _, _, phrases in templates]
+        #: By label and phrase, how phrases of other labels go on from it.
+        self.longer: dict[tuple[str, tuple[int, ...]], list[list[int]]] = defaultdict(list)
+        starts: dict[tuple[int, ...], set[str]] = defaultdict(set)
+        for label, phrases in zip(self.labels, self.phrases, strict=True):
+            for p in phrases:
+                starts[tuple(p)].add(label)
+        for p, others in starts.items():
+            for k in range(1, len(p)):
+                for label in starts.get(p[:k], set()) - others:
+                    self.longer[label, p[:k]].append(list(p[k:]))
         self.base = [([self.number[w] for w in p.split()], label) for p, label in BASE_PHRASES]
         self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for t, words in enumerate(self.templates):
-            rare = sorted(set(words.tolist()), key=lambda w: (-self.weight[w], self.words[w]))[:RARE_WORDS]
+            # Where all words are mandatory, the rarest is enough.
+            most = 1 if words.tolist() in self.phrases[t] else RARE_WORDS
+            rare = sorted(set(words.tolist()), key=lambda w: (-self.weight[w], self.words[w]))[:most]
             for position, w in enumerate(words.tolist()):
                 if w in rare:
                     self.postings[w].append((t, position))
@@ -85,6 +160,13 @@ class Index:
         hit = self.prints[place] == prints[at]
         return at[hit], self.order[place[hit]]
 
+    def _stands(self, where: dict[int, int], label: str, phrase: list[int], at: int) -> bool:
+        """Whether a key phrase of a label stands at a place, and not as the beginning of another label's."""
+        if any(where.get(at + j) != w for j, w in enumerate(phrase)):
+            return False
+        end = at + len(phrase)
+        return not any(all(where.get(end + j) == w for j, w in enumerate(rest)) for rest in self.longer.get((label, tuple(phrase)), ()))
+
     def scan(self, positions: np.ndarray, numbers: np.ndarray) -> dict:
         """Base places and labels, and the method's labels and best score, of one text's licence words."""
         where = dict(zip(positions.tolist(), numbers.tolist(), strict=True))
@@ -100,9 +182,9 @@ class Index:
             words = self.templates[t].tolist()
             found = [where.get(shift + k) == w for k, w in enumerate(words)]
             score = float(self.weight[self.templates[t]][found].sum()) / self.totals[t]
-            inside = all(any(all(where.get(shift + k + j) == w for j, w in enumerate(p)) for k in range(len(words) - len(p) + 1)) for p in self.phrases[t])
+            inside = all(any(self._stands(where, self.labels[t], p, shift + k) for k in range(len(words) - len(p) + 1)) for p in self.phrases[t])
             if score >= LEAST_SCORE and inside:
-                labels.add(TEMPLATES[t][0])
+                labels.add(self.labels[t])
                 best = max(best, score)
         return {"base": base, "labels": labels, "score": max(best, 1.0 if base else 0.0) if not labels else best}
 
@@ -127,12 +209,12 @@ def _slices(values: list[bytes | None], most: int = 4 << 20) -> Iterator[list[by
         yield held
 
 
-def word_frequencies(df: DataFrame, text: str) -> dict[str, float]:
+def word_frequencies(df: DataFrame, text: str, templates: Sequence[tuple[str, str, Sequence[str]]] = TEMPLATES) -> dict[str, float]:
     """Inverse document frequencies of the licence words over all texts.
 
     Each task counts into as many numbers as there are licence words, so what is summed is of fixed size.
     """
-    plain = Index({})
+    plain = Index({}, templates)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, texts = np.zeros(len(plain.words), np.int64), 0
@@ -153,15 +235,15 @@ def word_frequencies(df: DataFrame, text: str) -> dict[str, float]:
     return {w: float(np.log((1 + total) / (1 + known.get(i, 0))) + 1) for i, w in enumerate(plain.words)}
 
 
-def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
+def scan_licenses(df: DataFrame, text: str = "text", templates: Sequence[tuple[str, str, Sequence[str]]] = TEMPLATES) -> DataFrame:
     """``df`` without its text, with ``n_words``, ``n_base`` (places of base phrases), ``first_word`` and ``last_word``
     (their smallest and largest start), ``base_labels``, ``labels`` and ``score``.
 
     Words are runs of ASCII letters and digits and of everything beyond ASCII, A-Z as a-z.  Null and empty texts have none; labels are then
     empty strings and the score 0.  The score is the best placement's weighted share of a template; with base places but no placement it is 1,
-    as phrases stand whole.  Result columns replace columns of their names, other columns pass through.
+    as phrases stand whole.  ``templates`` have a label, their text and its mandatory key phrases, in lower-case words with single spaces.  Result columns replace columns of their names, other columns pass through.
     """
-    idf = word_frequencies(df, text)
+    idf = word_frequencies(df, text, templates)
     results = [
         T.StructField("n_words", T.LongType()),
         T.StructField("n_base", T.LongType()),
@@ -176,7 +258,7 @@ def scan_licenses(df: DataFrame, text: str = "text") -> DataFrame:
     kept = [f.name for f in held]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(idf)
+        index = Index(idf, templates)
         for part in parts:
             out: dict[str, list] = {r.name: [] for r in results}
             for values in _slices(part.column("text to scan").to_pylist()):
