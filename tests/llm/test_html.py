@@ -34,6 +34,28 @@ def test_broken_markup():
     assert H.extract(deep, None) == WORDS.strip()
 
 
+def test_title_lead_and_sections_of_an_article_stay():
+    w = WORDS.strip()
+    long = (WORDS * 6).strip()
+    sections = page(f"<article><h1>Title</h1><p>Lead. {WORDS}</p><section><p>{WORDS * 6}</p></section><section class='b'><p>{WORDS * 6}</p></section></article>")
+    assert H.extract(sections, None) == f"Title\nLead. {w}\n{long}\n{long}"
+    wrapped = page(f"<main><h1>Title</h1><article><h2><a href='/'>Linked</a></h2><div class='x'><div class='body'><p>{WORDS * 6}</p></div></div></article></main>")
+    assert H.extract(wrapped, None) == f"Title\nLinked\n{long}"
+    quoted = page(f"<div class='text'><p>Lead. {WORDS}</p><blockquote><p>{WORDS * 6}</p></blockquote><table><tr><td>{WORDS * 2}</td></tr></table><p>{WORDS}</p></div><div class='box'><p>{WORDS}</p></div>")
+    assert H.extract(quoted, None) == f"Lead. {w}\n{long}\n{(WORDS * 2).strip()}\n{w}"
+    # What stands beside in other containers is not drawn in for a few words.
+    beside = page(f"Some line<div class='text'><p>{WORDS * 6}</p></div><div class='box'><p>{WORDS}</p></div>")
+    assert H.extract(beside, None) == long
+
+
+def test_host_path_that_covers_little_of_an_article():
+    w, long = WORDS.strip(), (WORDS * 6).strip()
+    short = page(f"<article><h1>Title</h1><p>{WORDS * 6}</p><section><p>{WORDS}</p></section></article>")
+    assert H.extract(short, "/html/body/article/section") == f"Title\n{long}\n{w}"
+    divs = page(f"<div class='post'><p>{WORDS * 6}</p><div class='body'><p>{WORDS}</p></div><div class='x'><p>{WORDS * 8}</p></div></div>")
+    assert H.extract(divs, "/html/body/div.post/div.body").startswith(f"{long}\n{w}")
+
+
 def test_host_consensus_overrides_a_page(spark):
     usual = [page(f"<div class='main-{i}'><p>{WORDS * 6}</p></div><div class='box'><p>{WORDS}</p></div>") for i in range(5)]
     odd = page(f"<div class='main-9'><p>Short text of this page.</p></div><div class='box'><p>{WORDS * 6}</p></div>")

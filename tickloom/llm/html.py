@@ -1,10 +1,12 @@
 """Main text of web pages by consensus host paths.
 
 Each page's containers are scored by the prose that stands directly in them and in their paragraphs.
-The path of a page's best container, tags with classes from the root, generalised so that
+From the best one the choice climbs to the article around it, or to a container that holds it with prose of
+its own, so titles, leads and further sections stay.  The path of a page's container, tags with classes from the root, generalised so that
 numbers in classes and ids don't matter, is a vote of its host.  Votes are summed in Spark; where the winning
 path of its host is on a page, the text is taken from there, whatever the page itself prefers, so a
-page with a long sidebar or little text is read as its host's others are.  Elsewhere a page's own best container counts.
+page with a long sidebar or little text is read as its host's others are; from there it climbs on that page as well.  Elsewhere, and
+where the page's own container lies around the host's and directly holds more than that covers, the page's own counts.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ INSIDE_WORDS = re.compile(r"(?:^|[^a-z])(?:content|article|main|post|entry|story
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _LIMITS = frozenset("ul ol dl table body html article section main div".split())
 _CONTAINERS = frozenset("article main section div td body html blockquote center".split())
+#: Containers that are parts of what they stand in.
+_PARTS = frozenset("section blockquote center".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|([^\s=/>\"']+)")
@@ -143,40 +147,110 @@ def _prose(text: str) -> float:
     return words + 2 * (text.count(".") + text.count(",")) if words > 3 else 0.2 * words
 
 
-def score_containers(root: Node) -> dict[str, float]:
-    """Score of every container path on the page.
+@dataclass(eq=False)
+class Containers:
+    """What the containers of a page hold, by path."""
+
+    scores: dict[str, float]
+    #: Prose directly in them, without links, and all below them, with links.
+    own: dict[str, float]
+    every: dict[str, float]
+    tags: dict[str, str]
+    parents: dict[str, str | None]
+    #: Paths of the containers that stand in them.
+    children: dict[str, list[str]]
+
+    def above(self, path: str) -> Iterator[str]:
+        """Paths of the containers around one, from the inside."""
+        around = self.parents.get(path)
+        while around is not None:
+            yield around
+            around = self.parents[around]
+
+    def _climb_once(self, path: str) -> str | None:
+        around = list(self.above(path))
+        if self.tags[path] not in ("article", "main"):
+            article = next((p for p in around if self.tags[p] == "article"), None)
+            article = article or next((p for p in around if self.tags[p] == "main" and self.own.get(p)), None)
+            if article is not None:
+                return article
+        elif self.tags[path] == "main":
+            return None
+        # What a container adds must be its own prose and its other parts rather than what stands in others.
+        gain, strange, below = 0.0, 0.0, path
+        for p in around:
+            whole = self.tags[p] in ("body", "html")
+            gain += self.own.get(p, 0.0)
+            for other in self.children[p]:
+                if other != below:
+                    if self.tags[other] in _PARTS and not whole:
+                        gain += self.every[other]
+                    else:
+                        strange += self.every[other]
+            # An article is only left for the main element around it.
+            if gain > 0 and strange <= gain and (self.tags[path] != "article" or self.tags[p] == "main"):
+                return p
+            below = p
+        return None
+
+    def climb(self, path: str) -> str:
+        """The path of the container to take for one: the article around it, or what holds it with prose of its own."""
+        while path in self.tags and (higher := self._climb_once(path)) is not None:
+            path = higher
+        return path
+
+
+def measure(root: Node) -> Containers:
+    """Scores and contents of every container path on the page.
 
     Prose counts for the container it stands in and, less, for that one's container; links don't count.
     """
     scores: dict[str, float] = {}
+    own: dict[str, float] = {}
+    every: dict[str, float] = {}
+    tags: dict[str, str] = {}
+    parents: dict[str, str | None] = {}
     stack: list[tuple[Node, Node | None, bool]] = [(root, None, False)]
     while stack:
         node, container, linked = stack.pop()
         if node.outside:
             continue
         inside = node if node.tag in _CONTAINERS else container
+        if inside is node and node.path not in tags:
+            tags[node.path] = node.tag
+            parents[node.path] = container.path if container is not None else None
+            every[node.path] = 0.0
         for part in node.parts:
             if isinstance(part, Node):
                 stack.append((part, inside, linked or node.tag == "a"))
-            elif inside is not None and not linked and node.tag != "a":
-                value = _prose(part)
-                if value:
+            elif inside is not None and (value := _prose(part)):
+                every[inside.path] += value
+                if not linked and node.tag != "a":
+                    own[inside.path] = own.get(inside.path, 0.0) + value
                     scores[inside.path] = scores.get(inside.path, 0.0) + value
                     above = inside.parent
                     while above is not None and above.tag not in _CONTAINERS:
                         above = above.parent
                     if above is not None and above.path != inside.path:
                         scores[above.path] = scores.get(above.path, 0.0) + value / 2
+    # Paths around others come before them.
+    children: dict[str, list[str]] = {p: [] for p in tags}
+    for p in reversed(tags):
+        if parents[p] is not None:
+            every[parents[p]] += every[p]
+            children[parents[p]].append(p)
     # An article's own element wins over equally good ones.
-    return {p: s * (1.25 if p.rpartition("/")[2].split(".")[0] in ("article", "main") else 1.0) for p, s in scores.items()}
+    scores = {p: s * (1.25 if p.rpartition("/")[2].split(".")[0] in ("article", "main") else 1.0) for p, s in scores.items()}
+    return Containers(scores, own, every, tags, parents, children)
 
 
-def best_path(root: Node) -> tuple[str | None, float]:
-    scores = score_containers(root)
+def best_path(found: Containers) -> tuple[str | None, float]:
+    """The path that the page is read from, and the score of its best container."""
+    scores = found.scores
     if not scores:
         return None, 0.0
     path = min(scores, key=lambda p: (-scores[p], len(p), p))
-    return path, scores[path]
+    return found.climb(path), scores[path]
 
 
 def _blocks(node: Node, out: list[list[str]]) -> None:
@@ -222,9 +296,14 @@ def text_at(root: Node, path: str | None) -> str | None:
 def extract(page: str, path: str | None) -> str:
     """The main text of a page, by its host's path if the page has it."""
     root = parse(page)
+    found = measure(root)
+    own = best_path(found)[0]
+    if path in found.tags:
+        path = found.climb(path)
+        if own in found.above(path) and found.own.get(own, 0.0) > found.every[path]:
+            path = own
     text = text_at(root, path) if path is not None else None
     if text is None:
-        own = best_path(root)[0]
         text = text_at(root, own) if own is not None else None
     if text is None:
         # No container at all: everything that isn't outside.
@@ -243,7 +322,7 @@ def host_paths(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            votes = [best_path(parse(page or "")) for page in part.column("html").to_pylist()]
+            votes = [best_path(measure(parse(page or ""))) for page in part.column("html").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("host"), pa.array([p for p, _ in votes], pa.string()), pa.array([s for _, s in votes], pa.float64())], ["host", "path", "score"]
             )
