@@ -153,6 +153,18 @@ def test_velocity_stream_orders_and_links_batches(spark, feed, chunk):
     ]
 
 
+def test_velocity_takes_the_files_of_a_batch_together(spark, feed, tmp_path, monkeypatch):
+    monkeypatch.setattr("tickloom.streaming.velocity.ENDS_PER_TRIGGER", 1, raising=False)
+    symbols = "ABCDEFGHIJKL"
+    feed.add(*(event(s, 600 * k + i, 100.0 + k, 100 * i + k) for i, s in enumerate(symbols) for k in range(5))).add(event("Z", 100_000, 1.0, 5000))
+    root = str(tmp_path / "velocity")
+    for query in start_velocities(feed.ticks("10 seconds"), root):
+        query.awaitTermination()
+    assert len(list((tmp_path / "velocity" / "ends").glob("*.parquet"))) > 2
+    got = rows(read_velocities(spark, root).select("symbol", "ts"), "symbol", "ts")
+    assert got == [(s, at(600 * k + i)) for i, s in enumerate(symbols) for k in range(1, 5)]
+
+
 def test_velocity_goes_on_where_it_stopped(spark, feed, tmp_path):
     root = str(tmp_path / "velocity")
     feed.add(event("A", 0, 100.0, 1)).add(event("B", 100, 1.0, 2))

@@ -27,8 +27,6 @@ from tickloom.streaming.ticks import keep_last, velocity_alerts
 
 # Length of a chunk: a symbol has at most one aggregate per second.
 CHUNK = "1 minute"
-#: Files of chunk ends in one batch of the second stream.
-ENDS_PER_TRIGGER = 1000
 OUTPUT = "symbol string, ts timestamp, price double, velocity double"
 _PAIR = "symbol string, ms bigint, price double, prev_ms bigint, prev_price double"
 _STATE = "ms bigint, price double"
@@ -104,7 +102,8 @@ def link_chunks(ends: DataFrame, chunk: str = CHUNK, retention: str = K.VELOCITY
     """Pairs over the borders of chunks, from a stream over stored chunk ends.
 
     Chunks are stored once their end has passed, so ends of later batches lie
-    at most a chunk behind earlier ones.
+    at most a chunk behind earlier ones.  That holds for whole stored batches
+    only: within one, every file has other symbols and all times.
     """
     timed = ends.withColumn("last_time", F.timestamp_millis("last_ms")).withWatermark("last_time", chunk)
     forget = int(pd.Timedelta(retention).total_seconds() * 1000)
@@ -151,8 +150,8 @@ def start_velocities(
     if not continuous:
         for query in first:
             query.awaitTermination()
-    # A backlog of chunk ends is taken in parts.
-    stored = spark.readStream.schema(ends.schema).option("maxFilesPerTrigger", ENDS_PER_TRIGGER).parquet(f"{root}/ends")
+    # No limit of files: the sink's log shows a batch's files together, and they must be taken together.
+    stored = spark.readStream.schema(ends.schema).parquet(f"{root}/ends")
     linked = chosen(pair_velocities(link_chunks(stored, chunk)))
     links = append_to(linked, f"{root}/links", f"{root}/progress/links", continuous)
     return [*first, links]
