@@ -230,3 +230,24 @@ def test_late_ticks_are_kept_apart(spark, feed, tmp_path):
     assert column(late.read_routed(spark, out, "late", parsed.schema), "ingest_id", "ingest_id") == [3, 6]
     assert column(late.read_routed(spark, out, "timely", parsed.schema), "ingest_id", "ingest_id") == [2, 5]
     assert late.read_routed(spark, str(tmp_path / "none"), "late", parsed.schema).count() == 0
+
+
+def test_routed_events_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from tickloom.workload import queries
+
+    monkeypatch.setattr(queries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    days = [(i * 7) % 50 for i in range(40)]
+    events = [event("A", 86_400.0 * d, 1.0, i + 1) for i, d in enumerate(days)]
+    schema = S.read_events(spark, "json", path=str(tmp_path)).schema
+    df = spark.createDataFrame([tuple(e.get(n) for n in schema.names) for e in events], schema).repartition(4)
+    got = queries._routed(SimpleNamespace(spark=spark, tick_events=df), "late")
+    expected, newest = [], None
+    for batch in range(5):
+        part = [(i + 1, d) for i, d in enumerate(days) if i // 2 % 5 == batch]
+        expected += [i for i, d in part if newest is not None and d < newest - 20]
+        newest = max([d for _, d in part] + ([newest] if newest is not None else []))
+    assert expected and column(got, "ingest_id", "ingest_id") == sorted(expected)
+    assert len(list((tmp_path / "feed").glob("*.parquet"))) > 5
+    assert len(list((tmp_path / "routed" / "newest").glob("batch_id=*"))) == 5

@@ -922,10 +922,10 @@ def _routed(t: Tables, kind: str, retention: str | None = None) -> DataFrame:
     feed, out, progress = (scratch_path(t.spark, name) for name in ("feed", "routed", "routed-progress"))
     number = F.floor((F.col("ingest_id") - 1) / 2)
     for batch in range(5):
-        t.tick_events.where(number % 5 == batch).coalesce(1).write.mode("append").parquet(feed)
-    stream = t.spark.readStream.schema(t.tick_events.schema).option("maxFilesPerTrigger", 1).parquet(feed)
-    parsed = ticks.parse_ticks(stream)
-    late.keep_late_apart(parsed, out, progress, "20 days", retention).awaitTermination()
+        # All files written since the last run are one batch.
+        t.tick_events.where(number % 5 == batch).write.mode("append").parquet(feed)
+        parsed = ticks.parse_ticks(t.spark.readStream.schema(t.tick_events.schema).parquet(feed))
+        late.keep_late_apart(parsed, out, progress, "20 days", retention).awaitTermination()
     return late.read_routed(t.spark, out, kind, parsed.schema)
 
 
