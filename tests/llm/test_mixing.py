@@ -75,3 +75,24 @@ def test_no_rows_and_no_words(spark):
     assert mixing.mix_sources(Scratch(spark), documents(spark, [])).collect() == []
     only = mixing.mix_sources(Scratch(spark), documents(spark, [(1, None), (2, "")])).collect()
     assert [(r["size"], r["taken"], r["target"]) for r in only] == [(0, 0, 0.0)] * 2
+
+
+def test_many_sources_are_numbered_in_ranges(spark):
+    r = random.Random(3)
+    sizes = {f"s{i}": r.randrange(0, 2000) for i in range(1500)} | {None: 40, "": 0, "large": 3_000_000}
+    totals = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(coalesce)
+    spark.conf.set(coalesce, "false")
+    try:
+        with Scratch(spark) as scratch:
+            found = mixing.targets(scratch, totals, 150, 2)
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            got = {x["source"]: x["target"] for x in found.collect()}
+            ranges = [spark.read.parquet(p).select("range").distinct().count() for p in scratch.paths if "ranges" in p]
+    finally:
+        spark.conf.set(coalesce, before)
+    assert got == pytest.approx(reference_targets(sizes))
+    assert len(ranges) == 2 and min(ranges) > 1
+    # No window over the sources is without a partition.
+    assert "Window" not in plan

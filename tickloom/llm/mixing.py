@@ -31,27 +31,43 @@ def row_hash(key: str, text: str) -> Column:
     return F.conv(F.substring(F.md5(both), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def targets(totals: DataFrame, budget_percent: int, cap: int, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
+def _sums_before(scratch: Scratch, rows: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """``rows`` with sums over all rows before each in a total order.
+
+    Rows are range-partitioned and summed up within ranges; only totals, a row per range, pass through one task.
+    """
+    # Range borders are sampled: stored, so rows and totals see the same.
+    ranged = scratch.keep(rows.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "ranges")
+    earlier = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = ranged.select("*", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{n} inside") for n, c in sums.items()])
+    totals = ranged.groupBy("range").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    across = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("range", *[F.coalesce(F.sum(n).over(across), F.lit(0)).alias(f"{n} offset") for n in sums])
+    return inside.join(offsets, "range").select(*rows.columns, *[(F.col(f"{n} inside") + F.col(f"{n} offset")).alias(n) for n in sums])
+
+
+def targets(scratch: Scratch, totals: DataFrame, budget_percent: int, cap: int, weights: tuple[float, ...] = WEIGHTS) -> DataFrame:
     """Targets of the sources, from ``source`` and ``source_size``.
 
     Weights repeat over the sources by code point, null last.  All have a common level per weight, but where
     that is above ``cap`` times a source's size it stops there, which is what resharing the excess until none is
     above ends in: by size for its weight, sources are capped while the level that the rest would get is no less.
-    There is a row per source, so these windows see the catalogue of sources, not the corpus.
+    Sources may be as many as rows, so they are numbered and summed up in ranges.
     """
-    number = F.row_number().over(Window.orderBy(F.col("source").isNull(), "source")) - 1
-    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (number % len(weights) + 1).cast("int"))
-    placed = totals.withColumn("weight", weight).withColumn("limit", F.col("source_size") * float(cap))
+    by_source = [F.col("source").isNull().asc(), F.col("source").asc()]
+    numbered = _sums_before(scratch, totals, by_source, {"number": F.lit(1)})
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("number") % len(weights) + 1).cast("int"))
+    placed = numbered.withColumn("weight", weight).drop("number").withColumn("limit", F.col("source_size") * float(cap))
     placed = placed.withColumn("ratio", F.col("limit") / F.col("weight"))
-    before = Window.orderBy("ratio", F.col("source").isNull(), "source").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy()
-    budget = F.sum("source_size").over(whole) * float(budget_percent) / 100.0
-    left = budget - F.coalesce(F.sum("limit").over(before), F.lit(0.0))
-    weight_left = F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0))
+    placed = _sums_before(scratch, placed, [F.col("ratio").asc(), *by_source], {"limit_before": F.col("limit"), "weight_before": F.col("weight")})
+    placed = scratch.keep(placed, "placed")
+    budget = placed.select(F.sum("source_size")).scalar() * float(budget_percent) / 100.0
+    left = budget - F.col("limit_before")
+    weight_left = placed.select(F.sum("weight")).scalar() - F.col("weight_before")
     levels = placed.withColumn("level", left / weight_left)
     # The first source whose limit is above the level sets the level of all after it.
-    first = F.min(F.when(F.col("ratio") > F.col("level"), F.struct("ratio", "level"))).over(whole)
-    found = levels.withColumn("common", first["level"])
+    first = levels.select(F.min(F.when(F.col("ratio") > F.col("level"), F.struct("ratio", "level")))["level"]).scalar()
+    found = levels.withColumn("common", first)
     return found.select("source", "source_size", F.coalesce(F.least("limit", F.col("common") * F.col("weight")), F.col("limit")).alias("target"))
 
 
@@ -93,7 +109,7 @@ def plan_mix(
     )
     rows = scratch.keep(rows.withColumn("number", _number("source")), "sizes")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = targets(totals, budget_percent, cap, weights)
+    plan = targets(scratch, totals, budget_percent, cap, weights)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     plan = plan.withColumn("whole", whole).withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
     plan = scratch.keep(plan.withColumn("number", _number("source")), "targets")
