@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import graph_ann, html, jaccard, license, maxscore, mixing, packing, sql, substring, toxicity, warc
+from tickloom.llm import align, graph_ann, html, jaccard, license, maxscore, mixing, packing, runs, secret_scan, sql, substring, toxicity, warc
 from tickloom.session import Scratch
 
 
@@ -71,7 +71,71 @@ def op10_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return groups.select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_maxscore, op2_substring_dedup, op3_graph_ann, op4_warc, op5_html, op6_mixing, op7_packing, op8_toxicity, op9_license, op10_jaccard_join)}
+def planted_periods(documents: DataFrame) -> DataFrame:
+    """Documents of which about a tenth, by checksum of the id, repeat a stretch of their words to the end.
+
+    With h = crc32 of the decimal ``doc_id``, g = h / 10 and n words, where h divides by ten: from word a = g mod n on, word i
+    becomes word a + (i - a) mod p, p = 1 + (n - a) / (3 + g mod 8).  Rows without a text or an id stay as they are.
+    """
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    picked = documents.withColumn("g", F.when(h % 10 == 0, F.floor(h / 10))).withColumn("words", F.when(F.col("g").isNotNull(), words))
+    n = F.size("words")
+    a = F.when(n > 0, F.expr("g % size(words)").cast("int"))
+    placed = picked.withColumn("a", a).withColumn("p", (1 + F.expr("(size(words) - a) div (3 + g % 8)")).cast("int"))
+    rewritten = F.expr("array_join(transform(words, (w, i) -> IF(i < a, w, words[a + (i - a) % p])), ' ')")
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), rewritten).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.find_runs(planted_periods(_read(spark, folder, "documents").select("doc_id", "text")))
+    best = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("collapsed", F.lit("")), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return align.align(Scratch(spark), _read(spark, folder, "documents").select("doc_id", "text"))
+
+
+def op13_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan_secrets(_read(spark, folder, "documents").select("doc_id", "text"))
+    written = "array_join(transform({0}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    return found.withColumn("base", F.expr("filter(secrets, s -> s.kind IN ('assign', 'access', 'hex'))")).select(
+        "doc_id",
+        *[F.size(F.expr(f"filter(secrets, s -> s.kind = '{k}')")).cast("long").alias(f"n_{k}") for k in secret_scan.KINDS],
+        F.sha2(F.expr(written.format("base")), 256).alias("base_sha256"),
+        F.expr(written.format("secrets")).alias("spans"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_maxscore,
+        op2_substring_dedup,
+        op3_graph_ann,
+        op4_warc,
+        op5_html,
+        op6_mixing,
+        op7_packing,
+        op8_toxicity,
+        op9_license,
+        op10_jaccard_join,
+        op11_periodic_runs,
+        op12_alignment,
+        op13_secrets,
+    )
+}
 ORACLE: dict[str, str] = {
     "op1_maxscore": sql.OP1,
     "op2_substring_dedup": sql.OP2,
