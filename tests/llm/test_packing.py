@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import math
 import random
 import zlib
@@ -73,3 +74,42 @@ def test_evolution_beats_or_equals_one_best_fit_and_takes_elites():
     again = packing.evolve(lengths, [best], 2, 100)
     assert again.max() + 1 <= best.max() + 1
     assert len(packing.evolve(np.array([5]), [], 0, 100)) == 1
+
+
+def test_merging_by_rank_gives_the_ids_of_merging_by_pair():
+    """Each token's last merge is the listed one, so that equal ranks are reached in the same way in any word."""
+    with open(packing.default_tokenizer(), encoding="utf-8") as file:
+        model = json.load(file)["model"]
+    ranks = packing.ranks_of(model)
+    assert len(ranks) == 512 + len(model["merges"])
+    by_id = {rank: token for token, rank in ranks.items()}
+    tokenizer = packing.WordTokenizer(packing.default_tokenizer())
+    assert tokenizer.merge is not None
+    suffix = model["end_of_word_suffix"]
+    for i, merge in enumerate(model["merges"]):
+        pair = merge.split(" ") if isinstance(merge, str) else merge
+        parts = [bytes([b]) for b in by_id[512 + i]]
+        if parts[-1] == b"\xff" and pair[1].endswith(suffix):
+            parts[-2:] = [parts[-2] + parts[-1]]
+        while len(parts) > 2:
+            best = min(range(len(parts) - 1), key=lambda k: ranks.get(parts[k] + parts[k + 1], 1 << 30))
+            assert ranks[parts[best] + parts[best + 1]] < 512 + i
+            parts[best : best + 2] = [parts[best] + parts[best + 1]]
+        assert [ranks[p] for p in parts] == [model["vocab"][p] for p in pair], merge
+
+
+def test_words_equal_the_library(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 50)
+    tokenizer = packing.WordTokenizer(packing.default_tokenizer())
+    r = random.Random(9)
+    letters = "abcdefgstv'éÉñßÅǆǅİıſΣς汉😀0129²½-_.,;:!?¿¡«»—…<|>\u0301\u00a0\u2028\x1c\x85\u3000KÅ"
+    words = ["".join(r.choice(letters) for _ in range(r.randrange(1, 14))) for _ in range(4000)]
+    words += ["<|endoftext|>", "x<|startoftext|>y", "<|endoftext|", "don't", "'S", "ΟΔΟΣ", "ﬁne", "x" * 3000, "Ångström", "naïveté,"]
+    plain = sum(tokenizer._plainly(w) is not None for w in words)
+    assert 0 < plain < len(words)
+    for word in words:
+        whole = tokenizer.full.encode(word, add_special_tokens=False).ids
+        assert np.frombuffer(tokenizer.word_bytes(word.encode()), "<u4").tolist() == whole, word
+    text = " ".join(words)
+    ids = np.frombuffer(tokenizer.token_bytes(text.encode()), "<u4").tolist()
+    assert ids == [*tokenizer.full.encode(text, add_special_tokens=False).ids, packing.END] and len(tokenizer.known) <= 50

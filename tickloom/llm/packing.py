@@ -11,10 +11,14 @@ room of about one bin each, so more data means more shards, not larger ones.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -23,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.llm.corpus import release
+from tickloom.llm.rowwise import slices
 from tickloom.session import Scratch
 
 LENGTH = 4096
@@ -31,9 +37,11 @@ END = 1
 SHARD_ITEMS = 4096
 ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 8
 #: Words kept with their ids by each worker, and the longest such.
-CACHE_WORDS, CACHE_BYTES = 400_000, 64
+CACHE_WORDS, CACHE_BYTES = 200_000, 64
 
-_tokenizers: dict[str, tuple] = {}
+#: Letters and marks beyond ASCII of words that are cut here; each is its own composed form, in every version of Unicode.
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u024f"
+_PLAIN = re.compile(f"[!-~{_LETTERS}¡¿«»‘’“”–—…]+")
 
 
 def default_tokenizer() -> str:
@@ -42,35 +50,99 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _tokenizer(path: str) -> tuple:
-    """This worker's tokenizer and its known words."""
-    if path not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
+class WordTokenizer:
+    """Ids of words by a tokenizer's file, and this worker's known words.
 
+    The file's own library tokenises any word.  Most words, plain ones, are encoded faster by merging in the order of ids, where
+    the file is of the form for which that is the same: byte-level, an id for each byte, for each byte that ends a word, then one for each
+    merge in turn.  The byte 0xFF, which no text has, stands for a word's end.
+    """
 
-def token_bytes(texts: list[bytes | None], path: str) -> Iterator[bytes]:
-    """The ids of each text as little-endian unsigned 32-bit numbers.
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    The tokenizer drops white space and none of its tokens spans any, so words between ASCII
-    white space are tokenised apart, and each only once while it is known.
-    """
-    tokenizer, known = _tokenizer(path)
-    split = [(t or b"").split() for t in texts]
-    missing = list({w for words in split for w in words if w not in known})
-    now = {}
-    for at in range(0, len(missing), 4096):
-        some = missing[at : at + 4096]
-        for word, found in zip(some, tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False), strict=True):
-            now[word] = np.array(found.ids, "<u4").tobytes()
-    end = np.array([END], "<u4").tobytes()
-    for words in split:
-        yield b"".join([known[w] if w in known else now[w] for w in words]) + end
-    if len(known) < CACHE_WORDS:
-        known.update((w, ids) for w, ids in now.items() if len(w) <= CACHE_BYTES)
+        self.full = Tokenizer.from_file(path)
+        self.known = KnownWords(self)
+        self.pattern, self.special, self.merge = None, (), None
+        with open(path, encoding="utf-8") as file:
+            described = json.load(file)
+        model, splits = described["model"], described.get("pre_tokenizer") or {}
+        splits = [p["pattern"].get("Regex") for p in splits.get("pretokenizers", []) if p["type"] == "Split" and p["invert"] and p["behavior"] == "Removed"]
+        steps = [(n["type"], n.get("pattern")) for n in (described.get("normalizer") or {}).get("normalizers", [])]
+        ranks = ranks_of(model)
+        if ranks and splits == [WORD_PATTERN] and steps == [("NFC", None), ("Replace", {"Regex": r"\s+"}), ("Lowercase", None)]:
+            import tiktoken
+
+            self.merge = tiktoken.Encoding("words", pat_str=WORD_PATTERN, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+            self.pattern = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
+            self.special = tuple(t["content"] for t in described["added_tokens"])
+
+    def _plainly(self, word: str) -> bytes | None:
+        """Ids of a plain word, or None."""
+        lower = word.lower()
+        plain = lower.isprintable() if lower.isascii() else _PLAIN.fullmatch(lower)
+        if self.merge is None or not plain or ("<" in word and any(mark in word for mark in self.special)):
+            return None
+        ids = array("I")
+        for piece in self.pattern.findall(lower):
+            ids.extend(self.merge(piece.encode() + b"\xff"))
+        return ids.tobytes()
+
+    def word_bytes(self, word: bytes) -> bytes:
+        text = word.decode()
+        ids = self._plainly(text)
+        return array("I", self.full.encode(text, add_special_tokens=False).ids).tobytes() if ids is None else ids
+
+    def token_bytes(self, text: bytes | None) -> bytes:
+        """The ids of a text, and the end's, as little-endian unsigned 32-bit numbers.
+
+        The tokenizer drops white space and none of its tokens spans any, so words between ASCII
+        white space are tokenised apart, and each only once while it is known.
+        """
+        return b"".join(map(self.known.__getitem__, (text or b"").split())) + array("I", [END]).tobytes()
+
+
+class KnownWords(dict):
+    """Words with their ids; starts anew when it is full."""
+
+    def __init__(self, tokenizer: WordTokenizer):
+        super().__init__()
+        self.find = tokenizer.word_bytes
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.find(word)
+        if len(word) <= CACHE_BYTES:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
+#: The pattern of the default tokenizer's words, as its file has it (fixed value).
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def ranks_of(model: dict) -> dict[bytes, int] | None:
+    """Bytes of each token with its id, if ids are in the order of merges; a word's end is the byte 0xFF."""
+    suffix, merges, vocabulary = model.get("end_of_word_suffix"), model.get("merges", []), model.get("vocab", {})
+    if model.get("type") != "BPE" or not suffix or model.get("continuing_subword_prefix"):
+        return None
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {chr(b): b for b in shown} | {chr(0x100 + k): b for k, b in enumerate(b for b in range(0x100) if b not in shown)}
+    if sorted(vocabulary[x] for x in letters if x in vocabulary) != [*range(256)] or sorted(vocabulary[x + suffix] for x in letters if x + suffix in vocabulary) != [*range(256, 512)]:
+        return None
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
+    if any(vocabulary.get(a + b) != 512 + i or a.endswith(suffix) for i, (a, b) in enumerate(pairs)):
+        return None
+    tokens = [*letters, *(x + suffix for x in letters), *(a + b for a, b in pairs)]
+    return {bytes(letters[c] for c in t.removesuffix(suffix)) + (b"\xff" if t.endswith(suffix) else b""): vocabulary[t] for t in tokens}
+
+
+@lru_cache(1)
+def _tokenizer(path: str) -> WordTokenizer:
+    """This worker's tokenizer."""
+    return WordTokenizer(path)
 
 
 def tokenize(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, length: int = LENGTH) -> DataFrame:
@@ -80,13 +152,14 @@ def tokenize(df: DataFrame, key: str = "doc_id", text: str = "text", path: str |
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            for at in range(0, part.num_rows, 256):
-                some = part.slice(at, 256)
+            for at, take in slices(part.column("text"), 1 << 20, 4096):
+                some = part.slice(at, take)
                 sizes, crcs = [], []
-                for ids in token_bytes(some.column("text").to_pylist(), path):
+                for ids in map(_tokenizer(path).token_bytes, some.column("text").to_pylist()):
                     sizes.append(len(ids) // 4)
                     crcs.append([zlib.crc32(ids[k : k + 4 * length]) for k in range(0, len(ids), 4 * length)])
                 yield pa.RecordBatch.from_arrays([some.column("key"), pa.array(sizes, pa.int64()), pa.array(crcs, pa.list_(pa.int64()))], names=schema.names)
+        release()
 
     return df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("binary").alias("text")).mapInArrow(run, schema)
 
