@@ -1,16 +1,20 @@
 """Toxicity: a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-Features are the hashed byte n-grams of the text, lower-cased (A-Z) with each run of white
-space as one space; a feature is present or not.  From the labelled training rows each hash gets a
-log ratio of its smoothed frequencies in toxic and in other texts.  The most telling hashes,
+Features are n-grams of code points, lower-cased (A-Z) with each run of white space as one
+space, told apart by 32 bits of a hash; a feature is present or not.  From the labelled training rows each n-gram gets a
+log ratio of its smoothed frequencies in toxic and in other texts.  The most telling ones,
 by the likelihood-ratio statistic of presence against label, are the classifier's
-features, each scaled by its ratio; the weights are a logistic regression's.
-Scoring reads every whole text and sees nothing but the text.
+features, each scaled by its ratio; the weights are a logistic regression's.  They are sought in two
+passes: counts by the hash's upper bits first, then by all its bits where those are telling.
+
+The longer a text, the more features it holds by chance.  So a text is scored in segments of
+``SEGMENT`` characters, about as long as texts trained on, and its odds are the sum of its segments' odds over
+the square root of their number: one segment must stand out the more, the more there are, but not as much more.  Scoring reads every whole text and sees nothing but the text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,10 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.llm.rowwise import judge_texts
 from tickloom.session import Scratch
 
 SIZES = (3, 4, 5, 6)
-HASH_BITS = 18
+#: Bits of an n-gram's hash, upper ones that the first pass counts by, and code points of a segment.
+KEY_BITS, HASH_BITS = 32, 19
+SEGMENT = 16_384
 #: Texts of each class that the classifier is trained on at most, and features that it keeps.
 TRAINING_ROWS = 12_000
 FEATURES = 8192
@@ -32,47 +39,80 @@ SMOOTHING = 1.0
 PENALTY = 1e-3
 #: Half the likelihood-ratio statistic that a feature needs, so that chance makes few.
 LEAST_GAIN = 8.0
-_PRIME = np.uint32(2654435761)
+_PRIMES = tuple(np.uint32(p) for p in (2246822519, 16777619, 2654435761, 3266489917))
 
 
 @dataclass(frozen=True)
-class Model:
-    """Weight of each hash (0 for those that aren't features) and the intercept."""
-
-    weights: np.ndarray
-    intercept: float
-
-
-def _bytes_table() -> np.ndarray:
-    table = np.arange(256, dtype=np.uint8)
-    table[0x41:0x5B] += 32
-    table[[*range(0x09, 0x0E)]] = 0x20
-    return table
-
-
-_TABLE = _bytes_table()
-
-
-def ngrams(text: bytes) -> np.ndarray:
-    """Hashes of the n-grams of a text, repeats included."""
-    data = _TABLE[np.frombuffer(b" " + text + b" ", np.uint8)]
-    space = data == 0x20
-    data = data[~(space & np.concatenate(([False], space[:-1])))].astype(np.uint32) + np.uint32(1)
-    rolled, out = np.zeros(len(data), np.uint32), []
+class Grams:
+    """Hashes of a text's n-grams, repeats included, the places at which they begin, and the text's length."""
+
+    keys: np.ndarray
+    begins: np.ndarray
+    length: int
+
+
+def ngrams(text: str) -> Grams:
+    data = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    data = np.where((data >= 0x41) & (data <= 0x5A), data + np.uint32(32), data)
+    space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
+    data = np.where(space, np.uint32(0x20), data)[~(space & np.concatenate(([False], space[:-1])))]
+    letters = (data + np.uint32(1)) * _PRIMES[0]
+    letters ^= letters >> np.uint32(15)
+    rolled, keys, begins = np.zeros(len(data), np.uint32), [], []
     for n in range(1, max(SIZES) + 1):
         if len(data) < n:
             break
-        rolled = rolled[: len(data) - n + 1] * np.uint32(16777619) + data[n - 1 :]
+        rolled = rolled[: len(data) - n + 1] * _PRIMES[1] + letters[n - 1 :]
         if n in SIZES:
-            out.append(((rolled ^ np.uint32(n * 0x9E3779)) * _PRIME) >> np.uint32(32 - HASH_BITS))
-    return np.concatenate(out) if out else np.empty(0, np.uint32)
+            mixed = (rolled ^ (rolled >> np.uint32(16)) ^ np.uint32(n * 0x9E3779)) * _PRIMES[2]
+            mixed ^= mixed >> np.uint32(15)
+            keys.append(mixed * _PRIMES[3])
+            begins.append(np.arange(len(mixed)))
+    if not keys:
+        return Grams(np.empty(0, np.uint32), np.empty(0, np.int64), len(data))
+    return Grams(np.concatenate(keys), np.concatenate(begins), len(data))
+
+
+class Keys:
+    """Sorted hashes that others are looked up in."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.upper = np.zeros(1 << HASH_BITS, bool)
+        self.upper[keys >> np.uint32(KEY_BITS - HASH_BITS)] = True
+
+    def find(self, grams: Grams) -> tuple[np.ndarray, np.ndarray]:
+        """Begins of the n-grams that are among the keys, and their numbers there."""
+        some = np.flatnonzero(self.upper[grams.keys >> np.uint32(KEY_BITS - HASH_BITS)])
+        if not len(some) or not len(self.keys):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        wanted = grams.keys[some]
+        place = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        same = self.keys[place] == wanted
+        return grams.begins[some[same]], place[same]
+
+
+class Model:
+    """Hashes of the features, ascending, their weights, and the intercept."""
 
+    def __init__(self, keys: np.ndarray, weights: np.ndarray, intercept: float):
+        self.known, self.weights, self.intercept = Keys(keys), weights, intercept
 
-def _presence(texts: list[bytes | None]) -> Iterator[np.ndarray]:
-    """Distinct hashes of each text."""
+    def log_odds(self, text: str | None) -> float:
+        """Log of the summed odds of the text's segments over the root of their number; a feature counts once a segment."""
+        found = ngrams(text or "")
+        at, which = self.known.find(found)
+        segments, size = -(-max(1, found.length) // SEGMENT), max(1, len(self.weights))
+        pairs = np.unique((at // SEGMENT) * size + which)
+        sums = np.bincount(pairs // size, weights=self.weights[pairs % size], minlength=segments) + self.intercept
+        return float(np.logaddexp.reduce(sums) - np.log(segments) / 2)
+
+
+def _presence(texts: list[str | None]) -> Iterator[np.ndarray]:
+    """Distinct upper bits of the hashes of each text."""
     seen = np.zeros(1 << HASH_BITS, bool)
     for text in texts:
-        found = ngrams(text or b"")
+        found = ngrams(text or "").keys >> np.uint32(KEY_BITS - HASH_BITS)
         seen[found] = True
         distinct = np.flatnonzero(seen) if len(found) > 1 << 14 else np.unique(found)
         seen[found] = False
@@ -80,7 +120,7 @@ def _presence(texts: list[bytes | None]) -> Iterator[np.ndarray]:
 
 
 def _count(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Texts by class, and texts of either class that hold each hash."""
+    """Texts by class, and texts of either class that hold hashes with these upper bits."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, texts = np.zeros((2, 1 << HASH_BITS), np.int64), np.zeros(2, np.int64)
@@ -98,21 +138,51 @@ def _count(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return texts, counts
 
 
-def _telling(texts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The features' hashes, ascending, and their log-count ratios."""
+def _gain(counts: tuple, texts: tuple, term: Callable):
+    """Half the likelihood-ratio statistic of presence against label."""
+    total, both = counts[0] + counts[1], texts[0] + texts[1]
+    seen = [term(counts[k], total * texts[k] / both) for k in (0, 1)]
+    unseen = [term(texts[k] - counts[k], (both - total) * texts[k] / both) for k in (0, 1)]
+    return seen[0] + seen[1] + unseen[0] + unseen[1]
+
+
+def _telling(texts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Upper bits of the hashes that may hold a feature."""
 
     def term(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
 
-    total, both = counts.sum(0), texts.sum()
-    gain = np.zeros(counts.shape[1])
-    for label in (0, 1):
-        gain += term(counts[label], total * texts[label] / both) + term(texts[label] - counts[label], (both - total) * texts[label] / both)
-    smooth = counts + SMOOTHING
-    ratio = np.log(smooth[1] / smooth[1].sum()) - np.log(smooth[0] / smooth[0].sum())
+    gain = _gain((counts[0], counts[1]), (texts[0], texts[1]), term)
     usable = np.flatnonzero(gain >= LEAST_GAIN)
-    chosen = np.sort(usable[np.argsort(-gain[usable], kind="stable")[:FEATURES]])
-    return chosen, ratio[chosen]
+    return usable[np.argsort(-gain[usable], kind="stable")[: 2 * FEATURES]]
+
+
+def _features(training: DataFrame, texts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the ``FEATURES`` most telling n-grams whose upper bits are chosen, ascending, and their log-count ratios."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        upper = np.zeros(1 << HASH_BITS, bool)
+        upper[chosen] = True
+        held: list[list[np.ndarray]] = [[], []]
+        for part in parts:
+            for label, text in zip(part.column("label").to_pylist(), part.column("text").to_pylist(), strict=True):
+                keys = ngrams(text or "").keys
+                held[label].append(np.unique(keys[upper[keys >> np.uint32(KEY_BITS - HASH_BITS)]]))
+        counted = [np.unique(np.concatenate(h or [np.empty(0, np.uint32)]), return_counts=True) for h in held]
+        keys = np.union1d(counted[0][0], counted[1][0])
+        columns = [np.zeros(len(keys), np.int64) for _ in counted]
+        for column, (own, n) in zip(columns, counted, strict=True):
+            column[np.searchsorted(keys, own)] = n
+        yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), *(pa.array(c) for c in columns)], names=["key", "n_0", "n_1"])
+
+    found = training.coalesce(8).mapInArrow(run, "key long, n_0 long, n_1 long").groupBy("key").agg(F.sum("n_0").alias("n_0"), F.sum("n_1").alias("n_1"))
+    sides = (F.col("n_0"), F.col("n_1")), tuple(F.lit(int(n)) for n in texts)
+    gain = _gain(*sides, lambda seen, expected: F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0))
+    best = found.withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "key").limit(FEATURES)
+    rows = sorted((r["key"], r["n_0"], r["n_1"]) for r in best.collect())
+    keys, n_0, n_1 = np.array(rows, np.int64).reshape(-1, 3).T
+    share = [np.log((n + SMOOTHING) / (t + 2 * SMOOTHING)) for n, t in zip((n_0, n_1), texts, strict=True)]
+    return keys.astype(np.uint32), share[1] - share[0]
 
 
 def training_rows(
@@ -131,28 +201,27 @@ def training_rows(
     for value, rows in sizes.items():
         share = F.when(F.col("label") == value, min(steps, steps * TRAINING_ROWS // max(rows, 1))).otherwise(share)
     chosen = scratch.keep(known.where(F.pmod(F.xxhash64("key"), F.lit(steps)) < share).select("key", "label"), "labels")
-    texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("binary").alias("text"))
+    texts = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
     thinned = [max(1.0, sizes.get(k, 0) / TRAINING_ROWS) for k in (0, 1)]
     return scratch.keep(texts.join(chosen, "key").select("label", "text"), "training"), (thinned[0], thinned[1])
 
 
 def train(scratch: Scratch, training: DataFrame, shares: tuple[float, float] | None = None) -> Model:
     """Fit on ``label`` and ``text``; shares: rows thinned to one of class 0 and of class 1.  Without rows of both classes, or a telling feature, all texts score the toxic share."""
+    nothing = np.empty(0, np.uint32), np.empty(0)
     texts, counts = _count(training)
     if not texts.all():
-        odds = (texts[1] + SMOOTHING) / (texts[0] + SMOOTHING)
-        return Model(np.zeros(1 << HASH_BITS), float(np.log(odds)))
-    chosen, ratio = _telling(texts, counts)
+        return Model(*nothing, float(np.log((texts[1] + SMOOTHING) / (texts[0] + SMOOTHING))))
+    chosen, ratio = _features(training, texts, _telling(texts, counts))
     if not len(chosen):
-        return Model(np.zeros(1 << HASH_BITS), float(np.log(texts[1] / texts[0])))
+        return Model(*nothing, float(np.log(texts[1] / texts[0])))
+    lookup = Keys(chosen)
 
     def positions(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for at in range(0, part.num_rows, 64):
-                some, rows = part.slice(at, 64), []
-                for distinct in _presence(some.column("text").to_pylist()):
-                    place = np.minimum(np.searchsorted(chosen, distinct), len(chosen) - 1)
-                    rows.append(place[chosen[place] == distinct].astype(np.int32))
+                some = part.slice(at, 64)
+                rows = [np.unique(lookup.find(ngrams(t or ""))[1]).astype(np.int32) for t in some.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column("label").cast(pa.float64()), pa.array(rows, pa.list_(pa.int32()))], ["label", "at"])
 
     # Stored in between, so that each job has one Python worker a task.
@@ -161,31 +230,25 @@ def train(scratch: Scratch, training: DataFrame, shares: tuple[float, float] | N
     vector = F.udf(lambda at: SparseVector(size, at, ratio[at]), VectorUDT())
     rows = sparse.select("label", vector("at").alias("features"))
     fitted = LogisticRegression(regParam=PENALTY, maxIter=100, standardization=False).fit(rows)
-    weights = np.zeros(1 << HASH_BITS)
-    weights[chosen] = fitted.coefficients.toArray() * ratio
     # Classes thinned apart come back to their shares among all labelled rows.
     thinned = np.log(shares[1] / shares[0]) if shares else 0.0
-    return Model(weights, float(fitted.intercept + thinned))
+    return Model(chosen, fitted.coefficients.toArray() * ratio, float(fitted.intercept + thinned))
 
 
 def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``df`` with ``score`` (0 to 1) and ``predicted`` (1 if the score is at least 0.5) for every row.
 
-    Null and empty texts have no n-grams and score by the intercept.  Columns of these names are replaced; all others pass through.
+    Null and empty texts have no n-grams and score by the intercept.  Texts of any length are read whole, in segments.  Repeated rows and ties
+    score alike; an empty table gives none.  Columns of these names are replaced; all others pass through, whatever their names.
     """
-    weights, intercept = model.weights, model.intercept
-    held = [f for f in df.schema if f.name not in ("score", "predicted")]
-    schema = T.StructType([*held, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    kept = [f.name for f in held]
+    results = T.StructType().add("score", "double").add("predicted", "integer")
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            raw = part.column("text to score").to_pylist()
-            sums = np.array([weights[d].sum() for d in _presence(raw)]) + intercept
-            scores = 1 / (1 + np.exp(-np.clip(sums, -500, 500)))
-            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))], names=schema.names)
+    def judge(texts: list[str | None]) -> list[pa.Array]:
+        odds = np.array([model.log_odds(t) for t in texts])
+        scores = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
 
-    return df.select(*[F.col(f"`{n}`") for n in kept], F.col(f"`{text}`").cast("binary").alias("text to score")).mapInArrow(run, schema)
+    return judge_texts(df, text, results, judge, binary=False, keep_text=True)
 
 
 def held_out(key: str) -> Column:
