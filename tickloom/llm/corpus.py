@@ -10,10 +10,13 @@ any number of rows counts once per batch, so a hot one does not swell its range.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,10 +27,17 @@ from tickloom.session import Scratch
 #: Bytes of text in a batch, and distinct fingerprints a range should hold.
 BATCH_BYTES = 2 << 20
 BATCH_ROWS = 1 << 16
-RANGE_ROWS = 1_000_000
+RANGE_ROWS = 500_000
 MOST_BITS = 18
 
 
+def release() -> None:
+    """Give freed memory back to the machine: an executor's idle workers keep theirs otherwise, beside those at work."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # other C libraries give it back by themselves
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class Batch:
     """Texts of one batch in memory: ``data`` has them with a newline between neighbours."""
 
@@ -86,7 +96,7 @@ def store(scratch: Scratch, df: DataFrame, text: str) -> DataFrame:
             )
 
         for part in parts:
-            sizes = np.array([0 if t is None else len(t) for t in part.column("text").to_pylist()], np.int64)
+            sizes = pc.fill_null(pc.binary_length(part.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             at = 0
             while at < part.num_rows:
                 room = np.searchsorted(np.cumsum(sizes[at:]), BATCH_BYTES - held, "right")
@@ -101,6 +111,8 @@ def store(scratch: Scratch, df: DataFrame, text: str) -> DataFrame:
                     waiting = []
         if waiting:
             yield row()
+        waiting = []
+        release()
 
     return scratch.keep(packed.mapInArrow(run, schema), "batches")
 
@@ -168,6 +180,7 @@ def ask(batches: DataFrame, question: Callable[[Batch], pa.Table]) -> DataFrame:
         for part in parts:
             for batch in batches_of(part):
                 yield from question(batch).to_batches()
+        release()
 
     return batches.mapInArrow(run, QUESTION)
 
@@ -179,6 +192,8 @@ def answer(questions: DataFrame, judge: Callable[[list[np.ndarray], list[np.ndar
         keys = [unplanes(k, kind) for k in table.column("keys").to_pylist()]
         notes = [np.frombuffer(k, np.uint8) for k in table.column("notes").to_pylist()]
         out = [a.astype(np.uint8).tobytes() for a in judge(keys, notes)]
+        del keys, notes
+        release()
         return pa.table({"batch": table.column("batch"), "bucket": table.column("bucket"), "answer": pa.array(out, pa.binary())})
 
     return questions.groupBy("bucket").applyInArrow(reply, ANSWER)
@@ -198,7 +213,10 @@ def with_answers(batches: DataFrame, rounds: list[DataFrame], use: Callable[[Bat
         told: list[list[tuple[int, bytes]]] = [[] for _ in range(n_rounds)]
         for k, b, a in zip(*(right.column(c).to_pylist() for c in ("round", "bucket", "answer")), strict=True):
             told[k].append((b, a))
-        return use(batch, rest.flatten(), [np.frombuffer(b"".join(a for _, a in sorted(x)), np.uint8) for x in told])
+        used = use(batch, rest.flatten(), [np.frombuffer(b"".join(a for _, a in sorted(x)), np.uint8) for x in told])
+        del batch, told
+        release()
+        return used
 
     return batches.groupBy("batch").cogroup(back.groupBy("batch")).applyInArrow(run, schema)
 

@@ -47,9 +47,9 @@ def _meet(keys: list[np.ndarray], notes: list[np.ndarray]) -> list[np.ndarray]:
     index = np.unique(blocks)
     if not len(index):
         return [np.zeros(len(k), np.uint8) for k in keys]
-    probes, found, places, held = [], [], np.zeros(len(index), np.int64), np.zeros(len(index), np.int64)
+    probes, found, places, held = [], [], np.zeros(len(index), np.int32), np.zeros(len(index), np.int32)
     for k, n in zip(keys, notes, strict=True):
-        at = np.minimum(np.searchsorted(index, k), len(index) - 1)
+        at = np.minimum(np.searchsorted(index, k), len(index) - 1).astype(np.int32)
         hit = index[at] == k
         np.add.at(places, at[hit], n[hit] & 3)
         np.add.at(held, at[hit], n[hit] >> 2)
