@@ -119,25 +119,6 @@ def _presence(texts: list[str | None]) -> Iterator[np.ndarray]:
         yield distinct
 
 
-def _count(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Texts by class, and texts of either class that hold hashes with these upper bits."""
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, texts = np.zeros((2, 1 << HASH_BITS), np.int64), np.zeros(2, np.int64)
-        for part in parts:
-            for label, distinct in zip(part.column("label").to_pylist(), _presence(part.column("text").to_pylist()), strict=True):
-                counts[label, distinct] += 1
-                texts[label] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(texts), pa.array([counts[k].astype(np.int32).tobytes() for k in (0, 1)])], ["texts", "counts"])
-
-    texts, counts = np.zeros(2, np.int64), np.zeros((2, 1 << HASH_BITS), np.int64)
-    # A few partial sums of fixed size, as the training rows are bounded.
-    for i, row in enumerate(training.coalesce(8).mapInArrow(run, "texts long, counts binary").collect()):
-        texts[i % 2] += row["texts"]
-        counts[i % 2] += np.frombuffer(row["counts"], np.int32)
-    return texts, counts
-
-
 def _gain(counts: tuple, texts: tuple, term: Callable):
     """Half the likelihood-ratio statistic of presence against label."""
     total, both = counts[0] + counts[1], texts[0] + texts[1]
@@ -146,15 +127,33 @@ def _gain(counts: tuple, texts: tuple, term: Callable):
     return seen[0] + seen[1] + unseen[0] + unseen[1]
 
 
-def _telling(texts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Upper bits of the hashes that may hold a feature."""
+#: Parts of the table of upper bits; each is summed up in a task of its own.
+PARTS = 64
+
+
+def _telling(training: DataFrame, texts: np.ndarray) -> np.ndarray:
+    """Upper bits of the hashes that may hold a feature, at most ``2 * FEATURES``, ascending."""
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, 1 << HASH_BITS), np.int32)
+        for part in parts:
+            for label, distinct in zip(part.column("label").to_pylist(), _presence(part.column("text").to_pylist()), strict=True):
+                counts[label, distinct] += 1
+        pieces = [[p.tobytes() for p in np.split(side, PARTS)] for side in counts]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS)), *(pa.array(p, pa.binary()) for p in pieces)], names=["part", "n_0", "n_1"])
 
     def term(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
 
-    gain = _gain((counts[0], counts[1]), (texts[0], texts[1]), term)
-    usable = np.flatnonzero(gain >= LEAST_GAIN)
-    return usable[np.argsort(-gain[usable], kind="stable")[: 2 * FEATURES]]
+    def judge(table: pa.Table) -> pa.Table:
+        counts = [np.sum([np.frombuffer(x, np.int32) for x in table.column(c).to_pylist()], axis=0, dtype=np.int64) for c in ("n_0", "n_1")]
+        gain = _gain((counts[0], counts[1]), (int(texts[0]), int(texts[1])), term)
+        at = np.flatnonzero(gain >= LEAST_GAIN)
+        return pa.table({"bits": table.column("part")[0].as_py() * (1 << HASH_BITS) // PARTS + at, "gain": gain[at]})
+
+    counted = training.coalesce(8).mapInArrow(count, "part long, n_0 binary, n_1 binary")
+    best = counted.groupBy("part").applyInArrow(judge, "bits long, gain double").orderBy(F.desc("gain"), "bits").limit(2 * FEATURES)
+    return np.sort(np.array([r["bits"] for r in best.select("bits").collect()], np.int64))
 
 
 def _features(training: DataFrame, texts: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,10 +208,11 @@ def training_rows(
 def train(scratch: Scratch, training: DataFrame, shares: tuple[float, float] | None = None) -> Model:
     """Fit on ``label`` and ``text``; shares: rows thinned to one of class 0 and of class 1.  Without rows of both classes, or a telling feature, all texts score the toxic share."""
     nothing = np.empty(0, np.uint32), np.empty(0)
-    texts, counts = _count(training)
+    rows_of = dict(training.groupBy("label").count().collect())
+    texts = np.array([rows_of.get(k, 0) for k in (0, 1)])
     if not texts.all():
         return Model(*nothing, float(np.log((texts[1] + SMOOTHING) / (texts[0] + SMOOTHING))))
-    chosen, ratio = _features(training, texts, _telling(texts, counts))
+    chosen, ratio = _features(training, texts, _telling(training, texts))
     if not len(chosen):
         return Model(*nothing, float(np.log(texts[1] / texts[0])))
     lookup = Keys(chosen)
