@@ -5,6 +5,7 @@ import json
 import os
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.helpers import column, rows
@@ -251,3 +252,38 @@ def test_routed_events_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
     assert expected and column(got, "ingest_id", "ingest_id") == sorted(expected)
     assert len(list((tmp_path / "feed").glob("*.parquet"))) > 5
     assert len(list((tmp_path / "routed" / "newest").glob("batch_id=*"))) == 5
+
+
+def test_last_points_equal_a_plain_window_over_blocks_and_chunks(spark):
+    import random
+
+    from tickloom.operators.chunked import over_last_rows
+
+    r = random.Random(3)
+    data = [(f"S{r.choice([0, 0, 0, 1, 2])}", r.randrange(400), i, r.random()) for i in range(900)]
+    df = spark.createDataFrame(data, "symbol string, at long, ingest_id long, price double").repartition(5)
+    chunk = F.floor(F.col("at") / 7)
+    for n, block in ((5, 12), (1, 10), (9, 4)):
+        over = {"average": lambda w: F.avg("price").over(w), "ticks": lambda w: F.count("*").over(w)}
+        got = over_last_rows(df, "symbol", ["at", "ingest_id"], chunk, n, over, block=block)
+        frame = Window.partitionBy("symbol").orderBy("at", "ingest_id").rowsBetween(-(n - 1), 0)
+        plain = df.withColumns({"average": F.avg("price").over(frame), "ticks": F.count("*").over(frame)})
+        one, other = (sorted(tuple(x) for x in d.collect()) for d in (got, plain))
+        assert [x[:4] + x[5:] for x in one] == [x[:4] + x[5:] for x in other]
+        assert [x[4] for x in one] == pytest.approx([x[4] for x in other], rel=1e-12)
+
+
+def test_flushed_groups_are_bounded_and_complete_over_restarts(spark, tmp_path):
+    from tickloom.streaming import sinks
+
+    feed, out, progress = (str(tmp_path / n) for n in ("feed", "out", "progress"))
+    seen = 0
+    for load in (950, 3, 0, 1200):
+        spark.range(seen, seen + load).repartition(3).write.mode("append").parquet(feed)
+        seen += load
+        stream = spark.readStream.schema("id long").parquet(feed)
+        sinks.flush_groups(stream, out, progress, most=100).awaitTermination()
+    stored = spark.read.parquet(out)
+    assert sorted(x[0] for x in stored.select("id").collect()) == list(range(seen))
+    sizes = [x[0] for x in stored.groupBy("batch_id", "task", "part").agg(F.count("*")).select("count(1)").collect()]
+    assert max(sizes) == 100 and len(sizes) < 2 * seen / 100 + 20

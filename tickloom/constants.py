@@ -86,6 +86,7 @@ STRICT_ERROR_THRESHOLD = 0.1
 # message-rate lookback and refresh.
 VELOCITY_ALERT_PERCENT = 0.5
 FLUSH_INTERVAL = "100 milliseconds"
+FLUSH_EVENTS = 100
 RATE_LOOKBACK = "60 seconds"
 RATE_REFRESH = "10 seconds"
 VELOCITY_RETENTION = "24 hours"

@@ -69,6 +69,27 @@ def cumulate_months(bars: DataFrame) -> DataFrame:
     )
 
 
+def merge_months(stored: DataFrame, arrived: DataFrame) -> DataFrame:
+    """The months that arriving bars touch, with them: as ``cumulate_months`` of all bars would have them.
+
+    Arrays are united by bar, so late bars take their place by date, corrected ones stand beside what they correct, and
+    copies are dropped; counts are of rows, copies included.  Of ``stored`` only months of the same ticker, year and month take part.
+    """
+    month = ["ticker", "year", "month_num"]
+    new = cumulate_months(arrived)
+    before = stored.select(*month, F.struct("bars", "record_count", "first_date", "last_date").alias("before"))
+    both = new.join(before, month, "left")
+    united = F.array_sort(F.array_union("bars", F.col("before.bars")))
+    return both.select(
+        *month,
+        F.when(F.col("before").isNull(), F.col("bars")).otherwise(united).alias("bars"),
+        (F.col("record_count") + F.coalesce("before.record_count", F.lit(0))).alias("record_count"),
+        F.least("first_date", "before.first_date").alias("first_date"),
+        F.greatest("last_date", "before.last_date").alias("last_date"),
+        "processed_at",
+    )
+
+
 def unpack_bars(cumulated: DataFrame, *keep: str) -> DataFrame:
     """Back to one row per bar; only the array fields in use are read."""
     return cumulated.select("ticker", *keep, F.inline("bars"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -36,3 +36,32 @@ def previous_row(
         .select(*output)
     )
     return later.unionByName(first)
+
+
+def numbered_rows(df: DataFrame, key: str, order: list[str], chunk: Column) -> DataFrame:
+    """``df`` with ``row_number``, from 1 by key and order; ``chunk`` must not fall as the order rises.
+
+    Rows are numbered within (key, chunk) and shifted by the counts of the chunks before, so a key that
+    holds a third of all rows is spread over its chunks.
+    """
+    cut = df.withColumn("_chunk", chunk)
+    within = cut.withColumn("_within", F.row_number().over(W.partitionBy(key, "_chunk").orderBy(*order)))
+    counts = cut.groupBy(key, "_chunk").agg(F.count("*").alias("_rows"))
+    earlier = W.partitionBy(key).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    shifts = counts.select(key, "_chunk", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    return within.join(shifts, [key, "_chunk"]).withColumn("row_number", F.col("_within") + F.col("_before")).drop("_chunk", "_within", "_before")
+
+
+def over_last_rows(df: DataFrame, key: str, order: list[str], chunk: Column, n: int, aggregates: dict[str, Callable[[W], Column]], block: int = 100_000) -> DataFrame:
+    """``df`` with aggregates over each row and the n - 1 rows of its key before it.
+
+    Numbered rows are dealt to blocks of bounded length; the last n - 1 rows of a block are also
+    dealt to the next one, where they are looked at only.
+    """
+    size = max(block, n)
+    here = F.floor((F.col("row_number") - 1) / size)
+    lent = F.when(F.pmod(F.col("row_number") - 1, F.lit(size)) >= size - (n - 1), F.array(here, here + 1)).otherwise(F.array(here))
+    dealt = numbered_rows(df, key, order, chunk).withColumn("_home", here).withColumn("_block", F.explode(lent))
+    frame = W.partitionBy(key, "_block").orderBy("row_number").rowsBetween(-(n - 1), W.currentRow)
+    out = dealt.select("*", *[build(frame).alias(name) for name, build in aggregates.items()])
+    return out.where("_block = _home").select(*df.columns, *aggregates)

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom import constants as K
-from tickloom.operators.recurrence import Smoothing, exponential_averages
+from tickloom.operators.recurrence import Smoothing, exponential_averages, next_state
 
 def by_date() -> WindowSpec:
     return W.partitionBy("ticker").orderBy("date")
@@ -91,31 +91,42 @@ def wma(
     return result.dropna(subset=[f"wma_{n}" for n in windows]) if warm_only else result
 
 
+def _ema_smoothings(windows: Sequence[int]) -> list[Smoothing]:
+    return [Smoothing("close", n, 1, f"ema_{n}") for n in windows]
+
+
 def ema(bars: DataFrame, windows: Sequence[int] = K.MA_WINDOWS, carry: Sequence[str] = ()) -> DataFrame:
     """Exponential moving averages, seeded with the first close."""
     numbered = _keep(bars, carry).withColumn("_rn", F.row_number().over(by_date()))
-    smoothings = [Smoothing("close", n, 1, f"ema_{n}") for n in windows]
-    averaged = exponential_averages(numbered, "ticker", "date", smoothings, "_rn")
+    averaged = exponential_averages(numbered, "ticker", "date", _ema_smoothings(windows), "_rn")
     return averaged.select("ticker", "date", "close", *[f"ema_{n}" for n in windows], *carry)
 
 
+def extend_ema(later: DataFrame, state: DataFrame | None = None, windows: Sequence[int] = K.MA_WINDOWS) -> tuple[DataFrame, DataFrame]:
+    """Averages of bars that follow those the state has seen, and the state after them.
+
+    The history is not read: store the state with the rows of a load, and begin the next load from it.
+    """
+    smoothings = _ema_smoothings(windows)
+    numbered = _keep(later, ()).withColumn("_rn", F.row_number().over(by_date()))
+    averaged = exponential_averages(numbered, "ticker", "date", smoothings, "_rn", state=state)
+    return averaged.select("ticker", "date", "close", *[s.output for s in smoothings]), next_state(averaged, "ticker", smoothings, "_rn", state)
+
+
+_MACD_LINES = [Smoothing("close", K.MACD_FAST, K.MACD_FAST, "_fast"), Smoothing("close", K.MACD_SLOW, K.MACD_SLOW, "_slow")]
+_MACD_SIGNAL = Smoothing("macd_line", K.MACD_SIGNAL, K.MACD_SIGNAL_SEED_ROW, "signal_line")
+
+
+def _macd_lines(bars: DataFrame, state: DataFrame | None) -> DataFrame:
+    numbered = _keep(bars, ()).withColumn("_rn", F.row_number().over(by_date()))
+    lines = exponential_averages(numbered, "ticker", "date", _MACD_LINES, "_rn", state=state)
+    lines = lines.withColumn("macd_line", F.col("_fast") - F.col("_slow"))
+    return exponential_averages(lines, "ticker", "date", [_MACD_SIGNAL], "_rn", state=state)
+
+
 def macd(bars: DataFrame) -> DataFrame:
     """MACD line, signal line and histogram, from the first signal row on."""
-    numbered = _keep(bars, ()).withColumn("_rn", F.row_number().over(by_date()))
-    lines = exponential_averages(
-        numbered,
-        "ticker",
-        "date",
-        [
-            Smoothing("close", K.MACD_FAST, K.MACD_FAST, "_fast"),
-            Smoothing("close", K.MACD_SLOW, K.MACD_SLOW, "_slow"),
-        ],
-        "_rn",
-    ).withColumn("macd_line", F.col("_fast") - F.col("_slow"))
-    signal = Smoothing("macd_line", K.MACD_SIGNAL, K.MACD_SIGNAL_SEED_ROW, "signal_line")
-    signalled = exponential_averages(lines, "ticker", "date", [signal], "_rn").where(
-        F.col("_rn") >= K.MACD_SIGNAL_SEED_ROW
-    )
+    signalled = _macd_lines(bars, None).where(F.col("_rn") >= K.MACD_SIGNAL_SEED_ROW)
     return signalled.select(
         "ticker",
         "date",
@@ -128,6 +139,40 @@ def macd(bars: DataFrame) -> DataFrame:
     )
 
 
+def extend_macd(later: DataFrame, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """MACD of bars that follow those the state has seen, from the first signal row on, and the state after them."""
+    smoothings = [*_MACD_LINES, _MACD_SIGNAL]
+    signalled = _macd_lines(later, state)
+    after = next_state(signalled, "ticker", smoothings, "_rn", state)
+    if state is None:
+        signalled = signalled.withColumns({"_seen": F.lit(0), "_macd_before": F.lit(None).cast("double"), "_signal_before": F.lit(None).cast("double")})
+    else:
+        # The row before counts from the first signal row on, as in the table itself.
+        shown = F.col("rows") >= K.MACD_SIGNAL_SEED_ROW
+        known = state.select(
+            "ticker",
+            F.col("rows").alias("_seen"),
+            F.when(shown, F.col("_fast") - F.col("_slow")).alias("_macd_before"),
+            F.when(shown, F.col("signal_line")).alias("_signal_before"),
+        )
+        signalled = signalled.join(known, "ticker", "left").withColumn("_seen", F.coalesce("_seen", F.lit(0)))
+    rows = signalled.where(F.col("_rn") + F.col("_seen") >= K.MACD_SIGNAL_SEED_ROW)
+    first = F.row_number().over(by_date()) == 1
+    return (
+        rows.select(
+            "ticker",
+            "date",
+            "close",
+            "macd_line",
+            "signal_line",
+            (F.col("macd_line") - F.col("signal_line")).alias("macd_histogram"),
+            F.when(first, F.col("_macd_before")).otherwise(F.lag("macd_line").over(by_date())).alias("prev_macd_line"),
+            F.when(first, F.col("_signal_before")).otherwise(F.lag("signal_line").over(by_date())).alias("prev_signal_line"),
+        ),
+        after,
+    )
+
+
 def bollinger(
     averages: DataFrame,
     window: int = K.BOLLINGER_WINDOW,

@@ -1,14 +1,17 @@
 """Linear recurrences (exponential averages) in closed form.
 
-``y[r] = (1 - alpha) * y[r-1] + alpha * x[r]`` from a seed row on is a weighted
-running sum: with ``d = 1 - alpha``, ``y[r] = d^r * sum(alpha * x[i] * d^-i)``.
-Running sums are ordinary windows, so the whole chain stays in the JVM and
-shares the one shuffle by key.  ``d^-i`` would overflow on long series, so the
-sum restarts every ``block`` rows; a block's last value is carried into the
-following ones with the weight it still has there.
+``y[r] = (1 - alpha) * y[r-1] + alpha * x[r]`` maps the value before a stretch of rows
+to the value after it by an affine map ``y -> a * y + b``: ``a`` is the decay to the
+power of the stretch's length, ``b`` a weighted running sum of its inputs.  Such maps compose, so a
+series may be cut anywhere.  It is cut twice.  Within one load, ``decay^-i`` would overflow on
+long series, so running sums restart every ``block`` rows, and a block begins with the
+composition of the maps of all blocks before it.  Between loads, the values after the last row
+are stored, one row per key (``next_state``), and the next load goes on from them: appending
+a day reads that day's rows and the states, not the history.
 
-The sums run over differences from the seed value, to which the recurrence is
-indifferent: a constant series then averages to exactly itself, and the seed
+Running sums are ordinary windows, so the whole chain stays in the JVM and
+shares the one shuffle by key.  The sums run over differences from the seed value (or from the stored one), to
+which the recurrence is indifferent: a constant series then averages to exactly itself, and the seed
 row to exactly the seed, as they do when the recurrence is stepped through.
 A missing input leaves no value from its row on, as in the recurrence.
 """
@@ -16,19 +19,15 @@ A missing input leaves no value from its row on, as in the recurrence.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # exp(650) stays clear of the largest double with room for the values.
 _MAX_EXPONENT = 650.0
-# An earlier block with less weight than this no longer reaches the last digit
-# of a double, whatever series: inputs would have to differ by 40 digits.
-_NEGLIGIBLE = 1e-60
-# Blocks looked back on; spans that need more get a longer block of their own.
-_MAX_CARRIES = 3
 
 
 @dataclass(frozen=True)
@@ -50,38 +49,66 @@ class Smoothing:
 
 
 def exponential_averages(
-    df: DataFrame, key: str, order: str, smoothings: list[Smoothing], row_number: str, block: int | None = None
+    df: DataFrame, key: str, order: str, smoothings: list[Smoothing], row_number: str, block: int | None = None, state: DataFrame | None = None
 ) -> DataFrame:
     """Add one column per smoothing; rows before a seed row get NULL, and so do
     all rows from the first missing input after it on.
 
-    ``row_number`` names a column that counts the rows of a key from 1.
-    Smoothings of similar span share one pass over the sorted rows.
+    ``row_number`` names a column that counts the rows of a key from 1.  With a ``state`` (see
+    ``next_state``) the rows of ``df`` follow those that the state has seen, and seed rows
+    count from the first of them.  All smoothings share one pass over the sorted rows.
     """
     if any(s.span < 2 for s in smoothings):
         raise ValueError("a span must be at least 2")
-    waiting = sorted(smoothings, key=lambda s: s.span)
-    out = df
-    while waiting:
-        size = block or int(_MAX_EXPONENT / -math.log(waiting[0].decay))
-        together = [s for s in waiting if block or _carry_depth(s.decay, size) <= _MAX_CARRIES]
-        waiting = [s for s in waiting if s not in together]
-        out = _averages_in_blocks(out, key, order, together, row_number, size)
-    return out.select(*df.columns, *[s.output for s in smoothings])
+    size = block or int(_MAX_EXPONENT / -math.log(min(s.decay for s in smoothings)))
+    out = df.withColumn("_seen", F.lit(0).cast("long"))
+    if state is not None:
+        known = state.select(key, F.col("rows").alias("_seen"), *[F.col(s.output).alias(f"_from{i}") for i, s in enumerate(smoothings)])
+        out = df.join(known, key, "left").withColumn("_seen", F.coalesce("_seen", F.lit(0)))
+    else:
+        out = out.withColumns({f"_from{i}": F.lit(None).cast("double") for i in range(len(smoothings))})
+    return _averages_in_blocks(out, df.columns, key, order, smoothings, row_number, size)
+
+
+def next_state(averaged: DataFrame, key: str, smoothings: list[Smoothing], row_number: str, state: DataFrame | None = None) -> DataFrame:
+    """``key``, ``rows`` seen so far and the last value of each smoothing, after the rows of ``averaged``.
+
+    A smoothing past its seed row without a value has met a missing input and stays without one.
+    ``state`` is what ``averaged`` went on from; keys without new rows keep theirs.
+    """
+    last = averaged.groupBy(key).agg(
+        F.max(row_number).cast("long").alias("rows"), *[F.max_by(s.output, row_number).alias(s.output) for s in smoothings]
+    )
+    if state is None:
+        return last
+    before = state.select(key, F.col("rows").alias("before"), *[F.col(s.output).alias(f"before_{s.output}") for s in smoothings])
+    both = before.join(last, key, "full")
+    return both.select(
+        key,
+        (F.coalesce("before", F.lit(0)) + F.coalesce("rows", F.lit(0))).alias("rows"),
+        *[F.when(F.col("rows").isNull(), F.col(f"before_{s.output}")).otherwise(F.col(s.output)).alias(s.output) for s in smoothings],
+    )
+
+
+def _after(power: float) -> Callable[[Column, Column], Column]:
+    """The map of a block of this decay, applied to the value before it."""
+    return lambda y, b: y * F.lit(power) + b
 
 
 def _averages_in_blocks(
-    df: DataFrame, key: str, order: str, smoothings: list[Smoothing], row_number: str, block: int
+    df: DataFrame, columns: list[str], key: str, order: str, smoothings: list[Smoothing], row_number: str, block: int
 ) -> DataFrame:
-    rn = F.col(row_number)
+    here = F.col(row_number)
+    rn = here + F.col("_seen")
     by_key = W.partitionBy(key).orderBy(order)
     so_far = by_key.rowsBetween(W.unboundedPreceding, W.currentRow)
+
+    def seeded(s: Smoothing) -> Column:
+        return F.last(F.when(rn == s.seed_row, F.col(s.value)), ignorenulls=True).over(so_far)
+
     out = df.withColumns(
-        {"_block": F.floor((rn - 1) / block), "_pos": F.pmod(rn - 1, F.lit(block))}
-        | {
-            f"_base{i}": F.last(F.when(rn == s.seed_row, F.col(s.value)), ignorenulls=True).over(so_far)
-            for i, s in enumerate(smoothings)
-        }
+        {"_block": F.floor((here - 1) / block), "_pos": F.pmod(here - 1, F.lit(block))}
+        | {f"_base{i}": F.coalesce(F.col(f"_from{i}"), seeded(s)) for i, s in enumerate(smoothings)}
         | {
             f"_gaps{i}": F.count(F.when((rn >= s.seed_row) & F.col(s.value).isNull(), 1)).over(so_far)
             for i, s in enumerate(smoothings)
@@ -93,39 +120,23 @@ def _averages_in_blocks(
     before = W.partitionBy(key).orderBy("_block", order).rowsBetween(W.unboundedPreceding, -1)
     weighted = {}
     for i, s in enumerate(smoothings):
-        # The seed row itself differs from the seed by nothing.
         moved = F.col(s.value) - F.col(f"_base{i}")
-        share = F.when(rn <= s.seed_row, F.lit(0.0)).otherwise(moved * s.alpha)
+        # The seed row itself differs from the seed by nothing.
+        share = F.when(F.col(f"_from{i}").isNull() & (rn <= s.seed_row), F.lit(0.0)).otherwise(moved * s.alpha)
         scaled = share * F.pow(F.lit(1.0 / s.decay), F.col("_pos"))
-        weighted[f"_carry{i}_0"] = F.sum(scaled).over(in_block) * F.pow(F.lit(s.decay), F.col("_pos"))
+        weighted[f"_within{i}"] = F.sum(scaled).over(in_block) * F.pow(F.lit(s.decay), F.col("_pos"))
     out = out.withColumns(weighted)
 
-    # A carried term is the last value of an earlier block: of the previous
-    # one, of the one before that, and so on while its weight can matter.
-    depths = [_carry_depth(s.decay, block) for s in smoothings]
+    # What earlier blocks leave: their maps, composed in order from no difference on.  A key has few blocks.
     at_end = F.col("_pos") == block - 1
-    for level in range(1, max(depths) + 1):
-        out = out.withColumns(
-            {
-                f"_carry{i}_{level}": F.last(F.when(at_end, F.col(f"_carry{i}_{level - 1}")), ignorenulls=True).over(before)
-                for i, depth in enumerate(depths)
-                if level <= depth
-            }
-        )
-
-    results = {}
-    for i, (s, depth) in enumerate(zip(smoothings, depths)):
-        total = F.col(f"_base{i}") + F.col(f"_carry{i}_0")
-        for level in range(1, depth + 1):
-            carried = F.col(f"_carry{i}_{level}")
-            weight = F.pow(F.lit(s.decay), F.col("_pos") + 1 + block * (level - 1))
-            total = total + F.when(carried.isNotNull(), weight * carried).otherwise(F.lit(0.0))
-        results[s.output] = F.when((rn >= s.seed_row) & (F.col(f"_gaps{i}") == 0), total)
-    return out.select(*df.columns, *[column.alias(name) for name, column in results.items()])
-
-
-def _carry_depth(decay: float, block: int) -> int:
-    depth = 1
-    while decay ** (block * depth) > _NEGLIGIBLE:
-        depth += 1
-    return depth
+    ends = {
+        f"_ends{i}": F.collect_list(F.when(at_end, F.coalesce(f"_within{i}", F.lit(0.0)))).over(before) for i in range(len(smoothings))
+    }
+    out = out.withColumns(ends)
+    results = []
+    for i, s in enumerate(smoothings):
+        left = F.aggregate(f"_ends{i}", F.lit(0.0), _after(s.decay**block))
+        value = F.col(f"_base{i}") + F.col(f"_within{i}") + left * F.pow(F.lit(s.decay), F.col("_pos") + 1)
+        broken = (F.col(f"_gaps{i}") > 0) | (F.col(f"_from{i}").isNull() & (F.col("_seen") >= s.seed_row))
+        results.append(F.when((rn >= s.seed_row) & ~broken, value).alias(s.output))
+    return out.select(*columns, *results)

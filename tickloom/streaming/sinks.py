@@ -48,6 +48,25 @@ def upsert_batches(
     )
 
 
+def flush_groups(df: DataFrame, path: str, checkpoint: str, most: int = K.FLUSH_EVENTS, continuous: bool = False) -> StreamingQuery:
+    """Release events in groups of at most ``most``, and after the flush interval at the latest.
+
+    The trigger ends the wait; what a trigger finds is numbered within its tasks, without a shuffle, and every ``most`` rows are a group,
+    ``(batch_id, task, part)``.  A batch that is run again after a failure overwrites its groups, so no event is lost or released twice.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        # The number of a row within its task is in the lower 33 bits.
+        place = F.monotonically_increasing_id()
+        grouped = batch.withColumn("_place", place).select(
+            *batch.columns, F.shiftright("_place", 33).cast("int").alias("task"), F.floor(F.col("_place").bitwiseAND((1 << 33) - 1) / most).alias("part")
+        )
+        grouped.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    trigger = {"processingTime": K.FLUSH_INTERVAL} if continuous else {"availableNow": True}
+    return df.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
 def newest_versions(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
     """The last stored version of every key."""
     versioned = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tickloom import constants as K
 from tickloom import schemas
 from tickloom.functions.columns import nonzero
-from tickloom.operators.chunked import previous_row
+from tickloom.operators.chunked import over_last_rows, previous_row
 
 METRICS = ("open", "high", "low", "close", "volume", "vwap")
 
@@ -152,6 +152,17 @@ def tick_moving_average(ticks: DataFrame, lookback: str, refresh: str) -> DataFr
     ).select(F.col("w.end").alias("window_end"), "symbol", "average", "ticks")
 
 
+def last_points_average(ticks: DataFrame, points: int, chunk_seconds: int = 3600) -> DataFrame:
+    """Average price of each tick and the ``points - 1`` before it of its symbol, on static data.
+
+    The order is by time, then arrival, however the ticks came; repeated deliveries are to be dropped before.
+    """
+    chunk = F.floor(F.unix_millis("ts") / (chunk_seconds * 1000))
+    prices = ticks.select("symbol", "ts", "ingest_id", F.col("close").alias("price"))
+    over = {"average": lambda w: F.avg("price").over(w), "ticks": lambda w: F.count("*").over(w)}
+    return over_last_rows(prices, "symbol", ["ts", "ingest_id"], chunk, points, over)
+
+
 def velocities(
     ticks: DataFrame, chunk_seconds: int = 3600, retention: str = K.VELOCITY_RETENTION
 ) -> DataFrame:

@@ -570,10 +570,12 @@ FROM_TO = "BETWEEN DATE '1996-01-01' AND DATE '1999-12-31'"
 BY_DATE = "PARTITION BY ticker ORDER BY date"
 
 
+FACTOR = "(1.0::DOUBLE + ((key * 31 + rn * 17) % 21 - 10) / 1003.0::DOUBLE)"
+
+
 def vendor(kind: str, source: str, source_has_rn: bool) -> None:
     """A vendor's values: ours, off by up to one percent, and none for some tickers."""
-    factor = "(1.0::DOUBLE + ((key * 31 + rn * 17) % 21 - 10) / 1003.0::DOUBLE)"
-    columns = ", ".join(f"CASE WHEN key % 9 <> 0 THEN {kind}_{n} * {factor} END AS {kind}_{n}" for n in WINDOWS)
+    columns = ", ".join(f"CASE WHEN key % 9 <> 0 THEN {kind}_{n} * {FACTOR} END AS {kind}_{n}" for n in WINDOWS)
     numbering = "" if source_has_rn else f", row_number() OVER ({BY_DATE}) AS rn"
     fragment(
         f"vendor_{kind}",
@@ -590,10 +592,10 @@ vendor("ema", "ema", True)
 vendor("wma", "wma_all", True)
 
 
-def errors(kind: str, calculated: str, threshold: float) -> str:
+def error_columns(kind: str, threshold: float, theirs_of: str, mine_of: str) -> str:
     columns = []
     for n in WINDOWS:
-        theirs, mine = f"v.{kind}_{n}", f"c.{kind}_{n}"
+        theirs, mine = f"{theirs_of}{n}", f"{mine_of}{n}"
         error = f"abs(({theirs} - {mine}) / nullif({mine}, 0)) * 100"
         columns += [
             f"{theirs} AS {kind}_{n}_vendor",
@@ -601,8 +603,12 @@ def errors(kind: str, calculated: str, threshold: float) -> str:
             f"{error} AS {kind}_{n}_error_percent",
             f"coalesce({error} > {threshold}, false) AS {kind}_{n}_is_critical",
         ]
+    return ", ".join(columns)
+
+
+def errors(kind: str, calculated: str, threshold: float) -> str:
     return f"""
-        SELECT v.ticker, v.timestamp, {', '.join(columns)}
+        SELECT v.ticker, v.timestamp, {error_columns(kind, threshold, f"v.{kind}_", f"c.{kind}_")}
         FROM vendor_{kind} v LEFT JOIN {calculated} c ON c.ticker = v.ticker AND c.date = v.timestamp
         """
 
@@ -612,7 +618,13 @@ for _kind, _calculated, _threshold in (
     ("ema", "ema", K.DAILY_ERROR_THRESHOLD),
     ("wma", "wma", K.STRICT_ERROR_THRESHOLD),
 ):
-    fragment(f"{_kind}_errors", errors(_kind, _calculated, _threshold), f"vendor_{_kind}", _calculated)
+    if _kind == "wma":
+        # The windows are heavy: both sides come from one pass over them, the vendor's on every row, ours from the longest window on.
+        _pairs = ", ".join(f"CASE WHEN key % 9 <> 0 THEN wma_{n} * {FACTOR} END AS theirs_{n}, CASE WHEN rn >= {max(WINDOWS)} THEN wma_{n} END AS mine_{n}" for n in WINDOWS)
+        fragment("wma_pairs", f"SELECT ticker, date AS timestamp, {_pairs} FROM (SELECT *, CAST(ticker[2:] AS BIGINT) AS key FROM wma_all)", "wma_all")
+        fragment("wma_errors", f"SELECT ticker, timestamp, {error_columns('wma', _threshold, 'theirs_', 'mine_')} FROM wma_pairs", "wma_pairs")
+    else:
+        fragment(f"{_kind}_errors", errors(_kind, _calculated, _threshold), f"vendor_{_kind}", _calculated)
     _rounded = ", ".join(
         f"{rs(*[f'{_kind}_{n}_{c}' for c in ('vendor', 'calculated', 'error_percent')])}, {_kind}_{n}_is_critical"
         for n in WINDOWS
@@ -1644,3 +1656,23 @@ oracle(
     "daily_sma",
     "reliable",
 )
+
+oracle(
+    "r13_last_points",
+    f"""
+    SELECT symbol, ts, ingest_id, {r('avg(close) OVER w', 'average')}, count(*) OVER w AS ticks
+    FROM last_ticks WINDOW w AS (PARTITION BY symbol ORDER BY ts, ingest_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
+    """,
+    "last_ticks",
+)
+oracle("r14_flush_groups", "SELECT symbol, count(*) AS events, true AS within FROM ticks GROUP BY symbol", "ticks")
+
+# Kept up by loads, a table is what it is when built at once.
+for _name, _whole in (
+    ("w3_ema_by_loads", "w3_ema"),
+    ("w3_ema_missing_closes_by_loads", "w3_ema_missing_closes"),
+    ("w4_macd_by_loads", "w4_macd"),
+    ("a2_months_by_loads", "a2_cumulated_months"),
+    ("a1_splits_by_loads", "a1_split_adjust"),
+):
+    ORACLE[_name] = ORACLE[_whole]

@@ -7,6 +7,7 @@ doubles are rounded here, and only here, so that two engines can be compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +19,9 @@ from tickloom.functions import columns as C
 from tickloom.operators import bars as B
 from tickloom.operators import fundamentals, indicators, market, quality, signals, staging, validation
 from tickloom.operators import tickers as TK
-from tickloom.plans import serving
+from tickloom.plans import serving, upkeep
 from tickloom.plans.marts import Marts
-from tickloom.session import scratch_path
+from tickloom.session import freeze, scratch_path
 from tickloom.sources import normalize, readers, writers
 from tickloom.streaming import late, sinks, ticks
 from tickloom.streaming.velocity import velocities_to_end
@@ -409,9 +410,7 @@ def _(t: Tables) -> DataFrame:
     return t.marts.daily
 
 
-@query("a2_cumulated_months")
-def _(t: Tables) -> DataFrame:
-    months = t.marts.cumulated
+def _months_table(months: DataFrame) -> DataFrame:
     closes = F.transform("bars", lambda b: F.date_format(b["date"], "yyyy-MM-dd"))
     return months.select(
         "ticker", "year", "month_num", F.array_join(closes, ",").alias("days"),
@@ -420,6 +419,31 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query("a2_cumulated_months")
+def _(t: Tables) -> DataFrame:
+    return _months_table(t.marts.cumulated)
+
+
+@query("a2_months_by_loads")
+def _(t: Tables) -> DataFrame:
+    """Loads that overlap in months: by day of the month, so that most bars come late."""
+    path = scratch_path(t.spark, "months")
+    for third in range(3):
+        upkeep.update_months(t.spark, path, t.marts.daily.where(F.dayofmonth("date") % 3 == third))
+    return _months_table(t.spark.read.parquet(path))
+
+
+@query("a1_splits_by_loads")
+def _(t: Tables) -> DataFrame:
+    """Splits arrive in two loads, the older ones last."""
+    raw, adjusted = (scratch_path(t.spark, name) for name in ("raw", "adjusted"))
+    upkeep.store_bars(t.marts.bars, raw)
+    late = F.col("date") < F.to_date(F.lit("1999-01-01"))
+    upkeep.refresh_adjusted(t.spark, raw, adjusted, t.marts.splits.where(~late))
+    upkeep.refresh_adjusted(t.spark, raw, adjusted, t.marts.splits, t.marts.splits.where(late))
+    return t.spark.read.parquet(adjusted).select(*t.marts.daily.columns)
+
+
 @query("a3_liquidity", digits=2)
 def _(t: Tables) -> DataFrame:
     return TK.liquidity(B.unpack_bars(t.marts.cumulated), B.latest(t.marts.daily))
@@ -643,6 +667,41 @@ def _(t: Tables) -> DataFrame:
     return indicators.ema(_gapped(t))
 
 
+_LOADS = ("1994-06-30", "1996-12-31", "1997-01-02")
+
+
+def _loads(df: DataFrame) -> list[DataFrame]:
+    """Rows by date in four loads, one of them a few days'."""
+    edges = [None, *_LOADS, None]
+    after = [df if a is None else df.where(F.col("date") > F.to_date(F.lit(a))) for a in edges[:-1]]
+    return [d if b is None else d.where(F.col("date") <= F.to_date(F.lit(b))) for d, b in zip(after, edges[1:], strict=True)]
+
+
+def _by_loads(df: DataFrame, extend) -> DataFrame:
+    """Each load goes on from the stored state of the one before."""
+    state, parts = None, []
+    for load in _loads(df):
+        rows, state = extend(load, state)
+        state = freeze(state)
+        parts.append(rows)
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("w3_ema_by_loads")
+def _(t: Tables) -> DataFrame:
+    return _by_loads(t.clean_bars, indicators.extend_ema)
+
+
+@query("w3_ema_missing_closes_by_loads")
+def _(t: Tables) -> DataFrame:
+    return _by_loads(_gapped(t), indicators.extend_ema)
+
+
+@query("w4_macd_by_loads")
+def _(t: Tables) -> DataFrame:
+    return _by_loads(t.clean_bars, indicators.extend_macd)
+
+
 @query("w4_macd_missing_closes")
 def _(t: Tables) -> DataFrame:
     return indicators.macd(_gapped(t))
@@ -917,6 +976,26 @@ def _(t: Tables) -> DataFrame:
     return _plain_time(sinks.run_to_end(ticks.tick_moving_average(ticks.keep_last(_parsed(t)), "6 hours", "2 hours"), "averages"))
 
 
+@query("r13_last_points")
+def _(t: Tables) -> DataFrame:
+    kept = ticks.keep_last(ticks.parse_ticks(t.tick_events))
+    return _plain_time(ticks.last_points_average(kept, 20).select("symbol", "ts", "ingest_id", "average", "ticks"))
+
+
+@query("r14_flush_groups")
+def _(t: Tables) -> DataFrame:
+    """Events released over two runs of a stream: each once, in groups of a hundred at most."""
+    feed, out, progress = (scratch_path(t.spark, name) for name in ("feed", "groups", "groups-progress"))
+    for half in range(2):
+        t.tick_events.where(F.col("ingest_id") % 2 == half).write.mode("append").parquet(feed)
+        parsed = ticks.parse_ticks(t.spark.readStream.schema(t.tick_events.schema).parquet(feed))
+        sinks.flush_groups(parsed, out, progress).awaitTermination()
+    groups = t.spark.read.parquet(out).groupBy("batch_id", "task", "part", "symbol").agg(F.count("*").alias("n"))
+    sizes = groups.groupBy("batch_id", "task", "part").agg(F.sum("n").alias("size"))
+    per_symbol = groups.groupBy("symbol").agg(F.sum("n").alias("events"))
+    return per_symbol.withColumn("within", sizes.select(F.max("size") <= K.FLUSH_EVENTS).scalar())
+
+
 def _routed(t: Tables, kind: str, retention: str | None = None) -> DataFrame:
     """The events as a stream of five batches, late ticks apart."""
     feed, out, progress = (scratch_path(t.spark, name) for name in ("feed", "routed", "routed-progress"))
