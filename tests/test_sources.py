@@ -185,6 +185,28 @@ def test_incremental_append(spark, tmp_path):
     assert WR.newer_than(df, df.limit(0)).count() == 3
 
 
+def test_newest_stored_day_is_known_from_the_folders(spark, tmp_path):
+    path, plain = str(tmp_path / "t"), str(tmp_path / "plain")
+    df = bars(spark, {"A": [1.0, 2.0, 3.0]}).select("ticker", "date", "close")
+    WR.incremental_append(df.where(F.col("date") < day(2)), path)
+    newest = WR.newest_stored(spark, path, df)
+    plan = planned(WR.newer_than(df, newest))
+    assert "FileScan" not in plan
+    assert rows(newest) == [(day(1),)]
+    # A table without partitions stays as it is.
+    df.where(F.col("date") < day(1)).write.parquet(plain)
+    for _ in range(2):
+        WR.incremental_append(df, plain)
+    assert column(spark.read.parquet(plain), "close", "date") == [1.0, 2.0, 3.0]
+    assert WR.stored_values(spark, plain, WR.LOADED_UPTO) == []
+    # Nothing newer leaves no folder; rows without a day are in no load.
+    more = df.unionByName(spark.createDataFrame([("B", None, 9.0), ("B", day(2), 8.0)], df.schema))
+    for load in (df.where(F.col("date") < day(2)), df.limit(0), more, more):
+        WR.incremental_append(load, path)
+    assert WR.stored_values(spark, path, WR.LOADED_UPTO) == [str(day(1)), str(day(2))]
+    assert column(spark.read.parquet(path), "close", "date", "close") == [1.0, 2.0, 3.0, 8.0]
+
+
 def test_json_records(spark):
     df = spark.createDataFrame([("A", None)], "TICKER string, Close double")
     assert rows(WR.to_json_records(df)) == [('{"ticker":"A","close":null}',)]

@@ -287,3 +287,90 @@ def test_flushed_groups_are_bounded_and_complete_over_restarts(spark, tmp_path):
     assert sorted(x[0] for x in stored.select("id").collect()) == list(range(seen))
     sizes = [x[0] for x in stored.groupBy("batch_id", "task", "part").agg(F.count("*")).select("count(1)").collect()]
     assert max(sizes) == 100 and len(sizes) < 2 * seen / 100 + 20
+
+
+def test_message_rate_of_panes_equals_sliding_windows(spark):
+    import random
+
+    r = random.Random(5)
+    data = [(r.choice("AAAB"), dt.datetime(2024, 1, 1) + dt.timedelta(milliseconds=r.randrange(400_000))) for _ in range(3000)] + [("C", None)]
+    df = spark.createDataFrame(data, "symbol string, ts timestamp")
+    # 25 seconds are not whole steps of 10: panes of 5 make both.
+    for lookback, refresh, pane in (("60 seconds", "10 seconds", 10), ("25 seconds", "10 seconds", 5), ("7 seconds", "7 seconds", 7)):
+        assert S.pane_width(spark, lookback, refresh) == f"{pane * 1_000_000} microseconds"
+        plain = df.groupBy(F.window("ts", lookback, refresh).alias("w"), "symbol").agg(F.count("*").alias("n")).select("w.start", "w.end", "symbol", "n")
+        got = S.message_rate(df, lookback, refresh)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_compacted_versions_read_as_before_and_stay_few(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "versions")
+    schema = spark.createDataFrame([], "symbol string, v long, batch_number int").schema
+    assert sinks.compact_versions(spark, path, schema, ["symbol"]) is None
+    expected = {}
+
+    def batches():
+        return sorted(int(p.name.split("=")[1]) for p in (tmp_path / "versions").glob("batch_id=*"))
+
+    def read():
+        found = rows(sinks.newest_versions(spark, path, schema, ["symbol"]))
+        assert len(found) == len({x[0] for x in found})
+        return {x[0]: x[1:] for x in found}
+
+    for n in range(12):
+        load = [(f"s{(n * k) % 7}", 10 * n + k, n) for k in range(2)] + [(None, n, n)]
+        load = list({x[0]: x for x in load}.values())
+        spark.createDataFrame(load, schema).write.parquet(f"{path}/batch_id={n}")
+        expected |= {x[0]: x[1:] for x in load}
+        if n % 3 == 2:
+            assert sinks.compact_versions(spark, path, schema, ["symbol"]) == n - 1
+            assert sinks.compact_versions(spark, path, schema, ["symbol"]) == n - 1
+        assert read() == expected
+    assert batches() == [8, 9, 10, 11]
+    assert sinks.snapshots(spark, path) == [7, 10]
+    # A snapshot that was not finished does not count; the last batch may be run again.
+    (tmp_path / "versions-snapshots" / "upto=10" / "_SUCCESS").unlink()
+    assert sinks.snapshots(spark, path) == [7] and read() == expected
+    assert sinks.compact_versions(spark, path, schema, ["symbol"]) == 10 and read() == expected
+    # A crash before the removal leaves more files and the same answer.
+    spark.createDataFrame([("new", 1, 12)], schema).write.parquet(f"{path}/batch_id=12")
+    monkeypatch.setattr(sinks, "remove", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        sinks.compact_versions(spark, path, schema, ["symbol"])
+    monkeypatch.undo()
+    assert read() == expected | {"new": (1, 12)}
+
+
+def test_expired_hours_are_removed_and_no_other(spark, feed, tmp_path):
+    from tickloom.streaming import late
+
+    out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
+    assert late.remove_expired(spark, out, "2 hours") == []
+    hour = 3600
+    feed.add(event("A", 10, 1.0, 1), event("A", hour + 5, 1.0, 2), event("B", 2 * hour, 1.0, 3))
+    parsed = feed.ticks()
+    late.keep_late_apart(parsed, out, progress, "10 hours", "2 hours").awaitTermination()
+    assert late.remove_expired(spark, out, "2 hours") == []
+    feed.add(event("A", 3 * hour + 30, 1.0, 4), event("A", hour + 40, 1.0, 5), event("A", hour + 20, 1.0, 6))
+    for _ in range(2):
+        late.keep_late_apart(parsed, out, progress, "10 hours", "2 hours").awaitTermination()
+    removed = [late.remove_expired(spark, out, "2 hours") for _ in range(2)]
+    assert removed == [["2024-01-01-00"], []]
+    kept = late.read_routed(spark, out, "timely", parsed.schema)
+    assert kept.columns == parsed.columns
+    # Of the hour in which the retention begins all is kept that was stored.
+    assert column(kept, "ingest_id", "ingest_id") == [2, 3, 4, 5]
+
+
+def test_a_slow_source_loses_nothing_to_a_fast_one(spark, feed, tmp_path):
+    from tickloom.streaming import late
+
+    feed.add(event("fast", 1000, 1.0, 1), event("slow", 10, 1.0, 2))
+    feed.add(event("fast", 2000, 1.0, 3), event("slow", 12, 1.0, 4), event("fast", 900, 1.0, 5))
+    feed.add(event("slow", 1, 1.0, 6), event("slow", 9, 1.0, 7), event("other", 0, 1.0, 8), event("slow", 3, 1.0, 9, start_timestamp=None))
+    parsed = feed.ticks()
+    for source, late_ids in ((None, [4, 5, 6, 7, 8, 9]), ("symbol", [5, 6, 9])):
+        out, progress = str(tmp_path / f"out-{source}"), str(tmp_path / f"progress-{source}")
+        late.keep_late_apart(parsed, out, progress, "5 seconds", source=source).awaitTermination()
+        assert column(late.read_routed(spark, out, "late", parsed.schema), "ingest_id", "ingest_id") == late_ids
+        assert late.read_routed(spark, out, "timely", parsed.schema).count() == 9 - len(late_ids)

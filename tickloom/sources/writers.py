@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,10 @@ from tickloom.constants import EPOCH_OF_HISTORY
 from tickloom.session import Scratch
 
 
+#: Folders of the loads of a table that is appended to.
+LOADED_UPTO = "loaded_upto"
+
+
 def _status(spark: SparkSession, path: str, question: str) -> bool:
     location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -133,11 +138,45 @@ def newer_than(source: DataFrame, target: DataFrame | None, column: str = "date"
     return source.where(F.col(column) > start)
 
 
+def stored_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a partition column, from the names of the folders, in order of the names."""
+    if not is_folder(spark, path):
+        return []
+    names = [s.getPath().getName() for s in _status(spark, path, "listStatus")]
+    values = [unquote(n.split("=", 1)[1]) for n in names if n.startswith(f"{column}=")]
+    return sorted(v for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+
+
+def newest_stored(spark: SparkSession, path: str, like: DataFrame, column: str = "date") -> DataFrame | None:
+    """Values among which is a stored table's newest of the column; None where nothing is stored.
+
+    Of a table that ``incremental_append`` stored they are the names of its loads' folders, and no row is read.
+    """
+    if not path_exists(spark, path):
+        return None
+    values = stored_values(spark, path, LOADED_UPTO)
+    if values:
+        return spark.createDataFrame([(v,) for v in values], "value string").select(F.col("value").cast(like.schema[column].dataType).alias(column))
+    return spark.read.schema(like.schema).parquet(path).select(column)
+
+
 def incremental_append(source: DataFrame, path: str, column: str = "date") -> None:
-    """Append what is newer than anything stored."""
+    """Append what is newer than anything stored, as a folder named by the newest value of the load.
+
+    So the next load knows what is stored without reading it.  A load that failed is written again over what it left.
+    A table that was stored without such folders is read for its newest value and stays as it is.
+    """
     spark = source.sparkSession
-    target = spark.read.schema(source.schema).parquet(path) if path_exists(spark, path) else None
-    newer_than(source, target, column).write.mode("append").parquet(path)
+    target = newest_stored(spark, path, source, column)
+    newer = newer_than(source, target, column)
+    if target is not None and not stored_values(spark, path, LOADED_UPTO):
+        newer.write.mode("append").parquet(path)
+        return
+    upto = newer.select(F.max(column).cast("string")).first()[0]
+    if upto is not None:
+        # What arrives in the meantime belongs to the next load.
+        load = newer.where(F.col(column) <= F.lit(upto).cast(source.schema[column].dataType))
+        load.withColumn(LOADED_UPTO, F.lit(upto)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(LOADED_UPTO).parquet(path)
 
 
 def to_json_records(df: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ Column ``ts`` is the event time; ``ingest_id`` grows as events come in.
 from __future__ import annotations
 
 from decimal import Decimal
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,10 +110,23 @@ def active_symbols_exact(ticks: DataFrame, window: str = K.RATE_LOOKBACK) -> Dat
     return counted.select(F.col("w2.start").alias("window_start"), F.col("w2.end").alias("window_end"), "active_symbols")
 
 
+def pane_width(spark: SparkSession, lookback: str, refresh: str) -> str:
+    """The widest pane that windows of this length and step are made of."""
+    both = spark.sql(f"SELECT INTERVAL {lookback} AS a, INTERVAL {refresh} AS b").first()
+    micros = [round(x.total_seconds() * 1_000_000) for x in both]
+    return f"{gcd(*micros)} microseconds"
+
+
 def message_rate(ticks: DataFrame, lookback: str = K.RATE_LOOKBACK, refresh: str = K.RATE_REFRESH) -> DataFrame:
-    """Events per symbol in a trailing window that moves on every refresh."""
-    return ticks.groupBy(F.window("ts", lookback, refresh).alias("w"), "symbol").agg(
-        F.count("*").alias("messages")
+    """Events per symbol in a trailing window that moves on every refresh.
+
+    Events are counted once, in panes that every window is made of; windows sum up panes, so an event is never
+    copied.  On a stream this chains two aggregations, which append mode with a watermark allows; an event whose
+    pane is closed already is late.
+    """
+    panes = ticks.groupBy(F.window("ts", pane_width(ticks.sparkSession, lookback, refresh)).alias("pane"), "symbol").agg(F.count("*").alias("n"))
+    return panes.groupBy(F.window(F.window_time("pane"), lookback, refresh).alias("w"), "symbol").agg(
+        F.sum("n").alias("messages")
     ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "symbol", "messages")
 
 

@@ -1254,6 +1254,11 @@ oracle(
     f"SELECT symbol, {r('arg_max(close, row(ts, ingest_id))', 'price')}, max(ts) AS ts FROM ticks GROUP BY 1",
     "ticks",
 )
+oracle(
+    "r3_compacted_values",
+    f"SELECT symbol, {r('arg_max(close, row(ts, ingest_id))', 'price')}, max(ts) AS ts FROM ticks GROUP BY 1",
+    "ticks",
+)
 oracle("r4_symbols", "SELECT DISTINCT symbol FROM ticks", "ticks")
 oracle(
     "r5_update_messages",
@@ -1387,6 +1392,14 @@ oracle(
     f"SELECT symbol, ts, {r('close')}, ingest_id FROM batched_ticks WHERE coalesce(ts >= bound, true) AND ts >= oldest",
     "batched_ticks",
 )
+oracle(
+    "r10_retention_removed",
+    f"""
+    SELECT symbol, ts, {r('close')}, ingest_id FROM batched_ticks WHERE coalesce(ts >= bound, true) AND ts >= oldest
+    AND ts >= (SELECT date_trunc('day', max(ts) - INTERVAL 25 DAY) FROM ticks)
+    """,
+    "batched_ticks",
+)
 oracle("r15_late_ticks_stream", "SELECT symbol, count(*) AS late FROM batched_ticks WHERE ts < bound GROUP BY 1", "batched_ticks")
 oracle(
     "r15_late_ticks",

@@ -235,7 +235,7 @@ def _(t: Tables) -> DataFrame:
     writers.incremental_append(bars.where(F.col("date") <= F.lit("1998-06-30").cast("date")), path)
     writers.incremental_append(bars, path)
     writers.incremental_append(bars, path)
-    return t.spark.read.schema(bars.schema).parquet(path)
+    return t.spark.read.schema(bars.schema).parquet(path).select(*bars.columns)
 
 
 @query("s12_seed")
@@ -899,6 +899,18 @@ def _(t: Tables) -> DataFrame:
     return _plain_time(sinks.run_to_end(ticks.latest_values(_parsed(t, None)), "latest", ["symbol"]))
 
 
+@query("r3_compacted_values")
+def _(t: Tables) -> DataFrame:
+    """Latest values of a stream whose versions are folded after each of four loads."""
+    feed, out, progress = (scratch_path(t.spark, name) for name in ("feed", "versions", "versions-progress"))
+    for load in range(4):
+        t.tick_events.where(F.pmod(F.col("ingest_id"), F.lit(4)) == load).write.mode("append").parquet(feed)
+        latest = ticks.latest_values(ticks.parse_ticks(t.spark.readStream.schema(t.tick_events.schema).parquet(feed)))
+        sinks.upsert_batches(latest, out, progress).awaitTermination()
+        sinks.compact_versions(t.spark, out, latest.schema, ["symbol"])
+    return _plain_time(sinks.newest_versions(t.spark, out, latest.schema, ["symbol"]))
+
+
 @query("r4_symbols")
 def _(t: Tables) -> DataFrame:
     return sinks.run_to_end(ticks.symbols(_parsed(t, None)), "symbols")
@@ -996,15 +1008,17 @@ def _(t: Tables) -> DataFrame:
     return per_symbol.withColumn("within", sizes.select(F.max("size") <= K.FLUSH_EVENTS).scalar())
 
 
-def _routed(t: Tables, kind: str, retention: str | None = None) -> DataFrame:
-    """The events as a stream of five batches, late ticks apart."""
+def _routed(t: Tables, kind: str, retention: str | None = None, remove: bool = False) -> DataFrame:
+    """The events as a stream of five batches, late ticks apart; ``remove`` deletes what the retention has passed."""
     feed, out, progress = (scratch_path(t.spark, name) for name in ("feed", "routed", "routed-progress"))
     number = F.floor((F.col("ingest_id") - 1) / 2)
     for batch in range(5):
         # All files written since the last run are one batch.
         t.tick_events.where(number % 5 == batch).write.mode("append").parquet(feed)
         parsed = ticks.parse_ticks(t.spark.readStream.schema(t.tick_events.schema).parquet(feed))
-        late.keep_late_apart(parsed, out, progress, "20 days", retention).awaitTermination()
+        late.keep_late_apart(parsed, out, progress, "20 days", retention, per="day").awaitTermination()
+        if remove:
+            late.remove_expired(t.spark, out, retention, "day")
     return late.read_routed(t.spark, out, kind, parsed.schema)
 
 
@@ -1013,6 +1027,11 @@ def _(t: Tables) -> DataFrame:
     return _plain_time(_routed(t, "timely", "25 days").select("symbol", "ts", "close", "ingest_id"))
 
 
+@query("r10_retention_removed")
+def _(t: Tables) -> DataFrame:
+    return _plain_time(_routed(t, "timely", "25 days", remove=True).select("symbol", "ts", "close", "ingest_id"))
+
+
 @query("r15_late_ticks_stream")
 def _(t: Tables) -> DataFrame:
     return _routed(t, "late").groupBy("symbol").agg(F.count("*").alias("late"))
