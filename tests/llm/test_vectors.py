@@ -90,3 +90,32 @@ def test_pruned_edges_are_diverse():
     squares = (points**2).sum(1)
     kept = graph_ann.robust_prune(points, squares, np.array([0]), np.array([[1, 2, 3, 4, 1, 0, -1]]), 1.0)[0]
     assert [k for k in kept if k >= 0] == [1, 3]
+
+
+@pytest.mark.parametrize("size", [10**6, 10**9, 10**15])
+def test_scores_of_large_components_are_whole_numbers(spark, size):
+    r = np.random.default_rng(7)
+    x = r.uniform(-size, size, (260, 64))
+    # Close rivals: scores that differ in their last digits.
+    x[200:] = x[0] + r.integers(-3, 4, (60, 64)) / 1024
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = maxscore.top_k(Scratch(spark), df).collect()
+    whole = [[int(np.floor(1024 * c)) for c in v] for v in x]
+    for q in (0, 100, 200):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in enumerate(whole) if i != q)[:10]
+        mine = sorted((f["rank"], f["vec_id"], f["score"]) for f in found if f["query_id"] == q)
+        if all(-s < maxscore.LARGEST for s, _ in best):
+            assert mine == [(k + 1, i, -s) for k, (s, i) in enumerate(best)]
+        else:
+            assert all(f[2] <= maxscore.LARGEST for f in mine) and len(mine) == 10
+
+
+def test_scores_beyond_64_bits_rank_by_what_they_are():
+    r = np.random.default_rng(8)
+    whole = r.integers(-(2**52), 2**52, (300, 16))
+    postings = maxscore.Postings(whole)
+    for q in whole[:5]:
+        at, scores = postings.top(q, 11)
+        true = [sum(int(a) * int(b) for a, b in zip(q, v, strict=True)) for v in whole]
+        assert set(sorted(range(300), key=lambda i: -true[i])[:11]) <= set(at.tolist())
+        assert [int(s) for s in scores] == [true[i] for i in at]
