@@ -96,3 +96,27 @@ def test_many_sources_are_numbered_in_ranges(spark):
     assert len(ranges) == 2 and min(ranges) > 1
     # No window over the sources is without a partition.
     assert "Window" not in plan
+
+
+def test_repeated_rows_are_counted_off(spark, monkeypatch):
+    # Ten rows of 4 words at a target of 67.5: 17 rows weigh 68, the nearest there is.
+    monkeypatch.setattr(mixing, "TIED_ROWS", 3)
+    rows = [(7, "a b c d")] * 10 + [(8, "a b c")] * 90 + [(9, "x")] * 3
+    sources = ["a"] * 10 + ["b"] * 90 + ["c"] * 3
+    df = documents(spark, rows, sources).repartition(4)
+    found = mixing.mix_sources(Scratch(spark), df).toPandas()
+    assert len(found) == len(rows)
+    for source, group in found.groupby("source"):
+        size, target = group["size"].iloc[0], group["target"].iloc[0]
+        assert abs(group["taken"].sum() - target) <= size / 2
+        assert (group["taken"] <= 2 * size).all()
+    mixed = mixing.mixed_rows(Scratch(spark), df)
+    assert mixed.columns == df.columns
+    counts = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
+    assert counts == found.groupby("source")["copies"].sum().to_dict()
+    again = mixing.mix_sources(Scratch(spark), df.repartition(7)).toPandas()
+    order = list(found.columns)
+    assert sorted(map(tuple, found[order].to_numpy().tolist())) == sorted(map(tuple, again[order].to_numpy().tolist()))
+    # All in one source, more rows than a stretch holds.
+    one = mixing.mix_sources(Scratch(spark), documents(spark, [(1, "w w w")] * 101)).toPandas()
+    assert abs(one["taken"].sum() - 1.5 * 303) <= 1.5 and set(one["copies"]) == {1, 2}

@@ -5,8 +5,8 @@ often as they fit, and the rest of the share with the rows whose hash is below a
 threshold.  Thresholds come from histograms: words by source and by the leading
 bits of the hash; the bucket in which a budget ends is refined by the next bits,
 alone, until it holds one hash value.  A larger budget has a larger threshold,
-so its mix holds that of any smaller one.  No row is sorted, and none passes
-through the driver.
+so its mix holds that of any smaller one.  Rows with the hash at which a budget ends, repeated rows, are
+counted off.  No row is sorted, and none passes through the driver.
 """
 
 from __future__ import annotations
@@ -72,23 +72,23 @@ def targets(scratch: Scratch, totals: DataFrame, budget_percent: int, cap: int,
 
 
 def _thresholds(scratch: Scratch, rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """For each source (by number) the hash below which rows get one copy more: of the two values about the
-    budget's end the one that comes nearer, the lower if both are as near.
+    """For each source (by number) the hash below which rows get one copy more, and how many of the ``tied`` rows with
+    just this hash do: as many as come nearest to the budget's end, the fewer if both are as near.
     """
     done = None
     open_ = wanted.select("number", F.col("extra").alias("left"), F.lit(0).cast("long").alias("prefix"))
     for level in range(1, HASH_BITS // LEVEL_BITS + 1):
         bits = HASH_BITS - level * LEVEL_BITS
         inside = rows.join(open_.select("number"), "number", "left_semi") if level == 1 else rows.join(open_.select("number", "prefix"), "number").where(F.shiftright("hash", bits + LEVEL_BITS) == F.col("prefix"))
-        sums = inside.groupBy("number", F.shiftright("hash", bits).alias("bucket")).agg(F.sum("size").alias("size"), F.min("hash").alias("low"), F.max("hash").alias("high"))
+        sums = inside.groupBy("number", F.shiftright("hash", bits).alias("bucket")).agg(F.sum("size").alias("size"), F.min("hash").alias("low"), F.max("hash").alias("high"), F.count("*").alias("n"))
         by = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
         run = sums.withColumn("upto", F.sum("size").over(by)).join(open_, "number")
         # The bucket where the budget ends; a budget beyond all rows ends after the last.
-        ends = run.where("upto > left").groupBy("number").agg(F.min_by(F.struct("bucket", "size", "upto", "left", "low", "high"), "bucket").alias("at")).select("number", "at.*")
+        ends = run.where("upto > left").groupBy("number").agg(F.min_by(F.struct("bucket", "size", "upto", "left", "low", "high", "n"), "bucket").alias("at")).select("number", "at.*")
         ends = scratch.keep(ends, "ends")
-        single = ends.where("low = high").select(
-            "number", F.when(F.col("left") - (F.col("upto") - F.col("size")) <= F.col("upto") - F.col("left"), F.col("low")).otherwise(F.col("low") + 1).alias("threshold")
-        )
+        # Rows equal in hash are equal in size: the n rows weigh size together.
+        rows_left = (F.col("left") - (F.col("upto") - F.col("size"))) * F.col("n") / F.col("size")
+        single = ends.where("low = high").select("number", F.col("low").alias("threshold"), F.ceil(rows_left - 0.5).cast("long").alias("tied"))
         done = single if done is None else done.unionByName(single)
         open_ = ends.where("low < high").select("number", (F.col("left") - (F.col("upto") - F.col("size"))).alias("left"), F.col("bucket").alias("prefix"))
         if open_.isEmpty():
@@ -96,6 +96,30 @@ def _thresholds(scratch: Scratch, rows: DataFrame, wanted: DataFrame) -> DataFra
     return done
 
 
+#: Tied rows numbered in one task.
+TIED_ROWS = 1 << 16
+
+
+def _with_copies(scratch: Scratch, rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """``rows`` (with ``hash`` and ``number``) and the plan, with ``copies``.
+
+    Tied rows are stored and numbered by where they lie, in stretches of bounded length, then stretch by stretch, so a
+    row that is a third of all is no burden to one task.  As they are equal in key and text, it is all one which of them are taken.
+    """
+    met = rows.join(plan, "number")
+    is_tied = F.coalesce(F.col("hash") == F.col("threshold"), F.lit(False))
+    clear = met.where(~is_tied).withColumn("copies", F.col("whole") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0))
+    tied = scratch.keep(met.where(is_tied).withColumn("place", F.monotonically_increasing_id()), "tied")
+    tied = tied.withColumn("stretch", F.floor(F.col("place") / TIED_ROWS))
+    counts = tied.groupBy("number", "stretch").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("number").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("number", "stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    inside = F.row_number().over(Window.partitionBy("number", "stretch").orderBy("place"))
+    numbered = tied.withColumn("inside", inside).join(offsets, ["number", "stretch"])
+    decided = numbered.withColumn("copies", F.col("whole") + F.when(F.col("earlier") + F.col("inside") <= F.col("tied"), 1).otherwise(0))
+    return clear.unionByName(decided.select(*clear.columns))
+
+
 def _number(source: str) -> Column:
     return F.xxhash64(F.col(source).isNull(), F.col(source))
 
@@ -114,14 +138,10 @@ def plan_mix(
     plan = plan.withColumn("whole", whole).withColumn("extra", F.col("target") - F.col("whole") * F.col("source_size"))
     plan = scratch.keep(plan.withColumn("number", _number("source")), "targets")
     thresholds = _thresholds(scratch, rows, plan.where("extra > 0"))
-    decided = plan.join(thresholds, "number", "left").select("number", "source_size", "target", "whole", "threshold")
+    decided = plan.join(thresholds, "number", "left").select("number", "source_size", "target", "whole", "threshold", "tied")
     return rows, scratch.keep(decided, "plan")
 
 
-def _copies() -> Column:
-    return F.col("whole") + F.when(F.col("hash") < F.col("threshold"), 1).otherwise(0)
-
-
 def mix_sources(
     scratch: Scratch,
     df: DataFrame,
@@ -136,11 +156,11 @@ def mix_sources(
 
     Returns a row per row of ``df``: the key column, ``source``, ``size`` (words; null texts: 0), ``source_size``,
     ``target``, ``copies`` and ``taken`` (words, copies counted).  Rows without words are taken as their hash
-    says and weigh nothing.  A null source is a source.  Rows equal in key and text are taken alike, so a source of
-    nothing but one row repeated is taken whole or not.  Empty tables give empty results.  Other columns take no part.
+    says and weigh nothing.  A null source is a source.  Of rows equal in key and text
+    as many are taken once more as come nearest to the target.  Empty tables give empty results.  Other columns take no part.
     """
     rows, plan = plan_mix(scratch, df, key, text, source, budget_percent, cap, weights)
-    taken = rows.join(plan, "number").withColumn("copies", _copies())
+    taken = _with_copies(scratch, rows, plan)
     return taken.select(
         F.col("key").alias(key),
         F.col("source").alias(source),
@@ -162,10 +182,13 @@ def mixed_rows(
     cap: int = 2,
     weights: tuple[float, ...] = WEIGHTS,
 ) -> DataFrame:
-    """The mix itself: each row of ``df`` as often as it is taken, in the columns of ``df``."""
+    """The mix itself: each row of ``df`` as often as it is taken, in the columns of ``df``.
+
+    As in ``mix_sources``; where rows equal in key and text differ in other columns, which of them a mix takes that takes some is not stated.
+    """
     _, plan = plan_mix(scratch, df, key, text, source, budget_percent, cap, weights)
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("whole_row")
     hashed = df.select(whole, row_hash(f"`{key}`", f"`{text}`").alias("hash"), _number(f"`{source}`").alias("number"))
-    copies = hashed.join(plan, "number").withColumn("copies", _copies()).where("copies > 0")
+    copies = _with_copies(scratch, hashed, plan).where("copies > 0")
     repeated = copies.select("whole_row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
     return repeated.select("whole_row.*")
