@@ -71,3 +71,34 @@ def test_host_consensus_overrides_a_page(spark):
     assert found[12]["text"] == found[13]["text"] == "" and found[12]["n_chars"] == 0
     assert all(r["n_chars"] == len(r["text"]) for r in found.values())
     assert H.main_text(Scratch(spark), df.limit(0)).collect() == []
+
+
+def test_names_are_judged_one_by_one():
+    long = (WORDS * 6).strip()
+    outside = (
+        "class='share-container'", "class='menu-container'", "class='footer-wrapper'", "class='user-opinions'", "class='discussion'", "class='post-footer'", "class='main-nav'",
+        "class='comment-body'", "class='sidebar-content'", "id='content-ads'", "class='post comment'", "class='sidebar container'", "role='complementary'", "class='alert content-box'",
+    )
+    for attributes in outside:
+        for tag in ("div", "ul"):
+            body = f"<{tag} {attributes}><p>{WORDS * 2}</p></{tag}>"
+            assert H.extract(page(f"<article><h1>Title</h1><p>{WORDS * 6}</p>{body}</article>"), None) == f"Title\n{long}", attributes
+            assert H.extract(page(f"<div class='text'><p>{WORDS * 6}</p></div>{body}"), None) == long, attributes
+    inside = (
+        "class='content with-sidebar'", "class='content-sidebar-wrap'", "class='container sidebar-left'", "class='layout-sidebar'", "class='post category-social tag-ads'", "class='has-menu page'",
+        "class='post-12 hentry category-promotion'", "role='main' class='menu-open'", "class='wrapper no-sidebar'",
+    )
+    for attributes in inside:
+        assert H.extract(page(f"<div {attributes}><h1>Title</h1><p>{WORDS * 6}</p></div>"), None) == f"Title\n{long}", attributes
+    w = WORDS.strip()
+    for section in ("class='related work'", "id='related-work'", "class='discussion'", "class='entry-header'"):
+        assert H.extract(page(f"<article><p>{WORDS * 6}</p><section {section}><p>{WORDS}</p></section></article>"), None) == f"{long}\n{w}", section
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["last of all", "row", "c0", "c1", "host", "path", "a.b", "text", "html", "url"]
+    df = spark.createDataFrame([("z", "r", "0", "1", "h", "p", "d", "t", page(f"<article>{WORDS}</article>"), "http://a/b")], ", ".join(f"`{n}` string" for n in names))
+    found = H.main_text(Scratch(spark), df).first().asDict()
+    assert found == {"last of all": "z", "row": "r", "c0": "0", "c1": "1", "host": "h", "path": "p", "a.b": "d", "url": "http://a/b", "text": WORDS.strip(), "n_chars": len(WORDS.strip())}
+    bare = H.main_text(Scratch(spark), df.select("html", "url")).first().asDict()
+    assert bare == {"url": "http://a/b", "text": WORDS.strip(), "n_chars": len(WORDS.strip())}

@@ -15,6 +15,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,13 +32,22 @@ BLOCKS = frozenset(
 )
 #: Tags whose text is never part of the article, and words in classes, ids and roles that say the same.
 OUTSIDE_TAGS = frozenset("nav aside footer form button head dialog menu label".split())
-OUTSIDE_WORDS = re.compile(
-    r"(?:^|[^a-z])(?:nav|navbar|navigation|menu|menubar|breadcrumbs?|header|masthead|banner|footer|foot|sidebar|side|aside|widget|notice|alert|cookies?|consent|gdpr|popup|modal|overlay|newsletter|subscribe|signup|login|"
-    r"ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|promotion|comment|comments|disqus|reply|replies|respond|share|sharing|social|related|recommended|search|pagination|pager|toolbar|tags|"
-    r"complementary|contentinfo|dialog|search)(?:$|[^a-z])"
+OUTSIDE_WORDS = frozenset(
+    "nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead banner footer foot sidebar side aside widget notice alert cookie cookies consent gdpr popup modal overlay newsletter subscribe signup login "
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion comment comments discussion discussions opinions disqus reply replies respond share sharing social related recommended search pagination pager toolbar tags "
+    "complementary contentinfo dialog".split()
 )
-#: Words by which a wrapper shows that it holds the content as well.
-INSIDE_WORDS = re.compile(r"(?:^|[^a-z])(?:content|article|main|post|entry|story|page|wrap|wrapper|container|layout|body)(?:$|[^a-z])")
+#: Words for the article itself, for what wraps a page's columns, and for columns beside the article.
+CONTENT_WORDS = frozenset("content article main post entry hentry story".split())
+WRAP_WORDS = frozenset("wrap wrapper container layout page row body".split())
+SIDE_WORDS = frozenset("sidebar side aside".split())
+#: Words before what a wrapper has or lacks, and before what an article is filed under.
+HAS_WORDS = frozenset("with has no without".split())
+FILED_WORDS = frozenset("category tag type status format topic".split())
+#: Words that an article's own element never has as a name's first.
+NEVER_CONTENT = ("comment", "repl", "respond", "ad", "promo", "sponsor", "cookie", "notice")
+#: Names of parts of an article that hold a word of the above.
+PART_NAMES = re.compile(r"(?:^|\s)related[\s-](?:works?|research|literature|studies)(?:\s|$)")
 #: Tags that a new one of the same group closes, and where looking for it ends.
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _LIMITS = frozenset("ul ol dl table body html article section main div".split())
@@ -72,12 +82,41 @@ def _step(tag: str, attributes: dict[str, str]) -> str:
     return ".".join([tag, *classes])
 
 
+def _name_outside(name: str, tag: str, wraps: bool) -> bool:
+    """Does one name, a class or id, say that the element is no part of the article?"""
+    parts = re.findall("[a-z]+", name)
+    if not parts or parts[0] in FILED_WORDS and len(parts) > 1:
+        return False
+    # "content with-sidebar" has a sidebar and is none.
+    parts = parts[: next((i for i, p in enumerate(parts) if p in HAS_WORDS), len(parts))]
+    found = [p for p in parts if p in OUTSIDE_WORDS and not (p == "discussion" and tag == "section")]
+    if not found:
+        return False
+    first = parts.index(found[0])
+    if set(found) == {"header"} and any(p in CONTENT_WORDS or p == "page" for p in parts[:first]):
+        # "entry-header" holds a title.
+        return False
+    if set(found) <= SIDE_WORDS:
+        # "content-sidebar-wrap" holds both; "container sidebar-left" says where the sidebar is.
+        both = any(p in CONTENT_WORDS for p in parts[:first]) and parts[-1] in WRAP_WORDS
+        return not (both or "layout" in parts or wraps and len(parts) > 1)
+    return True
+
+
+@lru_cache(1 << 16)
 def _names_outside(tag: str, named: str) -> bool:
+    """Do an element's names say that it is no part of the article?
+
+    Each name is judged by itself: "menu-container" is a menu, whatever it contains.
+    """
     if not named.strip() or tag in ("html", "body", "article", "main"):
         return False
-    found = OUTSIDE_WORDS.search(named)
-    # "comment-body" is a comment; "content with-sidebar" is none.
-    return bool(found) and (not INSIDE_WORDS.search(named) or found[0].strip(" -").startswith(("comment", "repl", "respond", "ad", "promo", "sponsor", "cookie", "notice")))
+    names = PART_NAMES.sub(" ", named).split()
+    wraps = any(n in WRAP_WORDS or n in CONTENT_WORDS for n in names)
+    outside = [n for n in names if _name_outside(n, tag, wraps)]
+    if any(n in CONTENT_WORDS for n in names):
+        outside = [n for n in outside if n.startswith(NEVER_CONTENT)]
+    return bool(outside)
 
 
 def parse(page: str) -> Node:
@@ -346,12 +385,14 @@ def main_text(scratch: Scratch, df: DataFrame, url: str = "url", html: str = "ht
     held = [f for f in df.schema if f.name not in (html, "text", "n_chars")]
     schema = T.StructType([*held, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
     kept = [f.name for f in held]
-    rows = df.select(F.struct(*[F.col(f"`{n}`") for n in kept], F.lit(0).alias("last of all")).alias("row"), host(f"`{url}`").alias("host"), F.col(f"`{html}`").cast("string").alias("html"))
+    # A struct needs a field; columns are told by place, so their names don't matter.
+    fields = [F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(kept)] or [F.lit(0).alias("c0")]
+    rows = df.select(F.struct(*fields).alias("row"), host(f"`{url}`").alias("host"), F.col(f"`{html}`").cast("string").alias("html"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             texts = [extract(page or "", path) for page, path in zip(part.column("html").to_pylist(), part.column("path").to_pylist(), strict=True)]
             row = part.column("row")
-            yield pa.RecordBatch.from_arrays([*(row.field(n) for n in kept), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(row.field(i) for i in range(len(kept))), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=schema.names)
 
     return rows.join(winners, "host", "left").select("row", "html", "path").mapInArrow(run, schema)
