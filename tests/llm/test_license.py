@@ -82,3 +82,11 @@ def test_frequencies_cover_all_texts(spark):
 
 def test_no_rows(spark):
     assert L.scan_licenses(documents(spark, [])).collect() == []
+
+
+def test_columns_of_any_name_pass_through(spark):
+    names = ["text to scan", "c0", "c1", "a.b", "labels", "text"]
+    df = spark.createDataFrame([("z", "0", "1", "d", "old", "under the MIT license")], ", ".join(f"`{n}` string" for n in names))
+    found = L.scan_licenses(df).first().asDict()
+    assert [found[n] for n in names[:4]] == ["z", "0", "1", "d"] and found["base_labels"] == "mit" and found["labels"] == "mit"
+    assert L.scan_licenses(df.select("text")).first()["n_words"] == 4

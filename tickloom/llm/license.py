@@ -261,7 +261,7 @@ def scan_licenses(df: DataFrame, text: str = "text", templates: Sequence[tuple[s
         index = Index(idf, templates)
         for part in parts:
             out: dict[str, list] = {r.name: [] for r in results}
-            for values in _slices(part.column("text to scan").to_pylist()):
+            for values in _slices(part.column(len(kept)).to_pylist()):
                 data, begins = _texts(values)
                 starts, ends = spans(data, LETTERS)
                 at, numbers = index.find(fingerprints(data, starts, ends))
@@ -279,6 +279,8 @@ def scan_licenses(df: DataFrame, text: str = "text", templates: Sequence[tuple[s
                     out["labels"].append(",".join(sorted(base | found["labels"])))
                     out["score"].append(found["score"])
             arrays = [pa.array(out[r.name], {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}[r.dataType.simpleString().replace("bigint", "long")]) for r in results]
-            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), *arrays], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(len(kept))), *arrays], names=schema.names)
 
-    return df.select(*[F.col(f"`{n}`") for n in kept], F.col(f"`{text}`").cast("binary").alias("text to scan")).mapInArrow(run, schema)
+    # Columns are told by place, so their names don't matter.
+    held_columns = [F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(kept)]
+    return df.select(*held_columns, F.col(f"`{text}`").cast("binary").alias("text")).mapInArrow(run, schema)
