@@ -103,7 +103,7 @@ def compact_versions(spark: SparkSession, path: str, schema, keys: list[str], sp
 
     A batch that may be run again is not folded.  A snapshot counts once it is written whole, so a crash at any point
     leaves the same answer, and a run after it goes on.  What the snapshot before covers is removed then, and no more:
-    readers that began before this one still find their files, and two snapshots and the batches after them are all that is ever stored.
+    readers that began before this one still find their files, and two snapshots and the batches after the older one are all that is stored.
     """
     done = snapshots(spark, path)
     batches = sorted(int(v) for v in stored_values(spark, path, "batch_id"))
