@@ -1303,6 +1303,16 @@ oracle(
     "ticks",
     "watermark",
 )
+oracle(
+    "r6_active_symbols_sketches",
+    """
+    SELECT hours, time_bucket(to_hours(hours), ts, TIMESTAMP '1970-01-01') AS window_start, count(DISTINCT symbol) AS exact, true AS within_bound
+    FROM ticks, (SELECT unnest([6, 24, 168]::INTEGER[]) AS hours)
+    WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT w FROM watermark) GROUP BY 1, 2
+    """,
+    "ticks",
+    "watermark",
+)
 oracle(
     "r7_message_rate",
     f"""
@@ -1678,6 +1688,16 @@ oracle(
     """,
     "last_ticks",
 )
+oracle(
+    "r13_last_points_stream",
+    f"""
+    SELECT symbol, ts, ingest_id, {r('avg(close) OVER w', 'average')}, count(*) OVER w AS ticks
+    FROM last_ticks WHERE ts < (SELECT max(ts) - INTERVAL 20 DAY FROM ticks)
+    WINDOW w AS (PARTITION BY symbol ORDER BY ts, ingest_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)
+    """,
+    "ticks",
+    "last_ticks",
+)
 oracle("r14_flush_groups", "SELECT symbol, count(*) AS events, true AS within FROM ticks GROUP BY symbol", "ticks")
 
 # Kept up by loads, a table is what it is when built at once.

@@ -23,7 +23,7 @@ from tickloom.plans import serving, upkeep
 from tickloom.plans.marts import Marts
 from tickloom.session import freeze, scratch_path
 from tickloom.sources import normalize, readers, writers
-from tickloom.streaming import late, sinks, ticks
+from tickloom.streaming import late, points, sinks, ticks
 from tickloom.streaming.velocity import velocities_to_end
 from tickloom.workload.tables import Tables
 
@@ -938,6 +938,25 @@ def _(t: Tables) -> DataFrame:
     return _plain_time(both.select("window_start", "window_end", F.coalesce(near, F.lit(False)).alias("within_bound")))
 
 
+@query("r6_active_symbols_sketches")
+def _(t: Tables) -> DataFrame:
+    """Symbols per 6 hours, day and week from the stored sketches of hours, near the exact numbers."""
+    stored = sinks.run_to_end(ticks.symbol_sketches(_parsed(t), "1 hour"), "sketches")
+    parsed = ticks.parse_ticks(t.tick_events)
+    last = parsed.select(F.max("ts") - F.expr("INTERVAL 1 HOUR")).scalar()
+    closed = parsed.where(F.date_trunc("hour", "ts") + F.expr("INTERVAL 1 HOUR") <= last)
+    parts = []
+    for hours in (6, 24, 168):
+        window = f"{hours} hours"
+        exact = closed.groupBy(F.window("ts", window).alias("w")).agg(F.countDistinct("symbol").alias("exact"))
+        exact = exact.select(F.col("w.start").alias("window_start"), "exact")
+        both = ticks.active_from_sketches(stored, window).join(exact, "window_start", "full")
+        # Five standard errors.
+        near = F.abs(F.col("active_symbols") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.08 * F.col("exact"))
+        parts.append(both.select(F.lit(hours).alias("hours"), "window_start", "exact", F.coalesce(near, F.lit(False)).alias("within_bound")))
+    return _plain_time(reduce(DataFrame.unionByName, parts))
+
+
 @query("r7_message_rate")
 def _(t: Tables) -> DataFrame:
     return _plain_time(sinks.run_to_end(ticks.message_rate(_parsed(t), "6 hours", "1 hour"), "rates"))
@@ -994,6 +1013,21 @@ def _(t: Tables) -> DataFrame:
     return _plain_time(ticks.last_points_average(kept, 20).select("symbol", "ts", "ingest_id", "average", "ticks"))
 
 
+@query("r13_last_points_stream")
+def _(t: Tables) -> DataFrame:
+    """Averages of the last 20 points over five loads of a stream; ticks come up to ten days out of order."""
+    feed, out, progress = (scratch_path(t.spark, name) for name in ("feed", "last-points", "last-points-progress"))
+    came = F.col("start_timestamp") + F.pmod(F.xxhash64("ingest_id"), F.lit(864_000_000))
+    events = t.tick_events.withColumn("came", came)
+    ends = events.select(F.struct(F.min("came").alias("first"), F.max("came").alias("last"))).scalar()
+    share = (F.col("came") - ends.getField("first")) / (ends.getField("last") - ends.getField("first") + 1)
+    for load in range(5):
+        events.where(F.floor(share * 5) == load).drop("came").write.mode("append").parquet(feed)
+        parsed = ticks.parse_ticks(t.spark.readStream.schema(t.tick_events.schema).parquet(feed))
+        points.start_last_points(parsed, out, progress, 20, "20 days").awaitTermination()
+    return _plain_time(points.read_last_points(t.spark, out).select("symbol", "ts", "ingest_id", "average", "ticks"))
+
+
 @query("r14_flush_groups")
 def _(t: Tables) -> DataFrame:
     """Events released over two runs of a stream: each once, in groups of a hundred at most."""
