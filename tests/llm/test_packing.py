@@ -76,6 +76,43 @@ def test_evolution_beats_or_equals_one_best_fit_and_takes_elites():
     assert len(packing.evolve(np.array([5]), [], 0, 100)) == 1
 
 
+def triples(count, length, seed):
+    """Items that fill ``count`` sequences to the end, by threes."""
+    random_, out = np.random.default_rng(seed), []
+    for _ in range(count):
+        a = random_.integers(int(0.38 * length), int(0.49 * length))
+        b = random_.integers(length // 4 + 1, (length - a) // 2 + 1)
+        out += [a, b, length - a - b]
+    return np.array(out)
+
+
+@pytest.mark.parametrize("count", [40, 83, 400])
+def test_evolution_beats_decreasing_best_fit(monkeypatch, count):
+    lengths = triples(count, 4096, count)
+    bins = np.empty(len(lengths), np.int64)
+    simple = packing.best_fit(lengths, np.argsort(-lengths, kind="stable"), bins, [], 4096)
+    crossed, cross = [], packing.cross
+    monkeypatch.setattr(packing, "cross", lambda *a: crossed.append(1) or cross(*a))
+    best = packing.evolve(lengths, [], 1, 4096)
+    check_packing(lengths, best, 4096)
+    assert len(crossed) == packing.GENERATIONS and best.max() + 1 <= 0.96 * simple
+    # No packing by size is better than what the population ends with.
+    uneven = np.random.default_rng(count).integers(900, 2041, 600)
+    simple = packing.best_fit(uneven, np.argsort(-uneven, kind="stable"), np.empty(600, np.int64), [], 4096)
+    assert packing.evolve(uneven, [], 1, 4096).max() + 1 <= simple
+
+
+def test_islands_go_on_from_migrants(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GENERATIONS", 30)
+    lengths = triples(40, 4096, 3)
+    items = spark.createDataFrame([(0, k, int(n)) for k, n in enumerate(lengths)], "shard long, row long, length long")
+    placed = packing._islands(Scratch(spark), items, 4096).toPandas().sort_values("row")
+    assert placed["row"].tolist() == list(range(120))
+    check_packing(placed["length"].to_numpy(), placed["bin"].to_numpy(), 4096)
+    bins = np.empty(120, np.int64)
+    assert placed["bin"].nunique() <= 0.96 * packing.best_fit(lengths, np.argsort(-lengths, kind="stable"), bins, [], 4096)
+
+
 def test_merging_by_rank_gives_the_ids_of_merging_by_pair():
     """Each token's last merge is the listed one, so that equal ranks are reached in the same way in any word."""
     with open(packing.default_tokenizer(), encoding="utf-8") as file:

@@ -30,6 +30,7 @@ def table(spark, n=900, d=12, hot=200, seed=1):
 def test_exact_top_k(spark, monkeypatch):
     monkeypatch.setattr(vectors, "SHARD_ROWS", 150)
     monkeypatch.setattr(vectors, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(vectors, "PACKED_ROWS", 2)
     df, x = table(spark)
     found = maxscore.top_k(Scratch(spark), df).collect()
     whole = np.floor(1024 * x.astype(np.float64))
@@ -61,7 +62,9 @@ def test_postings_find_all_competitive_vectors(kind):
 
 
 def test_nearest_neighbours(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "SHARD_ROWS", 300)
+    monkeypatch.setattr(graph_ann, "SHARD_ROWS", 300)
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(vectors, "PACKED_ROWS", 3)
     df, x = table(spark)
     found = graph_ann.nearest(Scratch(spark), df).collect()
     assert {r["query_id"] for r in found} == set(range(0, 900, 100))
@@ -119,3 +122,17 @@ def test_scores_beyond_64_bits_rank_by_what_they_are():
         true = [sum(int(a) * int(b) for a, b in zip(q, v, strict=True)) for v in whole]
         assert set(sorted(range(300), key=lambda i: -true[i])[:11]) <= set(at.tolist())
         assert [int(s) for s in scores] == [true[i] for i in at]
+
+
+def test_beam_search_looks_at_few_of_the_vectors():
+    r = np.random.default_rng(5)
+    points = (r.normal(size=(60, 24))[r.integers(0, 60, 9000)] + 0.6 * r.normal(size=(9000, 24))).astype(np.float32)
+    points -= points.mean(0)
+    squares = (points**2).sum(1)
+    graph, entry = graph_ann.build_graph(points)
+    queries = points[:200]
+    found, _, looked = graph_ann.beam_search(points, squares, graph, entry, queries, graph_ann.SEARCH_BEAM)
+    true = np.argsort(squares - 2 * queries @ points.T, 1, kind="stable")[:, :11]
+    recall = np.mean([len(set(a.tolist()) & set(b.tolist())) for a, b in zip(found, true, strict=True)]) / 11
+    assert recall >= 0.9 and looked < 0.1 * points.shape[0] * len(queries)
+    assert all(len(set(row[row >= 0].tolist())) == (row >= 0).sum() for row in found)

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from tickloom.llm import vectors
 from tickloom.session import Scratch
 
-DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 64, 96, 1.2
+DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 64, 32, 1.2
+#: Vectors of a graph: the more, the smaller the share of them that a search looks at.
+SHARD_ROWS = 16384
 _TOGETHER = 256
 _FAR = np.float32(3e38)
 
@@ -28,9 +30,10 @@ def _distances(points: np.ndarray, squares: np.ndarray, ids: np.ndarray, query:
     return squares[ids] - 2 * np.einsum("bcd,bd->bc", points[ids], query)
 
 
-def beam_search(points: np.ndarray, squares: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``beam`` nearest found for each query (-1: none) and their distances as in ``_distances``, nearest first."""
+def beam_search(points: np.ndarray, squares: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The ``beam`` nearest found for each query (-1: none) and their distances as in ``_distances``, nearest first; and how many distances that took."""
     count, n = len(queries), len(points)
+    looked = count
     ids = np.full((count, beam), -1, np.int64)
     near = np.full((count, beam), _FAR, np.float32)
     open_ = np.zeros((count, beam), bool)
@@ -41,15 +44,19 @@ def beam_search(points: np.ndarray, squares: np.ndarray, graph: np.ndarray, entr
     while True:
         active = np.flatnonzero(open_.any(1))
         if not len(active):
-            return ids, near
+            return ids, near, looked
         # Rows are kept nearest first, so the first open place is the nearest open vector.
         place = open_[active].argmax(1)
         open_[active, place] = False
         around = graph[ids[active, place]]
         fresh = (around >= 0) & ~seen[active[:, None], around]
-        safe = np.where(fresh, around, entry)
-        seen[active[:, None], safe] = True
-        found = np.where(fresh, _distances(points, squares, safe, queries[active]), _FAR)
+        # Distances of new ones alone; what was seen is in the beam or was too far for it.
+        row, column = np.nonzero(fresh)
+        new = around[row, column]
+        looked += len(new)
+        seen[active[row], new] = True
+        found = np.full(around.shape, _FAR, np.float32)
+        found[row, column] = squares[new] - 2 * np.einsum("nd,nd->n", points[new], queries[active[row]])
         all_near = np.concatenate([near[active], found], 1)
         order = np.argsort(all_near, 1, kind="stable")[:, :beam]
         near[active] = np.take_along_axis(all_near, order, 1)
@@ -98,7 +105,7 @@ def build_graph(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, int]:
         order = random.permutation(n)
         for at in range(0, n, _TOGETHER):
             own = order[at : at + _TOGETHER]
-            found, _ = beam_search(points, squares, graph, entry, points[own], BUILD_BEAM)
+            found, _, _ = beam_search(points, squares, graph, entry, points[own], BUILD_BEAM)
             graph[own] = robust_prune(points, squares, own, np.concatenate([found, graph[own]], 1), relax)
             # Backward edges, by the vector that they start from.
             sources, targets = np.repeat(own, DEGREE), graph[own].ravel()
@@ -111,7 +118,13 @@ def build_graph(points: np.ndarray, seed: int = 7) -> tuple[np.ndarray, int]:
             for part in range(0, len(starts), _TOGETHER):
                 s = slice(part, part + _TOGETHER)
                 width = int(many[s].max(initial=0))
-                graph[starts[s]] = robust_prune(points, squares, starts[s], np.concatenate([graph[starts[s]], back[s, :width]], 1), relax)
+                held, new = graph[starts[s]], back[s, :width]
+                both = np.concatenate([held, np.where((new[:, :, None] == held[:, None, :]).any(2), -1, new)], 1)
+                full = (both >= 0).sum(1) > DEGREE
+                room = starts[s][~full]
+                graph[room] = np.take_along_axis(both[~full], np.argsort(both[~full] < 0, 1, kind="stable"), 1)[:, :DEGREE]
+                if full.any():
+                    graph[starts[s][full]] = robust_prune(points, squares, starts[s][full], both[full], relax)
     return graph, entry
 
 
@@ -142,7 +155,7 @@ def nearest(scratch: Scratch, df: DataFrame, key: str = "vec_id", vector: str =
     """
     rows = df.select(F.col(f"`{key}`").cast("long").alias("vec_id"), F.col(f"`{vector}`").alias("v")).where(vectors.usable("v"))
     rows = rows.where(F.exists("v", lambda x: x != 0))
-    index = build_index(scratch, vectors.distinct_vectors(scratch, rows, k))
+    index = build_index(scratch, vectors.distinct_vectors(scratch, rows, k, SHARD_ROWS))
     queries, blocks = vectors.query_blocks(scratch, rows, F.col("vec_id") % every == 0)
 
     def search(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
@@ -155,7 +168,7 @@ def nearest(scratch: Scratch, df: DataFrame, key: str = "vec_id", vector: str =
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         for at in range(0, len(block), _TOGETHER):
             part = wanted[at : at + _TOGETHER]
-            found, _ = beam_search(moved, squares, graph, int(shard["entry"].iloc[0]), (part - centre).astype(np.float32), max(beam, 2 * k))
+            found, _, _ = beam_search(moved, squares, graph, int(shard["entry"].iloc[0]), (part - centre).astype(np.float32), max(beam, 2 * k))
             for query, v, near in zip(block["vec_id"].iloc[at : at + _TOGETHER], part, found, strict=True):
                 near = near[near >= 0]
                 exact = np.sqrt(((points[near] - v) ** 2).sum(1))

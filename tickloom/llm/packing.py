@@ -5,6 +5,7 @@ stand alone.  All others are dealt by hash into shards of bounded size; a shard'
 population lives on several islands, each a group of its own.  An individual is a packing, its genes are
 bins: crossover injects whole well-filled bins of one parent into the other, removes the
 bins that held the same documents, and puts the documents displaced by that where they fit best.
+Packings begin as best fits in random orders; one by size joins half way, if the fewest bins possible are not reached by then.
 Between epochs the best packing of each island migrates to the next island.  Shards only lose the
 room of about one bin each, so more data means more shards, not larger ones.
 """
@@ -35,7 +36,7 @@ LENGTH = 4096
 #: The id that ends a document.
 END = 1
 SHARD_ITEMS = 4096
-ISLANDS, EPOCHS, POPULATION, GENERATIONS = 2, 2, 4, 8
+ISLANDS, EPOCHS, POPULATION, GENERATIONS = 3, 3, 10, 100
 #: Words kept with their ids by each worker, and the longest such.
 CACHE_WORDS, CACHE_BYTES = 200_000, 64
 
@@ -211,21 +212,33 @@ def cross(lengths: np.ndarray, one: np.ndarray, other: np.ndarray, random: np.ra
 
 
 def evolve(lengths: np.ndarray, elites: list[np.ndarray], seed: int, length: int = LENGTH) -> np.ndarray:
-    """The best packing after some generations from the given packings, or from decreasing best fits."""
+    """The best packing after some generations from the given packings and best fits in random orders.
+
+    Generations run while more bins are used than the items fill; one whose packing needs no more is done.
+    """
     random = np.random.default_rng(seed)
     least = -(-int(lengths.sum()) // length)
-    people = list(elites)
-    while len(people) < POPULATION:
-        # The first by size; the others by size with a little noise.
-        sizes = lengths * (1 + (0.1 * random.random(len(lengths)) if people else 0))
+    if any(int(e.max()) + 1 <= least for e in elites):
+        return min(elites, key=lambda e: _fitness(lengths, e, length))
+
+    def packed(order: np.ndarray) -> np.ndarray:
         bins = np.empty(len(lengths), np.int64)
-        best_fit(lengths, np.argsort(-sizes, kind="stable"), bins, [], length)
-        people.append(bins)
+        best_fit(lengths, order, bins, [], length)
+        return bins
+
+    people = list(elites)
+    people += [packed(random.permutation(len(lengths))) for _ in range(POPULATION - len(people))]
     ranked = sorted(((_fitness(lengths, p, length), i, p) for i, p in enumerate(people)), key=lambda x: x[:2])
     number = len(ranked)
-    for _ in range(GENERATIONS):
+    for generation in range(GENERATIONS):
         if ranked[0][0][0] <= least:
             break
+        if generation == GENERATIONS // 2:
+            # A packing by size joins late, so that it is one parent among others.
+            by_size = packed(np.argsort(-lengths, kind="stable"))
+            ranked.append((_fitness(lengths, by_size, length), number, by_size))
+            number += 1
+            ranked.sort(key=lambda x: x[:2])
         a, b = (min(random.integers(0, len(ranked), 2)) for _ in range(2))
         child = cross(lengths, ranked[a][2], ranked[b if a != b else (a + 1) % len(ranked)][2], random, length)
         ranked.append((_fitness(lengths, child, length), number, child))
