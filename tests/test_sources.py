@@ -134,6 +134,20 @@ def test_replace_only_with_rows(spark, tmp_path):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_a_replaced_table_may_be_read_by_its_load_and_survives_a_failed_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    WR.replace_if_nonempty(bars(spark, {"A": [1.0]}), path)
+    stored = spark.read.parquet(path)
+    assert WR.replace_if_nonempty(stored.unionByName(stored), path) and spark.read.parquet(path).count() == 2
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    # Failed after the old table was moved away, and after the new one had taken its place.
+    (tmp_path / "t").rename(tmp_path / "t-previous")
+    assert not WR.replace_if_nonempty(bars(spark, {"A": [1.0]}).limit(0), path) and spark.read.parquet(path).count() == 2
+    bars(spark, {"B": [1.0] * 3}).write.parquet(path + "-previous")
+    assert WR.replace_if_nonempty(bars(spark, {"A": [1.0] * 4}), path) and spark.read.parquet(path).count() == 4
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
 def test_upsert(spark, tmp_path):
     path = str(tmp_path / "t")
     df = bars(spark, {"A": [1.0, 2.0], "B": [3.0, 4.0]}).select("ticker", "date", "close")

@@ -456,3 +456,20 @@ def test_a_slow_source_loses_nothing_to_a_fast_one(spark, feed, tmp_path):
         late.keep_late_apart(parsed, out, progress, "5 seconds", source=source).awaitTermination()
         assert column(late.read_routed(spark, out, "late", parsed.schema), "ingest_id", "ingest_id") == late_ids
         assert late.read_routed(spark, out, "timely", parsed.schema).count() == 9 - len(late_ids)
+
+
+def test_symbols_are_forgotten_after_a_silence(spark, feed):
+    ticks = lambda *of: [event(s, x, 1.0, i) for i, (s, x) in enumerate(of)]
+    feed.add(*ticks(("A", 50), ("B", 0), ("A", 0), ("A", 20)))
+    feed.add(*ticks(("A", 110), ("A", 171), (None, 5), ("B", 500)))
+    feed.add(*ticks(("B", 520)))
+    sessions = S.symbol_sessions(feed.ticks("0 seconds"), "1 minute")
+    found = sinks.run_to_end(sessions, "sessions")
+    found = found.select("symbol", *[(F.unix_millis(c) / 1000 - START.timestamp()).cast("int").alias(c) for c in ("first_seen", "last_seen")], "ticks")
+    # A tick after exactly a minute goes on with the stretch, one after 61 seconds does not; the last stretch of B is open.
+    assert sorted(rows(found)) == [("A", 0, 110, 4), ("A", 171, 171, 1), ("B", 0, 0, 1)]
+
+
+def test_sessions_on_static_data(spark):
+    df = spark.createDataFrame([("A", START), ("A", START + dt.timedelta(days=31)), (None, START), ("A", None)], "symbol string, ts timestamp")
+    assert S.symbol_sessions(df, "30 days").count() == 2 and S.symbol_sessions(df.limit(0), "30 days").count() == 0

@@ -117,3 +117,10 @@ def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, on whichever file system it is."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Give a folder another name, on whichever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).rename(where, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} cannot be moved to {to}")

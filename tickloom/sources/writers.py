@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.constants import EPOCH_OF_HISTORY
-from tickloom.session import Scratch
+from tickloom.session import Scratch, move, remove
 
 
 #: Folders of the loads of a table that is appended to.
@@ -78,12 +78,27 @@ def replace_partitions(df: DataFrame, path: str, column: str = "date") -> None:
 
 
 def replace_if_nonempty(df: DataFrame, path: str) -> bool:
-    """Replace a table, but keep the old one when there is nothing to load."""
-    with Scratch(df.sparkSession) as scratch:
-        rows = scratch.keep(df, "staged")
-        if rows.isEmpty():
-            return False
-        rows.write.mode("overwrite").parquet(path)
+    """Replace a table, but keep the old one when there is nothing to load.
+
+    The load is written once, beside the table, and takes its place when it is whole; so ``df`` may read the table
+    itself.  A run that failed in between is made good by the next one: the old table is
+    put back, or what is left of either is removed.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    incoming, previous = f"{path}-incoming", f"{path}-previous"
+    if path_exists(spark, previous):
+        if path_exists(spark, path):
+            remove(spark, previous)
+        else:
+            move(spark, previous, path)
+    df.write.mode("overwrite").parquet(incoming)
+    if spark.read.schema(df.schema).parquet(incoming).isEmpty():
+        remove(spark, incoming)
+        return False
+    if path_exists(spark, path):
+        move(spark, path, previous)
+    move(spark, incoming, path)
+    remove(spark, previous)
     return True
 
 

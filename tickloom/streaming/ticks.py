@@ -78,6 +78,22 @@ def symbols(ticks: DataFrame) -> DataFrame:
     return ticks.select("symbol").dropDuplicates(["symbol"])
 
 
+def symbol_sessions(ticks: DataFrame, silence: str) -> DataFrame:
+    """Stretches in which a symbol was active: ``symbol``, ``first_seen``, ``last_seen``, ``ticks``.
+
+    A stretch ends once the symbol was silent for longer than ``silence``; a symbol that comes back is announced anew.  On a
+    stream with a watermark a stretch is given out, and its state dropped, when the mark has passed that silence, so the state holds the symbols
+    that were active lately and no others.  Ticks of one symbol are merged within the map tasks, so a hot one is
+    a few rows by the time it is shuffled.  Ticks without symbol or time belong to no stretch.
+    """
+    ticks.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    # Sessions meet only if they overlap or touch, so a tick after exactly the silence goes on with the stretch.
+    known = ticks.where("symbol IS NOT NULL AND ts IS NOT NULL")
+    return known.groupBy(F.session_window("ts", silence).alias("s"), "symbol").agg(
+        F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.count("*").alias("ticks")
+    ).select("symbol", "first_seen", "last_seen", "ticks")
+
+
 def update_messages(ticks: DataFrame) -> DataFrame:
     """Channel and JSON message for subscribers, one per tick."""
     message = F.struct(

@@ -1260,6 +1260,18 @@ oracle(
     "ticks",
 )
 oracle("r4_symbols", "SELECT DISTINCT symbol FROM ticks", "ticks")
+oracle(
+    "r4_symbol_sessions",
+    """
+    SELECT symbol, min(ts) AS first_seen, max(ts) AS last_seen, count(*) AS ticks
+    FROM (SELECT symbol, ts, count(*) FILTER (WHERE fresh) OVER (PARTITION BY symbol ORDER BY ts) AS stretch
+          FROM (SELECT symbol, ts, ts - coalesce(lag(ts) OVER (PARTITION BY symbol ORDER BY ts), TIMESTAMP '1900-01-01') > INTERVAL 1 DAY AS fresh FROM ticks))
+    GROUP BY symbol, stretch
+    HAVING max(ts) + INTERVAL 1 DAY <= (SELECT w FROM watermark)
+    """,
+    "ticks",
+    "watermark",
+)
 oracle(
     "r5_update_messages",
     f"""
@@ -1468,17 +1480,17 @@ for _name, _measure in (("q4_completeness", "max(n)"), ("q4_completeness_of_all"
         "per_ticker",
     )
 _OUTLIER_COLUMNS = ("volume", "open", "close", "high", "low")
-oracle(
-    "q5_outliers",
+_OUTLIERS = (
     "SELECT "
     + ", ".join(
         number_of(f"{c} > {c}_m + 3 * {c}_s OR {c} < {c}_m - 3 * {c}_s", f"{c}_outliers") for c in _OUTLIER_COLUMNS
     )
     + " FROM clean_bars, (SELECT "
     + ", ".join(f"avg({c}) AS {c}_m, stddev_samp({c}) AS {c}_s" for c in _OUTLIER_COLUMNS)
-    + " FROM clean_bars)",
-    "clean_bars",
+    + " FROM clean_bars)"
 )
+oracle("q5_outliers", _OUTLIERS, "clean_bars")
+oracle("q5_outliers_of_loads", _OUTLIERS, "clean_bars")
 oracle("q6_null_percentages", f"SELECT {', '.join(null_percent(c) for c in _FIELDS)} FROM dirty_bars", "dirty_bars")
 _GATE = (
     ("Invalid transactions percentage", "count(*) FILTER (WHERE transactions = 0) * 100.0::DOUBLE / count(*) < 1"),

@@ -17,7 +17,7 @@ from tickloom import constants as K
 from tickloom import schemas
 from tickloom.functions import columns as C
 from tickloom.operators import bars as B
-from tickloom.operators import fundamentals, indicators, market, quality, signals, staging, validation
+from tickloom.operators import fundamentals, indicators, market, profiles, quality, signals, staging, validation
 from tickloom.operators import tickers as TK
 from tickloom.plans import serving, upkeep
 from tickloom.plans.marts import Marts
@@ -916,6 +916,11 @@ def _(t: Tables) -> DataFrame:
     return sinks.run_to_end(ticks.symbols(_parsed(t, None)), "symbols")
 
 
+@query("r4_symbol_sessions")
+def _(t: Tables) -> DataFrame:
+    return _plain_time(sinks.run_to_end(ticks.symbol_sessions(_parsed(t), "1 day"), "sessions"))
+
+
 @query("r5_update_messages")
 def _(t: Tables) -> DataFrame:
     messages = sinks.run_to_end(ticks.update_messages(_parsed(t, None)), "updates")
@@ -1110,6 +1115,18 @@ def _(t: Tables) -> DataFrame:
     return quality.outliers(t.clean_bars)
 
 
+@query("q5_outliers_of_loads")
+def _(t: Tables) -> DataFrame:
+    """Outliers from profiles of days, taken load by load; bars are read again only where a bound goes through a bucket."""
+    path, kept = scratch_path(t.spark, "profiled-bars"), scratch_path(t.spark, "profiles")
+    bars = t.clean_bars.withColumn("year", F.year("date"))
+    bars.hint("rebalance", F.col("year")).write.partitionBy("year").parquet(path)
+    stored = t.spark.read.schema(bars.schema).parquet(path)
+    for load in (F.col("year") < 1996, F.col("year") >= 1996):
+        profiles.value_profile(stored.where(load), "date").write.mode("append").parquet(kept)
+    return profiles.outliers_from_profile(t.spark.read.parquet(kept), stored, "date")
+
+
 @query("q6_null_percentages")
 def _(t: Tables) -> DataFrame:
     return quality.null_percentages(t.dirty_bars)
