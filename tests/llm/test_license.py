@@ -68,6 +68,75 @@ def test_short_notices_are_labelled(spark):
     assert all((r["score"] > 0) == (r["labels"] != "") for r in out)
 
 
+def placed(words, idf, templates=L.TEMPLATES):
+    """Labels and best score by trying every template at every place."""
+    labels, best = set(), 0.0
+    starts = [(label, p.split()) for label, _, phrases in templates for p in phrases]
+    at = {}
+    for i, w in enumerate(words):
+        at.setdefault(w, []).append(i)
+    for label, text, phrases in templates:
+        t = text.split()
+        weight = [idf[w] for w in t]
+        for begin in {i - k for k, w in enumerate(t) for i in at.get(w, ())}:
+            inside = [0 <= begin + k < len(words) and words[begin + k] == w for k, w in enumerate(t)]
+            score = sum(x for x, found in zip(weight, inside) if found) / sum(weight)
+            if score < 0.8 - 1e-9:
+                continue
+
+            def stands(p, i):
+                longer = [q for other, q in starts if other != label and q[: len(p)] == p and len(q) > len(p) and label not in {x for x, y in starts if y == q}]
+                return i >= 0 and words[i : i + len(p)] == p and not any(words[i : i + len(q)] == q for q in longer)
+
+            if all(any(stands(p.split(), begin + k) for k in range(len(t) - len(p.split()) + 1)) for p in phrases):
+                labels.add(label)
+                best = max(best, score)
+    return labels, best
+
+
+def test_labels_and_scores_equal_to_trying_every_place():
+    r = random.Random(3)
+    idf = {w: r.choice([1.0, 1.5, 3.0, 7.0]) + r.random() for w in L.Index({}).words}
+    index = L.Index(idf)
+    several = 0
+    for round_ in range(60):
+        words = prose(r, r.randrange(0, 30))
+        for _ in range(r.randrange(0, 4)):
+            text = r.choice(L.TEMPLATES[: r.choice([15, 30, len(L.TEMPLATES)])])[1].split()
+            for _ in range(r.choice([0, 0, 1, 5, 12])):
+                text[r.randrange(len(text))] = r.choice(["x", "the", "license"])
+            if r.random() < 0.2:
+                text.insert(r.randrange(len(text)), "y")
+            words += text + prose(r, r.randrange(0, 5))
+        found = index.scan(*index.find(L._prints(words))) if words else {"labels": set(), "score": 0.0, "base": []}
+        labels, best = placed(words, idf)
+        several += len(labels) > 1
+        assert found["labels"] == labels
+        assert not labels or abs(found["score"] - best) < 1e-9
+    assert several > 5
+
+
+def test_only_placements_with_enough_votes_are_looked_at(monkeypatch):
+    index = L.Index({})
+    tried = []
+    placements = L.Index._placements
+    monkeypatch.setattr(L.Index, "_placements", lambda self, at: (tried.append(x) or x for x in placements(self, at)))
+    words = ("the software is provided to use and copy in the terms of this license without fee " * 200).split()
+    assert index.scan(*index.find(L._prints(words)))["labels"] == set() and len(tried) == 0
+    mit = next(text for label, text, _ in L.TEMPLATES if label == "mit").split()
+    spoilt = [w if i % 12 else "x" for i, w in enumerate(words + mit + words)]
+    index.scan(*index.find(L._prints(spoilt)))
+    assert len({t for t, _ in tried}) <= 3 and len(tried) <= 5
+
+
+def test_whole_texts_are_labelled(spark):
+    texts = [f"Copyright 2020 Someone.\n\n{text.capitalize()}" for _, text, _ in L.LICENSE_TEXTS]
+    out = {r["doc_id"]: r for r in L.scan_licenses(documents(spark, list(enumerate(texts)))).collect()}
+    for i, (label, _, _) in enumerate(L.LICENSE_TEXTS):
+        assert label in out[i]["labels"].split(",") and set(out[i]["labels"].split(",")) <= {label, "gpl"} and out[i]["score"] == 1.0
+    assert out[1]["labels"] == "isc" and out[2]["labels"] == "0bsd"
+
+
 def test_templates_are_a_parameter(spark):
     df = documents(spark, [(1, "all wrongs reserved by us"), (2, "Licensed under CC BY-NC 4.0.")])
     out = L.scan_licenses(df, templates=(("own", "all wrongs reserved", ("wrongs reserved",)),)).collect()

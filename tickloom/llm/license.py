@@ -1,10 +1,11 @@
 """Licence scan with a positional index of rare words.
 
-Templates are short grants and headers of public licences.  Their words are weighted by
-how rare they are in the corpus, counted over all texts.  A text's licence words with the
-highest weight are looked up in the templates' postings (word to template and position);
-postings that agree on the template's position relative to the text vote together, and the best
-placement of a template gives its score, the weighted share of its words found in place.  A
+Templates are texts, grants and headers of public licences.  Their words are weighted by
+how rare they are in the corpus, counted over all texts.  Each template posts its rarest places (word to template and position), as many as
+make up half of its weight.  A file's licence words are taken from the rarest on; templates whose posted weight they cannot reach, or whose key phrases
+they cannot make up, are out.  For the others the file's places and the postings are intersected by relative position: places that agree on where the
+template begins add their weights, and only a placement that has what a score of 0.8 cannot do without is looked at whole.  So nothing is
+missed: what a placement may lack of all weight, it may lack of the posted weight at most.  A placement's score is the weighted share of the template's words found in place.  A
 label also needs its mandatory key phrases within the placement, and none of them may go on as a longer
 phrase of another label ("CC BY-NC" is no CC BY).  Short notices and identifiers are templates
 that are key phrases as a whole.  Base labels come from their phrases' words standing in a row, anywhere in the text.
@@ -12,7 +13,8 @@ that are key phrases as a whole.  Base labels come from their phrases' words sta
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+import re
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from itertools import product
 
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.llm.license_texts import LICENSE_TEXTS
 from tickloom.llm.words import LETTERS, fingerprints, spans
 
 #: Phrases of the base labels.
@@ -103,11 +106,17 @@ def _short_notices() -> list[tuple[str, str]]:
 
 
 #: Label, text and mandatory key phrases of every template.
-TEMPLATES = (*LONG_TEMPLATES, *((label, p, (p,)) for label, p in _short_notices()))
+TEMPLATES = (
+    *((label, " ".join(re.findall("[a-z0-9]+", text)), phrases) for label, text, phrases in LICENSE_TEXTS),
+    *LONG_TEMPLATES,
+    *((label, p, (p,)) for label, p in _short_notices()),
+)
 #: A placement counts from this weighted share of its template's words.
 LEAST_SCORE = 0.8
-#: Words of a template, by weight, whose postings are looked up.
-RARE_WORDS = 4
+#: Share of a template's weight that its postings make up.
+POSTED_SHARE = 0.5
+#: Above the rounding of sums of weights.
+_SLACK = 1e-9
 
 
 def _prints(words: list[str]) -> np.ndarray:
@@ -145,13 +154,21 @@ class Index:
                     self.longer[label, p[:k]].append(list(p[k:]))
         self.base = [([self.number[w] for w in p.split()], label) for p, label in BASE_PHRASES]
         self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        #: By template, the weight that a placement must have at the posted places, and the words that its key phrases are of.
+        self.needed: list[float] = []
+        self.mandatory = [{w for p in phrases for w in p} for phrases in self.phrases]
         for t, words in enumerate(self.templates):
-            # Where all words are mandatory, the rarest is enough.
-            most = 1 if words.tolist() in self.phrases[t] else RARE_WORDS
-            rare = sorted(set(words.tolist()), key=lambda w: (-self.weight[w], self.words[w]))[:most]
-            for position, w in enumerate(words.tolist()):
-                if w in rare:
-                    self.postings[w].append((t, position))
+            weight = self.weight[words]
+            order = sorted(range(len(words)), key=lambda i: (-weight[i], self.words[words[i]], i))
+            posted, may_lack = 0.0, (1 - LEAST_SCORE) * self.totals[t]
+            # Where all words are mandatory, a placement may lack none, so the rarest is enough.
+            whole = words.tolist() in self.phrases[t]
+            for i in order:
+                self.postings[int(words[i])].append((t, i))
+                posted += float(weight[i])
+                if whole or posted >= POSTED_SHARE * self.totals[t]:
+                    break
+            self.needed.append((posted if whole else posted - may_lack) - _SLACK * self.totals[t])
 
     def find(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions and numbers of the licence words among fingerprints."""
@@ -167,23 +184,39 @@ class Index:
         end = at + len(phrase)
         return not any(all(where.get(end + j) == w for j, w in enumerate(rest)) for rest in self.longer.get((label, tuple(phrase)), ()))
 
+    def _placements(self, at: dict[int, list[int]]) -> Iterator[tuple[int, int]]:
+        """Templates and where they begin, as far as the votes of a file's words, given by their places, leave them possible."""
+        rarest = sorted((w for w in at if w in self.postings), key=lambda w: (-self.weight[w], self.words[w]))
+        reach: dict[int, float] = defaultdict(float)
+        for w in rarest:
+            for t, _ in self.postings[w]:
+                reach[t] += float(self.weight[w])
+        likely = {t for t, r in reach.items() if r >= self.needed[t] and all(w in at for w in self.mandatory[t])}
+        votes: dict[tuple[int, int], float] = defaultdict(float)
+        for w in rarest:
+            posted = [x for x in self.postings[w] if x[0] in likely]
+            for p in at[w] if posted else ():
+                for t, position in posted:
+                    votes[t, p - position] += float(self.weight[w])
+        return (x for x, v in votes.items() if v >= self.needed[x[0]])
+
     def scan(self, positions: np.ndarray, numbers: np.ndarray) -> dict:
         """Base places and labels, and the method's labels and best score, of one text's licence words."""
         where = dict(zip(positions.tolist(), numbers.tolist(), strict=True))
         base: list[tuple[int, str]] = []
         for phrase, label in self.base:
             base += [(p, label) for p, w in where.items() if w == phrase[0] and all(where.get(p + k) == v for k, v in enumerate(phrase))]
-        votes: Counter[tuple[int, int]] = Counter()
+        at: dict[int, list[int]] = defaultdict(list)
         for p, w in where.items():
-            for t, position in self.postings.get(w, ()):
-                votes[t, p - position] += 1
+            at[w].append(p)
         labels, best = set(), 0.0
-        for (t, shift), _ in votes.items():
+        for t, shift in self._placements(at):
             words = self.templates[t].tolist()
             found = [where.get(shift + k) == w for k, w in enumerate(words)]
-            score = float(self.weight[self.templates[t]][found].sum()) / self.totals[t]
-            inside = all(any(self._stands(where, self.labels[t], p, shift + k) for k in range(len(words) - len(p) + 1)) for p in self.phrases[t])
-            if score >= LEAST_SCORE and inside:
+            score = min(1.0, float(self.weight[self.templates[t]][found].sum()) / self.totals[t])
+            if score < LEAST_SCORE - _SLACK:
+                continue
+            if all(any(self._stands(where, self.labels[t], p, shift + k) for k in range(len(words) - len(p) + 1)) for p in self.phrases[t]):
                 labels.add(self.labels[t])
                 best = max(best, score)
         return {"base": base, "labels": labels, "score": max(best, 1.0 if base else 0.0) if not labels else best}
