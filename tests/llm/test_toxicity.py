@@ -75,6 +75,14 @@ def spelled(text):
     return [(plain[i : i + n], i) for n in toxicity.SIZES for i in range(len(plain) - n + 1)], len(plain)
 
 
+def test_blocks_hold_the_ngrams_of_the_whole_text():
+    for length in (0, 1, toxicity.BLOCK - 3, toxicity.BLOCK - 2, toxicity.BLOCK, 2 * toxicity.BLOCK + 5):
+        text = "".join(chr(97 + i * i % 23) for i in range(length))
+        whole = toxicity.ngrams(text)
+        blocks = [(int(k), at + int(b)) for at, g in toxicity._blocks(text) for k, b in zip(g.keys, g.begins, strict=True)]
+        assert sorted(blocks) == sorted(zip(whole.keys.tolist(), whole.begins.tolist(), strict=True))
+
+
 def test_ngrams_are_of_characters():
     r = random.Random(1)
     texts = ["Abc  abc\tABC", "é́ 汉字 😀😀 x", "", " ", "a\x0bb\x1cc", "".join(r.choice("abAB é汉\n😀") for _ in range(3000))]

@@ -12,6 +12,7 @@ room of about one bin each, so more data means more shards, not larger ones.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
 import re
@@ -160,6 +161,9 @@ def tokenize(df: DataFrame, key: str = "doc_id", text: str = "text", path: str |
                     sizes.append(len(ids) // 4)
                     crcs.append([zlib.crc32(ids[k : k + 4 * length]) for k in range(0, len(ids), 4 * length)])
                 yield pa.RecordBatch.from_arrays([some.column("key"), pa.array(sizes, pa.int64()), pa.array(crcs, pa.list_(pa.int64()))], names=schema.names)
+        # An idle worker would keep its words and the vocabulary beside those at work in later stages.
+        _tokenizer.cache_clear()
+        gc.collect()
         release()
 
     return df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("binary").alias("text")).mapInArrow(run, schema)

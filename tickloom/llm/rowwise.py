@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.llm.corpus import release
+
 #: Bytes of text and rows judged at a time; a longer text is a slice of its own.
 SLICE_BYTES, SLICE_ROWS = 1 << 20, 4096
 
@@ -43,6 +45,7 @@ def judge_texts(df: DataFrame, text: str, results: T.StructType, judge: Callable
                 some = part.slice(at, take)
                 found = pa.StructArray.from_arrays(judge(some.column("text").to_pylist()), names=results.names)
                 yield pa.RecordBatch.from_arrays([found, some.column("rest")], names=["results", "rest"])
+        release()
 
     judged = packed.mapInArrow(run, schema)
     return judged.select(*[F.col("rest")[f.name].alias(f.name) for f in others], *[F.col("results")[n].alias(n) for n in results.names])

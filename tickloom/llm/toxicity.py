@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.llm.corpus import release
 from tickloom.llm.rowwise import judge_texts
 from tickloom.session import Scratch
 
@@ -32,6 +33,8 @@ SIZES = (3, 4, 5, 6)
 #: Bits of an n-gram's hash, upper ones that the first pass counts by, and code points of a segment.
 KEY_BITS, HASH_BITS = 32, 19
 SEGMENT = 16_384
+#: Code points whose n-grams are in memory at a time: whole segments.
+BLOCK = 8 * SEGMENT
 #: Texts of each class that the classifier is trained on at most, and features that it keeps.
 TRAINING_ROWS = 12_000
 FEATURES = 8192
@@ -51,26 +54,44 @@ class Grams:
     length: int
 
 
-def ngrams(text: str) -> Grams:
+def _letters(text: str) -> np.ndarray:
+    """Numbers of a text's characters, A-Z as a-z, white space as one blank each."""
     data = np.frombuffer(f" {text} ".encode("utf-32-le", "surrogatepass"), np.uint32)
     data = np.where((data >= 0x41) & (data <= 0x5A), data + np.uint32(32), data)
     space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
     data = np.where(space, np.uint32(0x20), data)[~(space & np.concatenate(([False], space[:-1])))]
     letters = (data + np.uint32(1)) * _PRIMES[0]
-    letters ^= letters >> np.uint32(15)
-    rolled, keys, begins = np.zeros(len(data), np.uint32), [], []
+    return letters ^ (letters >> np.uint32(15))
+
+
+def _grams(letters: np.ndarray, most: int) -> Grams:
+    """N-grams that begin at the first ``most`` letters."""
+    rolled, keys, begins = np.zeros(len(letters), np.uint32), [], []
     for n in range(1, max(SIZES) + 1):
-        if len(data) < n:
+        if len(letters) < n:
             break
-        rolled = rolled[: len(data) - n + 1] * _PRIMES[1] + letters[n - 1 :]
+        rolled = rolled[: len(letters) - n + 1] * _PRIMES[1] + letters[n - 1 :]
         if n in SIZES:
-            mixed = (rolled ^ (rolled >> np.uint32(16)) ^ np.uint32(n * 0x9E3779)) * _PRIMES[2]
+            mixed = rolled[:most]
+            mixed = (mixed ^ (mixed >> np.uint32(16)) ^ np.uint32(n * 0x9E3779)) * _PRIMES[2]
             mixed ^= mixed >> np.uint32(15)
             keys.append(mixed * _PRIMES[3])
             begins.append(np.arange(len(mixed)))
     if not keys:
-        return Grams(np.empty(0, np.uint32), np.empty(0, np.int64), len(data))
-    return Grams(np.concatenate(keys), np.concatenate(begins), len(data))
+        return Grams(np.empty(0, np.uint32), np.empty(0, np.int64), len(letters))
+    return Grams(np.concatenate(keys), np.concatenate(begins), len(letters))
+
+
+def ngrams(text: str) -> Grams:
+    letters = _letters(text)
+    return _grams(letters, len(letters))
+
+
+def _blocks(text: str) -> Iterator[tuple[int, Grams]]:
+    """Where each block of segments begins, and the n-grams that begin in it, so that a long text's are never in memory together."""
+    letters = _letters(text)
+    for at in range(0, len(letters), BLOCK):
+        yield at, _grams(letters[at : at + BLOCK + max(SIZES) - 1], BLOCK)
 
 
 class Keys:
@@ -100,10 +121,12 @@ class Model:
 
     def log_odds(self, text: str | None) -> float:
         """Log of the summed odds of the text's segments over the root of their number; a feature counts once a segment."""
-        found = ngrams(text or "")
-        at, which = self.known.find(found)
-        segments, size = -(-max(1, found.length) // SEGMENT), max(1, len(self.weights))
-        pairs = np.unique((at // SEGMENT) * size + which)
+        size, length, parts = max(1, len(self.weights)), 0, []
+        for begin, found in _blocks(text or ""):
+            at, which = self.known.find(found)
+            parts.append(np.unique(((begin + at) // SEGMENT) * size + which))
+            length = begin + min(found.length, BLOCK)
+        pairs, segments = np.concatenate(parts), -(-max(1, length) // SEGMENT)
         sums = np.bincount(pairs // size, weights=self.weights[pairs % size], minlength=segments) + self.intercept
         return float(np.logaddexp.reduce(sums) - np.log(segments) / 2)
 
@@ -112,10 +135,13 @@ def _presence(texts: list[str | None]) -> Iterator[np.ndarray]:
     """Distinct upper bits of the hashes of each text."""
     seen = np.zeros(1 << HASH_BITS, bool)
     for text in texts:
-        found = ngrams(text or "").keys >> np.uint32(KEY_BITS - HASH_BITS)
-        seen[found] = True
-        distinct = np.flatnonzero(seen) if len(found) > 1 << 14 else np.unique(found)
-        seen[found] = False
+        distinct = []
+        for _, grams in _blocks(text or ""):
+            found = grams.keys >> np.uint32(KEY_BITS - HASH_BITS)
+            distinct.append(np.unique(found[~seen[found]]))
+            seen[distinct[-1]] = True
+        distinct = np.concatenate(distinct)
+        seen[distinct] = False
         yield distinct
 
 
@@ -141,6 +167,7 @@ def _telling(training: DataFrame, texts: np.ndarray) -> np.ndarray:
                 counts[label, distinct] += 1
         pieces = [[p.tobytes() for p in np.split(side, PARTS)] for side in counts]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(PARTS)), *(pa.array(p, pa.binary()) for p in pieces)], names=["part", "n_0", "n_1"])
+        release()
 
     def term(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
         return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0.0)
@@ -165,14 +192,15 @@ def _features(training: DataFrame, texts: np.ndarray, chosen: np.ndarray) -> tup
         held: list[list[np.ndarray]] = [[], []]
         for part in parts:
             for label, text in zip(part.column("label").to_pylist(), part.column("text").to_pylist(), strict=True):
-                keys = ngrams(text or "").keys
-                held[label].append(np.unique(keys[upper[keys >> np.uint32(KEY_BITS - HASH_BITS)]]))
+                keys = [g.keys[upper[g.keys >> np.uint32(KEY_BITS - HASH_BITS)]] for _, g in _blocks(text or "")]
+                held[label].append(np.unique(np.concatenate(keys)))
         counted = [np.unique(np.concatenate(h or [np.empty(0, np.uint32)]), return_counts=True) for h in held]
         keys = np.union1d(counted[0][0], counted[1][0])
         columns = [np.zeros(len(keys), np.int64) for _ in counted]
         for column, (own, n) in zip(columns, counted, strict=True):
             column[np.searchsorted(keys, own)] = n
         yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), *(pa.array(c) for c in columns)], names=["key", "n_0", "n_1"])
+        release()
 
     found = training.coalesce(8).mapInArrow(run, "key long, n_0 long, n_1 long").groupBy("key").agg(F.sum("n_0").alias("n_0"), F.sum("n_1").alias("n_1"))
     sides = (F.col("n_0"), F.col("n_1")), tuple(F.lit(int(n)) for n in texts)
@@ -221,8 +249,9 @@ def train(scratch: Scratch, training: DataFrame, shares: tuple[float, float] | N
         for part in parts:
             for at in range(0, part.num_rows, 64):
                 some = part.slice(at, 64)
-                rows = [np.unique(lookup.find(ngrams(t or ""))[1]).astype(np.int32) for t in some.column("text").to_pylist()]
+                rows = [np.unique(np.concatenate([lookup.find(g)[1] for _, g in _blocks(t or "")])).astype(np.int32) for t in some.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([some.column("label").cast(pa.float64()), pa.array(rows, pa.list_(pa.int32()))], ["label", "at"])
+        release()
 
     # Stored in between, so that each job has one Python worker a task.
     sparse = scratch.keep(training.coalesce(8).mapInArrow(positions, "label double, at array<int>"), "positions")
