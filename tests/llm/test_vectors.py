@@ -136,3 +136,23 @@ def test_beam_search_looks_at_few_of_the_vectors():
     recall = np.mean([len(set(a.tolist()) & set(b.tolist())) for a, b in zip(found, true, strict=True)]) / 11
     assert recall >= 0.9 and looked < 0.1 * points.shape[0] * len(queries)
     assert all(len(set(row[row >= 0].tolist())) == (row >= 0).sum() for row in found)
+
+
+@pytest.mark.parametrize("kind", ["unequal lengths", "far clusters"])
+def test_nearest_neighbours_of_harder_vectors(spark, monkeypatch, kind):
+    monkeypatch.setattr(graph_ann, "SHARD_ROWS", 2000)
+    r = np.random.default_rng(11)
+    x = r.normal(size=(4000, 48))
+    if kind == "unequal lengths":
+        x *= np.exp(2 * r.normal(size=(4000, 1)))
+    else:
+        x = 1e6 * x[r.integers(0, 40, 4000)] + 1e-2 * x
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = graph_ann.nearest(Scratch(spark), df).collect()
+    hits = 0
+    for q in range(0, 4000, 100):
+        distance = np.sqrt(((x - x[q]) ** 2).sum(1))
+        distance[q] = np.inf
+        mine = {f["vec_id"] for f in found if f["query_id"] == q}
+        hits += len(mine & set(np.argsort(distance, kind="stable")[:10].tolist()))
+    assert hits >= 0.9 * 400
