@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import datetime as dt
 import math
 import statistics
 
@@ -188,3 +189,31 @@ def test_a_first_value_far_from_the_rest_keeps_its_weight(spark):
     for c in closes[1:]:
         value = (c - value) * (2 / 201) + value
     assert found[-1] == pytest.approx(value, rel=1e-6)
+
+
+def test_averages_of_a_chain_sort_their_rows_twice(spark, tmp_path):
+    path = str(tmp_path / "bars")
+    bars(spark, {"A": CLOSES, "B": CLOSES}).write.parquet(path)
+    stored = spark.read.parquet(path)
+    _, state = I.extend_macd(stored)
+    state.write.parquet(str(tmp_path / "state"))
+    later, _ = I.extend_macd(stored.withColumn("date", F.date_add("date", 1000)), spark.read.parquet(str(tmp_path / "state")))
+    for table in (I.ema(stored), I.macd(stored), later):
+        plan = planned(table)
+        assert plan.count("Sort [") == 2
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_loads_share_one_derivation_of_the_bars(spark, tmp_path):
+    from tickloom.workload.queries import _by_loads
+
+    path = str(tmp_path / "bars")
+    days = [dt.date(1994, 6, 28) + dt.timedelta(days=12 * i) for i in range(100)]
+    values = [50.0 + i % 13 for i in range(100)]
+    bars(spark, {"A": values, "B": values[:40]}, days).write.parquet(path)
+    stored = spark.read.parquet(path)
+    got = _by_loads(stored, I.extend_ema)
+    assert not any("/bars/" in f for f in got.inputFiles())
+    whole = rows(I.ema(stored), "ticker", "date")
+    for one, other in zip(rows(got, "ticker", "date"), whole, strict=True):
+        assert one[:3] == other[:3] and one[3:] == pytest.approx(other[3:], rel=1e-12)

@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tickloom import constants as K
-from tickloom.operators.recurrence import Smoothing, exponential_averages, next_state
+from tickloom.operators.recurrence import Smoothing, block_size, by_block, exponential_averages, in_blocks, next_state, numbered
 
 def by_date() -> WindowSpec:
     return W.partitionBy("ticker").orderBy("date")
@@ -79,10 +79,10 @@ def wma(
     NULL until n rows exist and where a close among them is missing;
     ``warm_only`` keeps rows where every window has one, as the stored table does.
     """
-    numbered = _keep(bars, carry).withColumn("_rn", F.row_number().over(by_date()))
+    rows = _keep(bars, carry).withColumn("_rn", F.row_number().over(by_date()))
     close = F.coalesce("close", F.lit(0.0))
     known = F.col("close").isNotNull().cast("double")
-    sums = trailing_sums(numbered, {"_s": close, "_w": close * F.col("_rn"), "_n": known}, windows, by_date())
+    sums = trailing_sums(rows, {"_s": close, "_w": close * F.col("_rn"), "_n": known}, windows, by_date())
     averages = []
     for n in windows:
         weighted = (n - F.col("_rn")) * F.col(f"_s_{n}") + F.col(f"_w_{n}")
@@ -97,8 +97,8 @@ def _ema_smoothings(windows: Sequence[int]) -> list[Smoothing]:
 
 def ema(bars: DataFrame, windows: Sequence[int] = K.MA_WINDOWS, carry: Sequence[str] = ()) -> DataFrame:
     """Exponential moving averages, seeded with the first close."""
-    numbered = _keep(bars, carry).withColumn("_rn", F.row_number().over(by_date()))
-    averaged = exponential_averages(numbered, "ticker", "date", _ema_smoothings(windows), "_rn")
+    rows = numbered(_keep(bars, carry), "ticker", "date", "_rn")
+    averaged = exponential_averages(rows, "ticker", "date", _ema_smoothings(windows), "_rn")
     return averaged.select("ticker", "date", "close", *[f"ema_{n}" for n in windows], *carry)
 
 
@@ -108,8 +108,8 @@ def extend_ema(later: DataFrame, state: DataFrame | None = None, windows: Sequen
     The history is not read: store the state with the rows of a load, and begin the next load from it.
     """
     smoothings = _ema_smoothings(windows)
-    numbered = _keep(later, ()).withColumn("_rn", F.row_number().over(by_date()))
-    averaged = exponential_averages(numbered, "ticker", "date", smoothings, "_rn", state=state)
+    rows = numbered(_keep(later, ()), "ticker", "date", "_rn", state)
+    averaged = exponential_averages(rows, "ticker", "date", smoothings, "_rn").where("_rn > 0")
     return averaged.select("ticker", "date", "close", *[s.output for s in smoothings]), next_state(averaged, "ticker", smoothings, "_rn", state)
 
 
@@ -118,59 +118,45 @@ _MACD_SIGNAL = Smoothing("macd_line", K.MACD_SIGNAL, K.MACD_SIGNAL_SEED_ROW, "si
 
 
 def _macd_lines(bars: DataFrame, state: DataFrame | None) -> DataFrame:
-    numbered = _keep(bars, ()).withColumn("_rn", F.row_number().over(by_date()))
-    lines = exponential_averages(numbered, "ticker", "date", _MACD_LINES, "_rn", state=state)
+    rows, size = numbered(_keep(bars, ()), "ticker", "date", "_rn", state), block_size([*_MACD_LINES, _MACD_SIGNAL])
+    lines = exponential_averages(in_blocks(rows, "ticker", "date", "_rn", size), "ticker", "date", _MACD_LINES, "_rn", size)
     lines = lines.withColumn("macd_line", F.col("_fast") - F.col("_slow"))
-    return exponential_averages(lines, "ticker", "date", [_MACD_SIGNAL], "_rn", state=state)
+    return exponential_averages(lines, "ticker", "date", [_MACD_SIGNAL], "_rn", size)
 
 
-def macd(bars: DataFrame) -> DataFrame:
-    """MACD line, signal line and histogram, from the first signal row on."""
-    signalled = _macd_lines(bars, None).where(F.col("_rn") >= K.MACD_SIGNAL_SEED_ROW)
+def _with_previous(signalled: DataFrame) -> DataFrame:
+    in_order = by_block("ticker", "date")
     return signalled.select(
-        "ticker",
-        "date",
-        "close",
-        "macd_line",
-        "signal_line",
+        "*",
         (F.col("macd_line") - F.col("signal_line")).alias("macd_histogram"),
-        F.lag("macd_line").over(by_date()).alias("prev_macd_line"),
-        F.lag("signal_line").over(by_date()).alias("prev_signal_line"),
+        F.lag("macd_line").over(in_order).alias("prev_macd_line"),
+        F.lag("signal_line").over(in_order).alias("prev_signal_line"),
     )
 
 
+_MACD = ("ticker", "date", "close", "macd_line", "signal_line", "macd_histogram", "prev_macd_line", "prev_signal_line")
+
+
+def macd(bars: DataFrame) -> DataFrame:
+    """MACD line, signal line and histogram, from the first signal row on."""
+    return _with_previous(_macd_lines(bars, None).where(F.col("_rn") >= K.MACD_SIGNAL_SEED_ROW)).select(*_MACD)
+
+
 def extend_macd(later: DataFrame, state: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """MACD of bars that follow those the state has seen, from the first signal row on, and the state after them."""
-    smoothings = [*_MACD_LINES, _MACD_SIGNAL]
-    signalled = _macd_lines(later, state)
-    after = next_state(signalled, "ticker", smoothings, "_rn", state)
-    if state is None:
-        signalled = signalled.withColumns({"_seen": F.lit(0), "_macd_before": F.lit(None).cast("double"), "_signal_before": F.lit(None).cast("double")})
-    else:
+    lines = _macd_lines(later, state)
+    after = next_state(lines.where("_rn > 0"), "ticker", [*_MACD_LINES, _MACD_SIGNAL], "_rn", state)
+    old = F.col("_rn") == 0
+    shown = F.col("_rn") + F.col("_seen") >= K.MACD_SIGNAL_SEED_ROW
+    if state is not None:
         # The row before counts from the first signal row on, as in the table itself.
-        shown = F.col("rows") >= K.MACD_SIGNAL_SEED_ROW
-        known = state.select(
-            "ticker",
-            F.col("rows").alias("_seen"),
-            F.when(shown, F.col("_fast") - F.col("_slow")).alias("_macd_before"),
-            F.when(shown, F.col("signal_line")).alias("_signal_before"),
+        lines = lines.withColumns(
+            {
+                "macd_line": F.when(old, F.col("_state._fast") - F.col("_state._slow")).otherwise(F.col("macd_line")),
+                "signal_line": F.when(old, F.col("_state.signal_line")).otherwise(F.col("signal_line")),
+            }
         )
-        signalled = signalled.join(known, "ticker", "left").withColumn("_seen", F.coalesce("_seen", F.lit(0)))
-    rows = signalled.where(F.col("_rn") + F.col("_seen") >= K.MACD_SIGNAL_SEED_ROW)
-    first = F.row_number().over(by_date()) == 1
-    return (
-        rows.select(
-            "ticker",
-            "date",
-            "close",
-            "macd_line",
-            "signal_line",
-            (F.col("macd_line") - F.col("signal_line")).alias("macd_histogram"),
-            F.when(first, F.col("_macd_before")).otherwise(F.lag("macd_line").over(by_date())).alias("prev_macd_line"),
-            F.when(first, F.col("_signal_before")).otherwise(F.lag("signal_line").over(by_date())).alias("prev_signal_line"),
-        ),
-        after,
-    )
+    return _with_previous(lines.where(shown)).where(~old).select(*_MACD), after
 
 
 def bollinger(

@@ -10,7 +10,8 @@ are stored, one row per key (``next_state``), and the next load goes on from the
 a day reads that day's rows and the states, not the history.
 
 Running sums are ordinary windows, so the whole chain stays in the JVM and
-shares the one shuffle by key.  The sums run over differences from the seed value (or from the stored one), to
+shares the one shuffle by key.  Rows are sorted twice, as narrow as they come: to number them and by block.  All
+averages of a chain keep the second order, as does a state, which is a row before those of its key.  The sums run over differences from the seed value (or from the stored one), to
 which the recurrence is indifferent: a constant series then averages to exactly itself, and the seed
 row to exactly the seed, as they do when the recurrence is stepped through.
 A missing input leaves no value from its row on, as in the recurrence.
@@ -22,7 +23,7 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -48,26 +49,52 @@ class Smoothing:
         return 1.0 - self.alpha
 
 
-def exponential_averages(
-    df: DataFrame, key: str, order: str, smoothings: list[Smoothing], row_number: str, block: int | None = None, state: DataFrame | None = None
-) -> DataFrame:
+def block_size(smoothings: list[Smoothing]) -> int:
+    """Rows of a block within which no weight of these averages overflows."""
+    if any(s.span < 2 for s in smoothings):
+        raise ValueError("a span must be at least 2")
+    return int(_MAX_EXPONENT / -math.log(min(s.decay for s in smoothings)))
+
+
+def numbered(df: DataFrame, key: str, order: str, row_number: str, state: DataFrame | None = None) -> DataFrame:
+    """``df`` with a ``row_number`` that counts the rows of a key from 1.
+
+    A ``state`` (see ``next_state``) puts a row numbered 0, with all it holds in ``_state``, before those of its key.
+    """
+    by_key = W.partitionBy(key)
+    if state is None:
+        return df.withColumn(row_number, F.row_number().over(by_key.orderBy(order)))
+    before = state.where(F.col(key).isNotNull()).select(key, F.struct(*[c for c in state.columns if c != key]).alias("_state"))
+    both = df.unionByName(before, allowMissingColumns=True).withColumn("_new", F.col("_state").isNull())
+    so_far = by_key.orderBy("_new", order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return both.withColumn(row_number, F.count_if("_new").over(so_far)).drop("_new")
+
+
+def in_blocks(df: DataFrame, key: str, order: str, row_number: str, block: int) -> DataFrame:
+    """Numbered rows sorted by key, ``_block`` and order, and the number of rows ``_seen`` before them."""
+    cut = df.withColumn("_block", F.floor((F.col(row_number) - 1) / block)).sortWithinPartitions(key, "_block", order)
+    if "_state" not in df.columns:
+        return cut.withColumn("_seen", F.lit(0).cast("long"))
+    return cut.withColumn("_seen", F.coalesce(F.max("_state.rows").over(by_block(key, order).rowsBetween(W.unboundedPreceding, W.currentRow)), F.lit(0)))
+
+
+def by_block(key: str, order: str) -> WindowSpec:
+    """The rows of a key in order, as they are sorted already."""
+    return W.partitionBy(key).orderBy("_block", order)
+
+
+def exponential_averages(df: DataFrame, key: str, order: str, smoothings: list[Smoothing], row_number: str, block: int | None = None) -> DataFrame:
     """Add one column per smoothing; rows before a seed row get NULL, and so do
     all rows from the first missing input after it on.
 
-    ``row_number`` names a column that counts the rows of a key from 1.  With a ``state`` (see
-    ``next_state``) the rows of ``df`` follow those that the state has seen, and seed rows
-    count from the first of them.  All smoothings share one pass over the sorted rows.
+    ``row_number`` names a column that counts the rows of a key from 1.  Rows that follow a state (see
+    ``numbered``) go on from it; seed rows count from the first row that it has seen.  All smoothings share one
+    pass over the sorted rows; those of a chain share blocks, if its first call gets them ``in_blocks``.
     """
-    if any(s.span < 2 for s in smoothings):
-        raise ValueError("a span must be at least 2")
-    size = block or int(_MAX_EXPONENT / -math.log(min(s.decay for s in smoothings)))
-    out = df.withColumn("_seen", F.lit(0).cast("long"))
-    if state is not None:
-        known = state.select(key, F.col("rows").alias("_seen"), *[F.col(s.output).alias(f"_from{i}") for i, s in enumerate(smoothings)])
-        out = df.join(known, key, "left").withColumn("_seen", F.coalesce("_seen", F.lit(0)))
-    else:
-        out = out.withColumns({f"_from{i}": F.lit(None).cast("double") for i in range(len(smoothings))})
-    return _averages_in_blocks(out, df.columns, key, order, smoothings, row_number, size)
+    size = block or block_size(smoothings)
+    if "_block" in df.columns:
+        return _averages_in_blocks(df, df.columns, key, order, smoothings, row_number, size)
+    return _averages_in_blocks(in_blocks(df, key, order, row_number, size), df.columns, key, order, smoothings, row_number, size)
 
 
 def next_state(averaged: DataFrame, key: str, smoothings: list[Smoothing], row_number: str, state: DataFrame | None = None) -> DataFrame:
@@ -100,24 +127,25 @@ def _averages_in_blocks(
 ) -> DataFrame:
     here = F.col(row_number)
     rn = here + F.col("_seen")
-    by_key = W.partitionBy(key).orderBy(order)
+    by_key = by_block(key, order)
     so_far = by_key.rowsBetween(W.unboundedPreceding, W.currentRow)
+    # Averages of one input and seed row share what they begin with.
+    starts = list(dict.fromkeys((s.value, s.seed_row) for s in smoothings))
+    at = [starts.index((s.value, s.seed_row)) for s in smoothings]
+    first = {}
+    for i, (value, seed_row) in enumerate(starts):
+        first[f"_seed{i}"] = F.last(F.when(rn == seed_row, F.col(value)), ignorenulls=True).over(so_far)
+        first[f"_gaps{i}"] = F.count(F.when((here > 0) & (rn >= seed_row) & F.col(value).isNull(), 1)).over(so_far)
+    out = df.withColumns(first).withColumn("_pos", F.pmod(here - 1, F.lit(block)))
+    if "_state" in df.columns:
+        out = out.withColumns({f"_from{i}": F.first(F.col(f"_state.{s.output}"), ignorenulls=True).over(so_far) for i, s in enumerate(smoothings)})
+    else:
+        out = out.withColumns({f"_from{i}": F.lit(None).cast("double") for i in range(len(smoothings))})
+    out = out.withColumns({f"_base{i}": F.coalesce(f"_from{i}", f"_seed{at[i]}") for i in range(len(smoothings))})
 
-    def seeded(s: Smoothing) -> Column:
-        return F.last(F.when(rn == s.seed_row, F.col(s.value)), ignorenulls=True).over(so_far)
-
-    out = df.withColumns(
-        {"_block": F.floor((here - 1) / block), "_pos": F.pmod(here - 1, F.lit(block))}
-        | {f"_base{i}": F.coalesce(F.col(f"_from{i}"), seeded(s)) for i, s in enumerate(smoothings)}
-        | {
-            f"_gaps{i}": F.count(F.when((rn >= s.seed_row) & F.col(s.value).isNull(), 1)).over(so_far)
-            for i, s in enumerate(smoothings)
-        }
-    )
-
-    # Both windows below are ordered by key, block and order column: one sort.
+    # The windows below are ordered by key, block and order column too.
     in_block = W.partitionBy(key, "_block").orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    before = W.partitionBy(key).orderBy("_block", order).rowsBetween(W.unboundedPreceding, -1)
+    before = by_key.rowsBetween(W.unboundedPreceding, -1)
     weighted = {}
     for i, s in enumerate(smoothings):
         moved = F.col(s.value) - F.col(f"_base{i}")
@@ -128,7 +156,7 @@ def _averages_in_blocks(
     out = out.withColumns(weighted)
 
     # What earlier blocks leave: their maps, composed in order from no difference on.  A key has few blocks.
-    at_end = F.col("_pos") == block - 1
+    at_end = (here > 0) & (F.col("_pos") == block - 1)
     ends = {
         f"_ends{i}": F.collect_list(F.when(at_end, F.coalesce(f"_within{i}", F.lit(0.0)))).over(before) for i in range(len(smoothings))
     }
@@ -137,6 +165,6 @@ def _averages_in_blocks(
     for i, s in enumerate(smoothings):
         left = F.aggregate(f"_ends{i}", F.lit(0.0), _after(s.decay**block))
         value = F.col(f"_base{i}") + F.col(f"_within{i}") + left * F.pow(F.lit(s.decay), F.col("_pos") + 1)
-        broken = (F.col(f"_gaps{i}") > 0) | (F.col(f"_from{i}").isNull() & (F.col("_seen") >= s.seed_row))
+        broken = (F.col(f"_gaps{at[i]}") > 0) | (F.col(f"_from{i}").isNull() & (F.col("_seen") >= s.seed_row))
         results.append(F.when((rn >= s.seed_row) & ~broken, value).alias(s.output))
     return out.select(*columns, *results)

@@ -281,13 +281,13 @@ class Tables:
     def vendor_values(self, kind: str) -> DataFrame:
         """A vendor's values of an indicator: ours, off by up to one percent."""
         calculated = {"sma": indicators.sma, "ema": indicators.ema}.get(kind)
+        bars = self.clean_bars.withColumn("row", F.row_number().over(W.partitionBy("ticker").orderBy("date")))
         if kind == "wma":
-            values = indicators.wma(self.clean_bars, warm_only=False)
+            values = indicators.wma(bars, carry=("row",), warm_only=False)
         else:
-            values = calculated(self.clean_bars)
+            values = calculated(bars, carry=("row",))
         key = F.substring("ticker", 2, K.TICKER_DIGITS).cast("bigint")
-        row = F.row_number().over(W.partitionBy("ticker").orderBy("date"))
-        factor = 1.0 + ((key * 31 + row * 17) % 21 - 10) / 1003.0
+        factor = 1.0 + ((key * 31 + F.col("row") * 17) % 21 - 10) / 1003.0
         return values.select(
             "ticker",
             F.col("date").alias("timestamp"),
