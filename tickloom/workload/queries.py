@@ -678,9 +678,9 @@ def _loads(df: DataFrame) -> list[DataFrame]:
 
 
 def _by_loads(df: DataFrame, extend) -> DataFrame:
-    """Each load goes on from the stored state of the one before."""
+    """Each load goes on from the stored state of the one before; the bars are derived once and stored."""
     state, parts = None, []
-    for load in _loads(df):
+    for load in _loads(freeze(df.select("ticker", "date", "close"))):
         rows, state = extend(load, state)
         state = freeze(state)
         parts.append(rows)
