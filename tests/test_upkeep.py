@@ -10,7 +10,7 @@ from tests.helpers import BAR_SCHEMA, bars, column, day, planned, rows
 from tickloom.operators import bars as B
 from tickloom.operators import indicators as I
 from tickloom.plans import upkeep
-from tickloom.session import freeze
+from tickloom.session import Scratch, freeze
 
 
 def series(spark, r, gaps=False):
@@ -97,3 +97,33 @@ def test_late_and_withdrawn_splits_rewrite_their_tickers_alone(spark, tmp_path):
     plan = planned(upkeep.touched_bars(spark.read.parquet(adjusted), [1, 2]))
     assert "bucket" in plan.split("PartitionFilters")[1].split("\n")[0]
     assert spark.read.parquet(adjusted).schema["bucket"].dataType == T.IntegerType()
+
+
+def kept(monkeypatch):
+    """Labels of what upkeep stores beside its tables from now on."""
+    labels = []
+
+    class Noted(Scratch):
+        def keep(self, df, label="frozen", **options):
+            labels.append(label)
+            return super().keep(df, label, **options)
+
+    monkeypatch.setattr(upkeep, "Scratch", Noted)
+    return labels
+
+
+def test_merged_months_keep_the_others_and_read_the_stored_once(spark, tmp_path, monkeypatch):
+    labels, path = kept(monkeypatch), str(tmp_path / "months")
+    table = bars(spark, {"A": [float(i) for i in range(40)], "B": [1.0] * 40, "C": [2.0] * 10})
+    nobody = spark.createDataFrame([(None, day(3), *[1.0] * 5, 1)], BAR_SCHEMA)
+    first, later = table.where("ticker <> 'C'").unionByName(nobody), table.where("ticker <> 'B'")
+    upkeep.update_months(spark, path, first)
+    assert labels == []
+    stored = spark.read.parquet(path)
+    merged = B.merge_months(stored, later)
+    assert month_rows(merged.where("ticker IS NOT NULL")) == month_rows(B.cumulate_months(first.unionByName(later)).where("ticker IS NOT NULL"))
+    assert merged.where("ticker IS NULL").count() == 1 and planned(merged).count("FileScan parquet") == 1
+    expected = month_rows(merged.where("ticker IS NOT NULL"))
+    upkeep.update_months(spark, path, later)
+    assert labels == ["arrived"]
+    assert month_rows(spark.read.parquet(path).where("ticker IS NOT NULL")) == expected

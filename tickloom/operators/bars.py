@@ -70,23 +70,25 @@ def cumulate_months(bars: DataFrame) -> DataFrame:
 
 
 def merge_months(stored: DataFrame, arrived: DataFrame) -> DataFrame:
-    """The months that arriving bars touch, with them: as ``cumulate_months`` of all bars would have them.
+    """Stored months with arriving bars in them: as ``cumulate_months`` of all bars would have them.
 
     Arrays are united by bar, so late bars take their place by date, corrected ones stand beside what they correct, and
-    copies are dropped; counts are of rows, copies included.  Of ``stored`` only months of the same ticker, year and month take part.
+    copies are dropped; counts are of rows, copies included.  Months that no bar arrives for stay as they are.  Either side
+    travels once.
     """
     month = ["ticker", "year", "month_num"]
+    facts = ("bars", "record_count", "first_date", "last_date", "processed_at")
     new = cumulate_months(arrived)
-    before = stored.select(*month, F.struct("bars", "record_count", "first_date", "last_date").alias("before"))
-    both = new.join(before, month, "left")
+    before = stored.select(*month, F.struct(*facts).alias("before"))
+    both = new.join(before, month, "full")
     united = F.array_sort(F.array_union("bars", F.col("before.bars")))
     return both.select(
         *month,
-        F.when(F.col("before").isNull(), F.col("bars")).otherwise(united).alias("bars"),
-        (F.col("record_count") + F.coalesce("before.record_count", F.lit(0))).alias("record_count"),
+        F.when(F.col("before").isNull(), F.col("bars")).when(F.col("record_count").isNull(), F.col("before.bars")).otherwise(united).alias("bars"),
+        (F.coalesce("record_count", F.lit(0)) + F.coalesce("before.record_count", F.lit(0))).alias("record_count"),
         F.least("first_date", "before.first_date").alias("first_date"),
         F.greatest("last_date", "before.last_date").alias("last_date"),
-        "processed_at",
+        F.coalesce("processed_at", "before.processed_at").alias("processed_at"),
     )
 
 

@@ -2,8 +2,9 @@
 
 Each function reads the load and the partitions it touches, and leaves the table as a rebuild over
 all loads would.  The partitions of a load are a few days', months' or tickers', so their values stand in the plan as
-literals and other files are not listed for the scan.  New content is staged before
-anything is replaced, so a job that is lost halfway can be run again.
+literals and other files are not listed for the scan.  New content is written beside the
+partitions and takes their place when it is whole (dynamic overwrite), so it may be derived from them, is
+written once, and a job that is lost before can be run again.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import bars as B
 from tickloom.session import Scratch
-from tickloom.sources.writers import merge_rows, path_exists
+from tickloom.sources.writers import path_exists
 
 #: Folders that the tickers of an adjusted table are dealt to.
 BUCKETS = 256
@@ -49,19 +50,17 @@ def update_months(spark: SparkSession, path: str, arrived: DataFrame) -> None:
 
     Not to be run twice for one load, as copies are counted; the load's rows are evaluated once.
     """
+    if not path_exists(spark, path):
+        _replace(B.cumulate_months(arrived), path, _MONTH)
+        return
     with Scratch(spark) as scratch:
         load = scratch.keep(arrived, "arrived")
-        if not path_exists(spark, path):
-            _replace(B.cumulate_months(load), path, _MONTH)
-            return
         months = [tuple(r) for r in load.select(F.year("date"), F.month("date")).distinct().collect()]
         if not months:
             return
         schema = B.cumulate_months(load).schema
         stored = touched_months(spark.read.schema(schema).parquet(path), months)
-        merged = B.merge_months(stored, load)
-        whole = scratch.keep(merge_rows(stored, merged.select(*stored.columns), ["ticker", *_MONTH]), "months")
-        _replace(whole, path, _MONTH)
+        _replace(B.merge_months(stored, load).select(*stored.columns), path, _MONTH)
 
 
 # --- split adjustment -----------------------------------------------------------------------------
