@@ -127,3 +127,14 @@ def test_merged_months_keep_the_others_and_read_the_stored_once(spark, tmp_path,
     upkeep.update_months(spark, path, later)
     assert labels == ["arrived"]
     assert month_rows(spark.read.parquet(path).where("ticker IS NOT NULL")) == expected
+
+
+def test_adjusted_bars_are_written_once(spark, tmp_path, monkeypatch):
+    labels, raw, adjusted = kept(monkeypatch), str(tmp_path / "raw"), str(tmp_path / "adjusted")
+    table = bars(spark, {f"T{i}": [8.0] * 20 for i in range(5)})
+    upkeep.store_bars(table, raw)
+    splits = spark.createDataFrame([("T1", 1, 2, day(9)), ("T3", 1, 4, day(5))], "ticker string, split_from int, split_to int, date date")
+    upkeep.refresh_adjusted(spark, raw, adjusted, splits.limit(0))
+    upkeep.refresh_adjusted(spark, raw, adjusted, splits, splits)
+    assert labels == ["tickers"]
+    assert rows(spark.read.parquet(adjusted).select(*table.columns), "ticker", "date") == rows(B.adjust_for_splits(table, splits), "ticker", "date")

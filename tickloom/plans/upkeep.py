@@ -98,4 +98,4 @@ def refresh_adjusted(spark: SparkSession, raw: str, adjusted: str, splits: DataF
             fresh = stored.join(tickers, "ticker", "left_anti").unionByName(anew)
         else:
             fresh = B.adjust_for_splits(bars, splits)
-        _replace(scratch.keep(fresh, "adjusted"), adjusted, ["bucket"])
+        _replace(fresh, adjusted, ["bucket"])
