@@ -57,3 +57,10 @@ def test_trend_and_info(marts):
     assert {r.ticker for r in trend.collect()} == {ticker}
     assert serving.market_sentiment(marts, serving.B.latest(marts.daily)).count() == 1
     assert serving.tickers(marts, None).count() == marts.classified.count()
+
+
+def test_month_ends_of_the_dashboard_are_derived_once(marts):
+    assert "bars#" in serving.market_sentiment(marts, serving.B.latest(marts.daily))._jdf.queryExecution().optimizedPlan().toString()
+    dashboard = serving.market_dashboard(marts, serving.B.latest(marts.daily))
+    plan = dashboard._jdf.queryExecution().optimizedPlan().toString()
+    assert "prev_close#" in plan and "bars#" not in plan

@@ -16,6 +16,7 @@ from tickloom.operators import bars as B
 from tickloom.operators import fundamentals, indicators, market, signals
 from tickloom.operators import tickers as T
 from tickloom.plans.marts import Marts
+from tickloom.session import freeze
 
 PERIODS = {"daily": "day", "weekly": "week", "monthly": "month"}
 _CATEGORY = ("market_cap_category",)
@@ -170,8 +171,9 @@ def market_dashboard(marts: Marts, as_of: Column, symbols: Sequence[str] = K.WAT
 
     Every part is a scalar subquery with one row; the watchlist is an array of
     as many entries as symbols were asked for.  What is missing reads N/A or 0.
+    Month ends, which most parts look at, are derived once and stored, the only thing that runs here.
     """
-    changes = B.month_end_changes(marts.cumulated)
+    changes = freeze(B.month_end_changes(marts.cumulated))
     leaders = T.leading_tickers(marts.scored)
     movers = market.newest_movers(changes)
 
