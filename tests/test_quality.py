@@ -9,6 +9,7 @@ from tests.helpers import BAR_SCHEMA, bars, column, day, executed_plan, rows
 from tickloom.operators import quality as Q
 from tickloom.operators import validation as V
 from tickloom.operators.chunked import previous_row
+from tickloom.workload.queries import QUERIES
 
 
 def dirty(spark):
@@ -145,3 +146,9 @@ def test_vendor_consolidation(spark):
     data = [("A", 10, ms, 1.0), ("A", 10, ms + 1000, 2.0), ("A", 20, ms, 3.0), ("A", 20, 0, 9.0), ("A", 20, None, 9.0)]
     points = spark.createDataFrame(data, "ticker string, window int, timestamp bigint, value double")
     assert rows(V.consolidate_vendor(points, "sma", (10, 20, 50))) == [("A", day(0), 2.0, 3.0, None)]
+
+
+@pytest.mark.parametrize("name", ["a17_critical_counts", "a17_critical_counts_by_day", "a19_sma_errors", "a19_ema_errors", "a19_wma_errors", "j7_vendor_join"])
+def test_both_sides_of_the_errors_share_one_derivation_of_the_bars(spark, name):
+    files = QUERIES[name](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and not any("lineitem" in f for f in files)

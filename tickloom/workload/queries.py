@@ -385,8 +385,7 @@ def _(t: Tables) -> DataFrame:
 
 @query("j7_vendor_join")
 def _(t: Tables) -> DataFrame:
-    wide = validation.indicator_errors(t.vendor_values("sma"), indicators.sma(t.clean_bars), "sma")
-    return wide.select("ticker", "timestamp", "sma_20_vendor", "sma_20_calculated")
+    return _errors(t, "sma", K.DAILY_ERROR_THRESHOLD).select("ticker", "timestamp", "sma_20_vendor", "sma_20_calculated")
 
 
 @query("j8_not_yet_graded")
@@ -547,18 +546,12 @@ def _(t: Tables) -> DataFrame:
 
 @query("a17_critical_counts")
 def _(t: Tables) -> DataFrame:
-    errors = validation.indicator_errors(
-        t.vendor_values("sma"), indicators.sma(t.clean_bars), "sma", threshold=K.STRICT_ERROR_THRESHOLD
-    )
-    return validation.critical_counts(errors, "sma")
+    return validation.critical_counts(_errors(t, "sma", K.STRICT_ERROR_THRESHOLD), "sma")
 
 
 @query("a17_critical_counts_by_day")
 def _(t: Tables) -> DataFrame:
-    errors = validation.indicator_errors(
-        t.vendor_values("sma"), indicators.sma(t.clean_bars), "sma", threshold=K.STRICT_ERROR_THRESHOLD
-    )
-    return validation.critical_counts(errors, "sma", by_day=True)
+    return validation.critical_counts(_errors(t, "sma", K.STRICT_ERROR_THRESHOLD), "sma", by_day=True)
 
 
 @query("a18_negative_totals", digits=2)
@@ -568,12 +561,10 @@ def _(t: Tables) -> DataFrame:
 
 
 def _errors(t: Tables, kind: str, threshold: float) -> DataFrame:
-    calculated = {
-        "sma": lambda: indicators.sma(t.clean_bars),
-        "ema": lambda: indicators.ema(t.clean_bars),
-        "wma": lambda: indicators.wma(t.clean_bars),
-    }[kind]()
-    return validation.indicator_errors(t.vendor_values(kind), calculated, kind, threshold=threshold)
+    """Errors against the vendor; bars of either side are derived once and stored."""
+    bars = freeze(t.clean_bars.select("ticker", "date", "close"))
+    calculated = {"sma": indicators.sma, "ema": indicators.ema, "wma": indicators.wma}[kind](bars)
+    return validation.indicator_errors(t.vendor_values(kind, bars), calculated, kind, threshold=threshold)
 
 
 @query("a19_sma_errors")

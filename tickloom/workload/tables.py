@@ -278,10 +278,10 @@ class Tables:
             key.alias("arrival"),
         )
 
-    def vendor_values(self, kind: str) -> DataFrame:
-        """A vendor's values of an indicator: ours, off by up to one percent."""
+    def vendor_values(self, kind: str, bars: DataFrame | None = None) -> DataFrame:
+        """A vendor's values of an indicator: ours, off by up to one percent; ``bars`` are clean bars stored already."""
         calculated = {"sma": indicators.sma, "ema": indicators.ema}.get(kind)
-        bars = self.clean_bars.withColumn("row", F.row_number().over(W.partitionBy("ticker").orderBy("date")))
+        bars = (self.clean_bars if bars is None else bars).withColumn("row", F.row_number().over(W.partitionBy("ticker").orderBy("date")))
         if kind == "wma":
             values = indicators.wma(bars, carry=("row",), warm_only=False)
         else:
