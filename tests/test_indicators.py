@@ -10,9 +10,11 @@ from hypothesis import strategies as st
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tests.helpers import bars, column, day, planned, rows
+from tests.helpers import BAR_SCHEMA, bars, column, day, planned, rows
+from tickloom import session
 from tickloom.operators import indicators as I
 from tickloom.operators.recurrence import Smoothing, exponential_averages
+from tickloom.session import freeze
 
 CLOSES = [float(i) for i in range(1, 41)]
 
@@ -217,3 +219,20 @@ def test_loads_share_one_derivation_of_the_bars(spark, tmp_path):
     whole = rows(I.ema(stored), "ticker", "date")
     for one, other in zip(rows(got, "ticker", "date"), whole, strict=True):
         assert one[:3] == other[:3] and one[3:] == pytest.approx(other[3:], rel=1e-12)
+
+
+def test_a_larger_input_is_averaged_in_more_tasks(spark, tmp_path, monkeypatch):
+    data = [(t, day(i), *[10.0 + (i * k) % 7] * 4, 1.0, 1) for k, t in enumerate("ABCDEFGH") for i in range(60)]
+    spark.createDataFrame([*data, (None, day(1), *[1.0] * 4, 1.0, 1)], BAR_SCHEMA).write.parquet(str(tmp_path / "some bars"))
+    stored = spark.read.parquet(str(tmp_path / "some bars"))
+    size = sum(f.stat().st_size for f in (tmp_path / "some bars").glob("*.parquet"))
+    assert session.input_bytes(stored) == size and session.input_bytes(spark.range(3)) == 0
+    few = {build: rows(build(stored), "ticker", "date") for build in (I.ema, I.macd)}
+    assert "REPARTITION_BY_NUM" not in planned(I.ema(stored))
+    monkeypatch.setattr(session, "GATHERED_BYTES", -(-size // 40))
+    for build, expected in few.items():
+        assert "Exchange hashpartitioning(ticker" in planned(build(stored)) and ", 40), REPARTITION_BY_NUM" in planned(build(stored))
+        assert rows(build(stored), "ticker", "date") == expected
+    state = freeze(I.extend_macd(stored.where(F.col("date") <= day(40)))[1])
+    later, _ = I.extend_macd(stored.where(F.col("date") > day(40)), state)
+    assert rows(later.select("ticker", "date"), "ticker", "date") == [r[:2] for r in few[I.macd] if r[1] > day(40)]

@@ -10,7 +10,8 @@ are stored, one row per key (``next_state``), and the next load goes on from the
 a day reads that day's rows and the states, not the history.
 
 Running sums are ordinary windows, so the whole chain stays in the JVM and
-shares the one shuffle by key.  Rows are sorted twice, as narrow as they come: to number them and by block.  All
+shares the one shuffle by key.  Rows are sorted twice, as narrow as they come, in tasks as many
+as the input asks for (``session.gathered``): to number them and by block.  All
 averages of a chain keep the second order, as does a state, which is a row before those of its key.  The sums run over differences from the seed value (or from the stored one), to
 which the recurrence is indifferent: a constant series then averages to exactly itself, and the seed
 row to exactly the seed, as they do when the recurrence is stepped through.
@@ -27,6 +28,8 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tickloom.session import gathered
+
 # exp(650) stays clear of the largest double with room for the values.
 _MAX_EXPONENT = 650.0
 
@@ -63,9 +66,9 @@ def numbered(df: DataFrame, key: str, order: str, row_number: str, state: DataFr
     """
     by_key = W.partitionBy(key)
     if state is None:
-        return df.withColumn(row_number, F.row_number().over(by_key.orderBy(order)))
+        return gathered(df, key).withColumn(row_number, F.row_number().over(by_key.orderBy(order)))
     before = state.where(F.col(key).isNotNull()).select(key, F.struct(*[c for c in state.columns if c != key]).alias("_state"))
-    both = df.unionByName(before, allowMissingColumns=True).withColumn("_new", F.col("_state").isNull())
+    both = gathered(df.unionByName(before, allowMissingColumns=True), key).withColumn("_new", F.col("_state").isNull())
     so_far = by_key.orderBy("_new", order).rowsBetween(W.unboundedPreceding, W.currentRow)
     return both.withColumn(row_number, F.count_if("_new").over(so_far)).drop("_new")
 

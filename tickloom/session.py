@@ -79,6 +79,31 @@ def freeze(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of input files that one task of ``gathered`` stands for.
+GATHERED_BYTES = 8 << 20
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files that a DataFrame is derived from, as stored; 0 if it comes from none."""
+    spark, sizes = df.sparkSession, {}
+    wanted = {spark._jvm.java.net.URI(f).getPath(): f for f in df.inputFiles()}
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(f)) for f in wanted.values()]
+    for folder in {p.getParent().toString(): p.getParent() for p in paths}.values():
+        for status in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder):
+            sizes[status.getPath().toUri().getPath()] = status.getLen()
+    return sum(sizes.get(path, 0) for path in wanted)
+
+
+def gathered(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a key in one task each, in as many tasks as the input's size asks for.
+
+    Adaptive execution sizes tasks by compressed bytes, and narrow rows compress so well that millions meet in a task
+    that sorts them.  Where the input gives no more tasks than there are cores, it is left to do so.
+    """
+    tasks = -(-input_bytes(df) // GATHERED_BYTES)
+    return df.repartition(tasks, key) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
+
+
 class Scratch:
     """Tables of one job in the shared folder, removed together once nothing reads them any more.
 
