@@ -104,6 +104,21 @@ def gathered(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(tasks, key) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
 
 
+#: Share of the driver's heap that may be in use when a scratch table has been stored.
+HEAP_SHARE = 0.25
+
+
+def let_go(spark: SparkSession) -> None:
+    """Collect the driver's garbage once more than ``HEAP_SHARE`` of its heap is in use.
+
+    Plans of stored tables are garbage, yet a job of many small tables makes the heap grow to its limit rather than be
+    collected, and their shuffles and broadcasts stay for as long.  A full collection also gives heap back to the system.
+    """
+    heap = spark._jvm.Runtime.getRuntime()
+    if heap.totalMemory() - heap.freeMemory() > HEAP_SHARE * heap.maxMemory():
+        spark._jvm.System.gc()
+
+
 class Scratch:
     """Tables of one job in the shared folder, removed together once nothing reads them any more.
 
@@ -123,6 +138,7 @@ class Scratch:
         """As ``freeze``, under this job."""
         path = self.path(label)
         df.write.options(**options).parquet(path)
+        let_go(self.spark)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self, *paths: str) -> None:
