@@ -4,9 +4,13 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 from functools import reduce
+from urllib.parse import urlparse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.helpers import documents, prose
 from tickloom.llm import align as A
@@ -152,3 +156,37 @@ def test_white_space_without_end_and_long_strings():
 
 def test_no_rows(spark):
     assert A.align(Scratch(spark), documents(spark, [])).collect() == []
+
+
+def unit_of(tokens, texts):
+    sides = list(zip(*(tokens.encode(f" {t}", f" {t}")[:2] if t else ((), ()) for t in texts), strict=True))
+    sizes = [np.array([len(x) for x in side], np.int64) for side in sides]
+    ids = [np.concatenate([np.array(x, A.IDS) for x in side]) for side in sides]
+    cells = {f"n_{c}": pa.array([n.tobytes()], pa.binary()) for c, n in zip("ab", sizes, strict=True)}
+    cells |= {f"ids_{c}": pa.array([A._packed(x)], pa.binary()) for c, x in zip("ab", ids, strict=True)}
+    return pa.table(cells), A.Aligned(tokens, ids[0], sizes[0], ids[1], sizes[1])
+
+
+def test_a_batch_is_aligned_a_piece_at_a_time(monkeypatch):
+    monkeypatch.setattr(A, "PIECE_TOKENS", 50)
+    tokens, r = A.Tokenizers(*A.default_paths()), random.Random(9)
+    texts = ["", *(" ".join(prose(r, r.randrange(1, 12), 40)) for _ in range(60)), "", " ".join(prose(r, 90)), ""]
+    unit, whole = unit_of(tokens, texts)
+    pieces = list(A._pieces(unit, tokens))
+    assert all(len(p.a) <= 50 or len(p.n_a) == 1 for p in pieces) and max(len(p.a) for p in pieces) > 50
+    assert [w for p in pieces for w in p.written()] == whole.written()
+    assert np.array_equal(np.concatenate([p.links() for p in pieces]), whole.links())
+    assert all(map(np.array_equal, A.distinct_links(pieces), whole.distinct_links()))
+
+
+def test_stored_batches_are_read_one_by_one(spark, monkeypatch):
+    monkeypatch.setattr(A, "BATCH_BYTES", 64 << 10)
+    monkeypatch.setitem(A._STORED, "parquet.block.size", str(64 << 10))
+    r = random.Random(11)
+    rows = [(i, " ".join(prose(r, 300))) for i in range(800)]
+    units = A._short_units(Scratch(spark), documents(spark, rows).select(F.col("doc_id").alias("key"), "text").coalesce(1), A.default_paths())
+    (file,) = units.inputFiles()
+    meta = pq.read_metadata(urlparse(file).path)
+    assert meta.num_rows > 8 and max(meta.row_group(i).num_rows for i in range(meta.num_row_groups)) <= 3
+    assert meta.row_group(0).total_byte_size < 192 << 10
+    assert sorted(k for x in units.select("keys").collect() for k in x.keys) == list(range(800))

@@ -11,6 +11,9 @@ text are reduced as a tree, level by level, in as many tasks as a level has node
 
 How many documents hold a pair of ids linked is counted over the corpus from each
 batch's distinct pairs, and told to the batches that asked.
+
+A batch travels compressed and is aligned a piece at a time, so that a task's memory
+does not depend on what a batch or a file holds.
 """
 
 from __future__ import annotations
@@ -24,18 +27,24 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.llm.corpus import release
 from tickloom.llm.rowwise import slices
-from tickloom.session import Scratch
+from tickloom.session import Scratch, arrow_batches
 
-#: Characters of a range of a long text (texts up to this length are one piece), bytes of text in a batch, fragments composed at a time.
+#: Characters of a range of a long text (texts up to this length are one piece), bytes of text and rows of a batch, fragments composed at a time.
 RANGE_CHARS = 1 << 16
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
+BATCH_ROWS = 1 << 16
 FAN = 16
+#: Tokens of side a aligned at a time (a text's are not divided), bytes handed to a worker at a time and bytes of a row group of batches.
+PIECE_TOKENS = 1 << 17
+HANDED_BYTES = 4 << 20
 
 #: No token of the byte-level side has a letter or digit before white space or punctuation ...
 _EDGE_A = re.compile(r"(?<=[^\W_])(?=[\x09-\x0D\x20-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E])")
@@ -204,19 +213,48 @@ class Aligned:
         return ["".join(parts[p:q])[:-1] for p, q in zip(edges[:-1], edges[1:], strict=True)]
 
 
+def distinct_links(pieces: Iterator[Aligned]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of all pieces, and how many of their texts hold each."""
+    pairs, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for aligned in pieces:
+        some, held = aligned.distinct_links()
+        pairs, at = np.unique(np.concatenate((pairs, some)), return_inverse=True)
+        n = np.bincount(at, np.concatenate((n, held)), len(pairs)).astype(np.int64)
+    return pairs, n
+
+
 @lru_cache(1)
 def _written_ids() -> list[str]:
     """Each id before a comma or bar (side a), before a comma or semicolon (side b)."""
     return [f"{i}{mark}" for i in range(1 << 16) for mark in ",|,;"]
 
 
-def _units(table: pa.RecordBatch | pa.Table, tokens: Tokenizers) -> Iterator[Aligned]:
-    for n_a, n_b, a, b in zip(*(table.column(c).to_pylist() for c in ("n_a", "n_b", "ids_a", "ids_b")), strict=True):
-        yield Aligned(tokens, np.frombuffer(a, IDS), np.frombuffer(n_a, np.int64), np.frombuffer(b, IDS), np.frombuffer(n_b, np.int64))
+def _packed(ids: np.ndarray) -> bytes:
+    return pa.Codec("zstd", 3).compress(ids.tobytes(), asbytes=True) if len(ids) else b""
+
+
+def _unpacked(raw: bytes, n: np.ndarray) -> np.ndarray:
+    size = int(n.sum()) * IDS.itemsize
+    return np.frombuffer(pa.decompress(raw, decompressed_size=size, codec="zstd", asbytes=True) if size else b"", IDS)
+
+
+def _pieces(unit: pa.RecordBatch | pa.Table, tokens: Tokenizers) -> Iterator[Aligned]:
+    """The texts of a unit, in order, as many at a time as have ``PIECE_TOKENS``."""
+    n_a, n_b = (np.frombuffer(unit.column(c)[0].as_py(), np.int64) for c in ("n_a", "n_b"))
+    a, b = (_unpacked(unit.column(c)[0].as_py(), n) for c, n in (("ids_a", n_a), ("ids_b", n_b)))
+    edges_a, edges_b = (np.concatenate(([0], np.cumsum(n))) for n in (n_a, n_b))
+    at = 0
+    while at < len(n_a):
+        to = max(at + 1, int(np.searchsorted(edges_a, edges_a[at] + PIECE_TOKENS, "right")) - 1)
+        yield Aligned(tokens, a[edges_a[at] : edges_a[to]], n_a[at:to], b[edges_b[at] : edges_b[to]], n_b[at:to])
+        at = to
 
 
 # --- Spark ---------------------------------------------------------------------------------------
 
+#: How tables of large cells are written: sizes are looked at after each row, as a reader has whole row groups and pages in memory.
+_STORED = {"compression": "zstd", "parquet.block.size": str(HANDED_BYTES), "parquet.page.size.row.check.min": "1"}
+
 
 def _short_units(scratch: Scratch, short: DataFrame, paths: tuple[str, str, str]) -> DataFrame:
     """Batches of tokenised texts; those without tokens have none."""
@@ -227,21 +265,33 @@ def _short_units(scratch: Scratch, short: DataFrame, paths: tuple[str, str, str]
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, unit = _tokenizers(paths), TaskContext.get().partitionId() << 24
+        keys, a, b, held = [], [], [], 0
+
+        def batch() -> pa.RecordBatch:
+            of_batch = pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.concat_arrays(keys))
+            sizes = (np.array([len(x) for x in side], np.int64).tobytes() for side in (a, b))
+            cells = [pa.array([x], pa.binary()) for x in (*sizes, *(_packed(np.concatenate(side)) for side in (a, b)))]
+            return pa.RecordBatch.from_arrays([pa.array([unit]), of_batch, *cells], names=schema.names)
+
         for part in parts:
-            for at, take in slices(part.column("text"), BATCH_BYTES, 1 << 16):
+            for at, take in slices(part.column("text"), BATCH_BYTES // 8, BATCH_ROWS // 8):
                 some = part.slice(at, take)
-                a, b = [], []
                 for text in some.column("text").to_pylist():
                     one, other, same = tokens.encode(f" {text}", f" {text}") if text else ((), (), False)
                     a.append(np.array(one if same else (), IDS))
                     b.append(np.array(other if same else (), IDS))
-                keys = pa.ListArray.from_arrays(pa.array([0, take], pa.int32()), some.column("key"))
-                sizes = (np.array([len(x) for x in side], np.int64).tobytes() for side in (a, b))
-                cells = [pa.array([x], pa.binary()) for x in (*sizes, *(np.concatenate(side).tobytes() for side in (a, b)))]
-                yield pa.RecordBatch.from_arrays([pa.array([unit]), keys, *cells], names=schema.names)
-                unit += 1
+                keys.append(some.column("key"))
+                held += pc.sum(pc.binary_length(some.column("text"))).as_py() or 0
+                if held >= BATCH_BYTES or len(a) >= BATCH_ROWS:
+                    yield batch()
+                    unit, held = unit + 1, 0
+                    keys, a, b = [], [], []
+                    release()
+        if a:
+            yield batch()
+        release()
 
-    return scratch.keep(short.mapInArrow(run, schema), "units", compression="zstd")
+    return scratch.keep(short.mapInArrow(run, schema), "units", **_STORED)
 
 
 def edges(text: str, edge: re.Pattern, width: int) -> list[int]:
@@ -277,7 +327,7 @@ def _ranges(scratch: Scratch, long: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*fixed, pa.array(columns[0]), pa.array(columns[1]), pa.array(columns[2]), pa.array(columns[3])], names=schema.names)
                 row += 1
 
-    return scratch.keep(long.mapInArrow(run, schema), "ranges")
+    return scratch.keep(long.mapInArrow(run, schema), "ranges", **_STORED)
 
 
 #: A fragment (closed is false) or closed groups, whose place among those of the text is ``place``.
@@ -318,7 +368,7 @@ def _leaves(scratch: Scratch, ranges: DataFrame, paths: tuple[str, str, str]) ->
                 yield from _node_table(rows, _NODE_ARROW).to_batches()
 
     spread = ranges.drop("key", "chunks").repartition("row", "chunk")
-    return scratch.keep(spread.mapInArrow(run, _NODE), "nodes")
+    return scratch.keep(spread.mapInArrow(run, _NODE), "nodes", **_STORED)
 
 
 def _reduce(scratch: Scratch, leaves: DataFrame, chunks: int, paths: tuple[str, str, str]) -> DataFrame:
@@ -345,7 +395,7 @@ def _reduce(scratch: Scratch, leaves: DataFrame, chunks: int, paths: tuple[str,
     while chunks > 1:
         width, chunks = width * FAN, -(-chunks // FAN)
         node = F.floor(F.col("place") / width).alias("node")
-        done = scratch.keep(level.groupBy("row", node).applyInArrow(compose, _NODE), "nodes")
+        done = scratch.keep(level.groupBy("row", node).applyInArrow(compose, _NODE), "nodes", **_STORED)
         closed, level = closed.unionByName(done.where("closed")), done.where("NOT closed")
     kept = closed.join(level.where("NOT same").select("row"), "row", "left_anti")
     return kept.select("row", "place", F.col("prefix_a").alias("ids_a"), F.col("prefix_b").alias("ids_b"))
@@ -353,21 +403,23 @@ def _reduce(scratch: Scratch, leaves: DataFrame, chunks: int, paths: tuple[str,
 
 def _long_units(scratch: Scratch, ranges: DataFrame, chunks: int, paths: tuple[str, str, str]) -> DataFrame:
     """Closed groups of long texts as units, each of the tokens of one text."""
-    closed = scratch.keep(_reduce(scratch, _leaves(scratch, ranges, paths), chunks, paths), "closed")
+    closed = scratch.keep(_reduce(scratch, _leaves(scratch, ranges, paths), chunks, paths), "closed", **_STORED)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit = -1 - (TaskContext.get().partitionId() << 40)
         for part in parts:
             for i in range(part.num_rows):
                 some = part.slice(i, 1)
-                sizes = [pa.array([np.array([len(some.column(c)[0].as_py()) // IDS.itemsize], np.int64).tobytes()], pa.binary()) for c in ("ids_a", "ids_b")]
-                yield pa.RecordBatch.from_arrays([pa.array([unit]), some.column("row"), some.column("place"), *sizes, some.column("ids_a"), some.column("ids_b")], names=schema.names)
+                ids = [np.frombuffer(some.column(c)[0].as_py(), IDS) for c in ("ids_a", "ids_b")]
+                cells = [pa.array([x], pa.binary()) for x in (*(np.array([len(x)], np.int64).tobytes() for x in ids), *map(_packed, ids))]
+                yield pa.RecordBatch.from_arrays([pa.array([unit]), some.column("row"), some.column("place"), *cells], names=schema.names)
                 unit -= 1
+        release()
 
     schema = T.StructType().add("unit", "long").add("row", "long").add("place", "long")
     for name in ("n_a", "n_b", "ids_a", "ids_b"):
         schema = schema.add(name, "binary")
-    return scratch.keep(closed.mapInArrow(run, schema), "long")
+    return scratch.keep(closed.mapInArrow(run, schema), "long", **_STORED)
 
 
 def _pairs(scratch: Scratch, units: DataFrame, paths: tuple[str, str, str]) -> DataFrame:
@@ -378,10 +430,10 @@ def _pairs(scratch: Scratch, units: DataFrame, paths: tuple[str, str, str]) -> D
         for part in parts:
             for i in range(part.num_rows):
                 some = part.slice(i, 1)
-                (aligned,) = _units(some, tokens)
-                pairs, n = aligned.distinct_links()
+                pairs, n = distinct_links(_pieces(some, tokens))
                 same = pa.array(np.zeros(len(pairs), np.int64))
                 yield pa.RecordBatch.from_arrays([some.column("unit").take(same), some.column("row").take(same), pa.array(pairs), pa.array(n)], names=["unit", "row", "pair", "n"])
+        release()
 
     row = F.col("row") if "row" in units.columns else F.lit(None).cast("long").alias("row")
     return scratch.keep(units.select("unit", row, "n_a", "n_b", "ids_a", "ids_b").mapInArrow(run, PAIRS), "pairs")
@@ -410,18 +462,25 @@ def _measured(units: DataFrame, pairs: DataFrame, counts: DataFrame, paths: tupl
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return pa.table({f.name: [] for f in schema})
-        (aligned,) = _units(left, _tokenizers(paths))
         pair, count, best = (right.column(c).to_numpy() for c in ("pair", "count", "best"))
         order = np.argsort(pair)
-        at = order[np.searchsorted(pair[order], aligned.links())]
-        edge = aligned.link_edges()
-        best_of, sum_of = (np.diff(np.concatenate(([0], np.cumsum(v[at].astype(np.int64))))[edge]) for v in (best, count))
+        pair, count, best = pair[order], count[order], best[order]
+        measures, digests = [], []
+        for aligned in _pieces(left, _tokenizers(paths)):
+            at = np.searchsorted(pair, aligned.links())
+            edge = aligned.link_edges()
+            best_of, sum_of = (np.diff(np.concatenate(([0], np.cumsum(v[at].astype(np.int64))))[edge]) for v in (best, count))
+            measures.append(np.stack((aligned.n_a, aligned.n_b, aligned.groups(), np.diff(edge), best_of, sum_of)))
+            if written:
+                digests += [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in aligned.written()]
         column = left.column(name)
         column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
         of_text = column.flatten() if pa.types.is_list(column.type) else column
-        columns = [of_text, *(pa.array(v.astype(np.int64)) for v in (aligned.n_a, aligned.n_b, aligned.groups(), np.diff(edge), best_of, sum_of))]
+        columns = [of_text, *map(pa.array, np.concatenate(measures, axis=1))]
         if written:
-            columns.append(pa.array([hashlib.sha256(w.encode()).hexdigest() if w else "" for w in aligned.written()], pa.string()))
+            columns.append(pa.array(digests, pa.string()))
+        aligned = at = None
+        release()
         return pa.Table.from_arrays(columns, names=schema.names)
 
     told = pairs.select("unit", "pair").join(counts, "pair")
@@ -444,10 +503,11 @@ def _digests(long: DataFrame, paths: tuple[str, str, str]) -> DataFrame:
                 elif row is not None:
                     digest.update(b";")
                 row = now
-                for aligned in _units(some, tokens):
+                for aligned in _pieces(some, tokens):
                     digest.update(aligned.written()[0].encode())
         if row is not None:
             yield one()
+        release()
 
     return long.repartition("row").sortWithinPartitions("row", "place").mapInArrow(run, "row long, groups_sha256 string")
 
@@ -465,22 +525,27 @@ def align(scratch: Scratch, df: DataFrame, key: str = "doc_id", text: str = "tex
     """
     paths = paths or default_paths()
     given = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
+    key_type = df.schema[key].dataType
+    with arrow_batches(df.sparkSession, HANDED_BYTES):
+        found = _aligned(scratch, given, T.StructType().add("key", key_type), paths)
+    return found.select(F.col("key").alias(key), *MEASURES, "groups_sha256")
+
+
+def _aligned(scratch: Scratch, given: DataFrame, key: T.StructType, paths: tuple[str, str, str]) -> DataFrame:
     is_long = F.coalesce(F.length("text"), F.lit(0)) > RANGE_CHARS
     short = _short_units(scratch, given.where(~is_long), paths)
     ranges = _ranges(scratch, given.where(is_long))
     chunks = ranges.agg(F.max("chunks")).first()[0]
     short_pairs = _pairs(scratch, short, paths)
-    key_type = df.schema[key].dataType
     if chunks is None:
         counts = _pair_counts(scratch, short_pairs, None)
-        found = _measured(short.withColumnRenamed("keys", "key"), short_pairs, counts, paths, T.StructType().add("key", key_type), True)
-    else:
-        long = _long_units(scratch, ranges, chunks, paths)
-        long_pairs = _pairs(scratch, long, paths)
-        counts = _pair_counts(scratch, short_pairs, long_pairs)
-        found = _measured(short.withColumnRenamed("keys", "key"), short_pairs, counts, paths, T.StructType().add("key", key_type), True)
-        parts = _measured(long, long_pairs, counts, paths, T.StructType().add("row", "long"), False)
-        sums = parts.groupBy("row").agg(*[F.sum(m).alias(m) for m in MEASURES])
-        whole = ranges.where("chunk = 0").select("row", "key").join(sums, "row", "left").join(_digests(long, paths), "row", "left")
-        found = found.unionByName(whole.select("key", *[F.coalesce(m, F.lit(0)).alias(m) for m in MEASURES], F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256")))
-    return found.select(F.col("key").alias(key), *MEASURES, "groups_sha256")
+        return _measured(short.withColumnRenamed("keys", "key"), short_pairs, counts, paths, key, True)
+    long = _long_units(scratch, ranges, chunks, paths)
+    long_pairs = _pairs(scratch, long, paths)
+    digests = scratch.keep(_digests(long, paths), "digests")
+    counts = _pair_counts(scratch, short_pairs, long_pairs)
+    found = _measured(short.withColumnRenamed("keys", "key"), short_pairs, counts, paths, key, True)
+    parts = _measured(long, long_pairs, counts, paths, T.StructType().add("row", "long"), False)
+    sums = parts.groupBy("row").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    whole = ranges.where("chunk = 0").select("row", "key").join(sums, "row", "left").join(digests, "row", "left")
+    return found.unionByName(whole.select("key", *[F.coalesce(m, F.lit(0)).alias(m) for m in MEASURES], F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256")))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -104,6 +106,22 @@ def gathered(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(tasks, key) if tasks > df.sparkSession.sparkContext.defaultParallelism else df
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, most_bytes: int) -> Iterator[None]:
+    """What runs within hands Python workers batches of at most so many bytes and a row, unless the session asks for less.
+
+    Otherwise 10,000 rows and 64 MB decide; both ends hold a batch twice while it travels.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    held = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before)
+    spark.conf.set(name, str(most_bytes if held <= 0 else min(held, most_bytes)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 #: Share of the driver's heap that may be in use when a scratch table has been stored.
 HEAP_SHARE = 0.25
 
